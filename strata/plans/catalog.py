@@ -1,7 +1,9 @@
 """Registered queries: each takes (spark, sf_dir) and returns a lazy DataFrame.
 
 Every query reads the driver's tables in full (or data Spark derives from them); the
-matching DuckDB statement lives in ``ORACLE`` under the same name.
+matching DuckDB statement lives in ``ORACLE`` under the same name. Derived inputs
+(bronze view, pages) come from ``fixtures``; subsets such as "older half" split the
+whole table into overlapping batches to exercise a merge, they do not shrink the work.
 """
 
 from __future__ import annotations
@@ -9,11 +11,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata import configure
-from strata.operators import silver
+from strata import registry as R
+from strata.functions import as_timestamp, parse_float, parse_int, parse_iso, has_offset
+from strata.functions import row_hash as row_hash_expr
+from strata.operators import checks, gold, merge, metrics, scd2, silver
 from strata.plans import fixtures
 from strata.plans import oracle as O
+from strata.sources import bronze, pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,18 +42,391 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
-# ---------------------------------------------------------------- silver
+# Batch times of the two runs used by merge / history queries, and the scrape "now".
+T1 = "2030-01-01 00:00:00"
+T2 = "2030-02-01 00:00:00"
+NOW = "2030-01-01 00:00:00"
+# Two overlapping batches of the bronze view: stored (older) and incoming (newer + stale).
+OLDER = "o_orderkey % 4 <> 0 AND scraped_at < TIMESTAMP '1999-01-01 00:00:00'"
+NEWER = "o_orderkey % 4 <> 1 AND scraped_at >= TIMESTAMP '1997-01-01 00:00:00'"
+HOODS_FIRST = "neighbourhood < '  NATION_15'"
+
+
+def _bronze(spark, sf_dir, drop=()):
+    return fixtures.bronze_view(spark, sf_dir, drop)
+
+
+def _silver(spark, sf_dir, where=None) -> silver.SilverFrames:
+    b = _bronze(spark, sf_dir)
+    if where:
+        b = b.where(F.expr(where))
+    return silver.transform_to_silver(b, tiebreak=["o_orderkey"])
+
+
+# ------------------------------------------------------------------ silver
 
 
 @query("silver_listings", O.silver_ctes() + "SELECT * FROM listings")
 def silver_listings(spark, sf_dir):
     """Minimum slice: bronze view -> O11 -> O12 -> O17 -> O20 -> O19 -> O18."""
-    bronze = fixtures.bronze_view(spark, sf_dir)
-    return silver.transform_to_silver(bronze, tiebreak=["o_orderkey"]).listings
+    return _silver(spark, sf_dir).listings
 
 
 @query("silver_neighbourhoods", O.silver_ctes() + "SELECT * FROM hoods")
 def silver_neighbourhoods(spark, sf_dir):
     """Unique (neighbourhood, city) with scores of the latest listing."""
-    bronze = fixtures.bronze_view(spark, sf_dir)
-    return silver.transform_to_silver(bronze, tiebreak=["o_orderkey"]).neighbourhoods
+    return _silver(spark, sf_dir).neighbourhoods
+
+
+_DROPPED = ("move_in_date", "gym", "bike_score")
+
+
+def _fill_sql():
+    types = {f.name: f.dataType for f in R.BRONZE_SCHEMA.fields}
+    cols = []
+    for name in R.BRONZE_COLUMNS:
+        if name in _DROPPED or name == "images":
+            cols.append(f"CAST(NULL AS {O.duck_type(types[name])}) AS {name}")
+        else:
+            cols.append(name)
+    return O.with_bronze(_DROPPED) + f"SELECT {', '.join(cols)}, o_orderkey FROM bronze"
+
+
+@query("fill_missing_columns", _fill_sql())
+def fill_missing_columns(spark, sf_dir):
+    """Bronze rows lacking three columns get them back as typed nulls."""
+    b = _bronze(spark, sf_dir, drop=_DROPPED)
+    filled = silver.fill_missing_columns(b)
+    return filled.select(*R.BRONZE_COLUMNS, "o_orderkey")
+
+
+@query(
+    "key_filter",
+    O.with_bronze()
+    + f"SELECT o_orderkey, listing_id, website FROM bronze WHERE {O.nonblank('listing_id')} AND {O.nonblank('website')}",
+)
+def key_filter(spark, sf_dir):
+    """Rows whose key parts are all present and not blank; keys are not stripped."""
+    b = _bronze(spark, sf_dir)
+    return silver.drop_invalid_keys(b, R.key_columns(R.LISTINGS)).select("o_orderkey", "listing_id", "website")
+
+
+_FLAGS = R.columns_with(R.LISTINGS, R.CLEAN_BOOL)
+
+
+@query(
+    "to_boolean",
+    O.with_bronze() + "SELECT o_orderkey, " + ", ".join(f"{O.to_bool(c)} AS {c}" for c in _FLAGS) + " FROM bronze",
+)
+def to_boolean(spark, sf_dir):
+    """yes/included -> true, no/not included -> false, others null (26 columns)."""
+    from strata.functions import to_boolean as tb
+
+    b = _bronze(spark, sf_dir)
+    return b.select("o_orderkey", *[tb(c).alias(c) for c in _FLAGS])
+
+
+_RANGED = R.bounded_columns(R.LISTINGS, R.NEIGHBOURHOODS)
+
+
+@query(
+    "range_validate",
+    O.with_bronze()
+    + "SELECT o_orderkey, "
+    + ", ".join(f"{O.bounded(c, b)} AS {c}" for c, b in _RANGED.items())
+    + " FROM bronze",
+)
+def range_validate(spark, sf_dir):
+    """Lenient double cast, null outside the column's interval (text -> null)."""
+    from strata.functions import in_bounds
+
+    b = _bronze(spark, sf_dir)
+    return b.select("o_orderkey", *[in_bounds(c, r).alias(c) for c, r in _RANGED.items()])
+
+
+_STRIPPED = R.columns_with(R.LISTINGS, R.CLEAN_STRIP)
+_LOWERED = R.columns_with(R.LISTINGS, R.CLEAN_LOWER)
+
+
+@query(
+    "strip_lower",
+    O.with_bronze()
+    + "SELECT o_orderkey, "
+    + ", ".join([f"{O.strip(c)} AS {c}" for c in _STRIPPED] + [f"{O.lower_strip(c)} AS {c}" for c in _LOWERED])
+    + " FROM bronze",
+)
+def strip_lower(spark, sf_dir):
+    """Unicode-space strip; strip + lower-case."""
+    from strata.functions import strip, strip_lower
+
+    b = _bronze(spark, sf_dir)
+    return b.select("o_orderkey", *[strip(c).alias(c) for c in _STRIPPED], *[strip_lower(c).alias(c) for c in _LOWERED])
+
+
+@query(
+    "row_hash",
+    O.with_bronze() + f", c AS ({O.cleaned_select('bronze')}) SELECT o_orderkey, {O.hash_expr()} AS row_hash FROM c",
+)
+def row_hash(spark, sf_dir):
+    """md5 over the cleaned hashed columns (registry order, '|' joined, null = '')."""
+    b = silver.clean(silver.fill_missing_columns(_bronze(spark, sf_dir)))
+    return b.select("o_orderkey", row_hash_expr(R.hashed_columns(R.LISTINGS), b).alias("row_hash"))
+
+
+_LINE_TIES = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+
+
+@query(
+    "keep_latest",
+    "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber "
+    "ORDER BY l_shipdate DESC NULLS LAST, " + ", ".join(f"{c} ASC NULLS LAST" for c in _LINE_TIES)
+    + ") AS rn FROM lineitem) WHERE rn = 1",
+)
+def keep_latest(spark, sf_dir):
+    """Latest line per (order, line number) by ship date; ties by the other columns."""
+    li = fixtures.table(spark, sf_dir, "lineitem")
+    return silver.keep_latest(li, ["l_orderkey", "l_linenumber"], order_by=["l_shipdate"], tiebreak=list(_LINE_TIES))
+
+
+# ------------------------------------------------------------------ merges
+
+
+@query(
+    "upsert_hash_guarded",
+    O.with_bronze()
+    + O.silver_block("a_", OLDER)
+    + O.silver_block("b_", NEWER)
+    + O.guarded_merge("a_listings", "b_listings", "merged")
+    + "SELECT * FROM merged",
+)
+def upsert_hash_guarded(spark, sf_dir):
+    """stored = silver of the older batch; incoming = newer batch with stale rows."""
+    stored = _silver(spark, sf_dir, OLDER).listings
+    batch = _silver(spark, sf_dir, NEWER).listings
+    return merge.upsert_hash_guarded(stored, batch)
+
+
+def _hoods_sql_with_time(src: str, ts: str) -> str:
+    return f"SELECT neighbourhood, city, walk_score, transit_score, bike_score, {O.ts_lit(ts)} AS loaded_at FROM {src}"
+
+
+@query(
+    "upsert_overwrite",
+    O.with_bronze()
+    + O.silver_block("a_", OLDER)
+    + O.silver_block("b_", NEWER)
+    + f", stored AS ({_hoods_sql_with_time('a_hoods', T1)})"
+    + f", incoming AS ({_hoods_sql_with_time('b_hoods', T2)})"
+    + " SELECT s.* FROM stored s WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.neighbourhood = s.neighbourhood "
+    "AND i.city = s.city) UNION ALL SELECT * FROM incoming",
+)
+def upsert_overwrite(spark, sf_dir):
+    """Neighbourhoods of the newer batch overwrite (nulls included), loaded_at = T2."""
+    empty = spark.createDataFrame([], R.spark_schema(R.NEIGHBOURHOODS))
+    stored = merge.upsert_overwrite(empty, _silver(spark, sf_dir, OLDER).neighbourhoods, batch_ts=T1)
+    return merge.upsert_overwrite(stored, _silver(spark, sf_dir, NEWER).neighbourhoods, batch_ts=T2)
+
+
+# ------------------------------------------------------------------ SCD2
+
+CUTOFFS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-01-30 00:00:00")
+EVENT_KEYS = ("user_id", "event_type")
+EVENT_COLS = ("user_id", "event_type", "value", "state", "ts")
+
+
+def _event_state(events: DataFrame) -> DataFrame:
+    return events.withColumn("state", F.floor(F.col("value") / 25).cast("int"))
+
+
+def _scd2_snapshot_sql() -> str:
+    cut = " UNION ALL ".join(f"SELECT TIMESTAMP '{c}' AS cutoff" for c in CUTOFFS)
+    key = "CAST(user_id AS VARCHAR) || '~' || event_type"
+    return (
+        f"WITH cut AS ({cut}),\n"
+        "ev AS (SELECT *, CAST(floor(value / 25) AS INTEGER) AS state FROM events),\n"
+        "st AS (SELECT c.cutoff, e.user_id, e.event_type, e.value, e.state, e.ts, row_number() OVER "
+        "(PARTITION BY c.cutoff, e.user_id, e.event_type ORDER BY e.ts DESC, e.event_id DESC) AS rn "
+        "FROM cut c JOIN ev e ON e.ts < c.cutoff),\n"
+        "s AS (SELECT * FROM st WHERE rn = 1),\n"
+        "ch AS (SELECT *, lag(state) OVER (PARTITION BY user_id, event_type ORDER BY cutoff) AS prev_state, "
+        "row_number() OVER (PARTITION BY user_id, event_type ORDER BY cutoff) AS k FROM s),\n"
+        "v AS (SELECT * FROM ch WHERE k = 1 OR state IS DISTINCT FROM prev_state)\n"
+        f"SELECT user_id, event_type, value, state, ts, {O.scd_id_sql(key, 'cutoff')} AS scd_id, "
+        "cutoff AS updated_at, cutoff AS valid_from, "
+        "lead(cutoff) OVER (PARTITION BY user_id, event_type ORDER BY cutoff) AS valid_to FROM v"
+    )
+
+
+@query("scd2_snapshot", _scd2_snapshot_sql())
+def scd2_snapshot(spark, sf_dir):
+    """O24 run three times: the (user, event type) state at days 10, 20 and 30."""
+    events = _event_state(fixtures.table(spark, sf_dir, "events"))
+    history = None
+    for cutoff in CUTOFFS:
+        state = silver.keep_latest(
+            events.where(F.col("ts") < as_timestamp(cutoff)), list(EVENT_KEYS), order_by=["ts", "event_id"], tiebreak=[]
+        ).select(*EVENT_COLS)
+        history = scd2.scd2_snapshot(history, state, key_cols=EVENT_KEYS, check_cols=["state"], batch_ts=cutoff)
+    return history
+
+
+def _scd2_log_sql() -> str:
+    key = "CAST(user_id AS VARCHAR) || '~' || event_type"
+    return (
+        "WITH ev AS (SELECT *, CAST(floor(value / 25) AS INTEGER) AS state FROM events),\n"
+        "l AS (SELECT *, lag(state) OVER w AS prev_state, row_number() OVER w AS k FROM ev "
+        "WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)),\n"
+        "c AS (SELECT * FROM l WHERE k = 1 OR state IS DISTINCT FROM prev_state)\n"
+        f"SELECT user_id, event_type, value, state, ts, {O.scd_id_sql(key, 'ts')} AS scd_id, "
+        "ts AS updated_at, ts AS valid_from, "
+        "lead(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS valid_to FROM c"
+    )
+
+
+@query("scd2_from_log", _scd2_log_sql())
+def scd2_from_log(spark, sf_dir):
+    """The whole event log as SCD2 history in one pass (per-day chunks per key)."""
+    events = _event_state(fixtures.table(spark, sf_dir, "events"))
+    hist = scd2.scd2_from_log(
+        events, key_cols=EVENT_KEYS, ts_col="ts", check_cols=["state"], columns=EVENT_COLS, tiebreak=["event_id"]
+    )
+    return hist.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+# ------------------------------------------------------------------ gold
+
+
+def _gold_history_sql(prefix: str = "") -> str:
+    return (
+        O.with_bronze()
+        + O.silver_block("a_", OLDER)
+        + O.silver_block("b_", NEWER)
+        + O.guarded_merge("a_listings", "b_listings", "merged")
+        + O.scd2_two_runs("a_listings", "merged", T1, T2, "hist", gold.HISTORY_COLUMNS, O.LISTING_KEYS)
+    )
+
+
+def _gold_history(spark, sf_dir) -> DataFrame:
+    older = _silver(spark, sf_dir, OLDER).listings
+    newer = _silver(spark, sf_dir, NEWER).listings
+    merged = merge.upsert_hash_guarded(older, newer)
+    keys = R.key_columns(R.LISTINGS)
+    h1 = scd2.scd2_snapshot(None, older, key_cols=keys, batch_ts=T1, columns=gold.HISTORY_COLUMNS)
+    return scd2.scd2_snapshot(h1, merged, key_cols=keys, batch_ts=T2, columns=gold.HISTORY_COLUMNS)
+
+
+@query("fact_view", _gold_history_sql() + O.fact_select("hist"))
+def fact_view(spark, sf_dir):
+    """O29 over two snapshot runs: silver of the older batch at T1, merged silver at T2."""
+    return gold.fact_view(_gold_history(spark, sf_dir))
+
+
+def _dim_sql() -> str:
+    sk = "md5(neighbourhood || '~' || city)"
+    return (
+        O.with_bronze()
+        + O.silver_block("a_", HOODS_FIRST)
+        + O.silver_block("b_")
+        + f", dim AS (SELECT {sk} AS neighbourhood_sk, neighbourhood, city, walk_score, transit_score, bike_score, "
+        f"{O.ts_lit(T1)} AS loaded_at FROM a_hoods)"
+        + " SELECT * FROM dim UNION ALL "
+        f"SELECT {sk}, neighbourhood, city, walk_score, transit_score, bike_score, {O.ts_lit(T2)} FROM b_hoods "
+        f"WHERE {sk} NOT IN (SELECT neighbourhood_sk FROM dim)"
+    )
+
+
+def _hoods_loaded(spark, sf_dir, where, ts):
+    empty = spark.createDataFrame([], R.spark_schema(R.NEIGHBOURHOODS))
+    return merge.upsert_overwrite(empty, _silver(spark, sf_dir, where).neighbourhoods, batch_ts=ts)
+
+
+@query("dim_insert_only", _dim_sql())
+def dim_insert_only(spark, sf_dir):
+    """First run loads some neighbourhoods; the second inserts only new keys."""
+    dim = gold.dim_insert_only(None, _hoods_loaded(spark, sf_dir, HOODS_FIRST, T1))
+    return gold.dim_insert_only(dim, _hoods_loaded(spark, sf_dir, None, T2))
+
+
+# Planted violations for the data tests: a duplicated version, nulled hashes, dim gaps.
+_DUP = "bedrooms = 4 AND bathrooms = 2 AND furnished"
+_NULL_HASH = "bathrooms = 3 AND heat"
+_DIM_GAP = "neighbourhood LIKE '%1'"
+
+
+def _dq_sql() -> str:
+    hist_cols = ", ".join(
+        ["scd_id", "listing_id", "website", "url", "published_at", "title", "street", "neighbourhood_sk", "rent",
+         "move_in_date", "price_per_sqft"]
+    )
+    del hist_cols
+    base = _gold_history_sql() + f", fact0 AS ({O.fact_select('hist')})"
+    fact = (
+        ", fact1 AS (SELECT * REPLACE (CASE WHEN " + _NULL_HASH + " THEN NULL ELSE row_hash END AS row_hash) "
+        "FROM fact0 UNION ALL SELECT * FROM fact0 WHERE " + _DUP + ")"
+    )
+    dim = (
+        O.silver_block("d_")
+        + ", dim AS (SELECT md5(neighbourhood || '~' || city) AS neighbourhood_sk, neighbourhood, city, "
+        f"{O.ts_lit(T1)} AS loaded_at FROM d_hoods WHERE NOT ({_DIM_GAP}))"
+    )
+    nn = lambda model, src, cols: " UNION ALL ".join(
+        f"SELECT 'not_null' AS test, '{model}' AS model, '{c}' AS column_name, "
+        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {src}"
+        for c in cols
+    )
+    uq = lambda model, src, c: (
+        f"SELECT 'unique', '{model}', '{c}', CAST(count(*) AS BIGINT) FROM "
+        f"(SELECT {c} FROM {src} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
+    )
+    return (
+        base + fact + dim + "\n"
+        + nn("fct_rental_listings", "fact1", ["scd_id", "listing_id", "website", "row_hash", "scraped_at", "valid_from"])
+        + " UNION ALL " + uq("fct_rental_listings", "fact1", "scd_id")
+        + " UNION ALL SELECT 'relationships', 'fct_rental_listings', 'neighbourhood_sk', CAST(count(*) AS BIGINT) "
+        "FROM fact1 f WHERE f.neighbourhood_sk IS NOT NULL AND NOT EXISTS "
+        "(SELECT 1 FROM dim d WHERE d.neighbourhood_sk = f.neighbourhood_sk)"
+        + " UNION ALL SELECT 'unique_combination', 'fct_rental_listings', 'listing_id,website,valid_from', "
+        "CAST(count(*) AS BIGINT) FROM (SELECT listing_id, website, valid_from FROM fact1 "
+        "GROUP BY listing_id, website, valid_from HAVING count(*) > 1)"
+        + " UNION ALL " + nn("dim_neighbourhoods", "dim", ["neighbourhood_sk", "neighbourhood", "city", "loaded_at"])
+        + " UNION ALL " + uq("dim_neighbourhoods", "dim", "neighbourhood_sk")
+    )
+
+
+@query("dq_checks", _dq_sql())
+def dq_checks(spark, sf_dir):
+    """O28a-d: the gold tests over a fact with a duplicated version and nulled hashes and a
+    dimension with gaps; one row per test with its failure count."""
+    fact0 = gold.fact_view(_gold_history(spark, sf_dir))
+    fact = fact0.withColumn("row_hash", F.when(F.expr(_NULL_HASH), F.lit(None)).otherwise(F.col("row_hash")))
+    fact = fact.unionByName(fact0.where(F.expr(_DUP)))
+    hoods = _silver(spark, sf_dir).neighbourhoods.where(~F.expr(_DIM_GAP))
+    dim = gold.dim_rows(hoods).select("neighbourhood_sk", "neighbourhood", "city", as_timestamp(T1).alias("loaded_at"))
+    return checks.gold_tests(fact, dim)
+
+
+_GATE_NULL = "bedrooms = 0 AND bathrooms = 1"
+
+
+def _gate_sql() -> str:
+    required = [c.name for c in R.LISTINGS if not c.nullable]
+    body = O.with_bronze() + O.silver_block("b_", NEWER)
+    batch = f", batch AS (SELECT * REPLACE (CASE WHEN {_GATE_NULL} THEN NULL ELSE url END AS url) FROM b_listings)"
+    parts = [
+        f"SELECT 'not_null' AS test, 'rental_listings' AS model, '{c}' AS column_name, "
+        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM batch"
+        for c in required
+    ]
+    parts.append(
+        "SELECT 'primary_key', 'rental_listings', 'listing_id,website', CAST(count(*) AS BIGINT) FROM "
+        "(SELECT listing_id, website FROM batch GROUP BY listing_id, website HAVING count(*) > 1)"
+    )
+    return body + batch + " SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE failures > 0"
+
+
+@query("constraint_gate", _gate_sql())
+def constraint_gate(spark, sf_dir):
+    """O28e/O5: the violation table the gate raises on (a batch with planted null URLs)."""
+    batch = _silver(spark, sf_dir, NEWER).listings
+    batch = batch.withColumn("url", F.when(F.expr(_GATE_NULL), F.lit(None)).otherwise(F.col("url")))
+    return checks.failing(checks.constraint_violations(batch, R.LISTINGS, "rental_listings"))

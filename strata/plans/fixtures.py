@@ -119,3 +119,160 @@ def bronze_view(spark: SparkSession, sf_dir: str, drop=()) -> DataFrame:
 def bronze_cte(drop=()) -> str:
     """The same view for the DuckDB oracle, as a WITH clause."""
     return f"WITH bronze AS (\n{bronze_sql(drop=drop)}\n)\n"
+
+
+# --------------------------------------------------------------------------- pages
+#
+# Search pages: orders grouped by o_orderkey div 40 (at most 40 items per page, whatever
+# the key distribution). Detail pages: one per order, a state document built with
+# to_json. Faults are planted by key so the oracle can project expected rows directly.
+
+PAGE_SIZE = 40
+LISTING_URL = "https://listings.example.com/v/"
+PAGE_CITIES = R.CITIES
+
+
+def _city_of(c):
+    from pyspark.sql import functions as F
+
+    return F.element_at(F.array(*[F.lit(x) for x in PAGE_CITIES]), (c % len(PAGE_CITIES)).cast("int") + 1)
+
+
+def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(page_id, city, html)``: JSON-LD item lists; pages with id % 17 = 0 have no
+    JSON-LD, id % 19 = 0 carry broken JSON; items with key % 11 = 0 have no URL."""
+    from pyspark.sql import functions as F
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    k = F.col("o_orderkey")
+    element = F.struct(
+        F.lit("ListItem").alias("@type"),
+        (k % PAGE_SIZE + 1).alias("position"),
+        F.struct(
+            F.concat(F.lit("Listing "), k.cast("string")).alias("name"),
+            F.when(k % 11 != 0, F.concat(F.lit(LISTING_URL), k.cast("string"))).alias("url"),
+        ).alias("item"),
+    )
+    pages = o.groupBy(F.expr(f"o_orderkey div {PAGE_SIZE}").alias("page_id")).agg(
+        F.array_sort(F.collect_list(F.struct(k.alias("k"), element.alias("e")))).alias("items")
+    )
+    doc = F.to_json(
+        F.struct(
+            F.lit("https://schema.org").alias("@context"),
+            F.lit("ItemList").alias("@type"),
+            F.transform("items", lambda x: x.getField("e")).alias("itemListElement"),
+        )
+    )
+    pid = F.col("page_id")
+    head = "<!DOCTYPE html><html><head><title>Results</title></head><body>"
+    html = (
+        F.when(pid % 17 == 0, F.lit(head + "<p>No results</p></body></html>"))
+        .when(pid % 19 == 0, F.lit(head + '<script type="application/ld+json">{"itemListElement": [</script></body></html>'))
+        .otherwise(F.concat(F.lit(head + '<script type="application/ld+json">'), doc, F.lit("</script></body></html>")))
+    )
+    return pages.select(pid, _city_of(pid).alias("city"), html.alias("html"))
+
+
+def _size_text(s):
+    from pyspark.sql import functions as F
+
+    return F.when(
+        s >= 1000,
+        F.concat((s / 1000).cast("long").cast("string"), F.lit(","), F.lpad((s % 1000).cast("string"), 3, "0")),
+    ).otherwise(s.cast("string"))
+
+
+def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(url, city, html)``: one listing page per order (see the oracle for the faults)."""
+    from pyspark.sql import functions as F
+
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    rows = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    zulu = F.concat(day, F.lit("T00:00:00.000Z"))
+    activation = (
+        F.when(k % 4 == 0, zulu)
+        .when(k % 4 == 1, F.concat(day, F.lit("T00:00:00+00:00")))
+        .when(k % 4 == 2, day)
+    )
+
+    def attr(name, value):
+        return F.struct(F.lit(name).alias("name"), F.array(value).alias("values"))
+
+    size = ck % 2000 + 300
+    attrs = [
+        attr("Bedrooms", (k % 5).cast("string")),
+        attr("Bathrooms", F.concat((ck % 3 + 1).cast("string"), F.lit(" bath"))),
+        attr("Size (sqft)", F.when(k % 233 == 0, F.lit("-5")).otherwise(_size_text(size))),
+        attr("Furnished", F.when(k % 2 == 0, F.lit("Yes")).otherwise(F.lit("No"))),
+        attr("Unit Type", F.when(ck % 2 == 0, F.lit("Apartment")).otherwise(F.lit("Condo"))),
+        attr("Parking Included", F.lit("Yes")),
+        attr("Move-In Date", day),
+        attr("Floor Plan", F.lit("Open")),
+        F.when(k % 5 == 0, F.struct(F.lit("Heat").alias("name"), F.lit(None).cast("array<string>").alias("values")))
+        .otherwise(attr("Heat", F.lit("Included"))),
+        F.when(k % 113 == 0, F.struct(F.lit("Water").alias("name"), F.array().cast("array<string>").alias("values")))
+        .otherwise(attr("Water", F.lit("Not Included"))),
+        F.when(k % 9 == 0, attr("Bedrooms", F.lit("7"))),
+    ]
+    attr_list = F.filter(F.array(*attrs), lambda a: a.isNotNull())
+    img = [F.concat(F.lit("https://img.example.com/"), k.cast("string"), F.lit(f"/{i}.jpg")) for i in (1, 2)]
+    ref = F.when(F.col("c_custkey") % 7 != 0, F.concat(F.lit("Neighbourhood:"), F.col("n_nationkey").cast("string")))
+    listing = F.struct(
+        F.when(k % 103 != 0, F.concat(F.lit("Listing "), k.cast("string"))).alias("title"),
+        F.concat(F.lit("Order "), F.col("o_orderstatus"), F.lit(" for "), F.col("c_name")).alias("description"),
+        F.when(k % 107 != 0, F.struct(F.col("o_totalprice").alias("amount"))).alias("price"),
+        activation.alias("activationDate"),
+        F.struct(
+            F.concat(ck.cast("string"), F.lit(" Main St")).alias("address"),
+            F.struct(
+                ((ck % 50).cast("double") + 40.5).alias("latitude"),
+                ((k % 110).cast("double") - 150.0).alias("longitude"),
+            ).alias("coordinates"),
+            F.struct(ref.alias("__ref")).alias("neighbourhoodInfo"),
+        ).alias("location"),
+        F.slice(F.array(*img), 1, (k % 3).cast("int")).alias("imageUrls"),
+        F.struct(attr_list.alias("all")).alias("attributes"),
+    )
+    acct = F.col("c_acctbal")
+    hood = F.struct(
+        F.col("n_name").alias("name"),
+        F.struct(
+            F.struct(
+                F.struct((acct / 1000).alias("score")).alias("walk"),
+                F.struct((acct / 2000).alias("score")).alias("transit"),
+                F.struct((acct / 3000).alias("score")).alias("cycle"),
+            ).alias("transportation")
+        ).alias("scores"),
+    )
+    listing_key = F.when(k % 227 == 0, F.lit("RealEstateListing:other")).otherwise(
+        F.concat(F.lit("RealEstateListing:"), k.cast("string"))
+    )
+    def quoted(x):  # keys and ids here are plain ASCII without quotes or backslashes
+        return F.concat(F.lit('"'), x, F.lit('"'))
+
+    state = F.concat(
+        F.lit("{"), quoted(listing_key), F.lit(": "), F.to_json(listing),
+        F.lit(", "), quoted(F.concat(F.lit("Neighbourhood:"), F.col("n_nationkey").cast("string"))),
+        F.lit(": "), F.to_json(hood), F.lit("}"),
+    )
+    page_id = F.when(k % 101 != 0, k.cast("string"))
+    props = F.concat(
+        F.lit('{"props": {"pageProps": {'),
+        F.when(page_id.isNotNull(), F.concat(F.lit('"listingId": '), quoted(page_id), F.lit(", "))).otherwise(F.lit("")),
+        F.lit('"activationDate": '), quoted(zulu), F.lit(', "__APOLLO_STATE__": '), state, F.lit("}}}"),
+    )
+    body = (
+        F.when(k % 211 == 0, F.lit("<p>gone</p>"))
+        .when(k % 223 == 0, F.lit('<script id="__NEXT_DATA__" type="application/json">{"props": </script>'))
+        .otherwise(F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">'), props, F.lit("</script>")))
+    )
+    html = F.concat(F.lit("<!DOCTYPE html><html><head><title>Listing</title></head><body>"), body, F.lit("</body></html>"))
+    url = F.when(k % 229 == 0, F.concat(F.lit("ftp://listings.example.com/v/"), k.cast("string"))).otherwise(
+        F.concat(F.lit(LISTING_URL), k.cast("string"))
+    )
+    city = F.when(ck % 31 == 0, F.lit("paris")).otherwise(_city_of(ck))
+    return rows.select(url.alias("url"), city.alias("city"), html.alias("html"))
