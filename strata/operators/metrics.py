@@ -34,7 +34,7 @@ def partition_metrics(
     keys = list(keys or R.key_columns(R.LISTINGS))
     ok = key_is_valid(keys)
     ent = entity_clean or {}
-    ent_cols = [ent.get(c, F.col(c)).alias(c) for c in entity_keys]
+    ent_cols = [ent.get(c, F.col(c)).alias("_e_" + c) for c in entity_keys]
     reads = bronze.groupBy(*partition_cols).agg(
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(ok).alias("rows_valid_key"),
@@ -43,13 +43,13 @@ def partition_metrics(
     latest = keep_latest(bronze.where(ok), [*partition_cols, *keys], tiebreak=tiebreak)
     present = F.lit(True)
     for c in entity_keys:
-        present = present & F.col(c).isNotNull()
+        present = present & F.col("_e_" + c).isNotNull()
     loads = (
         latest.select(*partition_cols, *ent_cols)
         .groupBy(*partition_cols)
         .agg(
             F.count(F.lit(1)).alias("rows_loaded"),
-            F.count_distinct(F.when(present, F.struct(*entity_keys))).alias("neighbourhoods_loaded"),
+            F.count_distinct(F.when(present, F.struct(*["_e_" + c for c in entity_keys]))).alias("neighbourhoods_loaded"),
         )
     )
     stats = reads.join(loads, partition_cols, "left").select(
@@ -93,3 +93,17 @@ def rollup(metrics: DataFrame) -> DataFrame:
         .alias("status"),
         "*",
     )
+
+
+def coverage(df: DataFrame, wanted: DataFrame, partition_cols) -> DataFrame:
+    """O4 + O33: rows per wanted partition; a wanted partition without rows reports
+    ``completed_no_data``. Counting is one partial aggregation; the wanted frame is
+    parameter-sized (dates x values), so its join is a broadcast."""
+    partition_cols = list(partition_cols)
+    counts = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("record_count"))
+    joined = F.broadcast(wanted).join(counts, partition_cols, "left")
+    return joined.select(
+        *wanted.columns,
+        F.coalesce(F.col("record_count"), F.lit(0)).alias("record_count"),
+        F.when(F.col("record_count").isNull(), F.lit(R.STATUS_NO_DATA)).otherwise(F.lit(R.STATUS_SUCCESS)).alias("status"),
+    )

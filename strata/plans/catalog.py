@@ -430,3 +430,406 @@ def constraint_gate(spark, sf_dir):
     batch = _silver(spark, sf_dir, NEWER).listings
     batch = batch.withColumn("url", F.when(F.expr(_GATE_NULL), F.lit(None)).otherwise(F.col("url")))
     return checks.failing(checks.constraint_violations(batch, R.LISTINGS, "rental_listings"))
+
+
+# ------------------------------------------------------------------ bronze
+
+EVENT_DAYS = ("2024-01-05", "2024-01-06", "2024-01-07")
+VIEW_DAY = "2024-01-20"
+
+
+def _events_partitioned(spark, sf_dir) -> DataFrame:
+    ev = fixtures.table(spark, sf_dir, "events")
+    return ev.withColumn("dt", F.date_format("ts", "yyyy-MM-dd"))
+
+
+def _events_schema(ev: DataFrame):
+    from pyspark.sql import types as T
+
+    data = [f for f in ev.schema.fields if f.name not in ("event_type", "dt")]
+    return T.StructType(data + [T.StructField("event_type", T.StringType()), T.StructField("dt", T.StringType())])
+
+
+_EV_COLS = "event_id, ts, user_id, value, props, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS dt"
+
+
+@query(
+    "bronze_partition_scan",
+    f"SELECT {_EV_COLS} FROM events WHERE (event_type = 'click' AND CAST(CAST(ts AS DATE) AS VARCHAR) IN "
+    f"({', '.join(repr(d) for d in EVENT_DAYS)})) OR (event_type = 'view' AND CAST(CAST(ts AS DATE) AS VARCHAR) = '{VIEW_DAY}')",
+)
+def bronze_partition_scan(spark, sf_dir):
+    """O2 then O1 + O31: events written by (event_type, dt); one type over three days and
+    another type's single day are read back with partition pruning and unioned."""
+    from strata.session import workspace
+
+    ev = _events_partitioned(spark, sf_dir)
+    root = workspace(spark, "bronze-events")
+    bronze.write_bronze(ev, root, partition_cols=("event_type", "dt"))
+    schema = _events_schema(ev)
+    clicks = bronze.read_partitioned(spark, root, schema, event_type="click", dt=list(EVENT_DAYS))
+    views = bronze.read_partitioned(spark, root, schema, event_type="view", dt=VIEW_DAY)
+    return bronze.union_frames([clicks, views])
+
+
+@query(
+    "bronze_manifest",
+    "SELECT event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, 'last_x_days' AS mode, 30 AS days, "
+    "CAST(NULL AS DATE) AS specific_date, 10 AS max_pages, count(*) AS record_count, "
+    f"{O.ts_lit(T1)} AS saved_at FROM events GROUP BY ALL",
+)
+def bronze_manifest(spark, sf_dir):
+    """O3: manifest per (event_type, day) partition; also written as JSON beside the data."""
+    from strata.session import workspace
+
+    ev = _events_partitioned(spark, sf_dir)
+    man = bronze.manifest(
+        ev, mode=R.MODE_LAST_DAYS, days=30, max_pages=10, saved_at=T1, partition_cols=("event_type", "dt")
+    )
+    man = fixtures_checkpoint(man)
+    bronze.write_manifest(man, workspace(spark, "manifest"), partition_cols=("event_type", "dt"))
+    return man
+
+
+def fixtures_checkpoint(df: DataFrame) -> DataFrame:
+    from strata.session import materialize
+
+    return materialize(df)
+
+
+SELECTOR_TODAY = "2024-02-02"
+SELECTOR_TYPES = ("click", "view", "purchase", "signup", "error", "refund")
+
+
+@query(
+    "partition_selector",
+    "WITH wanted AS (SELECT 'events' AS source, t.event_type, "
+    f"CAST(CAST(DATE '{SELECTOR_TODAY}' - CAST(r.range AS INTEGER) AS DATE) AS VARCHAR) AS dt, r.range AS rank "
+    "FROM range(7) r, (VALUES " + ", ".join(f"('{t}')" for t in SELECTOR_TYPES) + ") t(event_type)), "
+    "counts AS (SELECT event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, count(*) AS n FROM events GROUP BY ALL) "
+    "SELECT w.source, w.event_type, w.dt, w.rank, coalesce(c.n, 0) AS record_count, "
+    "CASE WHEN c.n IS NULL THEN 'completed_no_data' ELSE 'success' END AS status "
+    "FROM wanted w LEFT JOIN counts c ON c.event_type = w.event_type AND c.dt = w.dt",
+)
+def partition_selector(spark, sf_dir):
+    """O4 + O33: last 7 days up to a reference date x event types (one without data),
+    left-joined to the partition counts; empty partitions report completed_no_data."""
+    wanted = bronze.wanted_partitions(
+        spark, source="events", cities=SELECTOR_TYPES, mode=R.MODE_LAST_DAYS, days=7, today=SELECTOR_TODAY
+    ).withColumnRenamed("city", "event_type")
+    return metrics.coverage(_events_partitioned(spark, sf_dir), wanted, ["event_type", "dt"])
+
+
+# ------------------------------------------------------------------ pages
+
+_PAGE_ITEMS_SQL = (
+    "WITH p AS (SELECT o_orderkey // 40 AS page_id, o_orderkey, row_number() OVER "
+    "(PARTITION BY o_orderkey // 40 ORDER BY o_orderkey) AS position FROM orders), "
+    "items AS (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'toronto' WHEN 1 THEN 'vancouver' ELSE 'london' END AS city, "
+    f"position, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE '{fixtures.LISTING_URL}' || CAST(o_orderkey AS VARCHAR) END AS url "
+    "FROM p WHERE position > 6 AND page_id % 17 <> 0 AND page_id % 19 <> 0) "
+)
+
+
+@query("jsonld_results", _PAGE_ITEMS_SQL + "SELECT * FROM items")
+def jsonld_results(spark, sf_dir):
+    """O8a + O8b: organic items of JSON-LD search pages built from orders (first six of each
+    page skipped; pages without or with broken JSON-LD give nothing)."""
+    return pages.search_items(fixtures.search_pages(spark, sf_dir))
+
+
+@query(
+    "search_page_summary",
+    _PAGE_ITEMS_SQL
+    + "SELECT page_id, count(*) AS organic_items, count(url) AS parsed, count(*) - count(url) AS failed "
+    "FROM items GROUP BY page_id",
+)
+def search_page_summary(spark, sf_dir):
+    """Per page, organic items, items with a URL and failures."""
+    return pages.page_summary(pages.search_items(fixtures.search_pages(spark, sf_dir)))
+
+
+_REASON_SQL = (
+    "CASE WHEN o_orderkey % 211 = 0 THEN 'no_state_script' "
+    "WHEN o_orderkey % 223 = 0 THEN 'invalid_document' "
+    "WHEN o_orderkey % 101 = 0 THEN 'no_listing_id' "
+    "WHEN o_orderkey % 227 = 0 THEN 'no_listing_data' "
+    "WHEN o_orderkey % 113 = 0 THEN 'bad_attributes' "
+    "WHEN o_orderkey % 103 = 0 THEN 'missing_required' "
+    "WHEN o_orderkey % 229 = 0 THEN 'bad_url' "
+    "WHEN o_orderkey % 4 = 2 THEN 'bad_published_at' "
+    "WHEN o_custkey % 31 = 0 THEN 'bad_city' "
+    "WHEN o_orderkey % 107 = 0 THEN 'bad_rent' "
+    "WHEN o_orderkey % 233 = 0 THEN 'bad_count' "
+    "WHEN c_custkey % 7 <> 0 AND (c_acctbal / 1000 < 0 OR c_acctbal / 1000 > 10) THEN 'bad_score' END"
+)
+_DETAIL_ROWS = (
+    "WITH r AS (SELECT * FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey "
+    "JOIN nation n ON c.c_nationkey = n.n_nationkey), "
+    f"x AS (SELECT *, {_REASON_SQL} AS reject_reason FROM r) "
+)
+_IMG = "'https://img.example.com/' || CAST(o_orderkey AS VARCHAR) || '/{i}.jpg'"
+
+
+def _extract_sql() -> str:
+    vals = {
+        "listing_id": "CAST(o_orderkey AS VARCHAR)",
+        "url": f"'{fixtures.LISTING_URL}' || CAST(o_orderkey AS VARCHAR)",
+        "website": "'example'",
+        "published_at": "CAST(o_orderdate AS TIMESTAMP)",
+        "title": "'Listing ' || CAST(o_orderkey AS VARCHAR)",
+        "description": "'Order ' || o_orderstatus || ' for ' || c_name",
+        "street": "CAST(o_custkey AS VARCHAR) || ' Main St'",
+        "city": "CASE o_custkey % 3 WHEN 0 THEN 'toronto' WHEN 1 THEN 'vancouver' ELSE 'london' END",
+        "neighbourhood": "CASE WHEN c_custkey % 7 <> 0 THEN n_name END",
+        "rent": "CASE WHEN o_totalprice > 100 THEN o_totalprice / 100 ELSE o_totalprice END",
+        "move_in_date": "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)",
+        "bedrooms": "CAST(CASE WHEN o_orderkey % 9 = 0 THEN 7 ELSE o_orderkey % 5 END AS INTEGER)",
+        "bathrooms": "CAST(o_custkey % 3 + 1 AS INTEGER)",
+        "size_sqft": "CAST(o_custkey % 2000 + 300 AS DOUBLE)",
+        "unit_type": "CASE WHEN o_custkey % 2 = 0 THEN 'Apartment' ELSE 'Condo' END",
+        "furnished": "CASE WHEN o_orderkey % 2 = 0 THEN 'Yes' ELSE 'No' END",
+        "latitude": "CAST(o_custkey % 50 AS DOUBLE) + 40.5",
+        "longitude": "CAST(o_orderkey % 110 AS DOUBLE) - 150.0",
+        "walk_score": "CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal / 1000 END",
+        "transit_score": "CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal / 2000 END",
+        "bike_score": "CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal / 3000 END",
+        "images": f"CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN {_IMG.format(i=1)} "
+        f"ELSE {_IMG.format(i=1)} || '|' || {_IMG.format(i=2)} END",
+        "heat": "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'Included' END",
+        "water": "'Not Included'",
+        "parking_included": "'Yes'",
+        "scraped_at": O.ts_lit(NOW),
+    }
+    cols = []
+    for name in R.BRONZE_COLUMNS:
+        cols.append(f"{vals.get(name, 'CAST(NULL AS VARCHAR)')} AS {name}")
+    return _DETAIL_ROWS + f"SELECT {', '.join(cols)} FROM x WHERE reject_reason IS NULL"
+
+
+def _extracted(spark, sf_dir):
+    ex = pages.extract_listings(fixtures.detail_pages(spark, sf_dir), website="example", scraped_at=NOW, now=NOW)
+    return pages.split(ex)
+
+
+@query("listing_pages_extract", _extract_sql())
+def listing_pages_extract(spark, sf_dir):
+    """O8c-O8h: listing pages (state script -> record) back to bronze rows; images joined
+    with '|' for the comparison."""
+    good, _ = _extracted(spark, sf_dir)
+    return good.withColumn("images", F.array_join("images", "|"))
+
+
+@query(
+    "listing_pages_rejects",
+    _DETAIL_ROWS + "SELECT reject_reason, count(*) AS n FROM x WHERE reject_reason IS NOT NULL GROUP BY ALL",
+)
+def listing_pages_rejects(spark, sf_dir):
+    """O8i: rejected pages by first failed rule."""
+    _, bad = _extracted(spark, sf_dir)
+    return bad.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "raw_pages_script",
+    r"SELECT page_id, NULLIF(regexp_extract(html, '(?is)<script\b[^>]*>(.*?)</script>', 1), '') AS script FROM pages",
+)
+def raw_pages_script(spark, sf_dir):
+    """O8a pattern on raw web pages: body of the first script element (whole HTML scanned)."""
+    p = fixtures.table(spark, sf_dir, "pages")
+    return p.select("page_id", pages.first_script("html").alias("script"))
+
+
+_NUM_TEXT_SQL = (
+    "SELECT p_partkey, p_size, p_retailprice, "
+    "CASE p_partkey % 5 WHEN 0 THEN '$' || CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING) "
+    "WHEN 1 THEN ' ' || CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING) || ' ' "
+    "WHEN 2 THEN CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING) || ' CAD' "
+    "WHEN 3 THEN 'N/A' ELSE '$1,' || lpad(CAST(p_size AS STRING), 3, '0') || '.50' END AS price_text, "
+    "CASE p_partkey % 5 WHEN 0 THEN CAST(p_size AS STRING) || ' sqft' "
+    "WHEN 1 THEN '1,' || lpad(CAST(p_size AS STRING), 3, '0') || ' sqft' "
+    "WHEN 2 THEN 'Unit #' || CAST(p_size AS STRING) WHEN 3 THEN 'no digits here' END AS size_text "
+    "FROM {part}"
+)
+
+
+@query(
+    "parse_numbers",
+    "SELECT p_partkey, price_text, size_text, "
+    "CASE p_partkey % 5 WHEN 0 THEN CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) "
+    "WHEN 1 THEN CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) WHEN 4 THEN CAST(1000 + p_size AS DOUBLE) + 0.5 END AS price, "
+    "CAST(CASE p_partkey % 5 WHEN 0 THEN p_size WHEN 1 THEN 1000 + p_size WHEN 2 THEN p_size END AS INTEGER) AS size "
+    "FROM (" + _NUM_TEXT_SQL.format(part="part") + ")",
+)
+def parse_numbers(spark, sf_dir):
+    """O8h: float after dropping ',' and '$'; int from all digits of the text."""
+    texts = spark.sql(_NUM_TEXT_SQL, part=fixtures.table(spark, sf_dir, "part"))
+    return texts.select(
+        "p_partkey", "price_text", "size_text",
+        parse_float("price_text").alias("price"), parse_int("size_text").alias("size"),
+    )
+
+
+_ISO_TEXT_SQL = (
+    "SELECT o_orderkey, o_orderdate, CASE o_orderkey % 5 "
+    "WHEN 0 THEN CAST(CAST(o_orderdate AS DATE) AS STRING) || 'T08:03:15.000Z' "
+    "WHEN 1 THEN CAST(CAST(o_orderdate AS DATE) AS STRING) || 'T10:00:00+00:00' "
+    "WHEN 2 THEN CAST(CAST(o_orderdate AS DATE) AS STRING) "
+    "WHEN 3 THEN 'not-a-date' "
+    "ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) || 'T10:00:00-05:00' END AS text FROM {orders}"
+)
+
+
+@query(
+    "parse_iso",
+    "SELECT o_orderkey, text, CASE o_orderkey % 5 "
+    "WHEN 0 THEN o_orderdate + INTERVAL 8 HOUR + INTERVAL 3 MINUTE + INTERVAL 15 SECOND "
+    "WHEN 1 THEN o_orderdate + INTERVAL 10 HOUR WHEN 2 THEN o_orderdate "
+    "WHEN 4 THEN o_orderdate + INTERVAL 15 HOUR END AS parsed, "
+    "o_orderkey % 5 IN (0, 1, 4) AS zone_aware FROM (" + _ISO_TEXT_SQL.format(orders="orders") + ")",
+)
+def parse_iso(spark, sf_dir):
+    """O8g: ISO text with 'Z', an offset or no zone, plus garbage, to UTC timestamps."""
+    from strata.functions import parse_iso as piso
+
+    texts = spark.sql(_ISO_TEXT_SQL, orders=fixtures.table(spark, sf_dir, "orders"))
+    return texts.select("o_orderkey", "text", piso("text").alias("parsed"), has_offset("text").alias("zone_aware"))
+
+
+FILTER_NOW = "2024-01-31 00:00:00"
+FILTER_DAY = "2024-01-15"
+
+
+@query(
+    "date_filter_last_days",
+    f"SELECT event_id, ts, user_id, event_type FROM events WHERE ts >= TIMESTAMP '{FILTER_NOW}' - INTERVAL 7 DAY",
+)
+def date_filter_last_days(spark, sf_dir):
+    """O9 LAST_X_DAYS: events published in the 7 days before a fixed now."""
+    ev = fixtures.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    return pages.filter_published(ev, mode=R.MODE_LAST_DAYS, now=FILTER_NOW, days=7, col="ts")
+
+
+@query(
+    "date_filter_specific",
+    f"SELECT event_id, ts, user_id, event_type FROM events WHERE ts >= TIMESTAMP '{FILTER_DAY} 00:00:00' "
+    f"AND ts <= TIMESTAMP '{FILTER_DAY} 23:59:59.999999'",
+)
+def date_filter_specific(spark, sf_dir):
+    """O9 SPECIFIC_DATE: the whole UTC day, both ends included."""
+    ev = fixtures.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    return pages.filter_published(ev, mode=R.MODE_SPECIFIC_DATE, specific_date=FILTER_DAY, col="ts")
+
+
+# ------------------------------------------------------------------ run metrics
+
+RUN_SOURCE = "1-urgent"
+RUN_TODAY = "1998-08-02"
+RUN_DAYS = 60
+RUN_CITIES = ("household", "furniture", "machinery", "building", "automobile", "nowhere")
+
+
+def _run_metrics_sql() -> str:
+    keyvalid = f"{O.nonblank('listing_id')} AND {O.nonblank('website')}"
+    return (
+        O.with_bronze()
+        + ", p AS (SELECT *, website AS source, lower(city) AS pcity, CAST(CAST(scraped_at AS DATE) AS VARCHAR) AS dt "
+        "FROM bronze)"
+        + ", wanted AS (SELECT '" + RUN_SOURCE + "' AS source, c.city, "
+        f"CAST(CAST(DATE '{RUN_TODAY}' - CAST(r.range AS INTEGER) AS DATE) AS VARCHAR) AS dt "
+        f"FROM range({RUN_DAYS}) r, (VALUES " + ", ".join(f"('{c}')" for c in RUN_CITIES) + ") c(city))"
+        + f", reads AS (SELECT source, pcity AS city, dt, count(*) AS rows_read, count(*) FILTER (WHERE {keyvalid}) "
+        "AS rows_valid FROM p GROUP BY ALL)"
+        + ", ranked AS (SELECT source, pcity AS city, dt, "
+        + O.strip("neighbourhood") + " AS nb, " + O.lower_strip("city") + " AS ncity, "
+        "row_number() OVER (PARTITION BY source, pcity, dt, listing_id, website ORDER BY scraped_at DESC NULLS LAST, "
+        f"o_orderkey) AS rn FROM p WHERE {keyvalid})"
+        + ", loads AS (SELECT source, city, dt, count(*) AS rows_loaded, "
+        "count(DISTINCT [nb, ncity]) FILTER (WHERE nb IS NOT NULL AND ncity IS NOT NULL) AS hoods "
+        "FROM ranked WHERE rn = 1 GROUP BY ALL)"
+        + ", m AS (SELECT w.source, w.city, w.dt, coalesce(r.rows_read, 0) AS rows_read, "
+        "coalesce(l.rows_loaded, 0) AS rows_loaded, coalesce(l.hoods, 0) AS neighbourhoods_loaded, "
+        "coalesce(r.rows_read - r.rows_valid, 0) AS dropped_invalid_key, "
+        "coalesce(r.rows_valid - coalesce(l.rows_loaded, 0), 0) AS dropped_duplicate, "
+        "CASE WHEN r.rows_read IS NULL THEN 'completed_no_data' ELSE 'success' END AS status "
+        "FROM wanted w LEFT JOIN reads r ON r.source = w.source AND r.city = w.city AND r.dt = w.dt "
+        "LEFT JOIN loads l ON l.source = w.source AND l.city = w.city AND l.dt = w.dt) "
+    )
+
+
+def _run_metrics(spark, sf_dir) -> DataFrame:
+    from strata.functions import strip, strip_lower
+
+    b = _bronze(spark, sf_dir).withColumns(
+        {"source": F.col("website"), "city": F.lower("city"), "dt": F.date_format("scraped_at", "yyyy-MM-dd")}
+    )
+    dates = bronze.wanted_dates(mode=R.MODE_LAST_DAYS, days=RUN_DAYS, today=RUN_TODAY)
+    b = b.where((F.col("source") == RUN_SOURCE) & F.col("dt").isin(dates))
+    wanted = bronze.wanted_partitions(
+        spark, source=RUN_SOURCE, cities=RUN_CITIES, mode=R.MODE_LAST_DAYS, days=RUN_DAYS, today=RUN_TODAY
+    ).drop("rank")
+    return metrics.partition_metrics(
+        b, wanted,
+        entity_clean={"neighbourhood": strip("neighbourhood"), "city": strip_lower("city")},
+        tiebreak=["o_orderkey"],
+    )
+
+
+@query("run_metrics", _run_metrics_sql() + "SELECT * FROM m")
+def run_metrics(spark, sf_dir):
+    """Per (source, city, day) partition of a 60-day run: rows read, loaded,
+    neighbourhoods, drops by key and by dedup; wanted partitions without data flagged."""
+    return _run_metrics(spark, sf_dir)
+
+
+@query(
+    "run_rollup",
+    _run_metrics_sql()
+    + ", t AS (SELECT sum(rows_read) AS total_read, sum(rows_loaded) AS total_loaded, "
+    "sum(neighbourhoods_loaded) AS total_neighbourhoods_loaded, "
+    "count(*) FILTER (WHERE status = 'success') AS partitions_ok, "
+    "count(*) FILTER (WHERE status = 'error') AS partitions_error, "
+    "count(*) FILTER (WHERE status = 'completed_no_data') AS partitions_no_data FROM m) "
+    "SELECT CASE WHEN partitions_error > 0 THEN 'error' WHEN total_read = 0 THEN 'completed_no_data' "
+    "ELSE 'success' END AS status, CAST(total_read AS BIGINT) AS total_read, CAST(total_loaded AS BIGINT) AS total_loaded, "
+    "CAST(total_neighbourhoods_loaded AS BIGINT) AS total_neighbourhoods_loaded, partitions_ok, partitions_error, "
+    "partitions_no_data FROM t",
+)
+def run_rollup(spark, sf_dir):
+    """Totals over the run's partitions and the overall status."""
+    return metrics.rollup(_run_metrics(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ end to end
+
+
+@query("medallion_end_to_end", _gold_history_sql() + O.fact_select("hist"))
+def medallion_end_to_end(spark, sf_dir):
+    """O30 through files: two bronze drops (older, newer) written partitioned, each run read
+    back, cleaned and merged into versioned silver tables, then snapshotted into gold."""
+    from strata.plans import layers
+    from strata.session import workspace
+    from strata.sources.tables import VersionedTable
+
+    root = workspace(spark, "medallion")
+    view = _bronze(spark, sf_dir)
+    schema = bronze.bronze_schema(data_schema=view.schema)
+    listings = VersionedTable(spark, f"{root}/silver/rental_listings", R.LISTINGS, "rental_listings")
+    hoods = VersionedTable(spark, f"{root}/silver/neighbourhoods", R.NEIGHBOURHOODS, "neighbourhoods")
+    history = VersionedTable(spark, f"{root}/gold/listing_history", layers.HISTORY_REGISTRY, "listing_history")
+    dim = VersionedTable(spark, f"{root}/gold/dim_neighbourhoods", layers.DIM_REGISTRY, "dim_neighbourhoods")
+    result = None
+    for i, (where, ts) in enumerate(((OLDER, T1), (NEWER, T2))):
+        drop = f"{root}/bronze/run{i}"
+        # partition folders are (source, city, dt = the run's scrape date)
+        rows = bronze.with_partition_columns(view.where(F.expr(where)), source=F.col("website"), day=ts[:10])
+        bronze.write_bronze(rows, drop)
+        layers.bronze_to_silver(
+            spark, bronze_root=drop, listings=listings, neighbourhoods=hoods, source=None,
+            batch_ts=ts, schema=schema, tiebreak=["o_orderkey"], all_partitions=True,
+        )
+        result = layers.silver_to_gold(
+            spark, listings=listings, neighbourhoods=hoods, history=history, dimension=dim,
+            batch_ts=ts, run_tests=False,
+        )
+    return result.fact

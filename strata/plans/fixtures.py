@@ -186,7 +186,9 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(url, city, html)``: one listing page per order (see the oracle for the faults)."""
     from pyspark.sql import functions as F
 
-    o = table(spark, sf_dir, "orders")
+    # A stored pages table spans many files; the generated one starts from a single small
+    # file, so spread it over the cores before the per-page work.
+    o = table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     rows = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)

@@ -71,3 +71,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             pass
     return root
+
+
+def materialize(df):
+    """Compute a frame once and cut its lineage (reliable checkpoint to the shared folder).
+
+    Used where one result feeds several jobs (a merge batch, tables under data tests):
+    later jobs read the checkpoint instead of recomputing the plan, and a lost executor
+    does not force a recompute from the source.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

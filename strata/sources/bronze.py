@@ -88,6 +88,23 @@ def read_bronze(
     return df.where(reduce(lambda a, b: a & b, preds)) if preds else df
 
 
+def read_partitioned(spark: SparkSession, root: str, schema: T.StructType, **wanted) -> DataFrame:
+    """O1 for any partition layout: ``column=value`` or ``column=[values]`` predicates on
+    partition columns (pruned at planning time); an empty frame when nothing is there."""
+    try:
+        df = spark.read.schema(schema).parquet(root)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+    for col, value in wanted.items():
+        if value is None:
+            continue
+        if isinstance(value, (list, tuple, set)):
+            df = df.where(F.col(col).isin([_day_text(v) for v in value]))
+        else:
+            df = df.where(F.col(col) == F.lit(_day_text(value)))
+    return df
+
+
 def union_frames(frames) -> DataFrame:
     """Union of same-schema frames by column name; differing schemas are an error."""
     frames = list(frames)

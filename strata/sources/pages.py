@@ -224,7 +224,7 @@ def page_summary(items: DataFrame, listings: DataFrame | None = None, *, page_co
 def _attribute(all_attrs: Column, name: str) -> Column:
     """Value of the last attribute called ``name`` (first value of its list)."""
     matches = F.filter(all_attrs, lambda a: a.getField("name") == F.lit(name))
-    return F.get(F.element_at(matches, -1).getField("values"), 0)
+    return F.get(F.try_element_at(matches, F.lit(-1)).getField("values"), 0)
 
 
 def _nonempty(c: Column) -> Column:
@@ -246,28 +246,40 @@ def extract_listings(
 
     ``now`` is the reference time for "not in the future"; ``scraped_at`` the batch time.
     """
-    html = F.col(html_col)
-    script = _script(html, _STATE_SCRIPT)
-    doc = F.from_json(script, PAGE_SCHEMA)
-    props = doc.getField("props").getField("pageProps")
-    state = props.getField("__APOLLO_STATE__")
-    listing_id = props.getField("listingId")
-    raw_listing = F.when(_nonempty(listing_id), F.try_element_at(state, F.concat(F.lit(LISTING_STATE_PREFIX), listing_id)))
-    has_listing = raw_listing.isNotNull() & (F.regexp_replace(raw_listing, r"\s", "") != F.lit("{}"))
-
-    stage = details.select(
+    # Staged projections: every expensive step (regex over the page, each JSON parse) is
+    # computed once into a column and later steps read the column. Higher-order functions
+    # (filter / exists over the attribute list) are evaluated outside generated code, so
+    # their input must be a plain column, never the parse expression itself.
+    stage = details.select("*", _script(F.col(html_col), _STATE_SCRIPT).alias("_script"))
+    stage = stage.select("*", F.from_json(F.col("_script"), PAGE_SCHEMA).alias("_doc"))
+    props = F.col("_doc").getField("props").getField("pageProps")
+    stage = stage.select(
         "*",
-        script.alias("_script"),
-        doc.alias("_doc"),
-        listing_id.alias("_id"),
-        state.alias("_state"),
-        has_listing.alias("_has_listing"),
-        F.from_json(raw_listing, LISTING_SCHEMA).alias("_l"),
+        props.getField("listingId").alias("_id"),
+        props.getField("__APOLLO_STATE__").alias("_state"),
         props.getField("activationDate").alias("_page_activation"),
     )
+    raw_listing = F.when(
+        _nonempty(F.col("_id")),
+        F.try_element_at(F.col("_state"), F.concat(F.lit(LISTING_STATE_PREFIX), F.col("_id"))),
+    )
+    stage = stage.select("*", raw_listing.alias("_raw_listing"))
+    stage = stage.select(
+        "*",
+        (F.col("_raw_listing").isNotNull() & (F.regexp_replace("_raw_listing", r"\s", "") != F.lit("{}"))).alias(
+            "_has_listing"
+        ),
+        F.from_json(F.col("_raw_listing"), LISTING_SCHEMA).alias("_l"),
+    )
+    ref = F.col("_l").getField("location").getField("neighbourhoodInfo").getField("__ref")
+    stage = stage.select(
+        "*",
+        F.coalesce(F.col("_l").getField("attributes").getField("all"), F.array().cast(T.ArrayType(_ATTR))).alias("_attrs"),
+        F.from_json(F.when(_nonempty(ref), F.try_element_at(F.col("_state"), ref)), HOOD_SCHEMA).alias("_hood"),
+    )
 
     L = F.col("_l")
-    attrs = F.coalesce(L.getField("attributes").getField("all"), F.array().cast(T.ArrayType(_ATTR)))
+    attrs = F.col("_attrs")
     bad_attrs = F.exists(
         attrs,
         lambda a: a.isNull()
@@ -275,8 +287,7 @@ def extract_listings(
         | (a.getField("values").isNotNull() & (F.size(a.getField("values")) == 0)),
     )
     loc = L.getField("location")
-    ref = loc.getField("neighbourhoodInfo").getField("__ref")
-    hood = F.from_json(F.when(_nonempty(ref), F.try_element_at(F.col("_state"), ref)), HOOD_SCHEMA)
+    hood = F.col("_hood")
     transport = hood.getField("scores").getField("transportation")
 
     price = L.getField("price")
@@ -365,6 +376,19 @@ def rejected(extracted: DataFrame) -> DataFrame:
     return extracted.where(F.col("reject_reason").isNotNull())
 
 
+def split(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected rows of one extraction, computed once.
+
+    A filter on ``reject_reason`` would otherwise be pushed below the extraction's
+    projections and re-evaluate the page parsing once per rule that mentions it; the
+    checkpoint is the barrier (and the two outputs go to two sinks anyway).
+    """
+    from strata.session import materialize
+
+    done = materialize(extracted)
+    return accepted(done), rejected(done)
+
+
 # ------------------------------------------------------------------ O9
 
 
@@ -406,6 +430,7 @@ def scrape(
         now=now,
         keep_cols=("page_id", "position"),
     )
-    listings = filter_published(accepted(extracted), mode=mode, now=now, days=days, specific_date=specific_date)
-    summary = page_summary(items, extracted)
-    return listings.drop("page_id", "position"), rejected(extracted), summary
+    good, bad = split(extracted)
+    listings = filter_published(good, mode=mode, now=now, days=days, specific_date=specific_date)
+    summary = page_summary(items, good.withColumn("reject_reason", F.lit(None).cast("string")))
+    return listings.drop("page_id", "position"), bad, summary

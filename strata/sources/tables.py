@@ -80,17 +80,19 @@ class VersionedTable:
         ``batch`` is the input sent to the merge. Its rows are what the gate checks (NOT
         NULL columns and key uniqueness): stored rows passed the gate when they were
         written and a merge of unique keys keeps keys unique, so checking the batch checks
-        the new state. Any violation raises :class:`checks.GateError` before anything is
-        written. Returns the number of rows sent; an empty batch writes nothing.
+        the new state without a pass over the whole table. Any violation raises
+        :class:`checks.GateError` before anything is written. Returns the number of rows
+        sent; an empty batch writes nothing. Without a batch the state is written as is.
         """
         cols = R.names(self.registry, managed=True)
-        sent = batch if batch is not None else new_state
-        sent = sent.select(*[c for c in cols if c in sent.columns])
-        if sent.isEmpty():
-            return 0
-        if gate:
-            checks.gate(checks.constraint_violations(sent, self.registry, self.name))
-        n = sent.count()
+        n = 0
+        if batch is not None:
+            sent = batch.select(*[c for c in cols if c in batch.columns])
+            if sent.isEmpty():
+                return 0
+            if gate:
+                checks.gate(checks.constraint_violations(sent, self.registry, self.name))
+            n = sent.count()
         current = self.current_version()
         self._commit(new_state.select(*cols), 0 if current is None else current + 1)
         return n
