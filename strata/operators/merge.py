@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from strata import registry as R
 from strata.functions import as_timestamp
+from strata.session import materialize
 
 DEFAULT_BROADCAST_BYTES = 64 << 20
 
@@ -42,10 +43,13 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(n * (16 + 8 * len(df.columns)) + b)
 
 
-def choose_strategy(batch: DataFrame, strategy: str, broadcast_bytes: int) -> str:
+def choose_strategy(batch: DataFrame, strategy: str, broadcast_bytes: int) -> tuple[str, DataFrame]:
+    """Pick the join strategy. ``auto`` first checkpoints the batch, so measuring it and
+    merging it read the same computed rows instead of computing the batch twice."""
     if strategy != "auto":
-        return strategy
-    return "broadcast" if estimated_bytes(batch) <= broadcast_bytes else "shuffle"
+        return strategy, batch
+    done = materialize(batch)
+    return ("broadcast" if estimated_bytes(done) <= broadcast_bytes else "shuffle"), done
 
 
 def _prefixed(df: DataFrame, prefix: str, marker: str) -> DataFrame:
@@ -112,7 +116,7 @@ def upsert_hash_guarded(
     cols = R.names(registry, managed=True)
     stored = stored.select(*[c for c in cols if c in stored.columns])
     batch = batch.select(*[c for c in cols if c in batch.columns])
-    mode = choose_strategy(batch, strategy, broadcast_bytes)
+    mode, batch = choose_strategy(batch, strategy, broadcast_bytes)
     select = _guarded_select(registry, keys, batch_ts, hash_col, recency_col)
     if mode == "shuffle":
         return _join(stored, batch, keys, "full_outer", False).select(*select)
@@ -153,8 +157,8 @@ def upsert_overwrite(
             for c in registry
         ]
     )
-    batch_keys = batch.select(*keys)
-    mode = choose_strategy(batch_keys, strategy, broadcast_bytes)
+    mode, incoming = choose_strategy(incoming, strategy, broadcast_bytes)
+    batch_keys = incoming.select(*keys)
     if mode == "broadcast":
         batch_keys = F.broadcast(batch_keys)
     kept = stored.select(*cols).join(batch_keys, keys, "left_anti")

@@ -146,12 +146,14 @@ def with_row_hash(df: DataFrame, registry=R.LISTINGS) -> DataFrame:
 
 
 def transform_to_silver(bronze: DataFrame, *, tiebreak=None) -> SilverFrames:
-    """O11 -> O12 -> O17 -> O20 -> {O21, O19 -> O18}: bronze rows to the two silver frames."""
+    """O11 -> O12 -> O20 -> O17 -> {O21, O19 -> O18}: bronze rows to the two silver frames."""
     keys = R.key_columns(R.LISTINGS)
     df = fill_missing_columns(bronze)
     df = drop_invalid_keys(df, keys)
-    df = clean(df)
-    latest = keep_latest(df, keys, tiebreak=tiebreak)
+    # The dedup reads only the raw key and scraped_at, which cleaning leaves alone, so it
+    # runs first: cleaning then happens after the shuffle, spread over its partitions and
+    # only on the surviving rows.
+    latest = clean(keep_latest(df, keys, tiebreak=tiebreak))
     hood_cols = R.names(R.NEIGHBOURHOODS)
     hoods = extract_entities(latest, hood_cols, R.key_columns(R.NEIGHBOURHOODS))
     hoods = select_registry(hoods, R.NEIGHBOURHOODS)

@@ -200,8 +200,12 @@ def keep_latest(spark, sf_dir):
     + "SELECT * FROM merged",
 )
 def upsert_hash_guarded(spark, sf_dir):
-    """stored = silver of the older batch; incoming = newer batch with stale rows."""
-    stored = _silver(spark, sf_dir, OLDER).listings
+    """stored = silver of the older batch; incoming = newer batch with stale rows.
+
+    The stored side is a stored table in a real run, so it is computed once here too."""
+    from strata.session import materialize
+
+    stored = materialize(_silver(spark, sf_dir, OLDER).listings)
     batch = _silver(spark, sf_dir, NEWER).listings
     return merge.upsert_hash_guarded(stored, batch)
 
@@ -222,8 +226,10 @@ def _hoods_sql_with_time(src: str, ts: str) -> str:
 )
 def upsert_overwrite(spark, sf_dir):
     """Neighbourhoods of the newer batch overwrite (nulls included), loaded_at = T2."""
+    from strata.session import materialize
+
     empty = spark.createDataFrame([], R.spark_schema(R.NEIGHBOURHOODS))
-    stored = merge.upsert_overwrite(empty, _silver(spark, sf_dir, OLDER).neighbourhoods, batch_ts=T1)
+    stored = materialize(merge.upsert_overwrite(empty, _silver(spark, sf_dir, OLDER).neighbourhoods, batch_ts=T1))
     return merge.upsert_overwrite(stored, _silver(spark, sf_dir, NEWER).neighbourhoods, batch_ts=T2)
 
 
@@ -307,7 +313,9 @@ def _gold_history_sql(prefix: str = "") -> str:
 
 
 def _gold_history(spark, sf_dir) -> DataFrame:
-    older = _silver(spark, sf_dir, OLDER).listings
+    from strata.session import materialize
+
+    older = materialize(_silver(spark, sf_dir, OLDER).listings)  # the stored silver table
     newer = _silver(spark, sf_dir, NEWER).listings
     merged = merge.upsert_hash_guarded(older, newer)
     keys = R.key_columns(R.LISTINGS)
@@ -343,7 +351,9 @@ def _hoods_loaded(spark, sf_dir, where, ts):
 @query("dim_insert_only", _dim_sql())
 def dim_insert_only(spark, sf_dir):
     """First run loads some neighbourhoods; the second inserts only new keys."""
-    dim = gold.dim_insert_only(None, _hoods_loaded(spark, sf_dir, HOODS_FIRST, T1))
+    from strata.session import materialize
+
+    dim = materialize(gold.dim_insert_only(None, _hoods_loaded(spark, sf_dir, HOODS_FIRST, T1)))
     return gold.dim_insert_only(dim, _hoods_loaded(spark, sf_dir, None, T2))
 
 
@@ -397,12 +407,15 @@ def _dq_sql() -> str:
 def dq_checks(spark, sf_dir):
     """O28a-d: the gold tests over a fact with a duplicated version and nulled hashes and a
     dimension with gaps; one row per test with its failure count."""
-    fact0 = gold.fact_view(_gold_history(spark, sf_dir))
+    from strata.session import materialize
+
+    # the tested tables are stored tables in a real run: compute each once
+    fact0 = materialize(gold.fact_view(_gold_history(spark, sf_dir)))
     fact = fact0.withColumn("row_hash", F.when(F.expr(_NULL_HASH), F.lit(None)).otherwise(F.col("row_hash")))
     fact = fact.unionByName(fact0.where(F.expr(_DUP)))
     hoods = _silver(spark, sf_dir).neighbourhoods.where(~F.expr(_DIM_GAP))
     dim = gold.dim_rows(hoods).select("neighbourhood_sk", "neighbourhood", "city", as_timestamp(T1).alias("loaded_at"))
-    return checks.gold_tests(fact, dim)
+    return checks.gold_tests(fact, materialize(dim))
 
 
 _GATE_NULL = "bedrooms = 0 AND bathrooms = 1"

@@ -221,10 +221,25 @@ def page_summary(items: DataFrame, listings: DataFrame | None = None, *, page_co
 # ------------------------------------------------------------------ O8c - O8i
 
 
-def _attribute(all_attrs: Column, name: str) -> Column:
+def attribute_map(all_attrs: Column) -> Column:
+    """name -> first value, the *last* attribute winning for a repeated name.
+
+    Earlier duplicates are dropped before the map is built (so no session-wide key-dedup
+    policy is needed); attributes without a name are left out.
+    """
+    names = F.transform(all_attrs, lambda a: a.getField("name"))
+    last = F.filter(
+        all_attrs,
+        lambda a, i: a.getField("name").isNotNull()
+        & ~F.array_contains(F.slice(names, i + 2, F.size(names) + 1), a.getField("name")),
+    )
+    entries = F.transform(last, lambda a: F.struct(a.getField("name").alias("k"), F.get(a.getField("values"), 0).alias("v")))
+    return F.map_from_entries(entries)
+
+
+def _attribute(attr_map: Column, name: str) -> Column:
     """Value of the last attribute called ``name`` (first value of its list)."""
-    matches = F.filter(all_attrs, lambda a: a.getField("name") == F.lit(name))
-    return F.get(F.try_element_at(matches, F.lit(-1)).getField("values"), 0)
+    return F.try_element_at(attr_map, F.lit(name))
 
 
 def _nonempty(c: Column) -> Column:
@@ -278,6 +293,8 @@ def extract_listings(
         F.from_json(F.when(_nonempty(ref), F.try_element_at(F.col("_state"), ref)), HOOD_SCHEMA).alias("_hood"),
     )
 
+    stage = stage.select("*", attribute_map(F.col("_attrs")).alias("_amap"))
+
     L = F.col("_l")
     attrs = F.col("_attrs")
     bad_attrs = F.exists(
@@ -320,7 +337,7 @@ def extract_listings(
         "scraped_at": as_timestamp(scraped_at),
     }
     for name, field in ATTRIBUTE_FIELDS.items():
-        value = _attribute(attrs, name)
+        value = _attribute(F.col("_amap"), name)
         if field in ("bedrooms", "bathrooms"):
             record[field] = parse_int(value)
         elif field == "size_sqft":
