@@ -108,9 +108,12 @@ def bronze_sql(orders="orders", customer="customer", nation="nation", drop=()) -
 def bronze_view(spark: SparkSession, sf_dir: str, drop=()) -> DataFrame:
     """The derived bronze rows (plus ``o_orderkey``, the tie-breaker)."""
     text = bronze_sql("{orders}", "{customer}", "{nation}", drop)
+    # the driver's orders table is one small file (one scan task); spread it over the
+    # cores so the wide derivation below is not a single-task stage
+    orders = table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
     return spark.sql(
         text,
-        orders=table(spark, sf_dir, "orders"),
+        orders=orders,
         customer=table(spark, sf_dir, "customer"),
         nation=table(spark, sf_dir, "nation"),
     )

@@ -73,12 +73,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
-def materialize(df):
-    """Compute a frame once and cut its lineage (reliable checkpoint to the shared folder).
+def materialize(df, name: str = "materialized"):
+    """Compute a frame once and cut its lineage: a Parquet table in the shared folder.
 
     Used where one result feeds several jobs (a merge batch, tables under data tests):
-    later jobs read the checkpoint instead of recomputing the plan, and a lost executor
-    does not force a recompute from the source.
+    later jobs scan the written files (with column pruning) instead of recomputing the
+    plan, and a lost executor does not force a recompute from the source. Unlike
+    ``checkpoint(eager=True)`` on an unpersisted frame, which runs the plan once to count
+    and again to write, this runs it once.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = workspace(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
