@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import as_timestamp, business_key
-from strata.operators.sequence import neighbours
-from strata.operators.silver import keep_latest
+from strata.operators.sequence import last_per_tie, neighbours
 
 SCD_COLUMNS = ("scd_id", "updated_at", "valid_from", "valid_to")
 
@@ -125,17 +124,17 @@ def scd2_from_log(
     key_cols, columns, check_cols = list(key_cols), list(columns), list(check_cols)
     tiebreak = [c for c in tiebreak if c not in (*key_cols, ts_col)]
     base = log.select(*dict.fromkeys([*key_cols, ts_col, *columns, *check_cols, *tiebreak]))
-    if tiebreak:
-        base = keep_latest(base, [*key_cols, ts_col], order_by=tiebreak, tiebreak=[])
+    # everything below shares one hash partitioning on (key, time chunk)
+    base = base.withColumn("_chunk", F.date_trunc(chunk, F.col(ts_col)))
+    base = last_per_tie(base, key_cols, "_chunk", ts_col, tiebreak)
     order = [ts_col]
-    bucket = F.date_trunc(chunk, F.col(ts_col))
-    marked = neighbours(base, key_cols, order, bucket, prev_cols=[*check_cols, ts_col])
+    marked = neighbours(base, key_cols, order, "_chunk", prev_cols=[*check_cols, ts_col])
     first = F.col("prev_" + ts_col).isNull()
     same = F.lit(True)
     for c in check_cols:
         same = same & F.col(c).eqNullSafe(F.col("prev_" + c))
-    starts = marked.where(first | ~same).select(*dict.fromkeys([*key_cols, ts_col, *columns]))
-    linked = neighbours(starts, key_cols, order, bucket, next_cols=[ts_col])
+    starts = marked.where(first | ~same).select(*dict.fromkeys([*key_cols, ts_col, *columns, "_chunk"]))
+    linked = neighbours(starts, key_cols, order, "_chunk", next_cols=[ts_col])
     key = business_key(*key_cols)
     return linked.select(
         *columns,

@@ -266,13 +266,17 @@ def _scd2_snapshot_sql() -> str:
 @query("scd2_snapshot", _scd2_snapshot_sql())
 def scd2_snapshot(spark, sf_dir):
     """O24 run three times: the (user, event type) state at days 10, 20 and 30."""
+    from strata.session import materialize
+
     events = _event_state(fixtures.table(spark, sf_dir, "events"))
     history = None
-    for cutoff in CUTOFFS:
+    for i, cutoff in enumerate(CUTOFFS):
         state = silver.keep_latest(
             events.where(F.col("ts") < as_timestamp(cutoff)), list(EVENT_KEYS), order_by=["ts", "event_id"], tiebreak=[]
         ).select(*EVENT_COLS)
         history = scd2.scd2_snapshot(history, state, key_cols=EVENT_KEYS, check_cols=["state"], batch_ts=cutoff)
+        if i < len(CUTOFFS) - 1:
+            history = materialize(history, "history")  # each run's result is a stored version
     return history
 
 
@@ -319,7 +323,7 @@ def _gold_history(spark, sf_dir) -> DataFrame:
     newer = _silver(spark, sf_dir, NEWER).listings
     merged = merge.upsert_hash_guarded(older, newer)
     keys = R.key_columns(R.LISTINGS)
-    h1 = scd2.scd2_snapshot(None, older, key_cols=keys, batch_ts=T1, columns=gold.HISTORY_COLUMNS)
+    h1 = materialize(scd2.scd2_snapshot(None, older, key_cols=keys, batch_ts=T1, columns=gold.HISTORY_COLUMNS))
     return scd2.scd2_snapshot(h1, merged, key_cols=keys, batch_ts=T2, columns=gold.HISTORY_COLUMNS)
 
 
