@@ -34,6 +34,8 @@ def scd2_snapshot(
     columns=None,
     since=None,
     recency_col: str | None = None,
+    strategy: str = "auto",
+    broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
     """Apply one snapshot run of ``source`` to ``history`` at ``batch_ts``.
 
@@ -47,7 +49,9 @@ def scd2_snapshot(
     run, so a large silver table is not re-read whole; unchanged keys are unaffected.
 
     Current rows and source rows are each unique per key, so the full outer join on the
-    key cannot be skewed; closed versions never enter the join.
+    key cannot be skewed; closed versions never enter the join. With ``since`` the source
+    is usually small: ``auto`` then measures it and, under ``broadcast_bytes``, probes the
+    current rows against a broadcast copy instead of shuffling the history.
     """
     key_cols = list(key_cols)
     columns = list(columns or source.columns)
@@ -61,14 +65,35 @@ def scd2_snapshot(
     if history is None:
         joined = s.select("*", F.lit(None).cast("boolean").alias("_c"))
         cur_cols = {c: F.lit(None) for c in [*columns, *SCD_COLUMNS]}
-        closed = None
-    else:
-        cur = history.where(F.col("valid_to").isNull()).withColumn("_key", business_key(*key_cols))
-        closed = history.where(F.col("valid_to").isNotNull()).select(*columns, *SCD_COLUMNS)
-        c = cur.select(*[F.col(x).alias("c__" + x) for x in cur.columns], F.lit(True).alias("_c"))
-        joined = c.join(s, F.col("c___key") == F.col("s___key"), "full_outer")
-        cur_cols = {x: F.col("c__" + x) for x in [*columns, *SCD_COLUMNS]}
+        return _versions(joined, columns, check_cols, ts, cur_cols).select(*columns, *SCD_COLUMNS)
+
+    cur = history.where(F.col("valid_to").isNull()).withColumn("_key", business_key(*key_cols))
+    closed = history.where(F.col("valid_to").isNotNull()).select(*columns, *SCD_COLUMNS)
+    c = cur.select(*[F.col(x).alias("c__" + x) for x in cur.columns], F.lit(True).alias("_c"))
+    cur_cols = {x: F.col("c__" + x) for x in [*columns, *SCD_COLUMNS]}
+    on = F.col("c___key") == F.col("s___key")
+
+    mode = "shuffle"
+    if strategy == "broadcast" or (strategy == "auto" and since is not None):
+        from strata.operators.merge import choose_strategy
 
+        mode, s = choose_strategy(s, "auto" if strategy == "auto" else strategy, broadcast_bytes)
+    if mode == "shuffle":
+        out = _versions(c.join(s, on, "full_outer"), columns, check_cols, ts, cur_cols)
+    else:
+        # current rows probed against the broadcast source: kept, closed or re-opened
+        probed = _versions(c.join(F.broadcast(s), on, "left_outer"), columns, check_cols, ts, cur_cols)
+        # source keys with no current version: key-only scan of the current rows
+        known = cur.select("_key").join(F.broadcast(s.select(F.col("s___key").alias("_key"))), "_key", "left_semi")
+        fresh = s.join(known.select(F.col("_key").alias("s___key")), "s___key", "left_anti")
+        absent = [F.lit(None).cast(f.dataType).alias("c__" + f.name) for f in cur.schema.fields]
+        fresh = fresh.select("*", *absent, F.lit(None).cast("boolean").alias("_c"))
+        out = probed.unionByName(_versions(fresh, columns, check_cols, ts, cur_cols))
+    return closed.unionByName(out)
+
+
+def _versions(joined: DataFrame, columns, check_cols, ts: Column, cur_cols: dict) -> DataFrame:
+    """Kept / closed current version and the newly opened one, from one joined row."""
     c_in = F.coalesce(F.col("_c"), F.lit(False))
     s_in = F.coalesce(F.col("_s"), F.lit(False))
     same = F.lit(True)
@@ -96,11 +121,8 @@ def scd2_snapshot(
             F.lit(None).cast("timestamp").alias("valid_to"),
         ),
     )
-    versions = joined.select(F.explode(F.filter(F.array(old, new), lambda v: v.isNotNull())).alias("v"))
-    out = versions.select("v.*")
-    if history is None:
-        out = out.select(*columns, *SCD_COLUMNS)
-    return out if closed is None else closed.unionByName(out)
+    versions = joined.select(F.explode(F.array(old, new)).alias("v")).where(F.col("v").isNotNull())
+    return versions.select("v.*")
 
 
 def scd2_from_log(

@@ -430,24 +430,23 @@ def scrape(
     days: int = 7,
     specific_date=None,
 ):
-    """Search pages -> organic items -> detail pages (equi-join on URL) -> records ->
-    date filter. Returns ``(listings, rejects, summary)``.
+    """Search pages -> organic items; detail pages -> records; items joined to records on
+    URL -> date filter. Returns ``(listings, rejects, summary)``.
 
-    Detail pages are first reduced to one page per URL, so the URL join has a unique
-    right side; a URL listed on many search pages is a hot left key, which adaptive
-    execution splits (skew join).
+    Detail pages (one per fetched URL) are parsed where they are read, with no shuffle;
+    only the compact records, not the HTML, meet the items in the URL join. An item whose
+    page is missing or rejected counts as failed for its search page. A URL listed on many
+    search pages is a hot join key on the item side, which adaptive execution splits.
     """
     items = search_items(search_pages)
-    pages = detail_pages.groupBy("url").agg(F.max("html").alias("html"))
-    joined = items.where(F.col("url").isNotNull()).join(pages, "url", "left")
-    extracted = extract_listings(
-        joined.withColumn("html", F.coalesce("html", F.lit(""))),
-        website=website,
-        scraped_at=scraped_at,
-        now=now,
-        keep_cols=("page_id", "position"),
+    records = extract_listings(
+        detail_pages, website=website, scraped_at=scraped_at, now=now, city_col="city"
+    ).withColumnRenamed("city", "_page_city")
+    good, bad = split(records)
+    linked = items.where(F.col("url").isNotNull()).join(good, "url", "inner")
+    listings = linked.select(
+        *[F.col("_page_city").alias("city") if c == "city" else F.col(c) for c in R.BRONZE_COLUMNS], "page_id", "position"
     )
-    good, bad = split(extracted)
-    listings = filter_published(good, mode=mode, now=now, days=days, specific_date=specific_date)
-    summary = page_summary(items, good.withColumn("reject_reason", F.lit(None).cast("string")))
-    return listings.drop("page_id", "position"), bad, summary
+    listings = filter_published(listings, mode=mode, now=now, days=days, specific_date=specific_date)
+    summary = page_summary(items, linked.select("page_id", "position").withColumn("reject_reason", F.lit(None).cast("string")))
+    return listings.drop("page_id", "position"), bad.withColumnRenamed("_page_city", "city"), summary

@@ -153,6 +153,20 @@ def test_attribute_edge_cases(spark):
     assert r.rent == 95.0  # small amounts are not cents
 
 
+def test_scrape_composition(spark):
+    search = spark.createDataFrame([(1, "toronto", search_html([item(i) for i in range(1, 10)]))],
+                                   "page_id long, city string, html string")
+    ok = lambda i: (f"https://www.example.com/v/{i}", "toronto", detail_html(FULL, listing_id=str(i), hood=HOOD))
+    details = spark.createDataFrame([ok(7), ok(8), (f"https://www.example.com/v/{1}", "toronto", "<p>gone</p>")],
+                                    "url string, city string, html string")
+    listings, rejects, summary = pages.scrape(search, details, website="kijiji", scraped_at=NOW,
+                                              now="2026-03-01 00:00:00", mode="last_x_days", days=7)
+    assert sorted(r.listing_id for r in listings.collect()) == ["7", "8"]
+    s = summary.first()
+    assert (s.organic_items, s.parsed, s.failed) == (3, 2, 1)  # item 9 has no page
+    assert [r.reject_reason for r in rejects.collect()] == ["no_state_script"]
+
+
 def test_date_filter(spark):
     now = dt.datetime(2026, 2, 26, 12, 0)
     rows = [("a", now - dt.timedelta(days=6)), ("b", now - dt.timedelta(days=10)), ("c", now - dt.timedelta(days=7) + dt.timedelta(seconds=1)),
