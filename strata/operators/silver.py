@@ -155,17 +155,28 @@ def with_row_hash(df: DataFrame, registry=R.LISTINGS) -> DataFrame:
     return df.withColumn(R.HASH_COLUMN, row_hash(R.hashed_columns(registry), df))
 
 
-def transform_to_silver(bronze: DataFrame, *, tiebreak=None) -> SilverFrames:
-    """O11 -> O12 -> O20 -> O17 -> {O21, O19 -> O18}: bronze rows to the two silver frames."""
+def latest_rows(bronze: DataFrame, *, tiebreak=None) -> DataFrame:
+    """O11 -> O12 -> O20 -> O17: one cleaned row per listing key.
+
+    The dedup reads only the raw key and scraped_at, which cleaning leaves alone, so it
+    runs first: cleaning then happens after the shuffle, spread over its partitions and
+    only on the surviving rows.
+    """
     keys = R.key_columns(R.LISTINGS)
     df = fill_missing_columns(bronze)
     df = drop_invalid_keys(df, keys)
-    # The dedup reads only the raw key and scraped_at, which cleaning leaves alone, so it
-    # runs first: cleaning then happens after the shuffle, spread over its partitions and
-    # only on the surviving rows.
-    latest = clean(keep_latest(df, keys, tiebreak=tiebreak))
+    return clean(keep_latest(df, keys, tiebreak=tiebreak))
+
+
+def frames_from_latest(latest: DataFrame) -> SilverFrames:
+    """{O21, O19 -> O18}: both silver frames from the deduplicated, cleaned rows."""
     hood_cols = R.names(R.NEIGHBOURHOODS)
     hoods = extract_entities(latest, hood_cols, R.key_columns(R.NEIGHBOURHOODS))
     hoods = select_registry(hoods, R.NEIGHBOURHOODS)
     listings = select_registry(with_row_hash(latest), R.LISTINGS)
     return SilverFrames(listings, hoods)
+
+
+def transform_to_silver(bronze: DataFrame, *, tiebreak=None) -> SilverFrames:
+    """O11 -> O12 -> O20 -> O17 -> {O21, O19 -> O18}: bronze rows to the two silver frames."""
+    return frames_from_latest(latest_rows(bronze, tiebreak=tiebreak))

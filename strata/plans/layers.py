@@ -111,12 +111,14 @@ def bronze_to_silver(
         entity_clean={"neighbourhood": strip("neighbourhood"), "city": strip_lower("city")},
         tiebreak=tiebreak,
     )
-    frames = silver.transform_to_silver(raw, tiebreak=tiebreak)
-    batch = materialize(frames.listings)
-    hood_batch = materialize(frames.neighbourhoods)
+    # the deduplicated, cleaned rows are stored once; both silver frames derive from them
+    frames = silver.frames_from_latest(materialize(silver.latest_rows(raw, tiebreak=tiebreak), "silver-batch"))
+    # stored and measured once: the merge, the gate and the row count all read it
+    mode, batch = merge.choose_strategy(frames.listings, "auto", merge.DEFAULT_BROADCAST_BYTES)
+    hood_batch = frames.neighbourhoods
     for table in (listings, neighbourhoods):
         table.create() if auto_create else table.verify()
-    merged = merge.upsert_hash_guarded(listings.read(), batch, batch_ts=batch_ts)
+    merged = merge.upsert_hash_guarded(listings.read(), batch, batch_ts=batch_ts, strategy=mode)
     n_listings = listings.write(merged, batch=batch)
     merged_hoods = merge.upsert_overwrite(neighbourhoods.read(), hood_batch, batch_ts=batch_ts)
     n_hoods = neighbourhoods.write(merged_hoods, batch=hood_batch.withColumn("loaded_at", F.lit(batch_ts).cast("timestamp")))

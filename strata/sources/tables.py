@@ -36,14 +36,25 @@ class VersionedTable:
     def _commits(self) -> str:
         return f"{self.root.rstrip('/')}/{COMMITS}"
 
-    def current_version(self) -> int | None:
-        """Newest committed version (a one-row aggregate over the commit markers)."""
+    def __post_init__(self):
+        self._known: int | None = None
+        self._loaded = False
+
+    def refresh(self) -> int | None:
+        """Re-read the newest committed version (a one-row aggregate over the markers)."""
         try:
             markers = self.spark.read.schema("version INT, committed_at TIMESTAMP").json(self._commits())
+            row = markers.agg(F.max("version").alias("v")).first()
         except AnalysisException:
-            return None
-        row = markers.agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+            row = None
+        self._known = None if row is None or row["v"] is None else int(row["v"])
+        self._loaded = True
+        return self._known
+
+    def current_version(self) -> int | None:
+        """Newest committed version; read once, then kept up to date by this object's own
+        commits (call :meth:`refresh` to see commits made elsewhere)."""
+        return self._known if self._loaded else self.refresh()
 
     def exists(self) -> bool:
         return self.current_version() is not None
@@ -73,6 +84,7 @@ class VersionedTable:
             F.lit(version).alias("version"), F.current_timestamp().alias("committed_at")
         )
         marker.coalesce(1).write.mode("append").json(self._commits())
+        self._known, self._loaded = version, True
 
     def write(self, new_state: DataFrame, *, batch: DataFrame | None = None, gate: bool = True) -> int:
         """Replace the table with ``new_state`` (the merge result) as a new version.
