@@ -54,11 +54,17 @@ def unique_combination(df: DataFrame, model: str, columns) -> DataFrame:
 
 
 def relationships(child: DataFrame, model: str, column: str, parent: DataFrame, field: str, where=None) -> DataFrame:
-    """Child rows (filtered by ``where``) whose value is missing from the parent."""
+    """Child rows (filtered by ``where``) whose value is missing from the parent.
+
+    The child is first reduced to (value, row count) with partial aggregation, so a value
+    carried by a third of the child rows is one row in the anti join.
+    """
     rows = child.where(where) if where is not None else child
-    keys = parent.select(F.col(field).alias("_parent_key")).where(F.col("_parent_key").isNotNull())
-    orphans = rows.join(keys, F.col(column) == F.col("_parent_key"), "left_anti")
-    return _result(orphans.agg(F.count(F.lit(1)).alias("n")), "relationships", model, column, F.col("n"))
+    per_value = rows.groupBy(F.col(column).alias("_child_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    keys = parent.select(F.col(field).alias("_parent_key")).where(F.col("_parent_key").isNotNull()).distinct()
+    orphans = per_value.join(keys, F.col("_child_key") == F.col("_parent_key"), "left_anti")
+    total = orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"))
+    return _result(total, "relationships", model, column, F.col("n"))
 
 
 def run_tests(*results: DataFrame) -> DataFrame:

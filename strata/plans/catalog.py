@@ -637,6 +637,38 @@ def listing_pages_extract(spark, sf_dir):
     return good.withColumn("images", F.array_join("images", "|"))
 
 
+SCRAPE_DAYS = 15000
+
+
+def _scrape_sql() -> str:
+    select = _extract_sql().split(" SELECT ", 1)[1].rsplit(" FROM x WHERE", 1)[0]
+    return (
+        _PAGE_ITEMS_SQL
+        + ", "
+        + _DETAIL_ROWS[len("WITH ") :]
+        + f"SELECT {select}, 'example' AS source, '{NOW[:10]}' AS dt FROM x "
+        f"JOIN items i ON i.url = '{fixtures.LISTING_URL}' || CAST(x.o_orderkey AS VARCHAR) "
+        f"WHERE x.reject_reason IS NULL AND CAST(x.o_orderdate AS TIMESTAMP) >= {O.ts_lit(NOW)} - INTERVAL {SCRAPE_DAYS} DAY"
+    )
+
+
+@query("scrape_to_bronze", _scrape_sql())
+def scrape_to_bronze(spark, sf_dir):
+    """O30 (first layer) with O2, O3, O8-O10: search pages -> organic items -> listing
+    pages -> records -> date filter -> bronze partitions (source, city, run date) plus the
+    manifest; the written partition is read back with pruning."""
+    from strata.plans import layers
+    from strata.session import workspace
+
+    root = workspace(spark, "scrape")
+    layers.scrape_to_bronze(
+        spark, fixtures.search_pages(spark, sf_dir), fixtures.detail_pages(spark, sf_dir), root=root,
+        source="example", mode=R.MODE_LAST_DAYS, days=SCRAPE_DAYS, now=NOW,
+    )
+    out = bronze.read_bronze(spark, root, source="example", dates=[NOW[:10]])
+    return out.withColumn("images", F.array_join("images", "|"))
+
+
 @query(
     "listing_pages_rejects",
     _DETAIL_ROWS + "SELECT reject_reason, count(*) AS n FROM x WHERE reject_reason IS NOT NULL GROUP BY ALL",
