@@ -195,7 +195,7 @@ def search_items(pages: DataFrame, *, html_col: str = "html", keep_cols=("page_i
     url = F.col("_item.item.url")
     return rows.select(
         *keep,
-        (F.col("_i") + PROMOTED_ITEMS + 1).alias("position"),
+        (F.col("_i") + PROMOTED_ITEMS + 1).cast("long").alias("position"),
         F.when(F.length(url) > 0, url).alias("url"),
     )
 
