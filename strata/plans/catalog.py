@@ -368,11 +368,6 @@ _DIM_GAP = "neighbourhood LIKE '%1'"
 
 
 def _dq_sql() -> str:
-    hist_cols = ", ".join(
-        ["scd_id", "listing_id", "website", "url", "published_at", "title", "street", "neighbourhood_sk", "rent",
-         "move_in_date", "price_per_sqft"]
-    )
-    del hist_cols
     base = _gold_history_sql() + f", fact0 AS ({O.fact_select('hist')})"
     fact = (
         ", fact1 AS (SELECT * REPLACE (CASE WHEN " + _NULL_HASH + " THEN NULL ELSE row_hash END AS row_hash) "
@@ -497,23 +492,17 @@ def bronze_partition_scan(spark, sf_dir):
 )
 def bronze_manifest(spark, sf_dir):
     """O3: manifest per (event_type, day) partition; also written as JSON beside the data."""
-    from strata.session import workspace
+    from strata.session import materialize, workspace
 
     ev = _events_partitioned(spark, sf_dir)
     man = bronze.manifest(
         ev, mode=R.MODE_LAST_DAYS, days=30, max_pages=10, saved_at=T1, partition_cols=("event_type", "dt")
     )
-    man = fixtures_checkpoint(man)
+    man = materialize(man, "manifest-rows")  # written as JSON and returned: compute once
     bronze.write_manifest(man, workspace(spark, "manifest"), partition_cols=("event_type", "dt"))
     return man
 
 
-def fixtures_checkpoint(df: DataFrame) -> DataFrame:
-    from strata.session import materialize
-
-    return materialize(df)
-
-
 SELECTOR_TODAY = "2024-02-02"
 SELECTOR_TYPES = ("click", "view", "purchase", "signup", "error", "refund")
 

@@ -199,8 +199,24 @@ def _size_text(s):
     ).otherwise(s.cast("string"))
 
 
+_PAGES: dict = {}
+
+
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(url, city, html)``: one listing page per order (see the oracle for the faults)."""
+    """``(url, city, html)``: one listing page per order (see the oracle for the faults).
+
+    The pages stand for a stored table of fetched pages: they are generated and written
+    once per session and input folder, and read back by every query that uses them.
+    """
+    from strata.session import materialize
+
+    key = (id(spark), sf_dir)
+    if key not in _PAGES:
+        _PAGES[key] = materialize(_detail_pages(spark, sf_dir), "detail-pages")
+    return _PAGES[key]
+
+
+def _detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     # A stored pages table spans many files; the generated one starts from a single small

@@ -100,11 +100,11 @@ class VersionedTable:
         n = 0
         if batch is not None:
             sent = batch.select(*[c for c in cols if c in batch.columns])
-            if sent.isEmpty():
+            n = sent.count()
+            if n == 0:
                 return 0
             if gate:
                 checks.gate(checks.constraint_violations(sent, self.registry, self.name))
-            n = sent.count()
         current = self.current_version()
         self._commit(new_state.select(*cols), 0 if current is None else current + 1)
         return n
