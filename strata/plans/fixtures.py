@@ -26,6 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _cached(store: dict, spark: SparkSession, key: tuple, build):
+    """Per-session memo of a derived frame; a frame of another (or a stopped) session is
+    never handed out."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # no SparkContext (Spark Connect)
+        app = None
+    full = (id(spark), app, *key)
+    hit = store.get(full)
+    if hit is None or hit.sparkSession is not spark:
+        hit = build()
+        store[full] = hit
+    return hit
+
+
 # Boolean-like amenity columns get rotating spellings.
 _BOOL_WORDS = ("'Yes'", "'  NO '", "'Included'", "'Not Included'", "'maybe'")
 _FLAG_COLUMNS = tuple(c.name for c in R.LISTINGS if c.clean == R.CLEAN_BOOL)
@@ -114,10 +129,7 @@ def bronze_view(spark: SparkSession, sf_dir: str, drop=()) -> DataFrame:
     The lazy frame is built once per session and input folder (the inputs are immutable
     files); every action still reads and derives the rows anew.
     """
-    key = (id(spark), sf_dir, tuple(drop))
-    if key not in _VIEWS:
-        _VIEWS[key] = _bronze_view(spark, sf_dir, drop)
-    return _VIEWS[key]
+    return _cached(_VIEWS, spark, (sf_dir, tuple(drop)), lambda: _bronze_view(spark, sf_dir, drop))
 
 
 def _bronze_view(spark: SparkSession, sf_dir: str, drop=()) -> DataFrame:
@@ -210,10 +222,7 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from strata.session import materialize
 
-    key = (id(spark), sf_dir)
-    if key not in _PAGES:
-        _PAGES[key] = materialize(_detail_pages(spark, sf_dir), "detail-pages")
-    return _PAGES[key]
+    return _cached(_PAGES, spark, (sf_dir,), lambda: materialize(_detail_pages(spark, sf_dir), "detail-pages"))
 
 
 def _detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
