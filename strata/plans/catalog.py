@@ -46,9 +46,11 @@ def query(name: str, sql: str | None = None):
 T1 = "2030-01-01 00:00:00"
 T2 = "2030-02-01 00:00:00"
 NOW = "2030-01-01 00:00:00"
-# Two overlapping batches of the bronze view: stored (older) and incoming (newer + stale).
-OLDER = "o_orderkey % 4 <> 0 AND scraped_at < TIMESTAMP '1999-01-01 00:00:00'"
-NEWER = "o_orderkey % 4 <> 1 AND scraped_at >= TIMESTAMP '1997-01-01 00:00:00'"
+# Two overlapping runs over the whole bronze view, split by scrape time only: the stored
+# state (everything before 1999) and an incoming batch (everything from 1997). Together
+# they cover every row; the two shared years give equal-time and changed-hash matches.
+OLDER = "scraped_at < TIMESTAMP '1999-01-01 00:00:00'"
+NEWER = "scraped_at >= TIMESTAMP '1997-01-01 00:00:00'"
 HOODS_FIRST = "neighbourhood < '  NATION_15'"
 
 
