@@ -212,6 +212,39 @@ def upsert_hash_guarded(spark, sf_dir):
     return merge.upsert_hash_guarded(stored, batch)
 
 
+def _rescrape_select(src: str) -> str:
+    """The older run scraped again a day later: titles changed (not hashed), rents changed
+    for three-bedroom listings (hashed)."""
+    changed = {
+        "title": "upper(title)",
+        "scraped_at": "scraped_at + INTERVAL 1 DAY",
+        "rent": "CASE WHEN bedrooms = 3 THEN rent * 1.5 ELSE rent END",
+    }
+    cols = [f"{changed[c]} AS {c}" if c in changed else c for c in R.BRONZE_COLUMNS if c != "images"]
+    return f"SELECT {', '.join(cols)}, o_orderkey FROM {src} WHERE {OLDER}"
+
+
+@query(
+    "upsert_same_hash",
+    O.with_bronze()
+    + O.silver_block("a_", OLDER)
+    + f", rescraped AS ({_rescrape_select('bronze')})"
+    + O.silver_block("b_", None, src="rescraped")
+    + O.guarded_merge("a_listings", "b_listings", "merged")
+    + "SELECT * FROM merged",
+)
+def upsert_same_hash(spark, sf_dir):
+    """O22 with unchanged hashes: a re-scrape with new titles but the same hashed values only
+    refreshes row_hash and scraped_at (the title stays as stored); changed rents replace the
+    whole row."""
+    from strata.session import materialize
+
+    stored = materialize(_silver(spark, sf_dir, OLDER).listings)
+    rescraped = spark.sql(_rescrape_select("{bronze}"), bronze=_bronze(spark, sf_dir))
+    batch = silver.transform_to_silver(rescraped, tiebreak=["o_orderkey"]).listings
+    return merge.upsert_hash_guarded(stored, batch)
+
+
 def _hoods_sql_with_time(src: str, ts: str) -> str:
     return f"SELECT neighbourhood, city, walk_score, transit_score, bike_score, {O.ts_lit(ts)} AS loaded_at FROM {src}"
 

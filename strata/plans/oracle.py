@@ -110,14 +110,14 @@ def with_bronze(drop=()) -> str:
     return fixtures.bronze_cte(drop)
 
 
-def silver_block(p: str = "", where: str | None = None, drop=()) -> str:
-    """CTEs {p}keyed -> {p}cleaned -> {p}latest -> {p}listings and {p}hoods over ``bronze``."""
+def silver_block(p: str = "", where: str | None = None, drop=(), src: str = "bronze") -> str:
+    """CTEs {p}keyed -> {p}cleaned -> {p}latest -> {p}listings and {p}hoods over ``src``."""
     present = set(R.BRONZE_COLUMNS) - set(drop)
     cond = f"{nonblank('listing_id')} AND {nonblank('website')}"
     if where:
         cond = f"({where}) AND {cond}"
     return (
-        f", {p}keyed AS (SELECT * FROM bronze WHERE {cond})\n"
+        f", {p}keyed AS (SELECT * FROM {src} WHERE {cond})\n"
         + f", {p}cleaned AS ({cleaned_select(p + 'keyed', present=present)})\n"
         + f", {p}ranked AS (SELECT *, row_number() OVER (PARTITION BY listing_id, website "
         f"ORDER BY scraped_at DESC NULLS LAST, o_orderkey) AS rn FROM {p}cleaned)\n"
