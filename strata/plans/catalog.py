@@ -889,7 +889,7 @@ def medallion_end_to_end(spark, sf_dir):
     schema = bronze.bronze_schema(data_schema=view.schema)
     listings = VersionedTable(spark, f"{root}/silver/rental_listings", R.LISTINGS, "rental_listings")
     hoods = VersionedTable(spark, f"{root}/silver/neighbourhoods", R.NEIGHBOURHOODS, "neighbourhoods")
-    history = VersionedTable(spark, f"{root}/gold/listing_history", layers.HISTORY_REGISTRY, "listing_history")
+    history = layers.History(spark, f"{root}/gold/listing_history")
     dim = VersionedTable(spark, f"{root}/gold/dim_neighbourhoods", layers.DIM_REGISTRY, "dim_neighbourhoods")
     result = None
     for i, (where, ts) in enumerate(((OLDER, T1), (NEWER, T2))):

@@ -146,6 +146,46 @@ DIM_REGISTRY = (
 )
 
 
+class History:
+    """SCD2 history as two stores, so a run does not rewrite old versions.
+
+    * current versions: a :class:`VersionedTable` rewritten each run (size = number of keys);
+    * closed versions: append-only Parquet, one folder per run (``run=<batch time>``,
+      dynamic overwrite, so a rerun of the same run replaces its own folder only).
+
+    A run writes the versions it closed first, then commits the new current table; a
+    failure in between leaves the old current table, and the rerun rewrites the same
+    closed folder.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, name: str = "listing_history"):
+        self.spark = spark
+        self.current = VersionedTable(spark, f"{root.rstrip('/')}/current", HISTORY_REGISTRY, f"{name}_current")
+        self.closed_root = f"{root.rstrip('/')}/closed"
+
+    def exists(self) -> bool:
+        return self.current.exists()
+
+    def read(self) -> DataFrame:
+        cur = self.current.read()
+        schema = T.StructType(list(cur.schema.fields) + [T.StructField("run", T.StringType())])
+        try:
+            closed = self.spark.read.schema(schema).parquet(self.closed_root).drop("run")
+        except Exception:  # no run closed anything yet
+            return cur
+        return closed.unionByName(cur)
+
+    def apply(self, versions: DataFrame, run_id: str) -> None:
+        """Store a snapshot result computed from the *current* versions only."""
+        done = materialize(versions, "history-run")
+        closed = done.where(F.col("valid_to").isNotNull()).withColumn("run", F.lit(run_id))
+        (
+            closed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("run").parquet(self.closed_root)
+        )
+        self.current.write(done.where(F.col("valid_to").isNull()))
+
+
 @dataclass
 class GoldResult:
     fact: DataFrame
@@ -158,20 +198,21 @@ def silver_to_gold(
     *,
     listings: VersionedTable,
     neighbourhoods: VersionedTable,
-    history: VersionedTable,
+    history: History,
     dimension: VersionedTable,
     batch_ts,
     since=None,
     run_tests: bool = True,
 ) -> GoldResult:
     """Snapshot silver listings into the history (O24), grow the dimension (O26), expose
-    the fact view (O29) and gate on the gold data tests (O28)."""
-    hist = history.read() if history.exists() else None
-    new_hist = scd2.scd2_snapshot(
-        hist, listings.read(), key_cols=R.key_columns(R.LISTINGS), batch_ts=batch_ts,
+    the fact view (O29) and gate on the gold data tests (O28). Only current versions enter
+    the snapshot; closed versions are appended, never rewritten."""
+    current = history.current.read() if history.exists() else None
+    versions = scd2.scd2_snapshot(
+        current, listings.read(), key_cols=R.key_columns(R.LISTINGS), batch_ts=batch_ts,
         columns=gold.HISTORY_COLUMNS, since=since, recency_col=R.RECENCY_COLUMN if since else None,
     )
-    history.write(new_hist, gate=False)
+    history.apply(versions, str(batch_ts).replace(" ", "T").replace(":", "-"))
     dim = dimension.read() if dimension.exists() else None
     new_dim = gold.dim_insert_only(dim, neighbourhoods.read())
     dimension.write(new_dim, gate=False)

@@ -35,7 +35,7 @@ def test_bronze_to_silver_to_gold(spark, scratch_dir):
     t = {
         "listings": VersionedTable(spark, f"{scratch_dir}/silver/listings", R.LISTINGS, "rental_listings"),
         "hoods": VersionedTable(spark, f"{scratch_dir}/silver/hoods", R.NEIGHBOURHOODS, "neighbourhoods"),
-        "history": VersionedTable(spark, f"{scratch_dir}/gold/history", layers.HISTORY_REGISTRY, "history"),
+        "history": layers.History(spark, f"{scratch_dir}/gold/history"),
         "dim": VersionedTable(spark, f"{scratch_dir}/gold/dim", layers.DIM_REGISTRY, "dim"),
     }
     with pytest.raises(ValueError):
