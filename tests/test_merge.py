@@ -71,6 +71,16 @@ def test_strategies_agree_and_idempotent(spark):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, a.collect()))
 
 
+def test_guard_is_monotone(spark):
+    # applying an older batch after a newer one changes nothing
+    s = spark.createDataFrame(STORED, SCHEMA)
+    newer = spark.createDataFrame([("1", "w", "new", 200.0, "h2", day(5))], SCHEMA)
+    older = spark.createDataFrame([("1", "w", "mid", 150.0, "h3", day(4))], SCHEMA)
+    after_new = merge.upsert_hash_guarded(s, newer, REG, strategy="shuffle")
+    both = merge.upsert_hash_guarded(after_new, older, REG, strategy="broadcast")
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, after_new.collect()))
+
+
 def test_overwrite_upsert(spark):
     ts1, ts2 = dt.datetime(2030, 1, 1), dt.datetime(2030, 2, 1)
     empty = spark.createDataFrame([], R.spark_schema(R.NEIGHBOURHOODS))

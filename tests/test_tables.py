@@ -78,6 +78,19 @@ def test_bronze_partitions_roundtrip(spark, scratch_dir):
     assert bronze.read_bronze(spark, scratch_dir + "/missing", schema=schema).count() == 0
 
 
+def test_manifest_sink(spark, scratch_dir):
+    rows = spark.createDataFrame([("1", "toronto"), ("2", "toronto"), ("3", "london")], "listing_id string, city string")
+    parts = bronze.with_partition_columns(rows, source="kijiji", day="2026-03-01")
+    bronze.write_bronze(parts, scratch_dir)
+    man = bronze.manifest(parts, mode="last_x_days", days=7, max_pages=10, saved_at=dt.datetime(2026, 3, 1, 12))
+    bronze.write_manifest(man, scratch_dir)
+    back = spark.read.json(f"{scratch_dir}/_manifest")
+    got = {r.city: r.record_count for r in back.collect()}
+    assert got == {"toronto": 2, "london": 1}
+    # the manifest folder is invisible to the data scan
+    assert bronze.read_bronze(spark, scratch_dir, schema=bronze.bronze_schema(data_schema=rows.schema)).count() == 3
+
+
 def test_wanted_partitions_and_coverage(spark):
     with pytest.raises(ValueError):
         bronze.wanted_dates(mode="specific_date", today="2026-03-03")
