@@ -167,9 +167,20 @@ def _city_of(c):
     return F.element_at(F.array(*[F.lit(x) for x in PAGE_CITIES]), (c % len(PAGE_CITIES)).cast("int") + 1)
 
 
+_SEARCH: dict = {}
+
+
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(page_id, city, html)``: JSON-LD item lists; pages with id % 17 = 0 have no
-    JSON-LD, id % 19 = 0 carry broken JSON; items with key % 11 = 0 have no URL."""
+    JSON-LD, id % 19 = 0 carry broken JSON; items with key % 11 = 0 have no URL.
+
+    Stored once per session and input folder, like :func:`detail_pages`."""
+    from strata.session import materialize
+
+    return _cached(_SEARCH, spark, (sf_dir,), lambda: materialize(_search_pages(spark, sf_dir), "search-pages"))
+
+
+def _search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     o = table(spark, sf_dir, "orders").select("o_orderkey")
