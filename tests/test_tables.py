@@ -78,6 +78,15 @@ def test_bronze_partitions_roundtrip(spark, scratch_dir):
     assert bronze.read_bronze(spark, scratch_dir + "/missing", schema=schema).count() == 0
 
 
+def test_union_is_strict(spark):
+    a = spark.createDataFrame([("1", "x")], "a string, b string")
+    b = spark.createDataFrame([("y", "2")], "b string, a string")
+    assert sorted(map(tuple, bronze.union_frames([a, b]).collect())) == [("1", "x"), ("2", "y")]
+    c = spark.createDataFrame([("3",)], "a string")
+    with pytest.raises(Exception):
+        bronze.union_frames([a, c]).collect()
+
+
 def test_manifest_sink(spark, scratch_dir):
     rows = spark.createDataFrame([("1", "toronto"), ("2", "toronto"), ("3", "london")], "listing_id string, city string")
     parts = bronze.with_partition_columns(rows, source="kijiji", day="2026-03-01")
