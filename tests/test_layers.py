@@ -18,7 +18,7 @@ def _rows(spark, specs):
     out = []
     for lid, city, hood, rent, day in specs:
         rec = {c: None for c in R.BRONZE_COLUMNS}
-        rec.update(listing_id=lid, website="kijiji", url=f"https://x/{lid}", title=" t ", description="d", street="s",
+        rec.update(listing_id=lid, website="example", url=f"https://x/{lid}", title=" t ", description="d", street="s",
                    city=city, neighbourhood=hood, rent=rent, images=[], published_at=dt.datetime(2026, 3, 1),
                    scraped_at=dt.datetime(2026, 3, day, 12))
         out.append(tuple(rec[c] for c in R.BRONZE_COLUMNS))
@@ -29,8 +29,8 @@ def test_bronze_to_silver_to_gold(spark, scratch_dir):
     root = f"{scratch_dir}/bronze"
     day1 = _rows(spark, [("1", "toronto", "A", 100.0, 1), ("2", "toronto", "B", 200.0, 1), ("", "toronto", "A", 1.0, 1)])
     day2 = _rows(spark, [("2", "toronto", "B", 250.0, 2), ("3", "london", "C", 300.0, 2)])
-    bronze.write_bronze(bronze.with_partition_columns(day1, source="kijiji", day="2026-03-01"), root)
-    bronze.write_bronze(bronze.with_partition_columns(day2, source="kijiji", day="2026-03-02"), root)
+    bronze.write_bronze(bronze.with_partition_columns(day1, source="example", day="2026-03-01"), root)
+    bronze.write_bronze(bronze.with_partition_columns(day2, source="example", day="2026-03-02"), root)
 
     t = {
         "listings": VersionedTable(spark, f"{scratch_dir}/silver/listings", R.LISTINGS, "rental_listings"),
@@ -40,11 +40,11 @@ def test_bronze_to_silver_to_gold(spark, scratch_dir):
     }
     with pytest.raises(ValueError):
         layers.bronze_to_silver(spark, bronze_root=root, listings=t["listings"], neighbourhoods=t["hoods"],
-                                source="kijiji", mode="specific_date", batch_ts="2026-03-01 13:00:00")
+                                source="example", mode="specific_date", batch_ts="2026-03-01 13:00:00")
 
     # run 1: only 2026-03-01, all cities
     r1 = layers.bronze_to_silver(spark, bronze_root=root, listings=t["listings"], neighbourhoods=t["hoods"],
-                                 source="kijiji", mode="specific_date", specific_date="2026-03-01",
+                                 source="example", mode="specific_date", specific_date="2026-03-01",
                                  batch_ts="2026-03-01 13:00:00")
     assert r1.rows_loaded == 2 and r1.neighbourhoods_loaded == 2
     m = {(r.city, r.dt): r for r in r1.metrics.collect()}
@@ -58,7 +58,7 @@ def test_bronze_to_silver_to_gold(spark, scratch_dir):
 
     # run 2: the last two days up to 2026-03-02 (both partitions; day 1 again is harmless)
     layers.bronze_to_silver(spark, bronze_root=root, listings=t["listings"], neighbourhoods=t["hoods"],
-                            source="kijiji", mode="last_x_days", days=2, today="2026-03-02",
+                            source="example", mode="last_x_days", days=2, today="2026-03-02",
                             batch_ts="2026-03-02 13:00:00")
     silver_rows = {r.listing_id: r for r in t["listings"].read().collect()}
     assert set(silver_rows) == {"1", "2", "3"} and silver_rows["2"].rent == 250.0

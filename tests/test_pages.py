@@ -67,7 +67,7 @@ HOOD = {"name": "Downtown Toronto", "scores": {"transportation": {"walk": {"scor
 
 def extract(spark, html, url="https://www.example.com/v/123456789", city="toronto"):
     df = spark.createDataFrame([(url, city, html)], "url string, city string, html string")
-    return pages.extract_listings(df, website="kijiji", scraped_at=NOW, now=NOW).first()
+    return pages.extract_listings(df, website="example", scraped_at=NOW, now=NOW).first()
 
 
 def test_search_page_skips_promoted(spark):
@@ -159,7 +159,7 @@ def test_scrape_composition(spark):
     ok = lambda i: (f"https://www.example.com/v/{i}", "toronto", detail_html(FULL, listing_id=str(i), hood=HOOD))
     details = spark.createDataFrame([ok(7), ok(8), (f"https://www.example.com/v/{1}", "toronto", "<p>gone</p>")],
                                     "url string, city string, html string")
-    listings, rejects, summary = pages.scrape(search, details, website="kijiji", scraped_at=NOW,
+    listings, rejects, summary = pages.scrape(search, details, website="example", scraped_at=NOW,
                                               now="2026-03-01 00:00:00", mode="last_x_days", days=7)
     assert sorted(r.listing_id for r in listings.collect()) == ["7", "8"]
     s = summary.first()

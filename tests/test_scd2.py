@@ -21,8 +21,8 @@ def snap(spark, hist, rows, ts):
 
 
 def test_readme_example(spark):
-    h = snap(spark, None, [("123", "kijiji", 1800.0, "a")], T1)
-    h = snap(spark, h, [("123", "kijiji", 2000.0, "b")], T2)
+    h = snap(spark, None, [("123", "example", 1800.0, "a")], T1)
+    h = snap(spark, h, [("123", "example", 2000.0, "b")], T2)
     rows = sorted(h.collect(), key=lambda r: r.valid_from)
     assert [(r.rent, r.valid_from, r.valid_to) for r in rows] == [(1800.0, T1, T2), (2000.0, T2, None)]
     assert rows[0].scd_id != rows[1].scd_id

@@ -17,7 +17,7 @@ def _rows(spark, specs):
     rows = []
     for lid, rent, day in specs:
         rec = {c: None for c in R.BRONZE_COLUMNS}
-        rec.update(listing_id=lid, website="kijiji", url=f"https://x/{lid}", title="t", description="d", street="s",
+        rec.update(listing_id=lid, website="example", url=f"https://x/{lid}", title="t", description="d", street="s",
                    city="toronto", neighbourhood="Downtown", rent=rent, images=[], published_at=dt.datetime(2026, 3, 1),
                    scraped_at=dt.datetime(2026, 3, day))
         rows.append(tuple(rec[c] for c in R.BRONZE_COLUMNS))
@@ -31,13 +31,13 @@ def test_stream_applies_new_drops(spark, scratch_dir):
     schema = bronze.bronze_schema()
     ckpt = f"{scratch_dir}/stream-checkpoint"
 
-    bronze.write_bronze(bronze.with_partition_columns(_rows(spark, [("1", 100.0, 1), ("2", 200.0, 1)]), source="kijiji",
+    bronze.write_bronze(bronze.with_partition_columns(_rows(spark, [("1", 100.0, 1), ("2", 200.0, 1)]), source="example",
                                                       day="2026-03-01"), root)
     start_bronze_to_silver(spark, bronze_root=root, schema=schema, listings=listings, neighbourhoods=hoods,
                            checkpoint_location=ckpt).awaitTermination()
     assert listings.read().count() == 2
 
-    bronze.write_bronze(bronze.with_partition_columns(_rows(spark, [("2", 250.0, 2), ("3", 300.0, 2)]), source="kijiji",
+    bronze.write_bronze(bronze.with_partition_columns(_rows(spark, [("2", 250.0, 2), ("3", 300.0, 2)]), source="example",
                                                       day="2026-03-02"), root)
     start_bronze_to_silver(spark, bronze_root=root, schema=schema, listings=listings, neighbourhoods=hoods,
                            checkpoint_location=ckpt).awaitTermination()

@@ -66,11 +66,11 @@ def test_bronze_partitions_roundtrip(spark, scratch_dir):
         [("1", "toronto", "a"), ("2", "toronto", "b"), ("3", "london", "c")], "listing_id string, city string, v string"
     )
     for day in ("2026-03-01", "2026-03-02"):
-        bronze.write_bronze(bronze.with_partition_columns(rows, source="kijiji", day=day), scratch_dir)
+        bronze.write_bronze(bronze.with_partition_columns(rows, source="example", day=day), scratch_dir)
     # rerun of one day replaces only that day
-    bronze.write_bronze(bronze.with_partition_columns(rows.limit(1), source="kijiji", day="2026-03-02"), scratch_dir)
+    bronze.write_bronze(bronze.with_partition_columns(rows.limit(1), source="example", day="2026-03-02"), scratch_dir)
     schema = bronze.bronze_schema(data_schema=rows.schema)
-    got = bronze.read_bronze(spark, scratch_dir, source="kijiji", cities=["toronto"], dates=["2026-03-01", "2026-03-02"],
+    got = bronze.read_bronze(spark, scratch_dir, source="example", cities=["toronto"], dates=["2026-03-01", "2026-03-02"],
                              schema=schema)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
@@ -89,7 +89,7 @@ def test_union_is_strict(spark):
 
 def test_manifest_sink(spark, scratch_dir):
     rows = spark.createDataFrame([("1", "toronto"), ("2", "toronto"), ("3", "london")], "listing_id string, city string")
-    parts = bronze.with_partition_columns(rows, source="kijiji", day="2026-03-01")
+    parts = bronze.with_partition_columns(rows, source="example", day="2026-03-01")
     bronze.write_bronze(parts, scratch_dir)
     man = bronze.manifest(parts, mode="last_x_days", days=7, max_pages=10, saved_at=dt.datetime(2026, 3, 1, 12))
     bronze.write_manifest(man, scratch_dir)
@@ -104,9 +104,9 @@ def test_wanted_partitions_and_coverage(spark):
     with pytest.raises(ValueError):
         bronze.wanted_dates(mode="specific_date", today="2026-03-03")
     assert bronze.wanted_dates(mode="last_x_days", days=3, today="2026-03-03") == ["2026-03-03", "2026-03-02", "2026-03-01"]
-    wanted = bronze.wanted_partitions(spark, source="kijiji", cities=["toronto", "london"], days=2, today="2026-03-03")
+    wanted = bronze.wanted_partitions(spark, source="example", cities=["toronto", "london"], days=2, today="2026-03-03")
     assert wanted.count() == 4
-    data = spark.createDataFrame([("kijiji", "toronto", "2026-03-03")], "source string, city string, dt string")
+    data = spark.createDataFrame([("example", "toronto", "2026-03-03")], "source string, city string, dt string")
     cov = {(r.city, r.dt): r.status for r in metrics.coverage(data, wanted, ["source", "city", "dt"]).collect()}
     assert cov[("toronto", "2026-03-03")] == "success"
     assert cov[("london", "2026-03-02")] == "completed_no_data"
