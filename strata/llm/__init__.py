@@ -1 +1,8 @@
 """Operators for large-scale training-data pipelines over ``documents``, ``pages`` and ``embeddings``."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run on executors travel whole, so that these need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
