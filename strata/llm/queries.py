@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import decontaminate
+from strata.llm import decontaminate, jaccard_join, langid, license_scan, mixing, secrets, topk
 from strata.llm.common import table
 
 
@@ -12,10 +13,41 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(table(spark, sf_dir, "documents"))
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, passes=2)
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_decontaminate": op3_decontaminate,
+    "op4_license_scan": op4_license_scan,
+    "op5_langid": op5_langid,
+    "op6_mixing": op6_mixing,
+    "op7_topk": op7_topk,
+    "op8_jaccard_join": op8_jaccard_join,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE = {
     "op3_decontaminate": decontaminate.OP3_SQL,
+    "op7_topk": topk.OP7_SQL,
 }
