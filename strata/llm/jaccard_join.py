@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import stored
@@ -436,7 +436,7 @@ def jaccard_classes(documents: DataFrame, n: int = 3, percent: int = 90) -> Data
     )
     forest = linked.where("links = 0").select(node("aa", "ab").alias("a"), node("ba", "bb").alias("b"))
     reach = connected(forest, "jaccard-classes").select("root", "node.*")
-    least = classes.join(reach, ["fa", "fb"]).withColumn("root", F.col("root"))
+    least = classes.join(reach, ["fa", "fb"])
     least = least.join(least.groupBy("root").agg(F.min("doc_id").alias("component")), "root").select("fa", "fb", "component")
     count = linked.where("links > 0").groupBy(F.col("aa").alias("fa"), F.col("ab").alias("fb")).agg(F.sum("links").alias("links"))
     per = classes.join(least, ["fa", "fb"], "left").join(count, ["fa", "fb"], "left").select(
@@ -447,3 +447,18 @@ def jaccard_classes(documents: DataFrame, n: int = 3, percent: int = 90) -> Data
         F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("size") > 0, F.col("links")).otherwise(F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def one_of_each_class(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The documents without those that link, over any number of steps, with a document of a lower doc_id.
+
+    Rows that share a doc_id are one document: the one whose text sorts first stays, and
+    none if any of them is linked to a lower id. Rows without doc_id stay, and so do texts
+    without words.
+    """
+    classes = jaccard_classes(documents, n, percent)
+    gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    kept = documents.join(gone, F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
+    loose = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    first = F.row_number().over(Window.partitionBy("doc_id", loose).orderBy("text"))
+    return kept.withColumn("__first", first).where((F.col("__first") == 1) | F.col("doc_id").isNull()).drop("__first")

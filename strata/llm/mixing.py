@@ -162,7 +162,7 @@ def mix(documents: DataFrame, quotas: Iterable[tuple[str | None, float]], passes
 
 
 def mixed_documents(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, passes: int = 2, seed: int = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies of every document row.
+    """doc_id, size, source_size, target, taken, copies, source of every document row.
 
     Sources by code point, null last, weigh ``weights`` in turn and share ``share`` times
     all words; a target stops at ``passes`` times its source's words and the excess is
@@ -182,7 +182,7 @@ def mixed_documents(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2)
     if len(found) <= BROADCAST_PATTERNS:
         goals = F.broadcast(goals)
     return mixed.join(goals, F.col("source").eqNullSafe(F.col("name"))).select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source"
     )
 
 

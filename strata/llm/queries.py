@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, jaccard_join, langid, license_scan, mixing, secrets, topk
+from strata.llm import decontaminate, html_extract, jaccard_join, langid, license_scan, mixing, pii, secrets, topk, toxicity
 from strata.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.private_data(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -33,17 +41,24 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_pii": op2_pii,
     "op3_decontaminate": op3_decontaminate,
     "op4_license_scan": op4_license_scan,
     "op5_langid": op5_langid,
     "op6_mixing": op6_mixing,
     "op7_topk": op7_topk,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_html_extract": op9_html_extract,
     "op10_secrets": op10_secrets,
 }
 
