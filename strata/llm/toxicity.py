@@ -22,12 +22,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import held_out, stored
+from strata.llm.common import held_out, stored, without_ids
 
 #: Bound of the labelled sample that voters are induced from and the classifier is fitted on, in hashed order.
 FIT_ROWS = 10_000
 #: Words and word beginnings kept as features.
 VOCABULARY = 4_000
+LEAST_ROWS = 4
 BEGINNINGS = (4, 5, 6)
 WORD_VOTERS = BEGIN_VOTERS = 5
 #: Correlated voters depend on each other above this conditional mutual information (nats).
@@ -126,9 +127,11 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def induced_terms(sample: DataFrame, size: int = VOCABULARY) -> list[str]:
     """Terms that toxic rows of the sample hold more often than chance explains, strongest first.
 
-    The likelihood ratio must exceed what the best of all terms tested reaches by chance.
+    The likelihood ratio must exceed what the best of all terms tested reaches by chance;
+    terms of fewer than LEAST_ROWS rows could not reach it and are not tested.
     """
     counts = stored(sample.mapInArrow(_count_terms, "term string, toxic long, rows long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("rows").alias("rows")), "toxicity-terms")
+    counts = counts.where(F.col("rows") >= LEAST_ROWS)
     tested = counts.count()
     total, positive = sample.agg(F.count(F.lit(1)), F.sum(F.col("toxic"))).first()
     if not total or not positive or positive == total:
@@ -333,5 +336,4 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def remove_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject; rows that share a doc_id stay or go together."""
-    bad = toxicity(documents, labels).where("predicted = 1").select(F.col("doc_id").alias("bad_id")).distinct()
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    return without_ids(documents, toxicity(documents, labels).where("predicted = 1").select("doc_id").distinct())
