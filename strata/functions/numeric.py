@@ -15,7 +15,9 @@ def in_bounds(c, bounds: Bounds) -> Column:
     Text that is not a number becomes null (``try_cast``); with ``exclusive`` both given
     ends are strict.
     """
-    x = as_col(c).try_cast("double")
+    text = as_col(c).cast("string")
+    # the cast also reads the type suffixes of a number literal ("5d", "2f"); they are not numbers here
+    x = F.when(~text.rlike(r"(?i)[0-9.][df]\s*$"), as_col(c).try_cast("double"))
     lo, hi, strict = bounds.low, bounds.high, bounds.exclusive
     cond = None
     if lo is not None:

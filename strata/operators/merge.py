@@ -29,26 +29,37 @@ DEFAULT_BROADCAST_BYTES = 64 << 20
 _S, _I = "s__", "i__"
 
 
+def _payload(c: Column, kind: T.DataType) -> Column:
+    """Bytes beyond the fixed width of a row that a value takes, whatever its type."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c).cast("long"), F.lit(0))
+    if isinstance(kind, T.StructType):
+        return sum((_payload(c.getField(f.name), f.dataType) for f in kind.fields), F.lit(8 * len(kind.fields))).cast("long")
+    if isinstance(kind, T.ArrayType):
+        zero = F.lit(16).cast("long")
+        return F.coalesce(F.aggregate(c, zero, lambda acc, x: acc + 8 + _payload(x, kind.elementType)), F.lit(0))
+    if isinstance(kind, T.MapType):
+        keys = _payload(F.map_keys(c), T.ArrayType(kind.keyType))
+        return keys + _payload(F.map_values(c), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.VariantType):
+        return F.coalesce(F.octet_length(F.to_json(c)).cast("long"), F.lit(0))
+    return F.lit(0).cast("long")
+
+
 def estimated_bytes(df: DataFrame) -> int:
-    """Upper-bound-ish byte size of a frame: fixed width per row plus string payload."""
-    text = [F.octet_length(F.col(f.name)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    arrays = [
-        F.coalesce(F.size(F.col(f.name)), F.lit(0)) * F.lit(64)
-        for f in df.schema.fields
-        if isinstance(f.dataType, (T.ArrayType, T.MapType))
-    ]
-    payload = sum((F.coalesce(c, F.lit(0)) for c in text + arrays), F.lit(0))
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(payload.cast("long")).alias("b")).first()
+    """Byte size of a frame: fixed width per row plus the payload of text, binary and nested values."""
+    payload = sum((_payload(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(payload).alias("b")).first()
     n, b = row["n"] or 0, row["b"] or 0
     return int(n * (16 + 8 * len(df.columns)) + b)
 
 
-def choose_strategy(batch: DataFrame, strategy: str, broadcast_bytes: int) -> tuple[str, DataFrame]:
-    """Pick the join strategy. ``auto`` first checkpoints the batch, so measuring it and
-    merging it read the same computed rows instead of computing the batch twice."""
+def choose_strategy(batch: DataFrame, strategy: str, broadcast_bytes: int, *, stored: bool = False) -> tuple[str, DataFrame]:
+    """Pick the join strategy. ``auto`` first stores the batch (unless it is ``stored``), so
+    measuring it and merging it read the same computed rows instead of computing it twice."""
     if strategy != "auto":
         return strategy, batch
-    done = materialize(batch)
+    done = batch if stored else materialize(batch)
     return ("broadcast" if estimated_bytes(done) <= broadcast_bytes else "shuffle"), done
 
 

@@ -6,11 +6,12 @@ from a left join of the wanted-partition frame (O4) and reports ``completed_no_d
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata import registry as R
-from strata.operators.silver import keep_latest, key_is_valid
+from strata.operators.silver import key_is_valid
 
 PARTITION_COLUMNS = ("source", "city", "dt")
 
@@ -24,55 +25,73 @@ def partition_metrics(
     entity_keys=("neighbourhood", "city"),
     entity_clean=None,
     tiebreak=None,
+    required=(),
 ) -> DataFrame:
     """Per partition, rows read, rows with a valid key, listings and entities loaded.
 
     ``rows_loaded`` counts distinct valid keys of the partition (rows left after the
     partition's dedup), ``neighbourhoods_loaded`` distinct non-null entity keys among them.
+    A partition in which a kept row lacks a ``required`` column has status ``error`` and
+    loads nothing.
     """
     partition_cols = list(partition_cols)
     keys = list(keys or R.key_columns(R.LISTINGS))
-    ok = key_is_valid(keys)
     ent = entity_clean or {}
-    ent_cols = [ent.get(c, F.col(c)).alias("_e_" + c) for c in entity_keys]
-    reads = bronze.groupBy(*partition_cols).agg(
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(ok).alias("rows_valid_key"),
+    if tiebreak is None:
+        tiebreak = [f.name for f in bronze.schema.fields if f.name not in (*partition_cols, *keys, R.RECENCY_COLUMN) and not isinstance(f.dataType, T.MapType)]
+    # One pass: a row per (partition, key) with its row count and what its latest row holds
+    # (largest struct: latest time, then the tie-break ascending), then a row per partition.
+    entity = F.struct(*[ent.get(c, F.col(c)).alias("_e_" + c) for c in entity_keys])
+    broken = F.lit(False)
+    for c in required or ():
+        if c in bronze.columns:
+            broken = broken | F.col(c).isNull()
+    wide = bronze.select(
+        *partition_cols, key_is_valid(keys).alias("_ok"), F.struct(*keys).alias("_key"), entity.alias("_entity"), broken.alias("_broken"),
+        F.struct(F.col(R.RECENCY_COLUMN), *tiebreak).alias("_order"),
     )
-    # the partition's own dedup decides which row (and so which entity) a listing keeps
-    latest = keep_latest(bronze.where(ok), [*partition_cols, *keys], tiebreak=tiebreak)
+    kept = F.struct("_entity", "_broken")
+    first = Window.partitionBy(*partition_cols, "_ok", "_key").orderBy(
+        F.col(f"_order.{R.RECENCY_COLUMN}").desc_nulls_last(), *[F.col(f"_order.{c}").asc_nulls_last() for c in tiebreak]
+    )
+    if len(tiebreak) == 1 and not required and _descending(bronze.schema[tiebreak[0]].dataType):
+        # latest time, then the smallest tie-break: one partial aggregation instead of a sort
+        order = F.struct(F.col(f"_order.{R.RECENCY_COLUMN}"), (-F.col(f"_order.{tiebreak[0]}").cast("decimal(20,0)")))
+        per_key = wide.groupBy(*partition_cols, "_ok", "_key").agg(F.count(F.lit(1)).alias("_n"), F.max_by(kept, order).alias("_kept"))
+    else:
+        counted = Window.partitionBy(*partition_cols, "_ok", "_key")
+        ranked = wide.withColumn("_rn", F.row_number().over(first)).withColumn("_n", F.count(F.lit(1)).over(counted))
+        per_key = ranked.where("_rn = 1").select(*partition_cols, "_ok", "_n", kept.alias("_kept"))
     present = F.lit(True)
     for c in entity_keys:
-        present = present & F.col("_e_" + c).isNotNull()
-    loads = (
-        latest.select(*partition_cols, *ent_cols)
-        .groupBy(*partition_cols)
-        .agg(
-            F.count(F.lit(1)).alias("rows_loaded"),
-            F.count_distinct(F.when(present, F.struct(*["_e_" + c for c in entity_keys]))).alias("neighbourhoods_loaded"),
-        )
-    )
-    stats = reads.join(loads, partition_cols, "left").select(
-        *partition_cols,
-        "rows_read",
-        F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"),
-        F.coalesce("neighbourhoods_loaded", F.lit(0)).alias("neighbourhoods_loaded"),
-        (F.col("rows_read") - F.col("rows_valid_key")).alias("dropped_invalid_key"),
-        (F.col("rows_valid_key") - F.coalesce("rows_loaded", F.lit(0))).alias("dropped_duplicate"),
+        present = present & F.col(f"_kept._entity._e_{c}").isNotNull()
+    stats = per_key.groupBy(*partition_cols).agg(
+        F.sum("_n").alias("rows_read"),
+        F.count_if("_ok").alias("rows_loaded"),
+        F.count_distinct(F.when(F.col("_ok") & present, F.col("_kept._entity"))).alias("neighbourhoods_loaded"),
+        F.sum(F.when(~F.col("_ok"), F.col("_n")).otherwise(0)).alias("dropped_invalid_key"),
+        F.sum(F.when(F.col("_ok"), F.col("_n") - 1).otherwise(0)).alias("dropped_duplicate"),
+        F.count_if(F.col("_ok") & F.col("_kept._broken")).alias("rows_broken"),
     )
+    failed = F.col("rows_broken") > 0
+    for c in ("rows_loaded", "neighbourhoods_loaded"):  # nothing of a failing partition loads
+        stats = stats.withColumn(c, F.when(failed, F.lit(0)).otherwise(F.col(c)))
+    outcome = F.when(failed, F.lit(R.STATUS_ERROR)).otherwise(F.lit(R.STATUS_SUCCESS))
     if wanted is None:
-        return stats.withColumn("status", F.lit(R.STATUS_SUCCESS))
+        return stats.withColumn("status", outcome).drop("rows_broken")
     joined = wanted.join(stats, partition_cols, "left")
     counts = ["rows_read", "rows_loaded", "neighbourhoods_loaded", "dropped_invalid_key", "dropped_duplicate"]
     return joined.select(
         *partition_cols,
         *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counts],
-        F.when(F.col("rows_read").isNull(), F.lit(R.STATUS_NO_DATA))
-        .otherwise(F.lit(R.STATUS_SUCCESS))
-        .alias("status"),
+        F.when(F.col("rows_read").isNull(), F.lit(R.STATUS_NO_DATA)).otherwise(outcome).alias("status"),
     )
 
 
+def _descending(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.LongType, T.IntegerType))
+
+
 def rollup(metrics: DataFrame) -> DataFrame:
     """Totals, partitions by status and the overall status.
 
@@ -101,7 +120,7 @@ def coverage(df: DataFrame, wanted: DataFrame, partition_cols) -> DataFrame:
     parameter-sized (dates x values), so its join is a broadcast."""
     partition_cols = list(partition_cols)
     counts = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("record_count"))
-    joined = F.broadcast(wanted).join(counts, partition_cols, "left")
+    joined = wanted.join(counts, partition_cols, "left")
     return joined.select(
         *wanted.columns,
         F.coalesce(F.col("record_count"), F.lit(0)).alias("record_count"),

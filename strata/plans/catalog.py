@@ -590,18 +590,20 @@ def search_page_summary(spark, sf_dir):
     return pages.page_summary(pages.search_items(fixtures.search_pages(spark, sf_dir)))
 
 
+_BAD_CITY_SQL = "WHEN o_custkey % 31 = 0 THEN 'bad_city' "
 _REASON_SQL = (
     "CASE WHEN o_orderkey % 211 = 0 THEN 'no_state_script' "
     "WHEN o_orderkey % 223 = 0 THEN 'invalid_document' "
     "WHEN o_orderkey % 101 = 0 THEN 'no_listing_id' "
     "WHEN o_orderkey % 227 = 0 THEN 'no_listing_data' "
-    "WHEN o_orderkey % 113 = 0 THEN 'bad_attributes' "
+    "WHEN o_orderkey % 113 = 0 OR o_orderkey % 149 = 0 THEN 'bad_attributes' "
     "WHEN o_orderkey % 103 = 0 THEN 'missing_required' "
     "WHEN o_orderkey % 229 = 0 THEN 'bad_url' "
     "WHEN o_orderkey % 4 = 2 THEN 'bad_published_at' "
-    "WHEN o_custkey % 31 = 0 THEN 'bad_city' "
-    "WHEN o_orderkey % 107 = 0 THEN 'bad_rent' "
+    + _BAD_CITY_SQL
+    + "WHEN o_orderkey % 107 = 0 OR o_orderkey % 131 = 0 THEN 'bad_rent' "
     "WHEN o_orderkey % 233 = 0 THEN 'bad_count' "
+    "WHEN o_orderkey % 157 = 0 THEN 'bad_number' "
     "WHEN c_custkey % 7 <> 0 AND (c_acctbal / 1000 < 0 OR c_acctbal / 1000 > 10) THEN 'bad_score' END"
 )
 _DETAIL_ROWS = (
@@ -623,7 +625,7 @@ def _extract_sql() -> str:
         "street": "CAST(o_custkey AS VARCHAR) || ' Main St'",
         "city": "CASE o_custkey % 3 WHEN 0 THEN 'toronto' WHEN 1 THEN 'vancouver' ELSE 'london' END",
         "neighbourhood": "CASE WHEN c_custkey % 7 <> 0 THEN n_name END",
-        "rent": "CASE WHEN o_totalprice > 100 THEN o_totalprice / 100 ELSE o_totalprice END",
+        "rent": "CASE WHEN o_totalprice > 100 AND o_orderkey % 109 <> 0 THEN o_totalprice / 100 ELSE o_totalprice END",
         "move_in_date": "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)",
         "bedrooms": "CAST(CASE WHEN o_orderkey % 9 = 0 THEN 7 ELSE o_orderkey % 5 END AS INTEGER)",
         "bathrooms": "CAST(o_custkey % 3 + 1 AS INTEGER)",
@@ -661,15 +663,20 @@ def listing_pages_extract(spark, sf_dir):
     return good.withColumn("images", F.array_join("images", "|"))
 
 
-SCRAPE_DAYS = 15000
+SCRAPE_DAYS = 12_200
 
 
 def _scrape_sql() -> str:
-    select = _extract_sql().split(" SELECT ", 1)[1].rsplit(" FROM x WHERE", 1)[0]
+    """A listing's city is that of the search page; the page's own city does not matter."""
+    select = _extract_sql().split(") SELECT ", 1)[1].rsplit(" FROM x WHERE", 1)[0]
+    own = "CASE o_custkey % 3 WHEN 0 THEN 'toronto' WHEN 1 THEN 'vancouver' ELSE 'london' END AS city"
+    if select.count(own) != 1:
+        raise ValueError("the city column of the extraction oracle has changed")
+    select = select.replace(own, "i.city AS city")
     return (
         _PAGE_ITEMS_SQL
         + ", "
-        + _DETAIL_ROWS[len("WITH ") :]
+        + _DETAIL_ROWS[len("WITH ") :].replace(_BAD_CITY_SQL, "")
         + f"SELECT {select}, 'example' AS source, '{NOW[:10]}' AS dt FROM x "
         f"JOIN items i ON i.url = '{fixtures.LISTING_URL}' || CAST(x.o_orderkey AS VARCHAR) "
         f"WHERE x.reject_reason IS NULL AND CAST(x.o_orderdate AS TIMESTAMP) >= {O.ts_lit(NOW)} - INTERVAL {SCRAPE_DAYS} DAY"
@@ -685,8 +692,10 @@ def scrape_to_bronze(spark, sf_dir):
     from strata.session import workspace
 
     root = workspace(spark, "scrape")
+    details = fixtures.detail_pages(spark, sf_dir)
+    twice = details.unionByName(details.where(F.col("url").endswith("7")))  # URLs stored twice count once
     layers.scrape_to_bronze(
-        spark, fixtures.search_pages(spark, sf_dir), fixtures.detail_pages(spark, sf_dir), root=root,
+        spark, fixtures.search_pages(spark, sf_dir), twice, root=root,
         source="example", mode=R.MODE_LAST_DAYS, days=SCRAPE_DAYS, now=NOW,
     )
     out = bronze.read_bronze(spark, root, source="example", dates=[NOW[:10]])
@@ -890,7 +899,7 @@ def medallion_end_to_end(spark, sf_dir):
     listings = VersionedTable(spark, f"{root}/silver/rental_listings", R.LISTINGS, "rental_listings")
     hoods = VersionedTable(spark, f"{root}/silver/neighbourhoods", R.NEIGHBOURHOODS, "neighbourhoods")
     history = layers.History(spark, f"{root}/gold/listing_history")
-    dim = VersionedTable(spark, f"{root}/gold/dim_neighbourhoods", layers.DIM_REGISTRY, "dim_neighbourhoods")
+    dim = VersionedTable(spark, f"{root}/gold/dim_neighbourhoods", layers.DIM_REGISTRY, "dim_neighbourhoods", evolve=True)
     result = None
     for i, (where, ts) in enumerate(((OLDER, T1), (NEWER, T2))):
         drop = f"{root}/bronze/run{i}"

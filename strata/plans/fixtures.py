@@ -134,9 +134,9 @@ def bronze_view(spark: SparkSession, sf_dir: str, drop=()) -> DataFrame:
 
 def _bronze_view(spark: SparkSession, sf_dir: str, drop=()) -> DataFrame:
     text = bronze_sql("{orders}", "{customer}", "{nation}", drop)
-    # the driver's orders table is one small file (one scan task); spread it over the
-    # cores so the wide derivation below is not a single-task stage
-    orders = table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    # the driver's orders table is one small file (one scan task); a rebalance spreads it by
+    # size, so the wide derivation below is not a single-task stage and large input not a few tasks
+    orders = table(spark, sf_dir, "orders").repartition("o_orderkey")
     return spark.sql(
         text,
         orders=orders,
@@ -241,7 +241,7 @@ def _detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # A stored pages table spans many files; the generated one starts from a single small
     # file, so spread it over the cores before the per-page work.
-    o = table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    o = table(spark, sf_dir, "orders").repartition("o_orderkey")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     rows = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
@@ -309,8 +309,18 @@ def _detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     def quoted(x):  # keys and ids here are plain ASCII without quotes or backslashes
         return F.concat(F.lit('"'), x, F.lit('"'))
 
+    # values whose JSON type differs: amounts and coordinates as text, words for numbers, a null list
+    text = F.to_json(listing)
+    for every, pattern, other in (
+        (109, r'"amount":([0-9.E]+)', '"amount":"$1"'),
+        (131, r'"amount":[0-9.E]+', '"amount":"Please contact"'),
+        (127, r'"latitude":(-?[0-9.]+)', '"latitude":"$1"'),
+        (157, r'"latitude":-?[0-9.]+', '"latitude":"north"'),
+        (149, r'"name":"Floor Plan","values":\["Open"\]', '"name":"Floor Plan","values":null'),
+    ):
+        text = F.when(k % every == 0, F.regexp_replace(text, pattern, other)).otherwise(text)
     state = F.concat(
-        F.lit("{"), quoted(listing_key), F.lit(": "), F.to_json(listing),
+        F.lit("{"), quoted(listing_key), F.lit(": "), text,
         F.lit(", "), quoted(F.concat(F.lit("Neighbourhood:"), F.col("n_nationkey").cast("string"))),
         F.lit(": "), F.to_json(hood), F.lit("}"),
     )
@@ -325,7 +335,11 @@ def _detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 223 == 0, F.lit('<script id="__NEXT_DATA__" type="application/json">{"props": </script>'))
         .otherwise(F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">'), props, F.lit("</script>")))
     )
-    html = F.concat(F.lit("<!DOCTYPE html><html><head><title>Listing</title></head><body>"), body, F.lit("</body></html>"))
+    # scripts that only look like the state document
+    decoys = F.when(k % 137 == 0, F.lit(
+        '<!-- <script id="__NEXT_DATA__">{}</script> --><script data-id="__NEXT_DATA__">{}</script><script id="__NEXT_DATA__OLD">{}</script>'
+    )).otherwise(F.lit(""))
+    html = F.concat(F.lit("<!DOCTYPE html><html><head><title>Listing</title></head><body>"), decoys, body, F.lit("</body></html>"))
     url = F.when(k % 229 == 0, F.concat(F.lit("ftp://listings.example.com/v/"), k.cast("string"))).otherwise(
         F.concat(F.lit(LISTING_URL), k.cast("string"))
     )

@@ -6,13 +6,14 @@
 * :func:`silver_to_gold`: SCD2 snapshot of silver listings, insert-only dimension, fact
   view, and the gold data tests as a gate.
 
-All partitions of a run are one Spark job per sink (the source processed them one by one).
-Each merge batch is checkpointed once, so the merge, the gate and the row count read it
-instead of recomputing the cleaning and dedup.
+All partitions of a run are one Spark job per sink; a partition that breaks a constraint is
+set apart by its metrics. Each merge batch is stored once, so the merge, the gate and the
+row count read it instead of recomputing the cleaning and dedup.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import registry as R
+from strata.functions import as_timestamp
 from strata.operators import checks, gold, merge, metrics, scd2, silver
 from strata.session import materialize
 from strata.sources import bronze, pages
-from strata.sources.tables import VersionedTable
+from strata.sources.tables import Sources, VersionedTable
 
 
 @dataclass
@@ -32,6 +34,7 @@ class ScrapeResult:
     total_listings: int
     failed_listings: int
     manifest: DataFrame | None
+    filtered_listings: int = 0
 
 
 def scrape_to_bronze(
@@ -47,32 +50,35 @@ def scrape_to_bronze(
     max_pages: int = 10,
     now,
 ) -> ScrapeResult:
-    """Extract listings from fetched pages and write them to ``source/city/dt=<run date>``."""
+    """Extract listings from fetched pages and write them to ``source/city/dt=<run date>``.
+
+    ``filtered_listings`` counts parsed listings outside the wanted dates. ``max_pages`` is
+    recorded in the manifest; how many pages were fetched is the fetcher's decision."""
     if mode == R.MODE_SPECIFIC_DATE and not specific_date:
         return ScrapeResult(R.STATUS_ERROR, 0, 0, None)
-    listings, _, summary = pages.scrape(
-        search_pages, detail_pages, website=source, scraped_at=now, now=now,
-        mode=mode, days=days, specific_date=specific_date,
-    )
-    listings = materialize(listings)
-    failed = summary.agg(F.coalesce(F.sum("failed"), F.lit(0)).alias("f")).first()["f"]
+    found = pages.scrape(search_pages, detail_pages, website=source, scraped_at=now, now=now)
+    failed = int(found.summary.agg(F.coalesce(F.sum("failed"), F.lit(0)).alias("f")).first()["f"])
+    listings = pages.filter_published(found.listings, mode=mode, now=now, days=days, specific_date=specific_date)
     total = listings.count()
+    filtered = found.listings.count() - total
     if total == 0:
-        return ScrapeResult(R.STATUS_NO_DATA, 0, int(failed), None)
+        return ScrapeResult(R.STATUS_NO_DATA, 0, failed, None, filtered)
     run_day = str(now)[:10]
     rows = bronze.with_partition_columns(listings, source=source, day=run_day)
     bronze.write_bronze(rows, root)
     man = bronze.manifest(rows, mode=mode, days=days, specific_date=specific_date, max_pages=max_pages, saved_at=now)
     bronze.write_manifest(man, root)
-    return ScrapeResult(R.STATUS_SUCCESS, int(total), int(failed), man)
+    return ScrapeResult(R.STATUS_SUCCESS, total, failed, man, filtered)
 
 
 @dataclass
 class SilverResult:
-    metrics: DataFrame
-    rollup: DataFrame
+    metrics: DataFrame | None
+    rollup: DataFrame | None
     rows_loaded: int
     neighbourhoods_loaded: int
+    status: str = R.STATUS_SUCCESS
+    message: str | None = None
 
 
 def bronze_to_silver(
@@ -94,35 +100,49 @@ def bronze_to_silver(
     all_partitions: bool = False,
 ) -> SilverResult:
     """Read the wanted bronze partitions (or all with ``all_partitions``), clean them and
-    merge them into the silver tables. Latest ``scraped_at`` wins for both tables."""
+    merge them into the silver tables. Latest ``scraped_at`` wins for both tables.
+
+    A partition whose kept rows break a NOT NULL constraint is reported as ``error`` and
+    left out; the others load. A specific-date run without a date returns an error result.
+    """
+    from strata.functions import strip, strip_lower
+
     if all_partitions:
         raw = bronze.read_bronze(spark, bronze_root, schema=schema)
         wanted = None
     else:
+        if mode == R.MODE_SPECIFIC_DATE and not specific_date:
+            return SilverResult(None, None, 0, 0, R.STATUS_ERROR, "specific_date is required when mode is SPECIFIC_DATE")
         dates = bronze.wanted_dates(mode=mode, days=days, specific_date=specific_date, today=today)
         raw = bronze.read_bronze(spark, bronze_root, source=source, cities=cities, dates=dates, schema=schema)
         wanted = bronze.wanted_partitions(
-            spark, source=source, cities=cities, mode=mode, days=days, specific_date=specific_date, today=today
+            spark, source=source, cities=cities, mode=mode, days=days, specific_date=specific_date, today=dates[0]
         )
-    from strata.functions import strip, strip_lower
-
-    part_metrics = metrics.partition_metrics(
+    required = [c.name for c in R.LISTINGS if not c.nullable and c.name in R.BRONZE_COLUMNS]
+    part_metrics = materialize(metrics.partition_metrics(
         raw, wanted,
         entity_clean={"neighbourhood": strip("neighbourhood"), "city": strip_lower("city")},
-        tiebreak=tiebreak,
-    )
+        tiebreak=tiebreak, required=required,
+    ), "partition-metrics")
+    part = list(metrics.PARTITION_COLUMNS)
+    bad = part_metrics.where(F.col("status") == R.STATUS_ERROR).select(*part)
+    if bad.limit(1).count():  # a row per failing partition
+        raw = raw.join(F.broadcast(bad), part, "left_anti")
     # the deduplicated, cleaned rows are stored once; both silver frames derive from them
     frames = silver.frames_from_latest(materialize(silver.latest_rows(raw, tiebreak=tiebreak), "silver-batch"))
-    # stored and measured once: the merge, the gate and the row count all read it
-    mode, batch = merge.choose_strategy(frames.listings, "auto", merge.DEFAULT_BROADCAST_BYTES)
-    hood_batch = frames.neighbourhoods
+    # stored once: the merge, the gate and the row count all read it
+    batch = materialize(frames.listings, "listings-batch")
+    hoods = materialize(frames.neighbourhoods, "neighbourhoods-batch")
     for table in (listings, neighbourhoods):
         table.create() if auto_create else table.verify()
-    merged = merge.upsert_hash_guarded(listings.read(), batch, batch_ts=batch_ts, strategy=mode)
-    n_listings = listings.write(merged, batch=batch)
-    merged_hoods = merge.upsert_overwrite(neighbourhoods.read(), hood_batch, batch_ts=batch_ts)
-    n_hoods = neighbourhoods.write(merged_hoods, batch=hood_batch.withColumn("loaded_at", F.lit(batch_ts).cast("timestamp")))
-    return SilverResult(part_metrics, metrics.rollup(part_metrics), n_listings, n_hoods)
+    how, batch = merge.choose_strategy(batch, "auto", merge.DEFAULT_BROADCAST_BYTES, stored=True)
+    n_listings = listings.merge(batch, lambda old, new: merge.upsert_hash_guarded(old, new, batch_ts=batch_ts, strategy=how))
+    n_hoods = neighbourhoods.merge(
+        hoods, lambda old, new: merge.upsert_overwrite(old, new, batch_ts=batch_ts),
+        gate_rows=hoods.withColumn("loaded_at", F.lit(batch_ts).cast("timestamp")),
+    )
+    rollup = metrics.rollup(part_metrics)
+    return SilverResult(part_metrics, rollup, n_listings, n_hoods, rollup.first()["status"])
 
 
 HISTORY_REGISTRY = tuple(
@@ -147,43 +167,50 @@ DIM_REGISTRY = (
 
 
 class History:
-    """SCD2 history as two stores, so a run does not rewrite old versions.
-
-    * current versions: a :class:`VersionedTable` rewritten each run (size = number of keys);
-    * closed versions: append-only Parquet, one folder per run (``run=<batch time>``,
-      dynamic overwrite, so a rerun of the same run replaces its own folder only).
+    """SCD2 history in one table: current versions in hash buckets of the business key, and
+    folders of closed versions.
 
-    A run writes the versions it closed first, then commits the new current table; a
-    failure in between leaves the old current table, and the rerun rewrites the same
-    closed folder.
+    A run rewrites only the buckets in which a version opened or closed and adds one folder
+    with the versions it closed; both become visible in the same commit. A run that fails
+    before it leaves nothing behind that a reader or a retry would see.
     """
 
     def __init__(self, spark: SparkSession, root: str, name: str = "listing_history"):
         self.spark = spark
-        self.current = VersionedTable(spark, f"{root.rstrip('/')}/current", HISTORY_REGISTRY, f"{name}_current")
-        self.closed_root = f"{root.rstrip('/')}/closed"
+        self.current = VersionedTable(spark, root, HISTORY_REGISTRY, name, bucket_by=tuple(R.key_columns(R.LISTINGS)))
 
     def exists(self) -> bool:
         return self.current.exists()
 
     def read(self) -> DataFrame:
-        cur = self.current.read()
-        schema = T.StructType(list(cur.schema.fields) + [T.StructField("run", T.StringType())])
-        try:
-            closed = self.spark.read.schema(schema).parquet(self.closed_root).drop("run")
-        except Exception:  # no run closed anything yet
-            return cur
-        return closed.unionByName(cur)
-
-    def apply(self, versions: DataFrame, run_id: str) -> None:
-        """Store a snapshot result computed from the *current* versions only."""
-        done = materialize(versions, "history-run")
-        closed = done.where(F.col("valid_to").isNotNull()).withColumn("run", F.lit(run_id))
-        (
-            closed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run").parquet(self.closed_root)
-        )
-        self.current.write(done.where(F.col("valid_to").isNull()))
+        return self.current.read_closed().unionByName(self.current.read())
+
+    def stage(self, versions: DataFrame) -> DataFrame:
+        """Store a snapshot result (computed from the *current* versions) outside the table."""
+        return materialize(versions, "history-run")
+
+    def candidate(self, staged: DataFrame) -> DataFrame:
+        """The whole history as it will be once ``staged`` is published."""
+        return self.current.read_closed().unionByName(staged.select(self.current.schema().names))
+
+    def publish(self, staged: DataFrame, batch_ts) -> None:
+        ts = as_timestamp(batch_ts)
+        changed = staged.where(F.col("valid_to").isNotNull() | (F.col("valid_from") == ts))
+        touched = self.current.touched(changed)
+        if not touched and self.exists():
+            return
+        closed = staged.where(F.col("valid_to").isNotNull())
+        folders = []
+        if closed.limit(1).count():
+            folders = [f"{self.current.root}/data/{uuid.uuid4().hex}"]
+            closed.select(self.current.schema().names).write.parquet(folders[0])
+        now = staged.where(F.col("valid_to").isNull())
+        if self.exists():
+            now = now.where(self.current.bucket().cast("string").isin(touched))
+        self.current.replace(now, touched if self.exists() else None, closed=folders)
+
+    def apply(self, versions: DataFrame, batch_ts) -> None:
+        self.publish(self.stage(versions), batch_ts)
 
 
 @dataclass
@@ -196,8 +223,9 @@ class GoldResult:
 def silver_to_gold(
     spark: SparkSession,
     *,
-    listings: VersionedTable,
-    neighbourhoods: VersionedTable,
+    listings: VersionedTable | None = None,
+    neighbourhoods: VersionedTable | None = None,
+    sources: Sources | None = None,
     history: History,
     dimension: VersionedTable,
     batch_ts,
@@ -205,20 +233,30 @@ def silver_to_gold(
     run_tests: bool = True,
 ) -> GoldResult:
     """Snapshot silver listings into the history (O24), grow the dimension (O26), expose
-    the fact view (O29) and gate on the gold data tests (O28). Only current versions enter
-    the snapshot; closed versions are appended, never rewritten."""
+    the fact view (O29) and gate on the gold data tests (O28).
+
+    Inputs are the named sources (O7) ``silver.rental_listings`` and
+    ``silver.neighbourhoods``. The tests run on the candidate tables; only a candidate
+    that passes is published, the dimension first (the facts refer to it).
+    """
+    sources = sources or Sources({("silver", "rental_listings"): listings, ("silver", "neighbourhoods"): neighbourhoods})
     current = history.current.read() if history.exists() else None
-    versions = scd2.scd2_snapshot(
-        current, listings.read(), key_cols=R.key_columns(R.LISTINGS), batch_ts=batch_ts,
+    staged = history.stage(scd2.scd2_snapshot(
+        current, sources.source("silver", "rental_listings"), key_cols=R.key_columns(R.LISTINGS), batch_ts=batch_ts,
         columns=gold.HISTORY_COLUMNS, since=since, recency_col=R.RECENCY_COLUMN if since else None,
-    )
-    history.apply(versions, str(batch_ts).replace(" ", "T").replace(":", "-"))
+    ))
     dim = dimension.read() if dimension.exists() else None
-    new_dim = gold.dim_insert_only(dim, neighbourhoods.read())
-    dimension.write(new_dim, gate=False)
-    fact = gold.fact_view(history.read())
-    dim_now = dimension.read()
-    tests = checks.gold_tests(fact, dim_now)
+    new_dim = materialize(gold.dim_insert_only(dim, sources.source("silver", "neighbourhoods")), "dimension-run")
+    tests = checks.gold_tests(gold.fact_view(history.candidate(staged)), new_dim)
     if run_tests:
+        tests = materialize(tests, "gold-tests")
         checks.gate(tests)
-    return GoldResult(fact, dim_now, tests)
+    if dim is None or set(new_dim.columns) - set(dim.columns):
+        dimension.replace(new_dim)
+    else:
+        fresh = new_dim.join(dim.select(gold.HOOD_SK), gold.HOOD_SK, "left_anti")
+        touched = dimension.touched(fresh)
+        if touched:
+            dimension.replace(new_dim.where(dimension.bucket().cast("string").isin(touched)), touched)
+    history.publish(staged, batch_ts)
+    return GoldResult(gold.fact_view(history.read()), dimension.read(), tests)

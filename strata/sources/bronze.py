@@ -13,10 +13,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from strata import registry as R
 from strata.functions import as_timestamp
+from strata.sources import files
 
 PARTITION_COLUMNS = ("source", "city", "dt")
 MANIFEST_DIR = "_manifest"
@@ -41,9 +41,12 @@ def _day_text(day) -> str:
 
 def write_bronze(df: DataFrame, root: str, partition_cols=PARTITION_COLUMNS) -> None:
     """O2: write rows under their partition folders; a rerun replaces only the partitions
-    it writes (dynamic overwrite), so reruns are idempotent and other days stay."""
+    it writes (dynamic overwrite), so reruns are idempotent and other days stay.
+
+    Rows are rebalanced on the partition columns first: a small partition becomes one file,
+    a large one is split over several tasks."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *partition_cols).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)
         .parquet(root)
@@ -74,27 +77,16 @@ def read_bronze(
     (``PartitionFilters`` in the plan); non-Parquet and ``_``-prefixed files are skipped.
     """
     schema = schema or bronze_schema(partition_cols)
-    try:
-        df = spark.read.schema(schema).parquet(root)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-    preds = []
-    if source is not None:
-        preds.append(F.col("source") == F.lit(source))
-    if cities is not None:
-        preds.append(F.col("city").isin(list(cities)))
-    if dates is not None:
-        preds.append(F.col("dt").isin([_day_text(d) for d in dates]))
-    return df.where(reduce(lambda a, b: a & b, preds)) if preds else df
+    return read_partitioned(spark, root, schema, source=source, city=cities, dt=dates)
 
 
 def read_partitioned(spark: SparkSession, root: str, schema: T.StructType, **wanted) -> DataFrame:
     """O1 for any partition layout: ``column=value`` or ``column=[values]`` predicates on
-    partition columns (pruned at planning time); an empty frame when nothing is there."""
-    try:
-        df = spark.read.schema(schema).parquet(root)
-    except AnalysisException:
+    partition columns (pruned at planning time). A root that does not exist is an empty
+    frame; any other error is raised."""
+    if not files.exists(spark, root):
         return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).parquet(root)
     for col, value in wanted.items():
         if value is None:
             continue
@@ -139,7 +131,7 @@ def manifest(
 def write_manifest(manifest_df: DataFrame, root: str, partition_cols=PARTITION_COLUMNS) -> None:
     """O3 sink: JSON documents under ``<root>/_manifest/<partition>/``."""
     (
-        manifest_df.coalesce(1)
+        manifest_df.repartition(*partition_cols)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)
@@ -147,12 +139,13 @@ def write_manifest(manifest_df: DataFrame, root: str, partition_cols=PARTITION_C
     )
 
 
-def wanted_dates(*, mode: str, days: int = 1, specific_date=None, today) -> list[str]:
+def wanted_dates(*, mode: str, days: int = 1, specific_date=None, today=None) -> list[str]:
     """The partition dates of a run, newest first (pure parameter arithmetic)."""
     if mode == R.MODE_SPECIFIC_DATE:
         if not specific_date:
             raise ValueError("specific_date is required when mode is SPECIFIC_DATE")
         return [_day_text(specific_date)]
+    today = dt.datetime.now(dt.timezone.utc) if today is None else today
     base = today if isinstance(today, dt.date) else dt.date.fromisoformat(str(today)[:10])
     if isinstance(base, dt.datetime):
         base = base.date()
@@ -167,7 +160,7 @@ def wanted_partitions(
     mode: str = R.MODE_LAST_DAYS,
     days: int = 1,
     specific_date=None,
-    today,
+    today=None,
 ) -> DataFrame:
     """Wanted (source, city, dt) partitions as a frame of ``len(dates) * len(cities)``
     rows (a parameter-sized frame, safe to broadcast); ``rank`` keeps newest-first order."""

@@ -9,8 +9,9 @@ structs or a string map, higher-order array functions for the attribute list. No
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,9 +75,16 @@ STATE_SCRIPT_ID = "__NEXT_DATA__"
 # End of fixed values.
 # ---------------------------------------------------------------------------------------
 
-_LD_SCRIPT = r"""(?is)<script\b[^>]*\btype\s*=\s*["']?application/ld\+json["']?[^>]*>(.*?)</script>"""
-_STATE_SCRIPT = r"""(?is)<script\b[^>]*\bid\s*=\s*["']?__NEXT_DATA__["']?[^>]*>(.*?)</script>"""
+# An attribute follows white space and its value is closed, so data-id or a longer id do not
+# match; comments are removed before a script is looked for.
+_COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+_VALUE = r"""(?:"{0}"|'{0}'|{0}(?=[\s>]))"""
+_LD_SCRIPT = r"(?is)<script(?=\s)[^>]*?\stype\s*=\s*" + _VALUE.format(r"application/ld\+json") + r"[^>]*>(.*?)</script>"
+_STATE_SCRIPT = r"(?is)<script(?=\s)[^>]*?\sid\s*=\s*" + _VALUE.format("__NEXT_DATA__") + r"[^>]*>(.*?)</script>"
 _FIRST_SCRIPT = r"(?is)<script\b[^>]*>(.*?)</script>"
+# JSON details that a typed parse does not tell: an explicit null list, an amount given as text.
+_NULL_VALUES = r'(?<!\\)"values"\s*:\s*null'
+_TEXT_AMOUNT = r'(?<!\\)"price"\s*:\s*\{[^{}]*?(?<!\\)"amount"\s*:\s*"'
 
 SEARCH_SCHEMA = T.StructType(
     [
@@ -133,7 +141,7 @@ LISTING_SCHEMA = T.StructType(
                     T.StructField("address", T.StringType()),
                     T.StructField(
                         "coordinates",
-                        T.StructType([T.StructField("latitude", T.DoubleType()), T.StructField("longitude", T.DoubleType())]),
+                        T.StructType([T.StructField("latitude", T.StringType()), T.StructField("longitude", T.StringType())]),
                     ),
                     T.StructField("neighbourhoodInfo", T.StructType([T.StructField("__ref", T.StringType())])),
                 ]
@@ -144,7 +152,7 @@ LISTING_SCHEMA = T.StructType(
     ]
 )
 
-_SCORE = T.StructType([T.StructField("score", T.DoubleType())])
+_SCORE = T.StructType([T.StructField("score", T.StringType())])
 HOOD_SCHEMA = T.StructType(
     [
         T.StructField("name", T.StringType()),
@@ -165,18 +173,25 @@ HOOD_SCHEMA = T.StructType(
 )
 
 
-def _script(html: Column, pattern: str) -> Column:
-    """Body of the first matching script; null when absent or empty."""
+def _script(html: Column, pattern: str, *, comments: bool = True) -> Column:
+    """Body of the first matching script outside comments; null when absent or empty."""
+    if comments:
+        html = F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, _COMMENT, "")).otherwise(html)
     body = F.regexp_extract(html, pattern, 1)
     return F.when(F.length(body) > 0, body)
 
 
+def _number(text: Column) -> Column:
+    """A JSON number or number text as a double; null if it is neither (or is missing)."""
+    return parse_float(text)
+
+
 # ------------------------------------------------------------------ O8a, O8b, O10
 
 
 def first_script(html) -> Column:
     """Body of a page's first ``<script>`` (null if none or empty)."""
-    return _script(F.col(html) if isinstance(html, str) else html, _FIRST_SCRIPT)
+    return _script(F.col(html) if isinstance(html, str) else html, _FIRST_SCRIPT, comments=False)
 
 
 def search_items(pages: DataFrame, *, html_col: str = "html", keep_cols=("page_id", "city")) -> DataFrame:
@@ -222,19 +237,21 @@ def page_summary(items: DataFrame, listings: DataFrame | None = None, *, page_co
 
 
 def attribute_map(all_attrs: Column) -> Column:
-    """name -> first value, the *last* attribute winning for a repeated name.
+    """name -> first value of the mapped attributes, the *last* one winning for a repeated name.
 
-    Earlier duplicates are dropped before the map is built (so no session-wide key-dedup
-    policy is needed); attributes without a name are left out.
+    Only the names that become columns are kept, in one pass; a repeated name is dropped
+    from the map before its later value is added, so no key-dedup policy is needed and the
+    map never holds more entries than there are columns.
     """
-    names = F.transform(all_attrs, lambda a: a.getField("name"))
-    last = F.filter(
-        all_attrs,
-        lambda a, i: a.getField("name").isNotNull()
-        & ~F.array_contains(F.slice(names, i + 2, F.size(names) + 1), a.getField("name")),
-    )
-    entries = F.transform(last, lambda a: F.struct(a.getField("name").alias("k"), F.get(a.getField("values"), 0).alias("v")))
-    return F.map_from_entries(entries)
+    wanted = F.array(*[F.lit(n) for n in ATTRIBUTE_FIELDS])
+    known = F.filter(all_attrs, lambda a: F.array_contains(wanted, a.getField("name")))
+    none = F.create_map().cast("map<string,string>")
+
+    def add(found: Column, a: Column) -> Column:
+        name = a.getField("name")
+        return F.map_concat(F.map_filter(found, lambda k, _: k != name), F.create_map(name, F.get(a.getField("values"), 0)))
+
+    return F.aggregate(known, none, add)
 
 
 def _attribute(attr_map: Column, name: str) -> Column:
@@ -254,12 +271,14 @@ def extract_listings(
     now,
     url_col: str = "url",
     html_col: str = "html",
-    city_col: str = "city",
+    city_col: str | None = "city",
     keep_cols=(),
 ) -> DataFrame:
     """O8c-O8i: detail pages to bronze records plus ``reject_reason`` (null = accepted).
 
     ``now`` is the reference time for "not in the future"; ``scraped_at`` the batch time.
+    Without ``city_col`` the city stays null and is not checked: a scrape takes it from the
+    search page that listed the URL.
     """
     # Staged projections: every expensive step (regex over the page, each JSON parse) is
     # computed once into a column and later steps read the column. Higher-order functions
@@ -309,14 +328,24 @@ def extract_listings(
 
     price = L.getField("price")
     has_amount = price.isNotNull() & F.map_contains_key(price, "amount")
-    amount = F.try_element_at(price, F.lit("amount")).try_cast("double")
-    rent = F.when(~has_amount, F.lit(0.0)).otherwise(cents_to_amount(amount))
+    amount = _number(F.try_element_at(price, F.lit("amount")))
+    # A JSON number follows the cents rule; an amount given as text is taken as it reads.
+    as_text = F.regexp_like(F.col("_raw_listing"), F.lit(_TEXT_AMOUNT))
+    amount_given = F.try_element_at(price, F.lit("amount")).isNotNull()
+    rent = F.when(~has_amount, F.lit(0.0)).when(as_text, amount).otherwise(cents_to_amount(amount))
 
     activation = F.coalesce(
         F.when(_nonempty(L.getField("activationDate")), L.getField("activationDate")),
         F.when(_nonempty(F.col("_page_activation")), F.col("_page_activation")),
     )
 
+    measured = {
+        "latitude": loc.getField("coordinates").getField("latitude"),
+        "longitude": loc.getField("coordinates").getField("longitude"),
+        "walk_score": transport.getField("walk").getField("score"),
+        "transit_score": transport.getField("transit").getField("score"),
+        "bike_score": transport.getField("cycle").getField("score"),
+    }
     record = {
         "listing_id": F.col("_id"),
         "url": F.col(url_col),
@@ -325,14 +354,10 @@ def extract_listings(
         "title": L.getField("title"),
         "description": L.getField("description"),
         "street": loc.getField("address"),
-        "city": F.col(city_col),
+        "city": F.col(city_col) if city_col else F.lit(None).cast("string"),
         "neighbourhood": hood.getField("name"),
         "rent": rent,
-        "latitude": loc.getField("coordinates").getField("latitude"),
-        "longitude": loc.getField("coordinates").getField("longitude"),
-        "walk_score": transport.getField("walk").getField("score"),
-        "transit_score": transport.getField("transit").getField("score"),
-        "bike_score": transport.getField("cycle").getField("score"),
+        **{name: _number(text) for name, text in measured.items()},
         "images": F.coalesce(L.getField("imageUrls"), F.array().cast(T.ArrayType(T.StringType()))),
         "scraped_at": as_timestamp(scraped_at),
     }
@@ -351,12 +376,12 @@ def extract_listings(
         ("invalid_document", F.col("_doc").isNull() | F.col("_doc.props").isNull()),
         ("no_listing_id", ~_nonempty(F.col("_id"))),
         ("no_listing_data", ~F.col("_has_listing") | L.isNull()),
-        ("bad_attributes", bad_attrs),
-        ("missing_required", reduce(lambda a, b: a | b, [record[c].isNull() for c in ("url", "title", "description", "street", "city")])),
+        ("bad_attributes", bad_attrs | F.regexp_like(F.col("_raw_listing"), F.lit(_NULL_VALUES))),
+        ("missing_required", reduce(lambda a, b: a | b, [record[c].isNull() for c in ("url", "title", "description", "street", *(["city"] if city_col else []))])),
         ("bad_url", ~(F.col(url_col).startswith("http://") | F.col(url_col).startswith("https://"))),
         ("bad_published_at", record["published_at"].isNull() | ~aware | (record["published_at"] > as_timestamp(now))),
-        ("bad_city", ~record["city"].isin(*R.CITIES)),
-        ("bad_rent", record["rent"].isNotNull() & ((record["rent"] <= 0) | F.isnan(record["rent"]))),
+        *([("bad_city", ~record["city"].isin(*R.CITIES))] if city_col else []),
+        ("bad_rent", (amount_given & amount.isNull()) | (record["rent"].isNotNull() & ((record["rent"] <= 0) | F.isnan(record["rent"])))),
         (
             "bad_count",
             reduce(
@@ -365,6 +390,7 @@ def extract_listings(
                 + [F.coalesce(F.isnan(record["size_sqft"]), F.lit(False))],
             ),
         ),
+        ("bad_number", reduce(lambda a, b: a | b, [text.isNotNull() & _number(text).isNull() for text in measured.values()])),
         (
             "bad_score",
             reduce(
@@ -419,34 +445,33 @@ def filter_published(df: DataFrame, *, mode: str, now=None, days: int = 7, speci
     return df
 
 
-def scrape(
-    search_pages: DataFrame,
-    detail_pages: DataFrame,
-    *,
-    website: str,
-    scraped_at,
-    now,
-    mode: str = R.MODE_LAST_DAYS,
-    days: int = 7,
-    specific_date=None,
-):
-    """Search pages -> organic items; detail pages -> records; items joined to records on
-    URL -> date filter. Returns ``(listings, rejects, summary)``.
-
-    Detail pages (one per fetched URL) are parsed where they are read, with no shuffle;
-    only the compact records, not the HTML, meet the items in the URL join. An item whose
-    page is missing or rejected counts as failed for its search page. A URL listed on many
-    search pages is a hot join key on the item side, which adaptive execution splits.
+class Scraped(NamedTuple):
+    listings: DataFrame
+    rejects: DataFrame
+    summary: DataFrame
+
+
+def scrape(search_pages: DataFrame, detail_pages: DataFrame, *, website: str, scraped_at, now) -> Scraped:
+    """Search pages -> organic items; detail pages -> records; items joined to records on URL.
+
+    A listing takes the city of the search page that lists it; an item whose city is not
+    served counts as failed, like one whose page is missing or rejected. Of several pages
+    stored for one URL the first by record content counts. Items and the URL join are
+    stored once: listings, summary and counts read them. Detail pages (one per fetched URL)
+    are parsed where they are read, with no shuffle; only the compact records, not the
+    HTML, meet the items. A URL listed on many search pages is a hot join key on the item
+    side, which adaptive execution splits.
     """
+    from strata.session import materialize
+
     items = search_items(search_pages)
-    records = extract_listings(
-        detail_pages, website=website, scraped_at=scraped_at, now=now, city_col="city"
-    ).withColumnRenamed("city", "_page_city")
+    records = extract_listings(detail_pages, website=website, scraped_at=scraped_at, now=now, city_col=None)
     good, bad = split(records)
-    linked = items.where(F.col("url").isNotNull()).join(good, "url", "inner")
-    listings = linked.select(
-        *[F.col("_page_city").alias("city") if c == "city" else F.col(c) for c in R.BRONZE_COLUMNS], "page_id", "position"
-    )
-    listings = filter_published(listings, mode=mode, now=now, days=days, specific_date=specific_date)
-    summary = page_summary(items, linked.select("page_id", "position").withColumn("reject_reason", F.lit(None).cast("string")))
-    return listings.drop("page_id", "position"), bad.withColumnRenamed("_page_city", "city"), summary
+    first = Window.partitionBy("url").orderBy("listing_id", "published_at", F.xxhash64(*[c for c in good.columns if c not in ("url", "city")]))
+    good = good.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn", "city")
+    served = F.col("city").isin(*R.CITIES)
+    linked = materialize(items.join(good, "url", "left").withColumn("_ok", F.col("listing_id").isNotNull() & served), "scraped-items")
+    summary = linked.groupBy("page_id").agg(
+        F.count(F.lit(1)).alias("organic_items"), F.count_if(F.coalesce("_ok", F.lit(False))).alias("parsed")
+    ).withColumn("failed", F.col("organic_items") - F.col("parsed"))
+    return Scraped(linked.where("_ok").select(*R.BRONZE_COLUMNS), bad.drop("city"), summary)

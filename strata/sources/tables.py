@@ -1,63 +1,113 @@
 """Versioned Parquet tables: the keyed silver/gold sink (O5) and named sources.
 
-A table is a folder of versions ``<root>/version=<n>/`` plus commit markers under
-``<root>/_commits/``. A merge reads the current version and writes version n+1 (never the
-folder it reads: a lazy plan must not overwrite its own input). The new version becomes
-current only when its marker is written, after the data write succeeded, so a failed or
-interrupted job leaves the previous version current. Versions are immutable, which also
-makes every written version a lineage cut for the next run.
+A table is a folder of data folders that are never rewritten and of commits. Commit n is
+one small JSON file that names the folder of each hash bucket of the key, so a merge joins
+and rewrites only the buckets that its batch touches and links the others. A commit is
+claimed by creating its file exclusively: of two writers that started from the same
+version, the second one fails (``write``) or merges again on top of the first
+(``merge``). All that belongs to a run (closed history, stream progress) is part of the
+same commit, so readers see either all of it or nothing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+import json
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata import registry as R
 from strata.operators import checks
+from strata.sources import files
 
 COMMITS = "_commits"
+BUCKET = "__bucket"
+
+
+class WriteConflict(RuntimeError):
+    """Another writer committed the version that this one was about to commit."""
+
+
+@dataclass
+class Commit:
+    """What one version of a table consists of."""
+
+    version: int
+    schema: str
+    paths: dict[str, str] = field(default_factory=dict)  # bucket -> data folder
+    closed: list[str] = field(default_factory=list)  # folders of closed history versions
+    streams: dict[str, int] = field(default_factory=dict)  # stream identity -> last batch applied
 
 
 @dataclass
 class VersionedTable:
+    """``buckets``: hash buckets of ``bucket_by`` (default: the key); fixed when the table is created.
+    ``evolve``: columns beyond the registry are stored too, appended when a state brings them."""
+
     spark: SparkSession
     root: str
     registry: tuple
     name: str = "table"
-
-    def _path(self, version: int) -> str:
-        return f"{self.root.rstrip('/')}/version={version:06d}"
-
-    def _commits(self) -> str:
-        return f"{self.root.rstrip('/')}/{COMMITS}"
+    buckets: int = 16
+    bucket_by: tuple = ()
+    evolve: bool = False
 
     def __post_init__(self):
-        self._known: int | None = None
+        self.root = self.root.rstrip("/")
+        self._seen: Commit | None = None
         self._loaded = False
 
+    # ------------------------------------------------------------- commits
+
+    def _marker(self, version: int) -> str:
+        return f"{self.root}/{COMMITS}/{version:08d}.json"
+
     def refresh(self) -> int | None:
-        """Re-read the newest committed version (a one-row aggregate over the markers)."""
-        try:
-            markers = self.spark.read.schema("version INT, committed_at TIMESTAMP").json(self._commits())
-            row = markers.agg(F.max("version").alias("v")).first()
-        except AnalysisException:
-            row = None
-        self._known = None if row is None or row["v"] is None else int(row["v"])
-        self._loaded = True
-        return self._known
+        """Re-read the newest complete commit. A marker without content is a claim whose
+        writer has not finished (or died); it never becomes current."""
+        self._seen, self._loaded = None, True
+        for name in reversed(files.names(self.spark, f"{self.root}/{COMMITS}")):
+            if name.endswith(".json"):
+                text = files.read(self.spark, f"{self.root}/{COMMITS}/{name}")
+                if text.endswith("\n"):
+                    self._seen = Commit(**json.loads(text))
+                    break
+        return None if self._seen is None else self._seen.version
+
+    def _base(self) -> Commit | None:
+        if not self._loaded:
+            self.refresh()
+        return self._seen
+
+    def _commit(self, base: Commit | None, commit: Commit) -> None:
+        """Claim the version after ``base``. Versions claimed by dead writers are passed over;
+        one with content means that somebody else was first."""
+        version = -1 if base is None else base.version
+        while True:
+            version += 1
+            commit.version = version
+            try:
+                files.create(self.spark, self._marker(version), json.dumps(vars(commit)) + "\n")
+                break
+            except files.AlreadyThere:
+                if files.read(self.spark, self._marker(version)).endswith("\n"):
+                    self._loaded = False
+                    raise WriteConflict(f"{self.name}: version {version} was committed by another writer") from None
+        self._seen, self._loaded = commit, True
 
     def current_version(self) -> int | None:
         """Newest committed version; read once, then kept up to date by this object's own
         commits (call :meth:`refresh` to see commits made elsewhere)."""
-        return self._known if self._loaded else self.refresh()
+        base = self._base()
+        return None if base is None else base.version
 
     def exists(self) -> bool:
-        return self.current_version() is not None
+        return self._base() is not None
 
     def verify(self) -> None:
         """O5 verify mode: the table must already exist."""
@@ -65,50 +115,149 @@ class VersionedTable:
             raise RuntimeError(f"table {self.name} does not exist at {self.root}; create it first")
 
     def create(self) -> None:
-        """O5 auto-create: an empty committed version 0 with the registry schema."""
-        if self.exists():
-            return
-        empty = self.spark.createDataFrame([], R.spark_schema(self.registry))
-        self._commit(empty, 0)
+        """O5 auto-create: an empty version 0 with the registry schema; a table that another
+        writer creates meanwhile is used."""
+        if not self.exists():
+            try:
+                self._commit(None, Commit(0, R.spark_schema(self.registry).json()))
+            except WriteConflict:
+                self.refresh()
+
+    # ------------------------------------------------------------- reading
+
+    def schema(self) -> T.StructType:
+        base = self._base()
+        return R.spark_schema(self.registry) if base is None else T.StructType.fromJson(json.loads(base.schema))
+
+    def _frame(self, paths: list[str], schema: T.StructType) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def read(self) -> DataFrame:
         """Current rows (empty frame with the registry schema before the first write)."""
-        v = self.current_version()
-        if v is None:
-            return self.spark.createDataFrame([], R.spark_schema(self.registry))
-        return self.spark.read.schema(R.spark_schema(self.registry)).parquet(self._path(v))
-
-    def _commit(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(self._path(version))
-        marker = self.spark.range(1).select(
-            F.lit(version).alias("version"), F.current_timestamp().alias("committed_at")
-        )
-        marker.coalesce(1).write.mode("append").json(self._commits())
-        self._known, self._loaded = version, True
+        base = self._base()
+        return self._frame(sorted(base.paths.values()) if base else [], self.schema())
 
-    def write(self, new_state: DataFrame, *, batch: DataFrame | None = None, gate: bool = True) -> int:
-        """Replace the table with ``new_state`` (the merge result) as a new version.
-
-        ``batch`` is the input sent to the merge. Its rows are what the gate checks (NOT
-        NULL columns and key uniqueness): stored rows passed the gate when they were
-        written and a merge of unique keys keeps keys unique, so checking the batch checks
-        the new state without a pass over the whole table. Any violation raises
-        :class:`checks.GateError` before anything is written. Returns the number of rows
-        sent; an empty batch writes nothing. Without a batch the state is written as is.
-        """
+    def read_closed(self) -> DataFrame:
+        base = self._base()
+        return self._frame(base.closed if base else [], self.schema())
+
+    def data_folders(self) -> dict[str, str]:
+        base = self._base()
+        return dict(base.paths) if base else {}
+
+    # ------------------------------------------------------------- writing
+
+    def bucket(self):
+        keys = list(self.bucket_by or R.key_columns(self.registry))
+        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int") if keys else F.lit(0)
+
+    def touched(self, rows: DataFrame) -> list[str]:
+        """The buckets that the keys of some rows fall in (at most ``buckets``)."""
+        return [str(r[0]) for r in rows.select(self.bucket()).distinct().collect()]
+
+    def _columns(self, state: DataFrame) -> list[str]:
+        """Registry columns, then (with ``evolve``) stored and new columns beyond it."""
         cols = R.names(self.registry, managed=True)
+        if self.evolve:
+            cols = list(dict.fromkeys([*cols, *self.schema().names, *state.columns]))
+        return cols
+
+    def _store(self, state: DataFrame) -> tuple[dict[str, str], str]:
+        cols = self._columns(state)
+        folder = f"{self.root}/data/{uuid.uuid4().hex}"
+        rows = state.select(*[c for c in cols if c in state.columns]).withColumn(BUCKET, self.bucket())
+        rows.repartition(BUCKET).write.partitionBy(BUCKET).parquet(folder)
+        made = {n.split("=", 1)[1]: f"{folder}/{n}" for n in files.names(self.spark, folder) if n.startswith(f"{BUCKET}=")}
+        fields = {f.name: f for f in [*state.schema.fields, *self.schema().fields, *R.spark_schema(self.registry).fields]}
+        return made, T.StructType([fields[c] for c in cols]).json()
+
+    def replace(self, state: DataFrame, touched: list[str] | None = None, *, closed: list[str] = (), stream: tuple[str, int] | None = None) -> int:
+        """Commit ``state`` as the rows of the touched buckets (None: of the whole table) on
+        top of the version this object last saw. Raises :class:`WriteConflict` if another
+        writer was faster; nothing of this run is visible then."""
+        base = self._base()
+        made, schema = self._store(state)
+        kept = {} if touched is None or base is None else {b: p for b, p in base.paths.items() if b not in touched}
+        self._commit(base, Commit(
+            0, schema, kept | made, [*(base.closed if base else []), *closed],
+            (base.streams if base else {}) | ({stream[0]: stream[1]} if stream else {}),
+        ))
+        return self._seen.version
+
+    def _sent(self, batch: DataFrame) -> DataFrame:
+        cols = self._columns(batch)
+        return batch.select(*[c for c in cols if c in batch.columns])
+
+    def gate(self, sent: DataFrame) -> None:
+        checks.gate(checks.constraint_violations(sent, self.registry, self.name))
+
+    def merge(
+        self, batch: DataFrame, how: Callable[[DataFrame, DataFrame], DataFrame], *,
+        gate_rows: DataFrame | None = None, gate: bool = True, stream: tuple[str, int] | None = None, attempts: int = 5,
+    ) -> int:
+        """Merge a stored ``batch``: ``how(stored rows of the touched buckets, batch)`` is their
+        new state; the other buckets keep their files. The batch (``gate_rows`` if it gets
+        its managed columns in the merge) must pass the gate: stored rows passed it when
+        they were written, and a merge of unique keys keeps keys unique. If another writer
+        commits meanwhile, the batch is merged again on top of its version. A batch of a
+        ``stream`` that the table already holds is skipped, in the same commit protocol.
+        Returns the number of rows sent; an empty batch changes no rows."""
+        sent = self._sent(gate_rows if gate_rows is not None else batch)
+        n = sent.count()
+        if gate and n:
+            self.gate(sent)
+        touched = self.touched(batch) if n else []
+        for attempt in range(attempts):
+            self.refresh()
+            base = self._base()
+            if stream and base and base.streams.get(stream[0], -1) >= stream[1]:
+                return 0
+            if not n and not stream:
+                return 0
+            stored = self._frame([base.paths[b] for b in touched if b in base.paths] if base else [], self.schema())
+            state = how(stored, batch) if n else self._frame([], self.schema())
+            try:
+                self.replace(state, touched, stream=stream)
+                return n
+            except WriteConflict:
+                if attempt == attempts - 1:
+                    raise
+        return n
+
+    def write(self, new_state: DataFrame, *, batch: DataFrame | None = None, gate: bool = True) -> int:
+        """Replace the whole table with ``new_state`` as a new version on top of the one last
+        read; :class:`WriteConflict` if somebody else committed since. ``batch`` is what the
+        gate checks; an empty batch writes nothing. Returns the number of rows sent."""
         n = 0
         if batch is not None:
-            sent = batch.select(*[c for c in cols if c in batch.columns])
+            sent = self._sent(batch)
             n = sent.count()
             if n == 0:
                 return 0
             if gate:
-                checks.gate(checks.constraint_violations(sent, self.registry, self.name))
-        current = self.current_version()
-        self._commit(new_state.select(*cols), 0 if current is None else current + 1)
+                self.gate(sent)
+        self.replace(new_state)
         return n
 
+    def expire(self, keep: int = 2) -> int:
+        """Delete commits before the last ``keep`` and the data folders that only they name.
+        Run it when no reader is on an older version; returns the number of folders deleted."""
+        folder = f"{self.root}/{COMMITS}"
+        markers = [n for n in files.names(self.spark, folder) if n.endswith(".json")]
+        texts = {n: files.read(self.spark, f"{folder}/{n}") for n in markers}
+        complete = [n for n in markers if texts[n].endswith("\n")]
+        live = {p.rsplit("/data/", 1)[1].split("/")[0] for n in complete[-keep:] for c in [Commit(**json.loads(texts[n]))] for p in [*c.paths.values(), *c.closed]}
+        past = [Commit(**json.loads(texts[n])) for n in complete[:-keep]]
+        # Only what an old commit names goes: a folder without commit may be a write under way.
+        gone = {p.rsplit("/data/", 1)[1].split("/")[0] for c in past for p in [*c.paths.values(), *c.closed]} - live
+        for n in complete[:-keep]:
+            files.delete(self.spark, f"{folder}/{n}")
+        for name in gone:
+            files.delete(self.spark, f"{self.root}/data/{name}")
+        return len(gone)
+
 
 class Sources:
     """Named tables (``source('silver', 'rental_listings')``) as lazy DataFrames."""
@@ -120,6 +269,8 @@ class Sources:
         self._tables[(schema, name)] = table
 
     def source(self, schema: str, name: str) -> DataFrame:
+        if (schema, name) not in self._tables:
+            raise KeyError(f"no source {schema}.{name}; known: {sorted('.'.join(k) for k in self._tables)}")
         t = self._tables[(schema, name)]
         return t.read() if isinstance(t, VersionedTable) else t
 

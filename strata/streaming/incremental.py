@@ -7,8 +7,10 @@ clean + dedup the micro-batch (O11-O21) and apply the guarded merges (O22, O23)
 versioned tables. ``availableNow`` processes what is there and stops, like a scheduled
 run; a continuous trigger keeps the tables current as files arrive.
 
-Exactly-once: a micro-batch id is recorded with the table version it produced; a batch
-replayed after a failure finds its id already committed and is skipped.
+Effectively once for each table: the identity of the checkpoint and the micro-batch id are
+part of the commit that the batch produced, so a batch replayed after a failure is skipped by
+the table that holds it and applied by the one that does not. A new checkpoint location is
+a new stream: it reads all files again, and the merges are idempotent.
 """
 
 from __future__ import annotations
@@ -18,49 +20,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from strata import registry as R
 from strata.operators import merge, silver
 from strata.session import materialize
-from strata.sources.tables import VersionedTable
-
-
-def _already_done(table: VersionedTable, batch_id: int, stream: str) -> bool:
-    try:
-        done = table.spark.read.schema("stream STRING, batch_id LONG").json(f"{table.root.rstrip('/')}/_stream")
-    except Exception:  # no marker yet
-        return False
-    return done.where((F.col("stream") == stream) & (F.col("batch_id") == batch_id)).limit(1).count() > 0
-
-
-def _mark_done(table: VersionedTable, batch_id: int, stream: str) -> None:
-    marker = table.spark.range(1).select(F.lit(stream).alias("stream"), F.lit(batch_id).cast("long").alias("batch_id"))
-    marker.coalesce(1).write.mode("append").json(f"{table.root.rstrip('/')}/_stream")
+from strata.sources.tables import VersionedTable, batch_time
 
 
 def silver_micro_batch(
     listings: VersionedTable,
     neighbourhoods: VersionedTable,
     *,
-    stream: str = "bronze-to-silver",
+    stream: str,
     tiebreak=None,
 ):
-    """The ``foreachBatch`` function: one micro-batch of bronze rows into both tables."""
+    """The ``foreachBatch`` function: one micro-batch of bronze rows into both tables.
+
+    ``stream`` identifies the query's checkpoint: batch ids count from 0 in each checkpoint
+    location, so an id means something only together with it."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if _already_done(listings, batch_id, stream):
-            return
-        batch_ts = F.current_timestamp()
         frames = silver.transform_to_silver(batch, tiebreak=tiebreak)
         rows = materialize(frames.listings)
         hoods = materialize(frames.neighbourhoods)
         listings.create()
         neighbourhoods.create()
-        listings.write(merge.upsert_hash_guarded(listings.read(), rows), batch=rows)
-        neighbourhoods.write(
-            merge.upsert_overwrite(neighbourhoods.read(), hoods, batch_ts=batch_ts),
-            batch=hoods.withColumn("loaded_at", batch_ts),
+        done = (stream, int(batch_id))
+        batch_ts = batch_time()
+        listings.merge(rows, lambda old, new: merge.upsert_hash_guarded(old, new, batch_ts=batch_ts), stream=done)
+        neighbourhoods.merge(
+            hoods, lambda old, new: merge.upsert_overwrite(old, new, batch_ts=batch_ts),
+            gate_rows=hoods.withColumn("loaded_at", F.lit(batch_ts).cast("timestamp")), stream=done,
         )
-        _mark_done(listings, batch_id, stream)
 
     return run
 
@@ -83,7 +72,7 @@ def start_bronze_to_silver(
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     source = reader.parquet(bronze_root)
     writer = (
-        source.writeStream.foreachBatch(silver_micro_batch(listings, neighbourhoods, tiebreak=tiebreak))
+        source.writeStream.foreachBatch(silver_micro_batch(listings, neighbourhoods, stream=checkpoint_location, tiebreak=tiebreak))
         .option("checkpointLocation", checkpoint_location)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -17,7 +17,7 @@ def spark():
 
     scratch = tempfile.mkdtemp(prefix="strata-tests-")
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '4')}]")
         .appName("strata-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

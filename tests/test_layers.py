@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import registry as R
+from strata.operators import checks, gold, silver
 from strata.plans import layers
 from strata.sources import bronze
-from strata.sources.tables import VersionedTable
+from strata.sources.tables import Sources, VersionedTable
 
 
 def _rows(spark, specs):
@@ -38,9 +40,13 @@ def test_bronze_to_silver_to_gold(spark, scratch_dir):
         "history": layers.History(spark, f"{scratch_dir}/gold/history"),
         "dim": VersionedTable(spark, f"{scratch_dir}/gold/dim", layers.DIM_REGISTRY, "dim"),
     }
-    with pytest.raises(ValueError):
-        layers.bronze_to_silver(spark, bronze_root=root, listings=t["listings"], neighbourhoods=t["hoods"],
-                                source="example", mode="specific_date", batch_ts="2026-03-01 13:00:00")
+    missing = layers.bronze_to_silver(spark, bronze_root=root, listings=t["listings"], neighbourhoods=t["hoods"],
+                                      source="example", mode="specific_date", batch_ts="2026-03-01 13:00:00")
+    assert missing.status == "error" and "specific_date" in missing.message and not t["listings"].exists()
+    # the default run looks at today's partitions, which are empty here
+    today = layers.bronze_to_silver(spark, bronze_root=root, listings=t["listings"], neighbourhoods=t["hoods"], source="example",
+                                    batch_ts="2026-03-01 13:00:00")
+    assert today.status == "completed_no_data" and today.rows_loaded == 0
 
     # run 1: only 2026-03-01, all cities
     r1 = layers.bronze_to_silver(spark, bronze_root=root, listings=t["listings"], neighbourhoods=t["hoods"],
@@ -70,3 +76,63 @@ def test_bronze_to_silver_to_gold(spark, scratch_dir):
     assert sum(1 for r in fact if r.is_current) == 3
     assert g2.dim.count() == 3
     assert all(r.failures == 0 for r in g2.tests.collect())
+
+
+def test_a_failing_partition_does_not_stop_the_others(spark, scratch_dir):
+    root = f"{scratch_dir}/bronze"
+    good = _rows(spark, [("1", "toronto", "A", 100.0, 1)])
+    broken = _rows(spark, [("2", "london", "B", 200.0, 1), ("3", "london", "B", 300.0, 1)]).withColumn("title", F.expr("if(listing_id = '2', null, title)"))
+    for rows in (good, broken):
+        bronze.write_bronze(bronze.with_partition_columns(rows, source="example", day="2026-03-01"), root)
+    listings = VersionedTable(spark, f"{scratch_dir}/silver/listings", R.LISTINGS, "rental_listings")
+    hoods = VersionedTable(spark, f"{scratch_dir}/silver/hoods", R.NEIGHBOURHOODS, "neighbourhoods")
+    run = layers.bronze_to_silver(spark, bronze_root=root, listings=listings, neighbourhoods=hoods, source="example",
+                                  mode="specific_date", specific_date="2026-03-01", batch_ts="2026-03-01 13:00:00")
+    status = {r.city: (r.status, r.rows_read, r.rows_loaded) for r in run.metrics.collect() if r.status != "completed_no_data"}
+    assert status == {"toronto": ("success", 1, 1), "london": ("error", 2, 0)}
+    assert run.status == "error" and [r.listing_id for r in listings.read().collect()] == ["1"]
+
+
+def _versions(spark, *rows):
+    """History rows of (listing, rent, valid_from day, valid_to day)."""
+    cols = list(gold.HISTORY_COLUMNS)
+    types = {c.name: c.dtype for c in layers.HISTORY_REGISTRY}
+    schema = T.StructType([T.StructField(c, types[c], True) for c in [*cols, "scd_id", "updated_at", "valid_from", "valid_to"]])
+    day = lambda d: d and dt.datetime(2026, 3, d)
+    out = []
+    for lid, rent, start, stop in rows:
+        rec = {c: None for c in schema.names}
+        rec.update(listing_id=lid, website="example", rent=rent, scd_id=f"{lid}@{start}", valid_from=day(start), valid_to=day(stop), updated_at=day(start))
+        out.append(tuple(rec[c] for c in schema.names))
+    return spark.createDataFrame(out, schema)
+
+
+def test_closed_versions_appear_with_their_run_only(spark, scratch_dir, monkeypatch):
+    history = layers.History(spark, f"{scratch_dir}/history")
+    history.apply(_versions(spark, ("1", 10.0, 1, None), ("2", 20.0, 1, None)), "2026-03-01 00:00:00")
+    seen = lambda: sorted((r.listing_id, r.valid_from.day, r.valid_to and r.valid_to.day) for r in layers.History(spark, f"{scratch_dir}/history").read().collect())
+    assert seen() == [("1", 1, None), ("2", 1, None)]
+    run = lambda d: _versions(spark, ("1", 10.0, 1, d), ("1", 11.0, d, None), ("2", 20.0, 1, None))
+    commit = VersionedTable._commit
+    monkeypatch.setattr(VersionedTable, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):  # dies after the closed rows are written, before the commit
+        history.apply(run(2), "2026-03-02 00:00:00")
+    monkeypatch.setattr(VersionedTable, "_commit", commit)
+    assert seen() == [("1", 1, None), ("2", 1, None)]
+    layers.History(spark, f"{scratch_dir}/history").apply(run(3), "2026-03-03 00:00:00")  # a retry with a later time
+    assert seen() == [("1", 1, 3), ("1", 3, None), ("2", 1, None)]
+
+
+def test_gold_gate_runs_before_anything_is_published(spark, scratch_dir):
+    history = layers.History(spark, f"{scratch_dir}/gold/history")
+    dim = VersionedTable(spark, f"{scratch_dir}/gold/dim", layers.DIM_REGISTRY, "dim", evolve=True)
+    rows = _rows(spark, [("1", "toronto", "A", 100.0, 1)])
+    frames = silver.transform_to_silver(rows)
+    hoods = frames.neighbourhoods.withColumn("loaded_at", F.lit("2026-03-01").cast("timestamp"))
+    orphan = frames.listings.withColumn("neighbourhood", F.lit("nowhere"))
+    make = lambda listings: Sources({("silver", "rental_listings"): listings, ("silver", "neighbourhoods"): hoods.withColumn("region", F.lit("east"))})
+    with pytest.raises(checks.GateError):
+        layers.silver_to_gold(spark, sources=make(orphan), history=history, dimension=dim, batch_ts="2026-03-01 14:00:00")
+    assert not history.exists() and not dim.exists()
+    done = layers.silver_to_gold(spark, sources=make(frames.listings), history=history, dimension=dim, batch_ts="2026-03-01 14:00:00")
+    assert done.fact.count() == 1 and done.dim.first().region == "east"  # a new column of the source reaches the table

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import types as T
 
 from strata import registry as R
 from strata.sources import bronze
 from strata.sources.tables import VersionedTable
-from strata.streaming.incremental import start_bronze_to_silver
+from strata.streaming.incremental import silver_micro_batch, start_bronze_to_silver
 
 
 def _rows(spark, specs):
@@ -44,3 +45,24 @@ def test_stream_applies_new_drops(spark, scratch_dir):
     rows = {r.listing_id: r.rent for r in listings.read().collect()}
     assert rows == {"1": 100.0, "2": 250.0, "3": 300.0}
     assert hoods.read().count() == 1
+
+    # a new checkpoint location is a new stream: its ids count from 0 again, nothing is skipped
+    bronze.write_bronze(bronze.with_partition_columns(_rows(spark, [("4", 400.0, 3)]), source="example", day="2026-03-03"), root)
+    start_bronze_to_silver(spark, bronze_root=root, schema=schema, listings=listings, neighbourhoods=hoods,
+                           checkpoint_location=ckpt + "-new").awaitTermination()
+    assert {r.listing_id: r.rent for r in listings.read().collect()} == {"1": 100.0, "2": 250.0, "3": 300.0, "4": 400.0}
+
+
+def test_a_replayed_batch_is_applied_where_it_is_missing(spark, scratch_dir):
+    listings = VersionedTable(spark, f"{scratch_dir}/silver/listings", R.LISTINGS, "rental_listings")
+    hoods = VersionedTable(spark, f"{scratch_dir}/silver/hoods", R.NEIGHBOURHOODS, "neighbourhoods")
+    batch = _rows(spark, [("1", 100.0, 1)])
+    apply = silver_micro_batch(listings, hoods, stream="s")
+    merge, hoods.merge = hoods.merge, lambda *a, **k: (_ for _ in ()).throw(OSError("lost"))
+    with pytest.raises(OSError):
+        apply(batch, 0)
+    assert listings.read().count() == 1 and hoods.read().count() == 0
+    hoods.merge = merge
+    version = listings.current_version()
+    apply(batch, 0)
+    assert hoods.read().count() == 1 and listings.current_version() == version  # the one that had it skips it
