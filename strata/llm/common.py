@@ -85,3 +85,14 @@ def spans_text(spans: Column) -> Column:
         F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))),
         ",",
     )
+
+
+#: Ids up to which a set of them is broadcast (about 30 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def without_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose doc_id is not among the one column of ``ids`` (distinct); a null id is matched by a null id only."""
+    ids = stored(ids.select(F.col(ids.columns[0]).alias("__id")), "ids")
+    hint = F.broadcast if ids.count() <= BROADCAST_IDS else lambda x: x
+    return documents.join(hint(ids), F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")

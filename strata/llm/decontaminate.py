@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_words, lower_ascii, stored, whole_text, with_window_hashes
+from strata.llm.common import ascii_words, lower_ascii, stored, whole_text, with_window_hashes, without_ids
 
 WINDOW = 10
 #: Windows of the benchmark up to which the set is broadcast (about 250 bytes each); above it the join shuffles.
@@ -115,8 +115,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without a benchmark window. Rows that share a doc_id stay or go together."""
-    hit = contamination(documents, benchmark, window).where("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()
-    return documents.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti")
+    return without_ids(documents, contamination(documents, benchmark, window).where("contaminated").select("doc_id").distinct())
 
 
 # ---------------------------------------------------------------- registered query

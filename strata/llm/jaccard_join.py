@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import BROADCAST_IDS, stored, without_ids
 
 #: The sketch has 2 ** SKETCH_BITS buckets, added up in so many slices.
 SKETCH_BITS, SLICES = 20, 32
@@ -301,6 +301,47 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
 
 
+#: The bit set of wanted ids has about 16 bits an id, at most 2 ** MOST_BITS in all (16 MB).
+MOST_BITS = 27
+
+
+def _spots(ids: np.ndarray, bits: int) -> np.ndarray:
+    """Four bit positions of each id."""
+    mixed = (ids.astype(np.int64).view(np.uint64) + np.uint64(1)) * _MIX
+    mixed ^= mixed >> np.uint64(31)
+    return np.concatenate([((mixed * np.uint64(odd)) >> np.uint64(64 - bits)).astype(np.int64) for odd in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)])
+
+
+def _set_bits(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column(0).drop_null().to_numpy(zero_copy_only=False)
+        at = np.unique(_spots(ids, bits))
+        word, first = np.unique(at >> 6, return_index=True)
+        value = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first) if len(at) else np.zeros(0, np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), pa.array(value.view(np.int64), pa.int64())], names=["word", "bits"])
+
+
+def bit_set(ids: DataFrame) -> bytes:
+    """A Bloom filter over the one column of ``ids``, its words put together in Spark; at most 16 MB."""
+    bits = min(MOST_BITS, max(10, (8 * ids.count()).bit_length() + 1))
+    found = ids.mapInArrow(functools.partial(_set_bits, bits=bits), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out.tobytes()
+
+
+def _wanted(batches: Iterator[pa.RecordBatch], words: bytes) -> Iterator[pa.RecordBatch]:
+    """Rows whose id may be in the set, and rows without id: only their texts are shuffled."""
+    field = np.frombuffer(words, dtype=np.int64).view(np.uint64)
+    bits = len(field).bit_length() + 5
+    for batch in batches:
+        ids = batch.column("doc_id")
+        at = _spots(ids.fill_null(0).to_numpy(zero_copy_only=False), bits)
+        held = (field[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+        keep = held.reshape(4, -1).all(axis=0) | ids.is_null().to_numpy(zero_copy_only=False)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
 SETS = "root struct<fa:long,fb:long>, fa long, fb long, copies long, size long, grams binary"
 
 
@@ -429,7 +470,8 @@ def jaccard_classes(documents: DataFrame, n: int = 3, percent: int = 90) -> Data
     classes = docs.where("size > 0").groupBy("fa", "fb").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"))
     families = stored(families.select("root", "node.*").join(classes, ["fa", "fb"]), "jaccard-families")
     # One text of each set is read again; where an id stands at several rows, the fingerprint picks.
-    texts = read.join(families, read["doc_id"].eqNullSafe(families["doc_id"])).select("root", "fa", "fb", "copies", "size", "text")
+    near = read.mapInArrow(functools.partial(_wanted, words=bit_set(families.select("doc_id"))), "doc_id long, text string")
+    texts = near.join(families, near["doc_id"].eqNullSafe(families["doc_id"])).select("root", "fa", "fb", "copies", "size", "text")
     sets = texts.mapInArrow(functools.partial(_sets, n=n), SETS).dropDuplicates(["fa", "fb"])
     linked = stored(
         cells(sets, families, percent).groupBy("root", "band", "x", "y").applyInArrow(lambda key, sets: _cell(key, sets, percent), LINKS), "jaccard-links"
@@ -457,8 +499,13 @@ def one_of_each_class(documents: DataFrame, n: int = 5, percent: int = 80) -> Da
     without words.
     """
     classes = jaccard_classes(documents, n, percent)
-    gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    kept = documents.join(gone, F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
-    loose = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    first = F.row_number().over(Window.partitionBy("doc_id", loose).orderBy("text"))
-    return kept.withColumn("__first", first).where((F.col("__first") == 1) | F.col("doc_id").isNull()).drop("__first")
+    kept = without_ids(documents, classes.where("component_id <> doc_id").select("doc_id").distinct())
+    repeated = classes.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("__again"))
+    repeated = stored(repeated, "jaccard-repeated")
+    if not repeated.limit(1).count():  # the usual case: an id stands at one row
+        return kept
+    several = F.broadcast(repeated) if repeated.count() <= BROADCAST_IDS else repeated
+    same = F.col("doc_id").cast("long") == F.col("__again")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    one = kept.join(several, same, "left_semi").withColumn("__first", first).where("__first = 1").drop("__first")
+    return kept.join(several, same, "left_anti").unionByName(one)
