@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,9 @@ FIT_ROWS = 10_000
 #: Words and word beginnings kept as features.
 VOCABULARY = 4_000
 LEAST_ROWS = 4
+#: Hashes by which copies among the labelled rows are known, and the likelihood ratio that a term must reach without them.
+SKETCH = 8
+DISTINCT_BAR = 16.0
 BEGINNINGS = (4, 5, 6)
 WORD_VOTERS = BEGIN_VOTERS = 5
 #: Correlated voters depend on each other above this conditional mutual information (nats).
@@ -144,6 +148,44 @@ def induced_terms(sample: DataFrame, size: int = VOCABULARY) -> list[str]:
     return [r["term"] for r in chosen.orderBy(F.col("ratio").desc(), "term").limit(size).collect()]  # at most `size` terms
 
 
+def bottom_hashes(text: str | None, n: int = 5, keep: int = SKETCH) -> list[int]:
+    """The smallest hashes of a text's distinct n-word runs; near copies share most of them."""
+    words = WORD.findall((text or "").lower())
+    runs = {" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))}
+    return sorted(xxhash.xxh3_64_intdigest(r) >> 1 for r in runs)[:keep]
+
+
+def distinct_rows(sketches: list[list[int]], toxic: list[int]) -> list[int]:
+    """Of rows of one label that share at least half of their hashes, only the first."""
+    holders: dict[tuple[int, int], list[int]] = {}
+    kept = []
+    for i, (hashes, label) in enumerate(zip(sketches, toxic, strict=True)):
+        shared = Counter(j for h in hashes for j in holders.get((h, label), ()))
+        if any(2 * k >= len(hashes) for k in shared.values()):
+            continue
+        kept.append(i)
+        for h in hashes:
+            holders.setdefault((h, label), []).append(i)
+    return kept
+
+
+def supported(rows: list[list[int]], toxic: list[int], size: int, bar: float) -> list[int]:
+    """Terms that are associated with toxic rows when copies count once: copies of a toxic
+    text would make all its words look toxic."""
+    base = sum(toxic) / max(len(toxic), 1)
+    bad, all_rows = np.zeros(size), np.zeros(size)
+    for features, label in zip(rows, toxic, strict=True):
+        all_rows[features] += 1
+        bad[features] += label
+    kept = []
+    for term in np.flatnonzero((bad > 0) & (bad > base * all_rows)):
+        k, n = bad[term], all_rows[term]
+        ratio = 2 * (k * math.log(k / (n * base)) + ((n - k) * math.log((n - k) / (n * (1 - base))) if n > k else 0.0))
+        if ratio > bar:
+            kept.append(int(term))
+    return kept
+
+
 # ------------------------------------------------------------------ generative label model
 
 
@@ -281,6 +323,14 @@ def _look(batches: Iterator[pa.RecordBatch], terms: Broadcast) -> Iterator[pa.Re
         )
 
 
+def _held(batches: Iterator[pa.RecordBatch], terms: Broadcast) -> Iterator[pa.RecordBatch]:
+    voters = Voters(terms.value)
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        features, hashes = [voters.look(t)[0] for t in texts], [bottom_hashes(t) for t in texts]
+        yield pa.RecordBatch.from_arrays([pa.array(features, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64())), batch.column("toxic")], names=["features", "hashes", "toxic"])
+
+
 def _score(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
     weights, bias = model.value
     for batch in batches:
@@ -309,7 +359,13 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     chosen = known.orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id").limit(FIT_ROWS)
     sample = stored(docs.join(F.broadcast(chosen), "doc_id"), "toxicity-sample")  # broadcasts FIT_ROWS ids at most
 
-    terms = spark.sparkContext.broadcast(induced_terms(sample))
+    found = induced_terms(sample)
+    if found:
+        candidates = spark.sparkContext.broadcast(found)
+        held = sample.select("text", "toxic").mapInArrow(lambda batches: _held(batches, candidates), "features array<int>, hashes array<long>, toxic int").collect()  # FIT_ROWS rows at most
+        first = distinct_rows([r["hashes"] for r in held], [r["toxic"] for r in held])
+        found = [found[i] for i in supported([held[i]["features"] for i in first], [held[i]["toxic"] for i in first], len(found), DISTINCT_BAR)]
+    terms = spark.sparkContext.broadcast(found)
     looked = stored(docs.mapInArrow(lambda batches: _look(batches, terms), f"doc_id {kind}, features array<int>, votes int"), "toxicity-votes")
 
     # Label model: rows by votes and label, over all rows that are not held out.
