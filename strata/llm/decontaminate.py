@@ -40,7 +40,8 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     ``hits``: array of (start, length) of verified windows; ``items``: ids (text) of the
     items with occurring windows. Null and empty texts have no words and no hits; repeated
     rows each get their row; an empty benchmark gives no hits; items without words are
-    ignored, items that repeat an id count once. Columns other than ``doc_id`` and ``text``
+    ignored, items that repeat an id count once, an item without id marks words but is not
+    counted. Columns other than ``doc_id`` and ``text``
     are not read.
     """
     grams = stored(benchmark_windows(benchmark, window), "benchmark-windows")
