@@ -32,9 +32,10 @@ def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else.
 
     ``lower`` is several times faster than ``translate`` and does the same unless a text
-    holds an upper-case letter beyond ASCII, so only those texts take the slow way.
+    holds an upper-case letter beyond ASCII (or a character the regular expressions do not
+    know yet), so only those texts take the slow way.
     """
-    other_upper = F.regexp_like(text, F.lit(r"[\p{IsUppercase}\p{IsTitlecase}&&[^A-Z]]"))
+    other_upper = F.regexp_like(text, F.lit(r"[\p{IsUppercase}\p{IsTitlecase}\p{Cn}&&[^A-Z]]"))
     return F.when(other_upper, F.translate(text, UPPER, UPPER.lower())).otherwise(F.lower(text))
 
 
