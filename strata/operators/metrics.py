@@ -54,7 +54,7 @@ def partition_metrics(
     first = Window.partitionBy(*partition_cols, "_ok", "_key").orderBy(
         F.col(f"_order.{R.RECENCY_COLUMN}").desc_nulls_last(), *[F.col(f"_order.{c}").asc_nulls_last() for c in tiebreak]
     )
-    if len(tiebreak) == 1 and not required and _descending(bronze.schema[tiebreak[0]].dataType):
+    if len(tiebreak) == 1 and _descending(bronze.schema[tiebreak[0]].dataType):
         # latest time, then the smallest tie-break: one partial aggregation instead of a sort
         order = F.struct(F.col(f"_order.{R.RECENCY_COLUMN}"), (-F.col(f"_order.{tiebreak[0]}").cast("decimal(20,0)")))
         per_key = wide.groupBy(*partition_cols, "_ok", "_key").agg(F.count(F.lit(1)).alias("_n"), F.max_by(kept, order).alias("_kept"))

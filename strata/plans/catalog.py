@@ -212,34 +212,41 @@ def upsert_hash_guarded(spark, sf_dir):
     return merge.upsert_hash_guarded(stored, batch)
 
 
+# Stored and incoming keys overlap in part: ids that end in 0 are new, ids that end in 1 are
+# not scraped again. Every row of the bronze view is on one side at least.
+_STORED_KEYS = "(listing_id IS NULL OR listing_id NOT LIKE '%0')"
+_SCRAPED_KEYS = "(listing_id IS NULL OR listing_id NOT LIKE '%1')"
+
+
 def _rescrape_select(src: str) -> str:
-    """The older run scraped again a day later: titles changed (not hashed), rents changed
-    for three-bedroom listings (hashed)."""
+    """The listings scraped again: a day earlier (stale), at the same time or a day later, by
+    number of bathrooms; titles changed (not hashed), rents of three-bedroom listings
+    changed (hashed)."""
     changed = {
         "title": "upper(title)",
-        "scraped_at": "scraped_at + INTERVAL 1 DAY",
+        "scraped_at": "CASE bathrooms WHEN 1 THEN scraped_at - INTERVAL 1 DAY WHEN 2 THEN scraped_at ELSE scraped_at + INTERVAL 1 DAY END",
         "rent": "CASE WHEN bedrooms = 3 THEN rent * 1.5 ELSE rent END",
     }
     cols = [f"{changed[c]} AS {c}" if c in changed else c for c in R.BRONZE_COLUMNS if c != "images"]
-    return f"SELECT {', '.join(cols)}, o_orderkey FROM {src} WHERE {OLDER}"
+    return f"SELECT {', '.join(cols)}, o_orderkey FROM {src} WHERE {_SCRAPED_KEYS}"
 
 
 @query(
     "upsert_same_hash",
     O.with_bronze()
-    + O.silver_block("a_", OLDER)
+    + O.silver_block("a_", _STORED_KEYS)
     + f", rescraped AS ({_rescrape_select('bronze')})"
     + O.silver_block("b_", None, src="rescraped")
     + O.guarded_merge("a_listings", "b_listings", "merged")
     + "SELECT * FROM merged",
 )
 def upsert_same_hash(spark, sf_dir):
-    """O22 with unchanged hashes: a re-scrape with new titles but the same hashed values only
-    refreshes row_hash and scraped_at (the title stays as stored); changed rents replace the
-    whole row."""
+    """O22 in all its branches: kept and inserted keys, stale rows, and rows as new or newer
+    with the same hash (only row_hash and scraped_at are refreshed; the title stays as
+    stored) or another one (the whole row is replaced)."""
     from strata.session import materialize
 
-    stored = materialize(_silver(spark, sf_dir, OLDER).listings)
+    stored = materialize(_silver(spark, sf_dir, _STORED_KEYS).listings)
     rescraped = spark.sql(_rescrape_select("{bronze}"), bronze=_bronze(spark, sf_dir))
     batch = silver.transform_to_silver(rescraped, tiebreak=["o_orderkey"]).listings
     return merge.upsert_hash_guarded(stored, batch)
@@ -249,28 +256,33 @@ def _hoods_sql_with_time(src: str, ts: str) -> str:
     return f"SELECT neighbourhood, city, walk_score, transit_score, bike_score, {O.ts_lit(ts)} AS loaded_at FROM {src}"
 
 
+_STORED_HOODS = "neighbourhood NOT LIKE '%A'"  # these are new in the batch
+_SCRAPED_HOODS = "neighbourhood NOT LIKE '%E'"  # and these are absent from it
+
+
 @query(
     "upsert_overwrite",
     O.with_bronze()
     + O.silver_block("a_", OLDER)
     + O.silver_block("b_", NEWER)
-    + f", stored AS ({_hoods_sql_with_time('a_hoods', T1)})"
-    + f", incoming AS ({_hoods_sql_with_time('b_hoods', T2)})"
+    + f", stored AS ({_hoods_sql_with_time('a_hoods', T1)} WHERE {_STORED_HOODS})"
+    + f", incoming AS ({_hoods_sql_with_time('b_hoods', T2)} WHERE {_SCRAPED_HOODS})"
     + " SELECT s.* FROM stored s WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.neighbourhood = s.neighbourhood "
     "AND i.city = s.city) UNION ALL SELECT * FROM incoming",
 )
 def upsert_overwrite(spark, sf_dir):
-    """Neighbourhoods of the newer batch overwrite (nulls included), loaded_at = T2."""
+    """Neighbourhoods of the newer batch overwrite (nulls included), loaded_at = T2; keys
+    absent from it stay, new ones are added."""
     from strata.session import materialize
 
     empty = spark.createDataFrame([], R.spark_schema(R.NEIGHBOURHOODS))
-    stored = materialize(merge.upsert_overwrite(empty, _silver(spark, sf_dir, OLDER).neighbourhoods, batch_ts=T1))
-    return merge.upsert_overwrite(stored, _silver(spark, sf_dir, NEWER).neighbourhoods, batch_ts=T2)
+    stored = materialize(merge.upsert_overwrite(empty, _silver(spark, sf_dir, OLDER).neighbourhoods.where(_STORED_HOODS), batch_ts=T1))
+    return merge.upsert_overwrite(stored, _silver(spark, sf_dir, NEWER).neighbourhoods.where(_SCRAPED_HOODS), batch_ts=T2)
 
 
 # ------------------------------------------------------------------ SCD2
 
-CUTOFFS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-01-30 00:00:00")
+CUTOFFS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-03-01 00:00:00")  # the last is after all events
 EVENT_KEYS = ("user_id", "event_type")
 EVENT_COLS = ("user_id", "event_type", "value", "state", "ts")
 
@@ -300,7 +312,7 @@ def _scd2_snapshot_sql() -> str:
 
 @query("scd2_snapshot", _scd2_snapshot_sql())
 def scd2_snapshot(spark, sf_dir):
-    """O24 run three times: the (user, event type) state at days 10, 20 and 30."""
+    """O24 run three times: the (user, event type) state at three times, the last after all events."""
     from strata.session import materialize
 
     events = _event_state(fixtures.table(spark, sf_dir, "events"))
@@ -457,7 +469,7 @@ _GATE_NULL = "bedrooms = 0 AND bathrooms = 1"
 
 def _gate_sql() -> str:
     required = [c.name for c in R.LISTINGS if not c.nullable]
-    body = O.with_bronze() + O.silver_block("b_", NEWER)
+    body = O.with_bronze() + O.silver_block("b_")
     batch = f", batch AS (SELECT * REPLACE (CASE WHEN {_GATE_NULL} THEN NULL ELSE url END AS url) FROM b_listings)"
     parts = [
         f"SELECT 'not_null' AS test, 'rental_listings' AS model, '{c}' AS column_name, "
@@ -473,10 +485,15 @@ def _gate_sql() -> str:
 
 @query("constraint_gate", _gate_sql())
 def constraint_gate(spark, sf_dir):
-    """O28e/O5: the violation table the gate raises on (a batch with planted null URLs)."""
-    batch = _silver(spark, sf_dir, NEWER).listings
+    """O28e/O5: what the gate raises on for a batch with planted null URLs."""
+    batch = _silver(spark, sf_dir).listings
     batch = batch.withColumn("url", F.when(F.expr(_GATE_NULL), F.lit(None)).otherwise(F.col("url")))
-    return checks.failing(checks.constraint_violations(batch, R.LISTINGS, "rental_listings"))
+    violations = checks.constraint_violations(batch, R.LISTINGS, "rental_listings")
+    try:
+        checks.gate(violations)
+    except checks.GateError as error:
+        return spark.createDataFrame([(v["test"], v["model"], v["column_name"], v["failures"]) for v in error.violations], violations.schema)
+    return checks.failing(violations)
 
 
 # ------------------------------------------------------------------ bronze
@@ -864,6 +881,76 @@ def run_metrics(spark, sf_dir):
     return _run_metrics(spark, sf_dir)
 
 
+def _all_metrics_sql() -> str:
+    """Every partition of the table; a kept row without title makes its partition an error."""
+    keyvalid = f"{O.nonblank('listing_id')} AND {O.nonblank('website')}"
+    return (
+        O.with_bronze()
+        + ", p AS (SELECT * REPLACE (CASE WHEN o_orderkey % 1009 = 0 THEN NULL ELSE title END AS title), website AS source, "
+        "lower(city) AS pcity, CAST(CAST(scraped_at AS DATE) AS VARCHAR) AS dt FROM bronze)"
+        + f", reads AS (SELECT source, pcity AS city, dt, count(*) AS n, count(*) FILTER (WHERE {keyvalid}) AS valid FROM p GROUP BY ALL)"
+        + ", ranked AS (SELECT source, pcity AS city, dt, title, " + O.strip("neighbourhood") + " AS nb, " + O.lower_strip("city") + " AS ncity, "
+        "row_number() OVER (PARTITION BY source, pcity, dt, listing_id, website ORDER BY scraped_at DESC NULLS LAST, o_orderkey) AS rn "
+        f"FROM p WHERE {keyvalid})"
+        + ", loads AS (SELECT source, city, dt, count(*) AS kept, bool_or(title IS NULL) AS bad, "
+        "count(DISTINCT [nb, ncity]) FILTER (WHERE nb IS NOT NULL AND ncity IS NOT NULL) AS hoods FROM ranked WHERE rn = 1 GROUP BY ALL)"
+        " SELECT r.source, r.city, r.dt, r.n AS rows_read, CASE WHEN coalesce(bad, FALSE) THEN 0 ELSE coalesce(kept, 0) END AS rows_loaded, "
+        "CASE WHEN coalesce(bad, FALSE) THEN 0 ELSE coalesce(hoods, 0) END AS neighbourhoods_loaded, r.n - r.valid AS dropped_invalid_key, "
+        "r.valid - coalesce(kept, 0) AS dropped_duplicate, CASE WHEN coalesce(bad, FALSE) THEN 'error' ELSE 'success' END AS status "
+        "FROM reads r LEFT JOIN loads l ON l.source IS NOT DISTINCT FROM r.source AND l.city IS NOT DISTINCT FROM r.city AND l.dt IS NOT DISTINCT FROM r.dt"
+    )
+
+
+@query("run_metrics_all", _all_metrics_sql())
+def run_metrics_all(spark, sf_dir):
+    """O33 over every partition of the bronze view, with partitions that fail a constraint."""
+    from strata.functions import strip, strip_lower
+
+    b = _bronze(spark, sf_dir).withColumns({
+        "source": F.col("website"), "city": F.lower("city"), "dt": F.date_format("scraped_at", "yyyy-MM-dd"),
+        "title": F.when(F.col("o_orderkey") % 1009 != 0, F.col("title")),
+    })
+    return metrics.partition_metrics(
+        b, entity_clean={"neighbourhood": strip("neighbourhood"), "city": strip_lower("city")}, tiebreak=["o_orderkey"], required=["title"],
+    )
+
+
+@query("table_from_ddl", O.silver_ctes() + "SELECT neighbourhood, city, walk_score, transit_score, bike_score, TRUE AS loaded FROM hoods")
+def table_from_ddl(spark, sf_dir):
+    """The neighbourhoods table is made by the generated DDL as it stands, filled without
+    its managed column (the column's default fills it) and read back."""
+    import uuid
+
+    name = f"neighbourhoods_{uuid.uuid4().hex}"
+    spark.sql(R.ddl(R.NEIGHBOURHOODS, name))
+    cols = R.names(R.NEIGHBOURHOODS)
+    frame = _silver(spark, sf_dir).neighbourhoods.select(*cols)
+    spark.sql(f"INSERT INTO {name} ({', '.join(cols)}) SELECT * FROM {{rows}}", rows=frame)
+    return spark.table(name).select(*cols, F.col("loaded_at").isNotNull().alias("loaded"))
+
+
+@query(
+    "named_sources",
+    O.silver_ctes() + "SELECT h.neighbourhood, h.city, count(l.listing_id) AS listings, min(l.rent) AS least_rent FROM hoods h "
+    "LEFT JOIN listings l ON l.neighbourhood = h.neighbourhood AND l.city = h.city GROUP BY ALL",
+)
+def named_sources(spark, sf_dir):
+    """Stored silver tables registered as named sources and read by name, as frames and as views."""
+    from strata.session import workspace
+    from strata.sources.tables import Sources, VersionedTable
+
+    frames, root = _silver(spark, sf_dir), workspace(spark, "sources")
+    listings = VersionedTable(spark, f"{root}/listings", R.LISTINGS, "rental_listings")
+    listings.replace(frames.listings.withColumn("inserted_at", as_timestamp(T1)) if "inserted_at" in R.names(R.LISTINGS, managed=True) else frames.listings)
+    sources = Sources({("silver", "rental_listings"): listings, ("silver", "neighbourhoods"): frames.neighbourhoods})
+    sources.as_views(spark)
+    counted = sources.source("silver", "neighbourhoods").alias("h").join(
+        spark.table("silver_rental_listings").alias("l"),
+        (F.col("l.neighbourhood") == F.col("h.neighbourhood")) & (F.col("l.city") == F.col("h.city")), "left",
+    )
+    return counted.groupBy("h.neighbourhood", "h.city").agg(F.count("l.listing_id").alias("listings"), F.min("l.rent").alias("least_rent"))
+
+
 @query(
     "run_rollup",
     _run_metrics_sql()
