@@ -7,11 +7,14 @@ where ``key`` is the composite business key ``a || '~' || b``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import as_timestamp, business_key
-from strata.operators.sequence import last_per_tie, neighbours
+from strata.operators.sequence import last_per_tie
+from strata.session import materialize
 
 SCD_COLUMNS = ("scd_id", "updated_at", "valid_from", "valid_to")
 
@@ -125,6 +128,34 @@ def _versions(joined: DataFrame, columns, check_cols, ts: Column, cur_cols: dict
     return versions.select("v.*")
 
 
+#: Rows of one key on one day above which the day is cut into pieces for that key.
+HOT_ROWS = 100_000
+
+
+def _chunks(log: DataFrame, keys: list[str], ts_col: str, hot_rows: int) -> DataFrame:
+    """Add ``_chunk`` (day, piece): a key's time line cut by day, and busy days of a key into
+    pieces of about ``hot_rows`` rows at quantiles of their times. Busy days are counted
+    from the key and time columns alone (map-side partial counts)."""
+    day = F.date_trunc("day", F.col(ts_col))
+    busy = log.groupBy(*keys, day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"), F.min(F.unix_micros(F.col(ts_col).cast("timestamp"))).alias("_low"), F.max(F.unix_micros(F.col(ts_col).cast("timestamp"))).alias("_high"))
+    busy = materialize(busy.where(F.col("_n") > hot_rows), "busy-days")
+    if not busy.limit(1).count():
+        return log.withColumn("_chunk", F.struct(day.alias("day"), F.lit(0).alias("piece")))
+    # quantiles of the busy days' times only
+    same = reduce(lambda x, y: x & y, [F.col(f"l.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys] + [F.col("l._day") == F.col("b._day")])
+    times = log.select(*keys, day.alias("_day"), F.unix_micros(F.col(ts_col).cast("timestamp")).alias("_t"))
+    held = times.alias("l").join(F.broadcast(busy.alias("b")) if busy.count() <= 100_000 else busy.alias("b"), same)
+    cuts = held.groupBy(*[F.col(f"b.{k}").alias(k) for k in keys], F.col("b._day").alias("_day")).agg(
+        F.approx_percentile("_t", F.array(*[F.lit(i / 64) for i in range(1, 64)]), F.lit(1000)).alias("_cuts")
+    )
+    cuts = materialize(cuts, "busy-cuts")
+    hint = F.broadcast(cuts.alias("b")) if cuts.count() <= 100_000 else cuts.alias("b")
+    at = F.unix_micros(F.col(f"l.{ts_col}").cast("timestamp"))
+    piece = F.coalesce(F.size(F.filter(F.col("b._cuts"), lambda c: c <= at)), F.lit(0))
+    joined = log.withColumn("_day", day).alias("l").join(hint, same, "left")
+    return joined.select(*[F.col(f"l.{c}") for c in log.columns], F.struct(F.col("l._day").alias("day"), piece.alias("piece")).alias("_chunk"))
+
+
 def scd2_from_log(
     log: DataFrame,
     *,
@@ -133,35 +164,57 @@ def scd2_from_log(
     check_cols,
     columns,
     tiebreak=(),
-    chunk: str = "day",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The history O24 would build if run once per log time, in one pass.
 
     A row opens a version when it is the key's first row or its check columns differ
-    (null-safe) from the previous row's; ``valid_to`` is the next version's start.
-    Rows sharing a key and time collapse to the last by ``tiebreak`` first (one snapshot
-    run sees one row per key). Previous/next rows are found per (key, ``chunk`` of time),
-    so a hot key is spread over many tasks.
+    (null-safe) from the previous row's; ``valid_to`` is the next version's start. Rows
+    sharing a key and time collapse to the last by ``tiebreak`` first (one snapshot run
+    sees one row per key). Null key parts are values like any other; rows without a time
+    are left out, since no version can start there.
+
+    The rows are shuffled once, by key and chunk of time; all windows run there, and only
+    rows that open a version or begin a chunk are stored. What happens across chunk edges
+    is decided on one row per chunk, so a hot key is spread over many tasks.
     """
     key_cols, columns, check_cols = list(key_cols), list(columns), list(check_cols)
     tiebreak = [c for c in tiebreak if c not in (*key_cols, ts_col)]
-    base = log.select(*dict.fromkeys([*key_cols, ts_col, *columns, *check_cols, *tiebreak]))
-    # everything below shares one hash partitioning on (key, time chunk)
-    base = base.withColumn("_chunk", F.date_trunc(chunk, F.col(ts_col)))
-    base = last_per_tie(base, key_cols, "_chunk", ts_col, tiebreak)
-    order = [ts_col]
-    marked = neighbours(base, key_cols, order, "_chunk", prev_cols=[*check_cols, ts_col])
-    first = F.col("prev_" + ts_col).isNull()
-    same = F.lit(True)
-    for c in check_cols:
-        same = same & F.col(c).eqNullSafe(F.col("prev_" + c))
-    starts = marked.where(first | ~same).select(*dict.fromkeys([*key_cols, ts_col, *columns, "_chunk"]))
-    linked = neighbours(starts, key_cols, order, "_chunk", next_cols=[ts_col])
+    base = log.select(*dict.fromkeys([*key_cols, ts_col, *columns, *check_cols, *tiebreak])).where(F.col(ts_col).isNotNull())
+    base = last_per_tie(_chunks(base, key_cols, ts_col, hot_rows), key_cols, "_chunk", ts_col, tiebreak)
+    part = Window.partitionBy(*key_cols, "_chunk")
+    forward, backward = part.orderBy(F.col(ts_col)), part.orderBy(F.col(ts_col).desc())
+    checked = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(check_cols)])
+    marked = base.withColumns({
+        "_pos": F.row_number().over(forward), "_prev": F.lag(checked).over(forward), "_check": checked,
+    })
+    marked = marked.withColumn("_opens", (F.col("_pos") > 1) & ~F.col("_check").eqNullSafe(F.col("_prev")))
+    marked = marked.withColumns({
+        "_last": F.first("_check").over(backward),
+        "_next": F.last(F.when(F.col("_opens"), F.col(ts_col)), ignorenulls=True).over(backward.rowsBetween(Window.unboundedPreceding, -1)),
+    })
+    # the first row of a chunk needs the chunk's last check values, which the running window
+    # over descending time holds at every row
+    rows = materialize(marked.where("_opens or _pos = 1").drop("_prev"), "log-versions")
+
+    key = Window.partitionBy(*key_cols)
+    onward, back = key.orderBy("_chunk"), key.orderBy(F.col("_chunk").desc())
+    edges = rows.where("_pos = 1").select(*key_cols, "_chunk", F.col(ts_col).alias("_first"), "_check", "_next", F.lag("_last").over(onward).alias("_before"), F.row_number().over(onward).alias("_k"))
+    edges = edges.withColumn("_begins", (F.col("_k") == 1) | ~F.col("_check").eqNullSafe(F.col("_before")))
+    start = F.when(F.col("_begins"), F.col("_first")).otherwise(F.col("_next"))
+    edges = edges.withColumn("_after", F.last(start, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)))
+    edges = edges.select(*key_cols, "_chunk", "_begins", "_after")
+
+    settled = rows.where("_opens and _next is not null").select("*", F.col("_next").alias("_stop"))
+    same = reduce(lambda x, y: x & y, [F.col(f"r.{c}").eqNullSafe(F.col(f"e.{c}")) for c in [*key_cols, "_chunk"]])
+    at_edge = rows.where("_pos = 1 or _next is null").alias("r").join(edges.alias("e"), same)
+    at_edge = at_edge.where(F.col("r._opens") | F.col("e._begins")).select("r.*", F.coalesce("r._next", "e._after").alias("_stop"))
+    versions = settled.unionByName(at_edge)
     key = business_key(*key_cols)
-    return linked.select(
+    return versions.select(
         *columns,
         scd_id(key, F.col(ts_col)).alias("scd_id"),
         F.col(ts_col).cast("timestamp").alias("updated_at"),
         F.col(ts_col).cast("timestamp").alias("valid_from"),
-        F.col("next_" + ts_col).cast("timestamp").alias("valid_to"),
+        F.col("_stop").cast("timestamp").alias("valid_to"),
     )

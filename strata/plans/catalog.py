@@ -575,7 +575,10 @@ def partition_selector(spark, sf_dir):
     wanted = bronze.wanted_partitions(
         spark, source="events", cities=SELECTOR_TYPES, mode=R.MODE_LAST_DAYS, days=7, today=SELECTOR_TODAY
     ).withColumnRenamed("city", "event_type")
-    return metrics.coverage(_events_partitioned(spark, sf_dir), wanted, ["event_type", "dt"])
+    dates = sorted(bronze.wanted_dates(mode=R.MODE_LAST_DAYS, days=7, today=SELECTOR_TODAY))
+    # the wanted days as a bound on the time itself, which reaches the scan
+    inside = (F.col("ts") >= F.lit(dates[0]).cast("timestamp_ntz")) & (F.col("ts") < F.date_add(F.lit(dates[-1]).cast("date"), 1).cast("timestamp_ntz"))
+    return metrics.coverage(_events_partitioned(spark, sf_dir).where(inside), wanted, ["event_type", "dt"])
 
 
 # ------------------------------------------------------------------ pages

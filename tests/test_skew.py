@@ -32,21 +32,58 @@ def test_keep_latest_hot_key(spark):
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_scd2_log_hot_key_matches_plain_window(spark):
-    df = spark.createDataFrame(_hot_rows(), "id long, k long, t string, ts timestamp, v int")
-    hist = scd2.scd2_from_log(df, key_cols=["k", "t"], ts_col="ts", check_cols=["v"], columns=["k", "t", "v", "ts"],
-                              tiebreak=["id"])
+def _plain_history(df):
     # one row per (key, time): the last by id, as one snapshot run per time would see
     last = Window.partitionBy("k", "t", "ts").orderBy(F.col("id").desc())
-    dedup = df.withColumn("r", F.row_number().over(last)).where("r = 1").drop("r")
+    dedup = df.where("ts is not null").withColumn("r", F.row_number().over(last)).where("r = 1").drop("r")
     w = Window.partitionBy("k", "t").orderBy("ts", "id")
     marked = dedup.withColumn("prev", F.lag("v").over(w)).withColumn("rn", F.row_number().over(w))
     starts = marked.where((F.col("rn") == 1) | ~F.col("v").eqNullSafe(F.col("prev")))
-    want = starts.select("k", "t", "v", F.col("ts").alias("valid_from"),
+    return starts.select("k", "t", "v", F.col("ts").alias("valid_from"),
                          F.lead("ts").over(Window.partitionBy("k", "t").orderBy("ts", "id")).alias("valid_to"))
-    got = hist.select("k", "t", "v", "valid_from", "valid_to")
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    assert hist.count() == want.count()  # nothing dropped or capped
+
+
+def _log(spark, rows):
+    return spark.createDataFrame(rows, "id long, k long, t string, ts timestamp, v int")
+
+
+def _history(df, **more):
+    hist = scd2.scd2_from_log(df, key_cols=["k", "t"], ts_col="ts", check_cols=["v"], columns=["k", "t", "v", "ts"], tiebreak=["id"], **more)
+    return sorted(map(str, hist.select("k", "t", "v", "valid_from", "valid_to").collect()))
+
+
+def test_scd2_log_hot_key_matches_plain_window(spark):
+    df = _log(spark, _hot_rows())
+    assert _history(df) == sorted(map(str, _plain_history(df).collect()))  # nothing dropped or capped
+
+
+def test_scd2_log_key_hot_inside_one_day(spark):
+    rng = random.Random(5)
+    base = dt.datetime(2024, 1, 10)
+    rows = [(i, 0, "t", base + dt.timedelta(seconds=rng.randrange(80_000)), rng.randrange(2)) for i in range(1200)] + _hot_rows(600)
+    df = _log(spark, rows)
+    chunks = scd2._chunks(df, ["k", "t"], "ts", 100).where("k = 0").groupBy("_chunk").count()
+    assert chunks.agg(F.max("count")).first()[0] < 200  # the busy day is cut into pieces
+    assert _history(df, hot_rows=100) == sorted(map(str, _plain_history(df).collect()))
+
+
+def test_scd2_log_null_keys_and_times(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, None if i % 2 else 1, None if i % 3 else "t", None if i % 11 == 0 else base + dt.timedelta(hours=i * 7), i // 4 % 2) for i in range(80)]
+    df = _log(spark, rows)
+    assert _history(df) == sorted(map(str, _plain_history(df).collect()))
+
+
+def test_scd2_log_is_read_and_shuffled_once(spark, tmp_path):
+    df = _log(spark, _hot_rows())
+    df.write.parquet(str(tmp_path / "log"))
+    stored = spark.read.parquet(str(tmp_path / "log"))
+    plan = scd2.last_per_tie(scd2._chunks(stored, ["k", "t"], "ts", scd2.HOT_ROWS), ["k", "t"], "_chunk", "ts", ["id"])
+    shown = plan._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("FileScan parquet") == 1 and shown.count("Exchange hashpartitioning") == 1
+    result = scd2.scd2_from_log(stored, key_cols=["k", "t"], ts_col="ts", check_cols=["v"], columns=["k", "t", "v", "ts"], tiebreak=["id"])
+    shown = result._jdf.queryExecution().executedPlan().toString()
+    assert str(tmp_path) not in shown  # what follows reads the stored versions only
 
 
 def test_relationships_hot_value(spark):
