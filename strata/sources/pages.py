@@ -370,18 +370,26 @@ def extract_listings(
         else:
             record[field] = value
 
-    aware = has_offset(activation)
+    # the record becomes columns before the rules read it, so that no parse runs once per rule
+    stage = stage.select(
+        "*", *[record[c].cast(R.BRONZE_SCHEMA[c].dataType).alias("_r_" + c) for c in R.BRONZE_COLUMNS],
+        *[text.isNotNull().alias("_g_" + c) for c, text in measured.items()],
+        (amount_given & amount.isNull()).alias("_bad_amount"), has_offset(activation).alias("_aware"), bad_attrs.alias("_bad_attrs"),
+    )
+    record = {c: F.col("_r_" + c) for c in R.BRONZE_COLUMNS}
+    given = {c: F.col("_g_" + c) for c in measured}
+
     rules = [
         ("no_state_script", F.col("_script").isNull()),
         ("invalid_document", F.col("_doc").isNull() | F.col("_doc.props").isNull()),
         ("no_listing_id", ~_nonempty(F.col("_id"))),
         ("no_listing_data", ~F.col("_has_listing") | L.isNull()),
-        ("bad_attributes", bad_attrs | F.regexp_like(F.col("_raw_listing"), F.lit(_NULL_VALUES))),
+        ("bad_attributes", F.col("_bad_attrs") | F.regexp_like(F.col("_raw_listing"), F.lit(_NULL_VALUES))),
         ("missing_required", reduce(lambda a, b: a | b, [record[c].isNull() for c in ("url", "title", "description", "street", *(["city"] if city_col else []))])),
         ("bad_url", ~(F.col(url_col).startswith("http://") | F.col(url_col).startswith("https://"))),
-        ("bad_published_at", record["published_at"].isNull() | ~aware | (record["published_at"] > as_timestamp(now))),
+        ("bad_published_at", record["published_at"].isNull() | ~F.col("_aware") | (record["published_at"] > as_timestamp(now))),
         *([("bad_city", ~record["city"].isin(*R.CITIES))] if city_col else []),
-        ("bad_rent", (amount_given & amount.isNull()) | (record["rent"].isNotNull() & ((record["rent"] <= 0) | F.isnan(record["rent"])))),
+        ("bad_rent", F.col("_bad_amount") | (record["rent"].isNotNull() & ((record["rent"] <= 0) | F.isnan(record["rent"])))),
         (
             "bad_count",
             reduce(
@@ -390,7 +398,7 @@ def extract_listings(
                 + [F.coalesce(F.isnan(record["size_sqft"]), F.lit(False))],
             ),
         ),
-        ("bad_number", reduce(lambda a, b: a | b, [text.isNotNull() & _number(text).isNull() for text in measured.values()])),
+        ("bad_number", reduce(lambda a, b: a | b, [given[c] & record[c].isNull() for c in measured])),
         (
             "bad_score",
             reduce(
@@ -406,7 +414,7 @@ def extract_listings(
     keep = [c for c in keep_cols if c in details.columns]
     return stage.select(
         *keep,
-        *[record[c].cast(R.BRONZE_SCHEMA[c].dataType).alias(c) for c in R.BRONZE_COLUMNS],
+        *[record[c].alias(c) for c in R.BRONZE_COLUMNS],
         reason.alias("reject_reason"),
     )
 
