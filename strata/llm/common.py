@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import materialize
+from strata.session import workspace
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # The word rule of the benchmark and license scans: digits, lower-case ASCII letters and
@@ -77,7 +77,9 @@ def with_window_hashes(df: DataFrame, words: str, length: int, out: str) -> Data
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Compute once into the shared checkpoint folder and read back (lineage cut)."""
-    return materialize(df, name)
+    path = workspace(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spans_text(spans: Column) -> Column:
@@ -88,6 +90,17 @@ def spans_text(spans: Column) -> Column:
     )
 
 
+#: Rows of whole texts that an Arrow batch holds at most, on its way to Python and back.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of whole texts small: they stand in memory of both the JVM and Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 #: Ids up to which a set of them is broadcast (about 30 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import BROADCAST_IDS, stored, without_ids
+from strata.llm.common import BROADCAST_IDS, small_batches, stored, without_ids
 
 #: The sketch has 2 ** SKETCH_BITS buckets, added up in so many slices.
 SKETCH_BITS, SLICES = 20, 32
@@ -61,7 +61,7 @@ class Shingler:
 
     def words(self, text: str | None) -> np.ndarray:
         found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if len(self.seen) > 400_000:
+        if len(self.seen) > 100_000:
             self.seen.clear()
         seen, out = self.seen, []
         for w in found:
@@ -175,7 +175,7 @@ def _postings(batches: Iterator[pa.RecordBatch], n: int, percent: int, sketch: b
                 last.add(mark)
                 tokens, levels = prefix(grams, counts, percent)
                 out.append((tokens, levels, len(grams), int(levels[-1]), mark))
-            if len(last) > 200_000:
+            if len(last) > 50_000:
                 last.clear()
             if out:
                 rep = [len(x[0]) for x in out]
@@ -462,6 +462,7 @@ def jaccard_classes(documents: DataFrame, n: int = 3, percent: int = 90) -> Data
     """
     if not 50 < percent < 100:
         raise ValueError("percent must lie between 50 and 100: sets of one n-gram are taken to link with equal sets only")
+    small_batches(documents.sparkSession)
     read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     survey = stored(read.mapInArrow(functools.partial(_survey, n=n), SURVEY), "jaccard-survey")
     docs = survey.where("slice is null").select("doc_id", "size", "fa", "fb")

@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import held_out
+from strata.llm.common import held_out, small_batches
 
 #: Bound of the training sample: rows of a language, and symbols of a language's training text.
 SAMPLE_ROWS, SAMPLE_SYMBOLS = 200, 24_000
@@ -240,6 +240,7 @@ def languages(documents: DataFrame) -> DataFrame:
     Repeated rows each get their row. Labels are read from rows that are not held out
     only; reads doc_id, text and lang.
     """
+    small_batches(documents.sparkSession)
     # Tables of at most 2 * SAMPLE_SYMBOLS states a language, as plain arrays.
     model = documents.sparkSession.sparkContext.broadcast(vars(train(documents)))
     rows = documents.select(F.col("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))

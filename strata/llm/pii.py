@@ -20,6 +20,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import small_batches
+
 KINDS = ["email", "ip", "card", "phone"]
 #: Tag 0 is outside; 1 + 2k begins and 2 + 2k goes on with kind k.
 TAGS = 1 + 2 * len(KINDS)
@@ -366,6 +368,7 @@ def private_data(documents: DataFrame) -> DataFrame:
     that the field adds where no base span is. Null and empty texts have none. Repeated
     rows each get their row. Only doc_id and text are read.
     """
+    small_batches(documents.sparkSession)
     kind = dict(documents.dtypes)["doc_id"]
     model = documents.sparkSession.sparkContext.broadcast(train(labelled_table()))
     docs = documents.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -397,6 +400,7 @@ def _mask(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.Re
 
 def mask_private(documents: DataFrame) -> DataFrame:
     """The documents with personal data masked; ``n_chars`` follows where it is a column."""
+    small_batches(documents.sparkSession)
     model = documents.sparkSession.sparkContext.broadcast(train(labelled_table()))
     masked = documents.mapInArrow(lambda batches: _mask(batches, model), documents.schema)
     if "n_chars" in documents.columns:

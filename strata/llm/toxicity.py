@@ -23,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import held_out, stored, without_ids
+from strata.llm.common import held_out, small_batches, stored, without_ids
 
 #: Bound of the labelled sample that voters are induced from and the classifier is fitted on, in hashed order.
 FIT_ROWS = 10_000
@@ -64,7 +64,7 @@ class Voters:
     def of_word(self, word: str) -> tuple[tuple[int, ...], int]:
         found = self.memo.get(word)
         if found is None:
-            if len(self.memo) > 300_000:
+            if len(self.memo) > 100_000:
                 self.memo.clear()
             hits = [t for t in terms_of(word) if t in self.at]
             votes = 0
@@ -351,6 +351,7 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     scores. Only doc_id and text of the documents are read.
     """
     spark = documents.sparkSession
+    small_batches(spark)
     kind = dict(documents.dtypes)["doc_id"]
     docs = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
