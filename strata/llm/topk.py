@@ -26,6 +26,8 @@ PIVOTS = 16
 #: Vectors that the pivots are picked from (by hashed id); the pivots only decide how much is eliminated.
 PIVOT_SAMPLE = 1024
 VECTORS_A_BLOCK, QUERIES_A_BLOCK = 4096, 512
+#: Vectors of a cell, which are evaluated together.
+CELL = 256
 
 #: A vector takes part if it is not null and all its components are finite numbers.
 def takes_part(embedding: Column) -> Column:
@@ -89,6 +91,66 @@ def best(query: np.ndarray, query_id: int, vectors: np.ndarray, ids: np.ndarray,
     return found, got
 
 
+def block_best(
+    queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, near: np.ndarray, q_near: np.ndarray, k: int
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The k best (ids, scores) of each query among the vectors; products must be exact in the arrays' type.
+
+    Vectors lie in cells by their nearest pivot; a cell's bound for a query is the best
+    bound of its vectors. Each query evaluates its best cell first; the other cells follow
+    by their bounds, each for the queries whose k-th score does not exceed it.
+    """
+    order = np.argsort(near.argmin(axis=1), kind="stable")
+    vectors, ids, near = vectors[order], ids[order], near[order]
+    norms, q_norms = [(x.astype(np.float64) ** 2).sum(axis=1).astype(np.float32) for x in (vectors, queries)]
+    near, q_near = near.astype(np.float32), q_near.astype(np.float32)
+    edges = np.arange(0, len(vectors), CELL)
+    best_of = np.empty((len(queries), len(edges)), dtype=np.float32)
+    for c, at in enumerate(edges):
+        part = slice(at, at + CELL)
+        least, gap = np.zeros((len(queries), len(ids[part])), dtype=np.float32), None
+        for p in range(near.shape[1]):
+            gap = np.subtract(q_near[:, p : p + 1], near[None, part, p], out=gap)
+            np.maximum(least, np.abs(gap, out=gap), out=least)
+        # distances above d are above d less their rounding; so are the squares
+        room = 1e-5 * (norms[part].max() + q_norms.max())
+        best_of[:, c] = ((norms[None, part] + q_norms[:, None] - least**2).max(axis=1)) / 2 + 1 + room
+    top = np.full((len(queries), k), -np.inf, dtype=scores_type(queries))
+    hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def evaluate(cell: int, rows: np.ndarray) -> None:
+        part = slice(edges[cell], edges[cell] + CELL)
+        scores = queries[rows] @ vectors[part].T
+        scores[query_ids[rows, None] == ids[None, part]] = -np.inf
+        i, j = np.nonzero((scores >= top[rows, :1]) & (scores > -np.inf))  # the first of the top scores is the k-th best
+        if len(i):
+            hits.append((rows[i], ids[part][j], scores[i, j]))
+            changed = np.unique(i)
+            both = np.concatenate([top[rows[changed]], scores[changed]], axis=1)
+            top[rows[changed]] = np.sort(np.partition(both, both.shape[1] - k, axis=1)[:, -k:], axis=1)
+
+    first = best_of.argmax(axis=1)
+    for cell in np.unique(first):
+        evaluate(int(cell), np.flatnonzero(first == cell))
+    for cell in np.argsort(-best_of.max(axis=0), kind="stable"):
+        rows = np.flatnonzero((best_of[:, cell] >= top[:, 0]) & (first != cell))
+        if len(rows):
+            evaluate(int(cell), rows)
+    if not hits:
+        return [(np.zeros(0, dtype=np.int64), np.zeros(0))] * len(queries)
+    q, found, got = (np.concatenate(x) for x in zip(*hits, strict=True))
+    still = got >= top[q, 0]
+    q, found, got = q[still], found[still], got[still]
+    order = np.lexsort((found, -got, q))
+    q, found, got = q[order], found[order], got[order]
+    begin = np.searchsorted(q, np.arange(len(queries) + 1))
+    return [(found[a : min(b, a + k)], got[a : min(b, a + k)]) for a, b in zip(begin[:-1], begin[1:], strict=True)]
+
+
+def scores_type(queries: np.ndarray) -> np.dtype:
+    return np.result_type(queries, np.float32)
+
+
 def _pack(key, table: pa.Table, pivots: np.ndarray) -> pa.Table:
     """One row a block: ids, vectors and their pivot distances as arrays of bytes."""
     vectors = _matrix(table.column("embedding").to_pylist())
@@ -118,12 +180,15 @@ def _meet(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             near = np.frombuffer(r["distances"]).reshape(len(ids), -1)
             q_near = np.frombuffer(r["q_distances"]).reshape(len(query_ids), -1)
             norms, q_norms = (vectors.astype(float) ** 2).sum(axis=1), (queries.astype(float) ** 2).sum(axis=1)
+            if safe:
+                best_found = block_best(queries, query_ids, vectors, ids, near, q_near, k)
+            else:  # one by one in whole numbers
+                norms, q_norms = (vectors**2).sum(axis=1), (queries**2).sum(axis=1)
+                room = 1 + 1e-9 * norms
+                bounds = [(norms + q_norms[i] - np.abs(near - q_near[i]).max(axis=1) ** 2) / 2 + room + 1e-9 * q_norms[i] for i in range(len(queries))]
+                best_found = [best(q, int(query_ids[i]), vectors, ids, bounds[i], k, False) for i, q in enumerate(queries)]
             out = []
-            for i, query in enumerate(queries):
-                least = np.abs(near - q_near[i]).max(axis=1)
-                bounds = (norms + q_norms[i] - least**2) / 2
-                bounds += 1 + 1e-9 * (norms + q_norms[i])  # room for rounding
-                found, scores = best(query, int(query_ids[i]), vectors, ids, bounds, k, safe)
+            for i, (found, scores) in enumerate(best_found):
                 out.append((np.full(len(found), query_ids[i]), found, [min(max(int(s), -(2**63)), 2**63 - 1) for s in scores]))
             if out:
                 yield pa.RecordBatch.from_arrays([
