@@ -74,7 +74,7 @@ def test_latest_row_wins_whatever_the_order(spark):
 
 
 @pytest.mark.parametrize("column,value,expected", [
-    ("rent", -0.5, None), ("latitude", 90.5, None), ("latitude", 43.25, 43.25), ("walk_score", 10.5, None), ("parking_included", "5d", None),
+    ("rent", -0.5, None), ("latitude", 90.5, None), ("latitude", 43.25, 43.25), ("longitude", -142.5, None), ("parking_included", "5d", None),
     ("parking_included", "2f", None), ("parking_included", "3", 3),
 ])
 def test_ranges(spark, column, value, expected):
