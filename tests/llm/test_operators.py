@@ -373,6 +373,17 @@ def test_hosts_decide_where_markup_does_not(spark):
     assert got[0] == f"{own[0]}\n\nUnique 0" and got[8] == bar
 
 
+def test_hosts_count_over_all_their_chunks(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "CHUNK", 5)
+    notice = "this site is run by nobody at all and says so here"
+    pages = [(i, "http://big.example/", f"<div>{notice if i % 9 == 0 else ''} own{i}</div>") for i in range(60)]
+    pages += [(60 + i, "http://two.example/", f"<div>{notice} own{60 + i}</div>") for i in range(2)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    for parts in (1, 7):
+        got = {r["page_id"]: r["text"] for r in html_extract.main_text(frame.repartition(parts)).collect()}
+        assert got == {i: f"{notice} own{i}" if i >= 60 else f"own{i}" for i in range(62)}
+
+
 def test_repeated_runs():
     rng = random.Random(6)
     streams = [[rng.randrange(6) for _ in range(rng.randrange(40))] for _ in range(12)]
