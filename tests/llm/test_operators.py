@@ -373,6 +373,21 @@ def test_hosts_decide_where_markup_does_not(spark):
     assert got[0] == f"{own[0]}\n\nUnique 0" and got[8] == bar
 
 
+def test_open_blocks_beside_an_article(spark):
+    body = [[" ".join(f"own{i}p{p}x{k}" for k in range(12)) for p in range(3)] for i in range(6)]
+    bar = "home news sport weather travel shop account help contact"
+    pages = [
+        (i, "http://host.example/", f"<div>{b[0]}</div><article>teaser {i}</article><div>{bar}</div><div class='ad'>buy</div><div>{b[1]}</div><div>{b[2]} {bar}</div><div>end{i}</div>")
+        for i, b in enumerate(body)
+    ]
+    pages.append((6, "http://one.example/", "<article><p>first</article><p>" + "</p><p>".join(["he said", "she said", "they both said so"]) + "</p>"))
+    pages.append((7, "http://one.example/", "<p>alone</p><article>inside</article><p>seven tokens are too few to tell</p>"))
+    got = {r["page_id"]: r["text"] for r in html_extract.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i, b in enumerate(body):
+        assert got[i] == "\n\n".join([b[0], f"teaser {i}", b[1], b[2], f"end{i}"])
+    assert got[6] == "first\n\nhe said\n\nshe said\n\nthey both said so" and got[7] == "inside"
+
+
 def test_hosts_count_over_all_their_chunks(spark, monkeypatch):
     monkeypatch.setattr(html_extract, "CHUNK", 5)
     notice = "this site is run by nobody at all and says so here"
