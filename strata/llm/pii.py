@@ -3,13 +3,14 @@
 The base patterns are found in linear time. The field is trained on a small labelled table
 (made here by rule: sentence frames with seeded values and counter-examples) and adds what
 the patterns miss: phone numbers without a leading plus, spelled-out addresses and the
-like. It reads the chunks (runs without white space) around those that hold a digit or an
-at sign; a chunk's features are its shape, its neighbours' shapes and a few cue words.
+like. It reads the chunks (runs without white space) around those that hold a digit, an at
+sign or a spelled-out one, which every value that it may report holds; a chunk's features are its shape, its neighbours' shapes and a few cue words.
 Decoding is Viterbi over padded batches in numpy.
 """
 
 from __future__ import annotations
 
+import heapq
 import random
 import re
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ from strata.llm.common import small_batches
 KINDS = ["email", "ip", "card", "phone"]
 #: Tag 0 is outside; 1 + 2k begins and 2 + 2k goes on with kind k.
 TAGS = 1 + 2 * len(KINDS)
-#: Chunks read on either side of one that holds a digit or an at sign.
+#: Chunks read on either side of one that holds a digit, an at sign or a spelled-out at or dot.
 AROUND = 2
 #: Sentences of the labelled table, and the seed of its values.
 SENTENCES, SEED = 320, 5
@@ -77,6 +78,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 CHUNK = re.compile(r"\S+")
 TRIGGER = re.compile(r"[0-9@]")
+# A spelled-out at sign: in brackets, or a word before a dotted name or a spelled-out dot; and that dot, so that a chain of them is read to its end.
+SPELLED = re.compile(r"[(\[]\s*+at\s*+[)\]]|(?<!\S)at\s++[\w-]++(?:\.[\w-]|\s++dot(?!\S))|(?<!\S)dot(?!\S)", re.I)
 RUNS = [(re.compile("[0-9]+"), "9"), (re.compile(r"[^\W\d_]+"), "a")]
 CUES = frozenset("tel phone call fax mobile cell mail email e-mail contact card visa amex iban host server ip address addr reach write".split())
 BUCKETS = 1 << 12
@@ -272,13 +275,14 @@ LONGEST = 256
 
 
 def runs_of(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of (start, stop) chunks: those within AROUND of a chunk that holds a digit or an at sign."""
-    if not TRIGGER.search(text):
+    """Runs of (start, stop) chunks: those within AROUND of a chunk that holds a digit, an at sign or a spelled-out one."""
+    spelled = [at for m in SPELLED.finditer(text) for at in (m.start(), m.end() - 1)]
+    if not spelled and not TRIGGER.search(text):
         return []
     chunks = [m.span() for m in CHUNK.finditer(text)]
     near, k = [], 0
-    for m in TRIGGER.finditer(text):
-        while chunks[k][1] <= m.start():
+    for at in heapq.merge((m.start() for m in TRIGGER.finditer(text)), spelled):
+        while chunks[k][1] <= at:
             k += 1
         if not near or near[-1] != k:
             near.append(k)
@@ -299,7 +303,7 @@ def runs_of(text: str) -> list[list[tuple[int, int]]]:
 def holds(kind: int, value: str) -> bool:
     digits = len(NOT_DIGIT.sub("", value))
     if kind == 0:
-        return bool(re.fullmatch(r"[\w.%+-]+(?:@|\s*[(\[]?\s*at\s*[)\]]?\s*)[\w-]+(?:(?:\.|\s*dot\s*)[\w-]+)+", value))
+        return bool(re.fullmatch(r"[\w.%+-]+(?:@|\s*[(\[]?\s*at\s*[)\]]?\s*)[\w-]+(?:(?:\.|\s*dot\s*)[\w-]+)+", value, re.I))
     if kind == 1:
         return bool(re.fullmatch(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]+)?", value)) and all(int(p) < 256 for p in value.split(":")[0].split("."))
     if kind == 2:

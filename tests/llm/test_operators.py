@@ -109,6 +109,16 @@ def test_field_learns_and_adds():
     assert pii.spans(["in 2023 we sold 12,500 of v1.2.30"], model)[0] == ([], [])
 
 
+def test_spelled_addresses_without_digits(spark):
+    frame = spark.createDataFrame([(1, "please write to jane (at) example.com"), (2, "mail JANE (AT) EXAMPLE.COM now"), (3, "look at this. It is good (at least) here")], "doc_id long, text string")
+    assert {r["doc_id"]: r["spans"] for r in pii.private_data(frame).collect()} == {1: "email:16:37", 2: "email:5:26", 3: ""}
+    assert [r["text"] for r in pii.mask_private(frame).orderBy("doc_id").collect()][:2] == ["please write to <email>", "mail <email> now"]
+    read = lambda t: " ".join(t[a:b] for run in pii.runs_of(t) for a, b in run)
+    for spelled in ("jane at example dot com", "jane [at] site dot example dot com", "jane ( at ) example.com", "jane\nat mail.example.com", "jane(at)example.com"):
+        assert " ".join(spelled.split()) in read(f"one two three four {spelled} five six seven eight")
+    assert read("sat at home. The at dotted") == ""
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(4)
     emit, steps = rng.normal(size=(pii.BUCKETS, pii.TAGS)), rng.normal(size=(pii.TAGS + 1, pii.TAGS))
