@@ -237,6 +237,10 @@ def train(rows: list[tuple[list[str], list[int]]], rounds: int = 60) -> tuple[np
     return emit, move + fixed
 
 
+#: Chunks that are decoded together, about; a run is never cut, so a longer one goes alone.
+CELLS = 1 << 17
+
+
 def viterbi(feats: list[np.ndarray], emit: np.ndarray, steps: np.ndarray) -> list[np.ndarray]:
     """Best tags of each run of chunks; runs of like length go through together."""
     out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(feats)
@@ -244,7 +248,7 @@ def viterbi(feats: list[np.ndarray], emit: np.ndarray, steps: np.ndarray) -> lis
     at = 0
     while at < len(order):
         take = order[at : at + 512]
-        while len(take) > 1 and len(feats[take[-1]]) > 2 * len(feats[take[0]]) + 8:
+        while len(take) > 1 and (len(feats[take[-1]]) > 2 * len(feats[take[0]]) + 8 or len(take) * len(feats[take[-1]]) > CELLS):
             take = take[: len(take) // 2]
         at += len(take)
         lengths = np.array([len(feats[i]) for i in take])
@@ -257,7 +261,7 @@ def viterbi(feats: list[np.ndarray], emit: np.ndarray, steps: np.ndarray) -> lis
         for k in range(1, width):
             every = best[:, :, None] + steps[None, :TAGS]
             came = every.argmax(axis=1)
-            new = np.take_along_axis(every, came[:, None, :], 1)[:, 0] + scores[:, k]
+            new = every.max(axis=1) + scores[:, k]
             on = (k < lengths)[:, None]
             best, back[k] = np.where(on, new, best), np.where(on, came, np.arange(TAGS)[None, :])
         tag = best.argmax(axis=1)
@@ -270,10 +274,6 @@ def viterbi(feats: list[np.ndarray], emit: np.ndarray, steps: np.ndarray) -> lis
     return out
 
 
-#: Longest run of chunks that is decoded as one; longer runs are cut between two runs of this length.
-LONGEST = 256
-
-
 def runs_of(text: str) -> list[list[tuple[int, int]]]:
     """Runs of (start, stop) chunks: those within AROUND of a chunk that holds a digit, an at sign or a spelled-out one."""
     spelled = [at for m in SPELLED.finditer(text) for at in (m.start(), m.end() - 1)]
@@ -293,7 +293,7 @@ def runs_of(text: str) -> list[list[tuple[int, int]]]:
             stop = min(len(chunks), k + AROUND + 1)
             continue
         if stop >= 0:
-            runs += [chunks[a : min(stop, a + LONGEST)] for a in range(begin, stop, LONGEST)]
+            runs.append(chunks[begin:stop])
         if k is not None:
             begin, stop = max(0, k - AROUND), min(len(chunks), k + AROUND + 1)
     return runs

@@ -119,6 +119,15 @@ def test_spelled_addresses_without_digits(spark):
     assert read("sat at home. The at dotted") == ""
 
 
+def test_long_runs_are_read_whole():
+    model = pii.train(pii.labelled_table())
+    for before in range(250, 262):
+        text = " ".join(["x 12"] * (before // 2) + ["y"] * (before % 2) + ["call (212) 555-1234 now"] + ["x 12"] * 200)
+        (run,) = pii.runs_of(text)
+        assert len(run) == len(text.split())
+        assert ["(212) 555-1234"] == [text[a:b] for a, k, b in pii.spans([text], model)[0][1] if pii.KINDS[k] == "phone"]
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(4)
     emit, steps = rng.normal(size=(pii.BUCKETS, pii.TAGS)), rng.normal(size=(pii.TAGS + 1, pii.TAGS))
