@@ -105,8 +105,25 @@ def small_batches(spark: SparkSession) -> None:
 BROADCAST_IDS = 1_000_000
 
 
-def without_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose doc_id is not among the one column of ``ids`` (distinct); a null id is matched by a null id only."""
-    ids = stored(ids.select(F.col(ids.columns[0]).alias("__id")), "ids")
-    hint = F.broadcast if ids.count() <= BROADCAST_IDS else lambda x: x
-    return documents.join(hint(ids), F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+def text_mark(text: Column | str = "text") -> Column:
+    """16 bytes that stand for a text; a null text counts as empty, as the operators read it."""
+    return F.unhex(F.md5(whole_text(text).cast("binary")))
+
+
+def no_mark() -> Column:
+    return F.lit(None).cast("binary")
+
+
+def without_texts(documents: DataFrame, marks: DataFrame) -> DataFrame:
+    """Rows whose text is not among the one column of ``marks`` (distinct), whatever their doc_id."""
+    marks = stored(marks.select(F.col(marks.columns[0]).alias("__mark")), "marks")
+    hint = F.broadcast if marks.count() <= BROADCAST_IDS else lambda x: x
+    return documents.join(hint(marks), text_mark() == F.col("__mark"), "left_anti")
+
+
+def with_key(documents: DataFrame, keys: DataFrame, mark: Column, how: str) -> DataFrame:
+    """Rows (semi, anti) whose doc_id and ``mark`` are a row of ``keys`` (doc_id, mark; stored and distinct); nulls equal nulls."""
+    keys = keys.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"))
+    hint = F.broadcast if keys.count() <= BROADCAST_IDS else lambda x: x
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & mark.eqNullSafe(F.col("__mark"))
+    return documents.join(hint(keys), same, f"left_{how}")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_words, lower_ascii, stored, whole_text, with_window_hashes, without_ids
+from strata.llm.common import ascii_words, lower_ascii, stored, text_mark, whole_text, with_window_hashes, without_texts
 
 WINDOW = 10
 #: Windows of the benchmark up to which the set is broadcast (about 250 bytes each); above it the join shuffles.
@@ -115,8 +115,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents without a benchmark window. Rows that share a doc_id stay or go together."""
-    return without_ids(documents, contamination(documents, benchmark, window).where("contaminated").select("doc_id").distinct())
+    """The documents without a benchmark window, row by row: a row stays or goes by its own text."""
+    texts = documents.select(text_mark().alias("doc_id"), "text")
+    return without_texts(documents, contamination(texts, benchmark, window).where("contaminated").select("doc_id").distinct())
 
 
 # ---------------------------------------------------------------- registered query

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import BROADCAST_IDS, small_batches, stored, without_ids
+from strata.llm.common import no_mark, small_batches, stored, text_mark, with_key
 
 #: The sketch has 2 ** SKETCH_BITS buckets, added up in so many slices.
 SKETCH_BITS, SLICES = 20, 32
@@ -98,7 +98,7 @@ def _buckets(grams: np.ndarray) -> np.ndarray:
 
 
 def _survey(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """A row of (doc_id, size, fa, fb) a document, then this task's share of the sketch in slices."""
+    """A row of (doc_id, mark, size, fa, fb) a document, then this task's share of the sketch in slices."""
     shingle, counts = Shingler(n), np.zeros(1 << SKETCH_BITS, dtype=np.int32)
     for batch in batches:
         sizes, marks = [], []
@@ -108,17 +108,17 @@ def _survey(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
             sizes.append(len(grams))
             marks.append(fingerprint(grams))
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()),
+            batch.column("doc_id").cast(pa.int64()), batch.column("mark"), pa.array(sizes, pa.int64()),
             pa.array([a for a, _ in marks], pa.int64()), pa.array([b for _, b in marks], pa.int64()),
             pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary()),
-        ], names=["doc_id", "size", "fa", "fb", "slice", "counts"])
+        ], names=["doc_id", "mark", "size", "fa", "fb", "slice", "counts"])
     if counts.any():
         none = pa.nulls(SLICES, pa.int64())
         shares = [zlib.compress(x.tobytes(), 1) for x in np.split(counts, SLICES)]
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(range(SLICES), pa.int32()), pa.array(shares, pa.binary())], names=["doc_id", "size", "fa", "fb", "slice", "counts"])
+        yield pa.RecordBatch.from_arrays([none, pa.nulls(SLICES, pa.binary()), none, none, none, pa.array(range(SLICES), pa.int32()), pa.array(shares, pa.binary())], names=["doc_id", "mark", "size", "fa", "fb", "slice", "counts"])
 
 
-SURVEY = "doc_id long, size long, fa long, fb long, slice int, counts binary"
+SURVEY = "doc_id long, mark binary, size long, fa long, fb long, slice int, counts binary"
 
 
 def _add_up(key, table: pa.Table) -> pa.Table:
@@ -460,16 +460,32 @@ def jaccard_classes(documents: DataFrame, n: int = 3, percent: int = 90) -> Data
     their own, linked with each other. A null doc_id takes part; a class of null ids only
     has a null id. Only ``doc_id`` and ``text`` are read.
     """
+    return _classes(documents, n, percent, no_mark()).select(
+        "doc_id", F.col("size").alias("n_shingles"),
+        F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("size") > 0, F.col("links")).otherwise(F.lit(0)).cast("long").alias("n_links"),
+    )
+
+
+def _classes(documents: DataFrame, n: int, percent: int, mark: Column) -> DataFrame:
+    """doc_id, mark, size, component, links of every document row, and the ``first`` row of its class (null without words).
+
+    First is the least doc_id, rows without one last, then the least fingerprint and mark.
+    """
     if not 50 < percent < 100:
         raise ValueError("percent must lie between 50 and 100: sets of one n-gram are taken to link with equal sets only")
     small_batches(documents.sparkSession)
     read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    survey = stored(read.mapInArrow(functools.partial(_survey, n=n), SURVEY), "jaccard-survey")
-    docs = survey.where("slice is null").select("doc_id", "size", "fa", "fb")
+    marked = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), mark.alias("mark"))
+    survey = stored(marked.mapInArrow(functools.partial(_survey, n=n), SURVEY), "jaccard-survey")
+    docs = survey.where("slice is null").select("doc_id", "mark", "size", "fa", "fb")
     families = connected(candidate_pairs(read, n, percent, sketch_of(survey)), "jaccard-families")
 
-    classes = docs.where("size > 0").groupBy("fa", "fb").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"))
-    families = stored(families.select("root", "node.*").join(classes, ["fa", "fb"]), "jaccard-families")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fa", "fb", "mark")
+    classes = docs.where("size > 0").groupBy("fa", "fb").agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"), F.min(order).alias("first")
+    )
+    families = stored(families.select("root", "node.*").join(classes.drop("first"), ["fa", "fb"]), "jaccard-families")
     # One text of each set is read again; where an id stands at several rows, the fingerprint picks.
     near = read.mapInArrow(functools.partial(_wanted, words=bit_set(families.select("doc_id"))), "doc_id long, text string")
     texts = near.join(families, near["doc_id"].eqNullSafe(families["doc_id"])).select("root", "fa", "fb", "copies", "size", "text")
@@ -480,33 +496,35 @@ def jaccard_classes(documents: DataFrame, n: int = 3, percent: int = 90) -> Data
     forest = linked.where("links = 0").select(node("aa", "ab").alias("a"), node("ba", "bb").alias("b"))
     reach = connected(forest, "jaccard-classes").select("root", "node.*")
     least = classes.join(reach, ["fa", "fb"])
-    least = least.join(least.groupBy("root").agg(F.min("doc_id").alias("component")), "root").select("fa", "fb", "component")
+    least = least.join(least.groupBy("root").agg(F.min("doc_id").alias("component"), F.min("first").alias("least")), "root").select("fa", "fb", "component", "least")
     count = linked.where("links > 0").groupBy(F.col("aa").alias("fa"), F.col("ab").alias("fb")).agg(F.sum("links").alias("links"))
     per = classes.join(least, ["fa", "fb"], "left").join(count, ["fa", "fb"], "left").select(
-        "fa", "fb", F.coalesce("component", "doc_id").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
-    )
-    return docs.join(per, ["fa", "fb"], "left").select(
-        "doc_id", F.col("size").alias("n_shingles"),
-        F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(F.col("size") > 0, F.col("links")).otherwise(F.lit(0)).cast("long").alias("n_links"),
+        "fa", "fb", F.coalesce("component", "doc_id").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("least", "first").alias("first")
     )
+    return docs.join(per, ["fa", "fb"], "left").select("doc_id", "mark", "size", "component", "links", F.when(F.col("size") > 0, F.col("first")).alias("first"))
 
 
 def one_of_each_class(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without those that link, over any number of steps, with a document of a lower doc_id.
+    """Of each class of documents that link over any number of steps one row: the least doc_id, rows without one last.
 
-    Rows that share a doc_id are one document: the one whose text sorts first stays, and
-    none if any of them is linked to a lower id. Rows without doc_id stay, and so do texts
-    without words.
+    What a row links with is decided by its own text, so rows with a repeated or no doc_id
+    are not drawn along by others. Of the rows left, those that share a doc_id are one
+    document: the one whose text sorts first stays. Texts without words link with nothing
+    and stay.
     """
-    classes = jaccard_classes(documents, n, percent)
-    kept = without_ids(documents, classes.where("component_id <> doc_id").select("doc_id").distinct())
-    repeated = classes.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("__again"))
-    repeated = stored(repeated, "jaccard-repeated")
+    rows = _classes(documents, n, percent, text_mark()).withColumn(
+        "stays", F.col("first").isNull() | (F.col("first")["doc_id"].eqNullSafe(F.col("doc_id")) & (F.col("first")["mark"] == F.col("mark")))
+    )
+    gone = stored(rows.where(~F.col("stays")).select("doc_id", "mark").distinct(), "jaccard-gone")
+    kept = with_key(documents, gone, text_mark(), "anti")
+    # Rows that share an id, and copies of one text without an id.
+    key = lambda mark: F.when(F.col("doc_id").isNull(), mark)
+    repeated = rows.where(F.col("stays") & (F.col("doc_id").isNotNull() | (F.col("size") > 0))).groupBy("doc_id", key(F.col("mark")).alias("mark")).count()
+    repeated = stored(repeated.where("count > 1").select("doc_id", "mark"), "jaccard-repeated")
     if not repeated.limit(1).count():  # the usual case: an id stands at one row
         return kept
-    several = F.broadcast(repeated) if repeated.count() <= BROADCAST_IDS else repeated
-    same = F.col("doc_id").cast("long") == F.col("__again")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = kept.join(several, same, "left_semi").withColumn("__first", first).where("__first = 1").drop("__first")
-    return kept.join(several, same, "left_anti").unionByName(one)
+    mark = key(text_mark())
+    others = F.to_json(F.struct(*[F.col(c) for c in documents.columns if c != "text"]))
+    first = F.row_number().over(Window.partitionBy("doc_id", "__key").orderBy("text", others))
+    one = with_key(kept, repeated, mark, "semi").withColumn("__key", mark).withColumn("__first", first).where("__first = 1").drop("__first", "__key")
+    return with_key(kept, repeated, mark, "anti").unionByName(one)

@@ -20,10 +20,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import held_out, small_batches, stored, without_ids
+from strata.llm.common import held_out, no_mark, small_batches, stored, text_mark, without_texts
 
 #: Bound of the labelled sample that voters are induced from and the classifier is fitted on, in hashed order.
 FIT_ROWS = 10_000
@@ -318,8 +318,8 @@ def _look(batches: Iterator[pa.RecordBatch], terms: Broadcast) -> Iterator[pa.Re
     for batch in batches:
         found = [voters.look(t) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([f for f, _ in found], pa.list_(pa.int32())), pa.array([v for _, v in found], pa.int32())],
-            names=["doc_id", "features", "votes"],
+            [batch.column("doc_id"), batch.column("mark"), pa.array([f for f, _ in found], pa.list_(pa.int32())), pa.array([v for _, v in found], pa.int32())],
+            names=["doc_id", "mark", "features", "votes"],
         )
 
 
@@ -339,7 +339,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.R
         owner = np.repeat(np.arange(batch.num_rows), np.diff(features.offsets.to_numpy()))
         margin = np.bincount(owner, weights[flat], minlength=batch.num_rows) + bias
         score = 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64())], names=["doc_id", "score"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(score, pa.float64())], names=["doc_id", "mark", "score"])
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -350,15 +350,20 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts get the score of a text without features. Repeated rows get equal
     scores. Only doc_id and text of the documents are read.
     """
+    return _scored(documents, labels, no_mark()).drop("mark")
+
+
+def _scored(documents: DataFrame, labels: DataFrame, mark: Column) -> DataFrame:
+    """The rows of ``toxicity``, each with the ``mark`` of its document."""
     spark = documents.sparkSession
     small_batches(spark)
     kind = dict(documents.dtypes)["doc_id"]
-    docs = documents.select("doc_id", F.col("text").cast("string").alias("text"))
+    docs = documents.select("doc_id", F.col("text").cast("string").alias("text"), mark.alias("mark"))
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy(F.col("doc_id").cast(kind).alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.where(F.col("toxic").isin(0, 1))
     chosen = known.orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id").limit(FIT_ROWS)
-    sample = stored(docs.join(F.broadcast(chosen), "doc_id"), "toxicity-sample")  # broadcasts FIT_ROWS ids at most
+    sample = stored(docs.drop("mark").join(F.broadcast(chosen), "doc_id"), "toxicity-sample")  # broadcasts FIT_ROWS ids at most
 
     found = induced_terms(sample)
     if found:
@@ -367,7 +372,7 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
         first = distinct_rows([r["hashes"] for r in held], [r["toxic"] for r in held])
         found = [found[i] for i in supported([held[i]["features"] for i in first], [held[i]["toxic"] for i in first], len(found), DISTINCT_BAR)]
     terms = spark.sparkContext.broadcast(found)
-    looked = stored(docs.mapInArrow(lambda batches: _look(batches, terms), f"doc_id {kind}, features array<int>, votes int"), "toxicity-votes")
+    looked = stored(docs.mapInArrow(lambda batches: _look(batches, terms), f"doc_id {kind}, mark binary, features array<int>, votes int"), "toxicity-votes")
 
     # Label model: rows by votes and label, over all rows that are not held out.
     with_label = looked.where(~held_out()).select("doc_id", "votes").join(known, "doc_id", "left")
@@ -387,10 +392,10 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     rows = [list(r["features"]) + [len(terms.value) + k for k in np.flatnonzero(b)] for r, b in zip(fit, bits, strict=True)]
     linear = spark.sparkContext.broadcast(fit_linear(rows, model.posterior(bits), size))
     fired = F.filter(F.transform(F.sequence(F.lit(0), F.lit(N_VOTERS - 1)), lambda k: F.when(F.expr("shiftright(votes, 0)").bitwiseAND(F.pow(F.lit(2), k).cast("int")) != 0, k + len(terms.value))), lambda k: k.isNotNull())
-    scored = looked.select("doc_id", F.concat("features", fired).alias("features")).mapInArrow(lambda batches: _score(batches, linear), f"doc_id {kind}, score double")
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scored = looked.select("doc_id", "mark", F.concat("features", fired).alias("features")).mapInArrow(lambda batches: _score(batches, linear), f"doc_id {kind}, mark binary, score double")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "mark")
 
 
 def remove_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier does not reject; rows that share a doc_id stay or go together."""
-    return without_ids(documents, toxicity(documents, labels).where("predicted = 1").select("doc_id").distinct())
+    """The documents that the classifier does not reject, row by row: a row stays or goes by its own text."""
+    return without_texts(documents, _scored(documents, labels, text_mark()).where("predicted = 1").select("mark").distinct())

@@ -434,6 +434,26 @@ def test_repeated_runs():
 # ------------------------------------------------------------------ the pipeline
 
 
+def test_stages_decide_by_row(spark, docs, texts):
+    labels = common.table(spark, SF, "labels")
+    said = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(docs, labels).collect()}
+    bad, good = (min(d for d, p in said.items() if p == want and texts[d]) for want in (1, 0))
+    twice = spark.createDataFrame([(None, texts[bad]), (None, texts[good]), (-1, texts[bad]), (-1, texts[good])], "doc_id long, text string")
+    left = toxicity.remove_toxic(docs.select("doc_id", "text").unionByName(twice), labels).where("doc_id is null or doc_id < 0").collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == [(-1, texts[good]), (0, texts[good])]
+
+    items = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
+    rows = [(None, "x a b c d e f g h i j"), (None, "clean"), (3, "a b c d e f g h i j k"), (3, "clean too")]
+    left = decontaminate.remove_contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert sorted(r["text"] for r in left) == ["clean", "clean too"]
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (None, a), (None, b), (None, b), (None, b + " end"), (None, None), (None, ""), (6, a + " more"), (6, c), (7, " " + a)]
+    left = jaccard_join.one_of_each_class(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "-") for r in left if r["text"] not in (b, b + " end")) == [(0, "-"), (0, "-"), (5, a), (6, c)]
+    assert len([r for r in left if r["text"] in (b, b + " end")]) == 1
+
+
 def test_pipeline(spark, docs, texts):
     kept = docs
     seen = {}
