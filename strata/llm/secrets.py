@@ -21,10 +21,10 @@ HEX = r"[0-9a-f]+"
 LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 KINDS = ["assign", "access", "hex"]
 
-# Weak parts, by what they can complete. None of them counts alone.
-WEAK_SECRET = r"(?i:\b(?:pwd|pass|passphrase|credential|auth|private_?key|client_?secret|access_?key)\b)[\"']?\x20*[:=]\x20*[\"']?[^\s\"',;]{6,200}"
-WEAK_ID = r"(?i:\b(?:user(?:_?name|_?id)?|login|account(?:_?id)?|client_?id|key_?id|tenant)\b)[\"']?\x20*[:=]\x20*[\"']?[^\s\"',;]{3,200}"
-ENDPOINT = r"(?i:\b(?:https?|jdbc:[a-z0-9]{2,20}|postgres(?:ql)?|mysql|redis|mongodb|amqp|ftp)://)[^\s\"',;]{4,500}"
+# Weak parts, by what they can complete. None of them counts alone. Values are read to their end.
+WEAK_SECRET = r"(?i:\b(?:pwd|pass|passphrase|credential|auth|private_?key|client_?secret|access_?key)\b)[\"']?\x20*[:=]\x20*[\"']?[^\s\"',;]{6,}+"
+WEAK_ID = r"(?i:\b(?:user(?:_?name|_?id)?|login|account(?:_?id)?|client_?id|key_?id|tenant)\b)[\"']?\x20*[:=]\x20*[\"']?[^\s\"',;]{3,}+"
+ENDPOINT = r"(?i:\b(?:https?|jdbc:[a-z0-9]{2,20}|postgres(?:ql)?|mysql|redis|mongodb|amqp|ftp)://)[^\s\"',;]{4,}+"
 
 #: Code points between two parts up to which they belong together.
 REACH = 200

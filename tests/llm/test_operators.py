@@ -196,6 +196,13 @@ def test_weak_parts_need_company(spark):
     assert got[5]["spans"].split(",")[0].startswith("access:0:20") and "secret:" in got[5]["spans"]
 
 
+def test_long_values_are_read_to_their_end(spark):
+    long = "aB3-" * 200
+    rows = [(1, f"auth={long} user=admin"), (2, f"login={long} pass=hunter22"), (3, f"https://h.example/{long} pass=hunter22")]
+    got = {r["doc_id"]: r["spans"] for r in secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "secret:0:805,id:806:816", 2: "id:0:806,secret:807:820", 3: "endpoint:0:818,secret:819:832"}
+
+
 # ------------------------------------------------------------------ 5 languages
 
 
