@@ -309,13 +309,14 @@ def _detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     def quoted(x):  # keys and ids here are plain ASCII without quotes or backslashes
         return F.concat(F.lit('"'), x, F.lit('"'))
 
-    # values whose JSON type differs: amounts and coordinates as text, words for numbers, a null list
+    # values whose JSON type differs: amounts and coordinates as text, words for numbers, a null list.
+    # Words go first: a key with both faults keeps the word, which the quoting pattern leaves alone.
     text = F.to_json(listing)
     for every, pattern, other in (
-        (109, r'"amount":([0-9.E]+)', '"amount":"$1"'),
         (131, r'"amount":[0-9.E]+', '"amount":"Please contact"'),
-        (127, r'"latitude":(-?[0-9.]+)', '"latitude":"$1"'),
+        (109, r'"amount":([0-9.E]+)', '"amount":"$1"'),
         (157, r'"latitude":-?[0-9.]+', '"latitude":"north"'),
+        (127, r'"latitude":(-?[0-9.]+)', '"latitude":"$1"'),
         (149, r'"name":"Floor Plan","values":\["Open"\]', '"name":"Floor Plan","values":null'),
     ):
         text = F.when(k % every == 0, F.regexp_replace(text, pattern, other)).otherwise(text)
