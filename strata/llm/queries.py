@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, html_extract, jaccard_join, langid, license_scan, mixing, pii, secrets, topk, toxicity
+from strata.llm import conversations, decontaminate, html_extract, jaccard_join, langid, license_scan, mixing, packing, pii, secrets, topk, toxicity, whiten
 from strata.llm.common import table
 
 
@@ -49,6 +49,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_sequences(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"), components=8, scale=1024.0)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_pii": op2_pii,
@@ -60,6 +72,9 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_html_extract": op9_html_extract,
     "op10_secrets": op10_secrets,
+    "op11_packing": op11_packing,
+    "op12_whitening": op12_whitening,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE = {
