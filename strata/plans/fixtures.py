@@ -240,8 +240,8 @@ def _detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     # A stored pages table spans many files; the generated one starts from a single small
-    # file, so spread it over the cores before the per-page work.
-    o = table(spark, sf_dir, "orders").repartition("o_orderkey")
+    # file, so spread it over the cores (evenly: a given number is not merged by size).
+    o = table(spark, sf_dir, "orders").repartition(4 * spark.sparkContext.defaultParallelism, "o_orderkey")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     rows = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)

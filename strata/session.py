@@ -15,6 +15,7 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",  # of a repeated JSON key the last value counts
 }
 
 

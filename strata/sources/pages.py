@@ -2,8 +2,8 @@
 
 Input is HTML that was already fetched (fetching is outside the library): search-result
 pages ``(page_id, city, html)`` and listing detail pages ``(url, html)``. Everything below
-is built-in Column functions: regexp extraction of the script, ``from_json`` into typed
-structs or a string map, higher-order array functions for the attribute list. No UDFs.
+is built-in Column functions: regexp extraction of the script, typed paths into the state
+document (a VARIANT, parsed once), higher-order array functions for the attribute list. No UDFs.
 """
 
 from __future__ import annotations
@@ -79,12 +79,11 @@ STATE_SCRIPT_ID = "__NEXT_DATA__"
 # match; comments are removed before a script is looked for.
 _COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 _VALUE = r"""(?:"{0}"|'{0}'|{0}(?=[\s>]))"""
-_LD_SCRIPT = r"(?is)<script(?=\s)[^>]*?\stype\s*=\s*" + _VALUE.format(r"application/ld\+json") + r"[^>]*>(.*?)</script>"
-_STATE_SCRIPT = r"(?is)<script(?=\s)[^>]*?\sid\s*=\s*" + _VALUE.format("__NEXT_DATA__") + r"[^>]*>(.*?)</script>"
-_FIRST_SCRIPT = r"(?is)<script\b[^>]*>(.*?)</script>"
-# JSON details that a typed parse does not tell: an explicit null list, an amount given as text.
-_NULL_VALUES = r'(?<!\\)"values"\s*:\s*null'
-_TEXT_AMOUNT = r'(?<!\\)"price"\s*:\s*\{[^{}]*?(?<!\\)"amount"\s*:\s*"'
+# The body up to the first end tag, in runs without '<' (no step back at every character).
+_BODY = r"([^<]*+(?:<(?!/script>)[^<]*+)*+)</script>"
+_LD_SCRIPT = r"(?i)<script(?=\s)[^>]*?\stype\s*=\s*" + _VALUE.format(r"application/ld\+json") + r"[^>]*>" + _BODY
+_STATE_SCRIPT = r"(?i)<script(?=\s)[^>]*?\sid\s*=\s*" + _VALUE.format("__NEXT_DATA__") + r"[^>]*>" + _BODY
+_FIRST_SCRIPT = r"(?i)<script\b[^>]*>" + _BODY
 
 SEARCH_SCHEMA = T.StructType(
     [
@@ -105,72 +104,22 @@ SEARCH_SCHEMA = T.StructType(
     ]
 )
 
-PAGE_SCHEMA = T.StructType(
-    [
-        T.StructField(
-            "props",
-            T.StructType(
-                [
-                    T.StructField(
-                        "pageProps",
-                        T.StructType(
-                            [
-                                T.StructField("listingId", T.StringType()),
-                                T.StructField("activationDate", T.StringType()),
-                                T.StructField("__APOLLO_STATE__", T.MapType(T.StringType(), T.StringType())),
-                            ]
-                        ),
-                    )
-                ]
-            ),
-        )
-    ]
-)
-
-_ATTR = T.StructType([T.StructField("name", T.StringType()), T.StructField("values", T.ArrayType(T.StringType()))])
-LISTING_SCHEMA = T.StructType(
-    [
-        T.StructField("title", T.StringType()),
-        T.StructField("description", T.StringType()),
-        T.StructField("price", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("activationDate", T.StringType()),
-        T.StructField(
-            "location",
-            T.StructType(
-                [
-                    T.StructField("address", T.StringType()),
-                    T.StructField(
-                        "coordinates",
-                        T.StructType([T.StructField("latitude", T.StringType()), T.StructField("longitude", T.StringType())]),
-                    ),
-                    T.StructField("neighbourhoodInfo", T.StructType([T.StructField("__ref", T.StringType())])),
-                ]
-            ),
-        ),
-        T.StructField("imageUrls", T.ArrayType(T.StringType())),
-        T.StructField("attributes", T.StructType([T.StructField("all", T.ArrayType(_ATTR))])),
-    ]
+# Typed views of the state document. Values whose JSON type matters (numbers that may be
+# given as text, lists that may be null) stay VARIANT.
+PROPS_TYPE = "struct<pageProps:struct<listingId:string,activationDate:string>>"
+STATE_PATH = "$.props.pageProps.__APOLLO_STATE__"
+LISTING_TYPE = (
+    "struct<title:string,description:string,activationDate:string,price:struct<amount:variant>,"
+    "location:struct<address:string,coordinates:struct<latitude:variant,longitude:variant>,neighbourhoodInfo:struct<__ref:string>>,"
+    "imageUrls:array<string>,attributes:struct<all:array<struct<name:string,values:array<string>>>>>"
 )
-
-_SCORE = T.StructType([T.StructField("score", T.StringType())])
-HOOD_SCHEMA = T.StructType(
-    [
-        T.StructField("name", T.StringType()),
-        T.StructField(
-            "scores",
-            T.StructType(
-                [
-                    T.StructField(
-                        "transportation",
-                        T.StructType(
-                            [T.StructField("walk", _SCORE), T.StructField("transit", _SCORE), T.StructField("cycle", _SCORE)]
-                        ),
-                    )
-                ]
-            ),
-        ),
-    ]
+HOOD_TYPE = (
+    "struct<name:string,scores:struct<transportation:"
+    "struct<walk:struct<score:variant>,transit:struct<score:variant>,cycle:struct<score:variant>>>>"
 )
+ATTRIBUTES_TYPE = "array<struct<name:string,values:array<string>>>"
+# The same with lists as they are, read only where a list is missing or null.
+LISTS_TYPE = "struct<attributes:struct<all:array<struct<values:variant>>>>"
 
 
 def _script(html: Column, pattern: str, *, comments: bool = True) -> Column:
@@ -181,9 +130,27 @@ def _script(html: Column, pattern: str, *, comments: bool = True) -> Column:
     return F.when(F.length(body) > 0, body)
 
 
-def _number(text: Column) -> Column:
-    """A JSON number or number text as a double; null if it is neither (or is missing)."""
-    return parse_float(text)
+def _is_text(value: Column) -> Column:
+    return F.schema_of_variant(value) == "STRING"
+
+
+def _number(value: Column) -> Column:
+    """A JSON number, or text that reads as one, as a double; null for any other value (or none)."""
+    kind = F.schema_of_variant(value)
+    return F.when(kind.isin("BIGINT", "DOUBLE") | F.startswith(kind, F.lit("DECIMAL")), F.try_variant_get(value, "$", "double")).when(
+        kind == "STRING", parse_float(F.try_variant_get(value, "$", "string"))
+    )
+
+
+def _given(value: Column) -> Column:
+    """Neither missing nor a JSON null."""
+    return value.isNotNull() & ~F.is_variant_null(value)
+
+
+def _state_path(key: Column) -> Column:
+    """Path of the state entry with that key; quoted with the mark that the key does not hold."""
+    quote = F.when(~F.contains(key, F.lit('"')), F.lit('"')).when(~F.contains(key, F.lit("'")), F.lit("'"))
+    return F.concat(F.lit(STATE_PATH + "["), quote, key, quote, F.lit("]"))
 
 
 # ------------------------------------------------------------------ O8a, O8b, O10
@@ -236,22 +203,22 @@ def page_summary(items: DataFrame, listings: DataFrame | None = None, *, page_co
 # ------------------------------------------------------------------ O8c - O8i
 
 
-def attribute_map(all_attrs: Column) -> Column:
-    """name -> first value of the mapped attributes, the *last* one winning for a repeated name.
-
-    Only the names that become columns are kept, in one pass; a repeated name is dropped
-    from the map before its later value is added, so no key-dedup policy is needed and the
-    map never holds more entries than there are columns.
-    """
+def known_attributes(all_attrs: Column) -> Column:
+    """The attributes that become columns."""
     wanted = F.array(*[F.lit(n) for n in ATTRIBUTE_FIELDS])
-    known = F.filter(all_attrs, lambda a: F.array_contains(wanted, a.getField("name")))
-    none = F.create_map().cast("map<string,string>")
+    return F.filter(all_attrs, lambda a: F.array_contains(wanted, a.getField("name")))
 
-    def add(found: Column, a: Column) -> Column:
-        name = a.getField("name")
-        return F.map_concat(F.map_filter(found, lambda k, _: k != name), F.create_map(name, F.get(a.getField("values"), 0)))
 
-    return F.aggregate(known, none, add)
+def attribute_map(known: Column, names: Column) -> Column:
+    """name -> first value of known attributes, the *last* one winning for a repeated name.
+
+    ``names`` are their names, as a column of its own. Pages rarely repeat a name; only then
+    attributes that a later one replaces are looked for, so no map is built twice.
+    """
+    from_end = F.reverse(names)
+    last = F.filter(known, lambda a, i: F.array_position(from_end, a.getField("name")) == F.size(names) - i)
+    kept = F.when(F.size(F.array_distinct(names)) == F.size(names), known).otherwise(last)
+    return F.map_from_entries(F.transform(kept, lambda a: F.struct(a.getField("name"), F.get(a.getField("values"), 0))))
 
 
 def _attribute(attr_map: Column, name: str) -> Column:
@@ -280,59 +247,49 @@ def extract_listings(
     Without ``city_col`` the city stays null and is not checked: a scrape takes it from the
     search page that listed the URL.
     """
-    # Staged projections: every expensive step (regex over the page, each JSON parse) is
-    # computed once into a column and later steps read the column. Higher-order functions
-    # (filter / exists over the attribute list) are evaluated outside generated code, so
-    # their input must be a plain column, never the parse expression itself.
+    # Staged projections: every expensive step (regex over the page, the one JSON parse, each
+    # typed view) is computed once into a column and later steps read the column. Higher-order
+    # functions are evaluated outside generated code, so their input must be a plain column.
     stage = details.select("*", _script(F.col(html_col), _STATE_SCRIPT).alias("_script"))
-    stage = stage.select("*", F.from_json(F.col("_script"), PAGE_SCHEMA).alias("_doc"))
-    props = F.col("_doc").getField("props").getField("pageProps")
+    stage = stage.select("*", F.try_parse_json("_script").alias("_doc"))
+    stage = stage.select("*", F.try_variant_get("_doc", "$.props", PROPS_TYPE).alias("_props"))
+    page = F.col("_props.pageProps")
+    stage = stage.select("*", page.getField("listingId").alias("_id"), page.getField("activationDate").alias("_page_activation"))
+    key = F.when(_nonempty(F.col("_id")), F.concat(F.lit(LISTING_STATE_PREFIX), F.col("_id")))
+    stage = stage.select("*", _state_path(key).alias("_path"))
+    # straight from the document into the typed view: a VARIANT in between would be built anew
+    stage = stage.select("*", F.try_variant_get("_doc", F.col("_path"), LISTING_TYPE).alias("_l"))
+    L = F.col("_l")
+    loc = L.getField("location")
+    ref = loc.getField("neighbourhoodInfo").getField("__ref")
     stage = stage.select(
         "*",
-        props.getField("listingId").alias("_id"),
-        props.getField("__APOLLO_STATE__").alias("_state"),
-        props.getField("activationDate").alias("_page_activation"),
+        # an object without any member; a title tells most apart without a look at the whole type
+        (L.isNotNull() & F.when(L.getField("title").isNotNull(), F.lit(True)).otherwise(F.schema_of_variant(F.try_variant_get("_doc", F.col("_path"), "variant")) != "OBJECT<>")).alias("_has_listing"),
+        F.coalesce(L.getField("attributes").getField("all"), F.array().cast(ATTRIBUTES_TYPE)).alias("_attrs"),
+        F.try_variant_get("_doc", _state_path(F.when(_nonempty(ref), ref)), HOOD_TYPE).alias("_hood"),
     )
-    raw_listing = F.when(
-        _nonempty(F.col("_id")),
-        F.try_element_at(F.col("_state"), F.concat(F.lit(LISTING_STATE_PREFIX), F.col("_id"))),
-    )
-    stage = stage.select("*", raw_listing.alias("_raw_listing"))
     stage = stage.select(
-        "*",
-        (F.col("_raw_listing").isNotNull() & (F.regexp_replace("_raw_listing", r"\s", "") != F.lit("{}"))).alias(
-            "_has_listing"
-        ),
-        F.from_json(F.col("_raw_listing"), LISTING_SCHEMA).alias("_l"),
+        "*", known_attributes(F.col("_attrs")).alias("_known"),
+        F.exists("_attrs", lambda a: a.getField("values").isNull()).alias("_no_list"),
+        F.exists("_attrs", lambda a: a.isNull() | a.getField("name").isNull() | F.coalesce(F.size(a.getField("values")) == 0, F.lit(False))).alias("_bad"),
     )
-    ref = F.col("_l").getField("location").getField("neighbourhoodInfo").getField("__ref")
+    lists = F.try_variant_get("_doc", F.col("_path"), LISTS_TYPE).getField("attributes").getField("all")
     stage = stage.select(
-        "*",
-        F.coalesce(F.col("_l").getField("attributes").getField("all"), F.array().cast(T.ArrayType(_ATTR))).alias("_attrs"),
-        F.from_json(F.when(_nonempty(ref), F.try_element_at(F.col("_state"), ref)), HOOD_SCHEMA).alias("_hood"),
-    )
-
-    stage = stage.select("*", attribute_map(F.col("_attrs")).alias("_amap"))
-
-    L = F.col("_l")
-    attrs = F.col("_attrs")
-    bad_attrs = F.exists(
-        attrs,
-        lambda a: a.isNull()
-        | a.getField("name").isNull()
-        | (a.getField("values").isNotNull() & (F.size(a.getField("values")) == 0)),
+        "*", F.transform("_known", lambda a: a.getField("name")).alias("_names"),
+        F.when(F.col("_no_list"), lists).alias("_lists"),
     )
-    loc = L.getField("location")
+    stage = stage.select("*", attribute_map(F.col("_known"), F.col("_names")).alias("_amap"))
+    null_list = F.exists("_lists", lambda a: F.coalesce(F.is_variant_null(a.getField("values")), F.lit(False)))
+    bad_attrs = F.col("_bad") | (F.col("_no_list") & null_list)
     hood = F.col("_hood")
     transport = hood.getField("scores").getField("transportation")
 
-    price = L.getField("price")
-    has_amount = price.isNotNull() & F.map_contains_key(price, "amount")
-    amount = _number(F.try_element_at(price, F.lit("amount")))
     # A JSON number follows the cents rule; an amount given as text is taken as it reads.
-    as_text = F.regexp_like(F.col("_raw_listing"), F.lit(_TEXT_AMOUNT))
-    amount_given = F.try_element_at(price, F.lit("amount")).isNotNull()
-    rent = F.when(~has_amount, F.lit(0.0)).when(as_text, amount).otherwise(cents_to_amount(amount))
+    price = L.getField("price").getField("amount")
+    amount = _number(price)
+    amount_given = _given(price)
+    rent = F.when(price.isNull(), F.lit(0.0)).when(_is_text(price), amount).otherwise(cents_to_amount(amount))
 
     activation = F.coalesce(
         F.when(_nonempty(L.getField("activationDate")), L.getField("activationDate")),
@@ -357,8 +314,8 @@ def extract_listings(
         "city": F.col(city_col) if city_col else F.lit(None).cast("string"),
         "neighbourhood": hood.getField("name"),
         "rent": rent,
-        **{name: _number(text) for name, text in measured.items()},
-        "images": F.coalesce(L.getField("imageUrls"), F.array().cast(T.ArrayType(T.StringType()))),
+        **{name: _number(value) for name, value in measured.items()},
+        "images": F.coalesce(L.getField("imageUrls"), F.array().cast("array<string>")),
         "scraped_at": as_timestamp(scraped_at),
     }
     for name, field in ATTRIBUTE_FIELDS.items():
@@ -373,7 +330,7 @@ def extract_listings(
     # the record becomes columns before the rules read it, so that no parse runs once per rule
     stage = stage.select(
         "*", *[record[c].cast(R.BRONZE_SCHEMA[c].dataType).alias("_r_" + c) for c in R.BRONZE_COLUMNS],
-        *[text.isNotNull().alias("_g_" + c) for c, text in measured.items()],
+        *[_given(value).alias("_g_" + c) for c, value in measured.items()],
         (amount_given & amount.isNull()).alias("_bad_amount"), has_offset(activation).alias("_aware"), bad_attrs.alias("_bad_attrs"),
     )
     record = {c: F.col("_r_" + c) for c in R.BRONZE_COLUMNS}
@@ -381,10 +338,10 @@ def extract_listings(
 
     rules = [
         ("no_state_script", F.col("_script").isNull()),
-        ("invalid_document", F.col("_doc").isNull() | F.col("_doc.props").isNull()),
+        ("invalid_document", F.col("_props").isNull()),
         ("no_listing_id", ~_nonempty(F.col("_id"))),
-        ("no_listing_data", ~F.col("_has_listing") | L.isNull()),
-        ("bad_attributes", F.col("_bad_attrs") | F.regexp_like(F.col("_raw_listing"), F.lit(_NULL_VALUES))),
+        ("no_listing_data", ~F.col("_has_listing")),
+        ("bad_attributes", F.col("_bad_attrs")),
         ("missing_required", reduce(lambda a, b: a | b, [record[c].isNull() for c in ("url", "title", "description", "street", *(["city"] if city_col else []))])),
         ("bad_url", ~(F.col(url_col).startswith("http://") | F.col(url_col).startswith("https://"))),
         ("bad_published_at", record["published_at"].isNull() | ~F.col("_aware") | (record["published_at"] > as_timestamp(now))),
@@ -412,11 +369,10 @@ def extract_listings(
     ]
     reason = F.coalesce(*[F.when(F.coalesce(cond, F.lit(True)), F.lit(name)) for name, cond in rules])
     keep = [c for c in keep_cols if c in details.columns]
-    return stage.select(
-        *keep,
-        *[record[c].alias(c) for c in R.BRONZE_COLUMNS],
-        reason.alias("reject_reason"),
-    )
+    # One row in, one row out; a filter on the reason stays above the generator instead of
+    # being pushed into the projections, where every rule would parse the page again.
+    done = F.struct(*[record[c].alias(c) for c in R.BRONZE_COLUMNS], reason.alias("reject_reason"))
+    return stage.select(*keep, F.inline(F.array(done)))
 
 
 def accepted(extracted: DataFrame) -> DataFrame:
@@ -428,16 +384,9 @@ def rejected(extracted: DataFrame) -> DataFrame:
 
 
 def split(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Accepted and rejected rows of one extraction, computed once.
-
-    A filter on ``reject_reason`` would otherwise be pushed below the extraction's
-    projections and re-evaluate the page parsing once per rule that mentions it; the
-    checkpoint is the barrier (and the two outputs go to two sinks anyway).
-    """
-    from strata.session import materialize
-
-    done = materialize(extracted)
-    return accepted(done), rejected(done)
+    """Accepted and rejected rows. Each is one pass over the pages; a caller that sinks both
+    stores the extraction first."""
+    return accepted(extracted), rejected(extracted)
 
 
 # ------------------------------------------------------------------ O9
