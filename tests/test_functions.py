@@ -72,11 +72,12 @@ def test_parse_int(spark):
 
 def test_parse_iso(spark):
     values = ["2027-05-04T06:07:08.250Z", "2027-05-04 06:07+00:00", "2024-02-29", None, "", "\t", "soon", "4.5.2027", "2027-02-30",
-              "2027-05-04T06:07:08-03:30"]
+              "2027-05-04T06:07:08-03:30", "2027-05-04T06:07:08-0330", "2027-05-04 06+01:00", "2027-05-04T06:07"]
     got = _col(spark, values, parse_iso)
     assert got[:3] == [dt.datetime(2027, 5, 4, 6, 7, 8, 250_000), dt.datetime(2027, 5, 4, 6, 7), dt.datetime(2024, 2, 29)]
     assert got[3:9] == [None] * 6
-    assert got[9] == dt.datetime(2027, 5, 4, 9, 37, 8)
+    assert got[9] == got[10] == dt.datetime(2027, 5, 4, 9, 37, 8)
+    assert got[11:] == [dt.datetime(2027, 5, 4, 5, 0), dt.datetime(2027, 5, 4, 6, 7)]
     assert _col(spark, values[:3], has_offset) == [True, True, False]
 
 
