@@ -32,7 +32,7 @@ def parse_iso(c) -> Column:
     # the cast wants minutes, seconds and an offset with a colon; most values have them
     spelled_out = F.regexp_replace(F.regexp_replace(F.regexp_replace(
         text, r"([+-][0-9]{2})([0-9]{2})$", "$1:$2"), r"^(.{10}[T ][0-9]{2})(?=[+-]|$)", "$1:00"), r"^(.{10}[T ][0-9]{2}:[0-9]{2})(?=[+-]|$)", "$1:00")
-    plain = (F.length(text) == 10) | ((F.substring(text, 17, 1) == ":") & (F.substring(text, -5, 1) != "+") & (F.substring(text, -5, 1) != "-"))
+    plain = (F.length(text) == 10) | ((F.substring(text, 14, 1) == ":") & (F.substring(text, 17, 1) == ":") & (F.substring(text, -5, 1) != "+") & (F.substring(text, -5, 1) != "-"))
     return F.when(text.rlike(_ISO_TEXT), F.try_to_timestamp(F.when(plain, text).otherwise(spelled_out)))
 
 
