@@ -2,8 +2,8 @@
 
 Each test returns a one-row-per-test DataFrame ``(test, model, column_name, failures)``;
 ``run_tests`` unions them. All not-null counts of one table come from a single
-aggregation pass; uniqueness tests are ``groupBy().count()`` with partial aggregation, so
-a hot value is pre-counted before the shuffle.
+aggregation pass, and so do all its uniqueness tests: one grouping with partial
+aggregation, so a hot value is pre-counted before the one shuffle.
 """
 
 from __future__ import annotations
@@ -53,6 +53,30 @@ def unique_combination(df: DataFrame, model: str, columns) -> DataFrame:
     )
 
 
+def uniqueness(df: DataFrame, model: str, tests) -> DataFrame:
+    """O28b and O28d together: ``tests`` is [(test name, columns)], all counted in one grouping.
+
+    Each row gives one entry a test: the test's number and its values, each with its length
+    in front, so that different values never read alike. ``unique`` ignores nulls, a
+    combination counts them as values.
+    """
+    entries = []
+    for i, (name, columns) in enumerate(tests):
+        texts = [F.col(c).cast("string") for c in columns]
+        parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+        key = F.concat(*parts)
+        if name == "unique":
+            key = F.when(texts[0].isNotNull(), key)
+        entries.append(F.struct(F.lit(i).alias("at"), key.alias("key")))
+    keys = df.select(F.inline(F.array(*entries))).where(F.col("key").isNotNull())
+    twice = keys.groupBy("at", "key").count().where("count > 1")
+    found = twice.agg(*[F.count_if(F.col("at") == i).alias(f"n{i}") for i in range(len(tests))])
+    stack = ", ".join(f"'{name}', '{','.join(columns)}', n{i}" for i, (name, columns) in enumerate(tests))
+    return found.selectExpr(f"stack({len(tests)}, {stack}) AS (test, column_name, failures)").select(
+        "test", F.lit(model).alias("model"), "column_name", F.col("failures").cast("long").alias("failures")
+    )
+
+
 def relationships(child: DataFrame, model: str, column: str, parent: DataFrame, field: str, where=None) -> DataFrame:
     """Child rows (filtered by ``where``) whose value is missing from the parent.
 
@@ -78,12 +102,11 @@ def gold_tests(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """The gold layer's declared tests (fact view and dimension)."""
     return run_tests(
         not_null(fact, "fct_rental_listings", ["scd_id", "listing_id", "website", "row_hash", "scraped_at", "valid_from"]),
-        unique(fact, "fct_rental_listings", "scd_id"),
+        uniqueness(fact, "fct_rental_listings", [("unique", ["scd_id"]), ("unique_combination", ["listing_id", "website", "valid_from"])]),
         relationships(
             fact, "fct_rental_listings", "neighbourhood_sk", dim, "neighbourhood_sk",
             where=F.col("neighbourhood_sk").isNotNull(),
         ),
-        unique_combination(fact, "fct_rental_listings", ["listing_id", "website", "valid_from"]),
         not_null(dim, "dim_neighbourhoods", ["neighbourhood_sk", "neighbourhood", "city", "loaded_at"]),
         unique(dim, "dim_neighbourhoods", "neighbourhood_sk"),
     )

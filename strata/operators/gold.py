@@ -51,6 +51,12 @@ def dim_rows(neighbourhoods: DataFrame) -> DataFrame:
     )
 
 
+def dim_new_rows(dim: DataFrame | None, neighbourhoods: DataFrame) -> DataFrame:
+    """The dimension rows that :func:`dim_insert_only` appends."""
+    rows = dim_rows(neighbourhoods).where(F.col(HOOD_SK).isNotNull())
+    return rows if dim is None else rows.join(dim.select(HOOD_SK), HOOD_SK, "left_anti")
+
+
 def dim_insert_only(dim: DataFrame | None, neighbourhoods: DataFrame) -> DataFrame:
     """Append neighbourhoods whose key is not in the dimension; stored rows never change.
 
@@ -58,8 +64,5 @@ def dim_insert_only(dim: DataFrame | None, neighbourhoods: DataFrame) -> DataFra
     never null, a data test checks it). The first run (``dim`` is None) loads all rows.
     Columns new in the source are appended (missing values null).
     """
-    rows = dim_rows(neighbourhoods).where(F.col(HOOD_SK).isNotNull())
-    if dim is None:
-        return rows
-    fresh = rows.join(dim.select(HOOD_SK), HOOD_SK, "left_anti")
-    return dim.unionByName(fresh, allowMissingColumns=True)
+    fresh = dim_new_rows(dim, neighbourhoods)
+    return fresh if dim is None else dim.unionByName(fresh, allowMissingColumns=True)

@@ -1,89 +1,46 @@
 """Keyed merges of a batch into a stored table.
 
 Both sides are unique by key (the stored table by its primary key, the batch by O20), so a
-join on the key can never be skewed: every key meets at most one row from each side.
+join on the key can never be skewed: every key meets at most one row from each side. One
+full outer join reads each side once. A stored table that is bucketed by its key
+(``sources/tables.py``) is joined where its buckets lie: only the batch is exchanged, however
+large the table is.
 
-Two physical strategies give the same rows:
-
-* ``shuffle``: one full outer join on the key (both sides hash-partitioned).
-* ``broadcast``: the stored table is read once and probed against a broadcast copy of the
-  batch (left outer join, no shuffle of the stored table at all); inserts are the batch
-  rows whose key does not occur in a key-only scan of the stored table.
-
-``auto`` measures the batch (one aggregate over it) and broadcasts only when its byte size
-is under ``broadcast_bytes``; a daily batch against a large history takes that path.
+With ``mark`` each result row carries ``__changed``: true if the merge inserted it or took its
+values from the batch. Tables keep the mark as their change feed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata import registry as R
 from strata.functions import as_timestamp
-from strata.session import materialize
-
-DEFAULT_BROADCAST_BYTES = 64 << 20
 
 _S, _I = "s__", "i__"
-
-
-def _payload(c: Column, kind: T.DataType) -> Column:
-    """Bytes beyond the fixed width of a row that a value takes, whatever its type."""
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(c).cast("long"), F.lit(0))
-    if isinstance(kind, T.StructType):
-        return sum((_payload(c.getField(f.name), f.dataType) for f in kind.fields), F.lit(8 * len(kind.fields))).cast("long")
-    if isinstance(kind, T.ArrayType):
-        zero = F.lit(16).cast("long")
-        return F.coalesce(F.aggregate(c, zero, lambda acc, x: acc + 8 + _payload(x, kind.elementType)), F.lit(0))
-    if isinstance(kind, T.MapType):
-        keys = _payload(F.map_keys(c), T.ArrayType(kind.keyType))
-        return keys + _payload(F.map_values(c), T.ArrayType(kind.valueType))
-    if isinstance(kind, T.VariantType):
-        return F.coalesce(F.octet_length(F.to_json(c)).cast("long"), F.lit(0))
-    return F.lit(0).cast("long")
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Byte size of a frame: fixed width per row plus the payload of text, binary and nested values."""
-    payload = sum((_payload(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(payload).alias("b")).first()
-    n, b = row["n"] or 0, row["b"] or 0
-    return int(n * (16 + 8 * len(df.columns)) + b)
-
-
-def choose_strategy(batch: DataFrame, strategy: str, broadcast_bytes: int, *, stored: bool = False) -> tuple[str, DataFrame]:
-    """Pick the join strategy. ``auto`` first stores the batch (unless it is ``stored``), so
-    measuring it and merging it read the same computed rows instead of computing it twice."""
-    if strategy != "auto":
-        return strategy, batch
-    done = batch if stored else materialize(batch)
-    return ("broadcast" if estimated_bytes(done) <= broadcast_bytes else "shuffle"), done
+CHANGED = "__changed"
 
 
 def _prefixed(df: DataFrame, prefix: str, marker: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns], F.lit(True).alias(marker))
 
 
-def _join(stored: DataFrame, batch: DataFrame, keys, how: str, hint_batch: bool) -> DataFrame:
+def _join(stored: DataFrame, batch: DataFrame, keys) -> DataFrame:
     s = _prefixed(stored, _S, "_s")
     i = _prefixed(batch, _I, "_i")
-    if hint_batch:
-        i = F.broadcast(i)
     cond = None
     for k in keys:
         eq = F.col(_S + k) == F.col(_I + k)
         cond = eq if cond is None else (cond & eq)
-    return s.join(i, cond, how)
+    return s.join(i, cond, "full_outer")
 
 
 def _present(marker: str) -> Column:
     return F.coalesce(F.col(marker), F.lit(False))
 
 
-def _guarded_select(registry, keys, batch_ts, hash_col, recency_col) -> list[Column]:
+def _guarded_select(registry, keys, batch_ts, hash_col, recency_col, mark) -> list[Column]:
     s_in, i_in = _present("_s"), _present("_i")
     accept = i_in & (~s_in | (F.col(_I + recency_col) >= F.col(_S + recency_col)))
     changed = F.coalesce(F.col(_I + hash_col) != F.col(_S + hash_col), F.lit(False))
@@ -100,7 +57,7 @@ def _guarded_select(registry, keys, batch_ts, hash_col, recency_col) -> list[Col
         else:
             v = F.when(insert | (accept & changed), F.col(_I + n)).otherwise(F.col(_S + n))
         out.append(v.cast(c.dtype).alias(n))
-    return out
+    return [*out, *([(insert | (accept & changed)).alias(CHANGED)] if mark else [])]
 
 
 def upsert_hash_guarded(
@@ -111,8 +68,7 @@ def upsert_hash_guarded(
     batch_ts=None,
     hash_col: str = R.HASH_COLUMN,
     recency_col: str = R.RECENCY_COLUMN,
-    strategy: str = "auto",
-    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    mark: bool = False,
 ) -> DataFrame:
     """Hash-aware guarded upsert; returns the new state of the stored table.
 
@@ -127,50 +83,26 @@ def upsert_hash_guarded(
     cols = R.names(registry, managed=True)
     stored = stored.select(*[c for c in cols if c in stored.columns])
     batch = batch.select(*[c for c in cols if c in batch.columns])
-    mode, batch = choose_strategy(batch, strategy, broadcast_bytes)
-    select = _guarded_select(registry, keys, batch_ts, hash_col, recency_col)
-    if mode == "shuffle":
-        return _join(stored, batch, keys, "full_outer", False).select(*select)
-    return _broadcast_merge(stored, batch, keys, select)
+    return _join(stored, batch, keys).select(*_guarded_select(registry, keys, batch_ts, hash_col, recency_col, mark))
 
 
-def _broadcast_merge(stored: DataFrame, batch: DataFrame, keys, select) -> DataFrame:
-    # every stored row, probed against the broadcast batch: kept, refreshed or replaced
-    updated = _join(stored, batch, keys, "left_outer", True).select(*select)
-    # batch rows whose key is not stored yet: key-only scan of the stored table
-    stored_keys = stored.select(*keys).join(F.broadcast(batch.select(*keys)), list(keys), "left_semi")
-    fresh = _prefixed(batch.join(stored_keys, list(keys), "left_anti"), _I, "_i")
-    absent = [F.lit(None).cast(f.dataType).alias(_S + f.name) for f in stored.schema.fields]
-    inserted = fresh.select("*", *absent, F.lit(None).cast("boolean").alias("_s")).select(*select)
-    return updated.unionByName(inserted)
+def replace_by_key(stored: DataFrame, rows: DataFrame, keys) -> DataFrame:
+    """``stored`` with the rows of the same key replaced by ``rows`` (same columns), and rows of new keys added."""
+    given = _present("_i")
+    out = [F.when(given, F.col(_I + c)).otherwise(F.col(_S + c)).alias(c) for c in stored.columns]
+    return _join(stored, rows, list(keys)).select(*out)
 
 
-def upsert_overwrite(
-    stored: DataFrame,
-    batch: DataFrame,
-    registry=R.NEIGHBOURHOODS,
-    *,
-    batch_ts,
-    strategy: str = "auto",
-    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-) -> DataFrame:
+def upsert_overwrite(stored: DataFrame, batch: DataFrame, registry=R.NEIGHBOURHOODS, *, batch_ts, mark: bool = False) -> DataFrame:
     """The batch wins for every key it holds (nulls included), managed columns get the
-    batch time; stored keys absent from the batch are unchanged.
-
-    Written as ``stored ▷ batch-keys ∪ batch``: the anti join probes a broadcast key set
-    when the batch is small, else both sides are shuffled on the key.
-    """
+    batch time; stored keys absent from the batch are unchanged."""
     keys = R.key_columns(registry)
     cols = R.names(registry, managed=True)
-    incoming = batch.select(
-        *[
-            (as_timestamp(batch_ts) if c.merge == R.MERGE_MANAGED else F.col(c.name)).cast(c.dtype).alias(c.name)
-            for c in registry
-        ]
-    )
-    mode, incoming = choose_strategy(incoming, strategy, broadcast_bytes)
-    batch_keys = incoming.select(*keys)
-    if mode == "broadcast":
-        batch_keys = F.broadcast(batch_keys)
-    kept = stored.select(*cols).join(batch_keys, keys, "left_anti")
-    return kept.unionByName(incoming)
+    stored = stored.select(*[c for c in cols if c in stored.columns])
+    batch = batch.select(*[c for c in R.names(registry) if c in batch.columns])
+    given = _present("_i")
+    out = []
+    for c in registry:
+        new = as_timestamp(batch_ts) if c.merge == R.MERGE_MANAGED else F.col(_I + c.name)
+        out.append(F.when(given, new).otherwise(F.col(_S + c.name)).cast(c.dtype).alias(c.name))
+    return _join(stored, batch, keys).select(*out, *([given.alias(CHANGED)] if mark else []))

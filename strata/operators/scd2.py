@@ -37,8 +37,7 @@ def scd2_snapshot(
     columns=None,
     since=None,
     recency_col: str | None = None,
-    strategy: str = "auto",
-    broadcast_bytes: int = 64 << 20,
+    changes_only: bool = False,
 ) -> DataFrame:
     """Apply one snapshot run of ``source`` to ``history`` at ``batch_ts``.
 
@@ -49,12 +48,12 @@ def scd2_snapshot(
     * closed versions -> copied unchanged.
 
     ``since`` (with ``recency_col``) limits the source to rows changed since the last
-    run, so a large silver table is not re-read whole; unchanged keys are unaffected.
+    run; so does a source that is a change feed. ``changes_only`` returns the versions that
+    this run closed or opened and nothing else: what a stored history has to take up.
 
-    Current rows and source rows are each unique per key, so the full outer join on the
-    key cannot be skewed; closed versions never enter the join. With ``since`` the source
-    is usually small: ``auto`` then measures it and, under ``broadcast_bytes``, probes the
-    current rows against a broadcast copy instead of shuffling the history.
+    Current rows and source rows are each unique per key, so the join on the key columns
+    cannot be skewed; closed versions never enter it. Tables that are bucketed by the key
+    are joined without an exchange.
     """
     key_cols = list(key_cols)
     columns = list(columns or source.columns)
@@ -62,40 +61,26 @@ def scd2_snapshot(
     src = source
     if since is not None and recency_col:
         src = src.where(F.col(recency_col) >= as_timestamp(since))
-    src = src.select(*columns).withColumn("_key", business_key(*key_cols))
+    src = src.select(*columns)
     s = src.select(*[F.col(c).alias("s__" + c) for c in src.columns], F.lit(True).alias("_s"))
 
     if history is None:
         joined = s.select("*", F.lit(None).cast("boolean").alias("_c"))
         cur_cols = {c: F.lit(None) for c in [*columns, *SCD_COLUMNS]}
-        return _versions(joined, columns, check_cols, ts, cur_cols).select(*columns, *SCD_COLUMNS)
+        return _versions(joined, columns, key_cols, check_cols, ts, cur_cols, changes_only).select(*columns, *SCD_COLUMNS)
 
-    cur = history.where(F.col("valid_to").isNull()).withColumn("_key", business_key(*key_cols))
-    closed = history.where(F.col("valid_to").isNotNull()).select(*columns, *SCD_COLUMNS)
+    cur = history.where(F.col("valid_to").isNull())
     c = cur.select(*[F.col(x).alias("c__" + x) for x in cur.columns], F.lit(True).alias("_c"))
     cur_cols = {x: F.col("c__" + x) for x in [*columns, *SCD_COLUMNS]}
-    on = F.col("c___key") == F.col("s___key")
-
-    mode = "shuffle"
-    if strategy == "broadcast" or (strategy == "auto" and since is not None):
-        from strata.operators.merge import choose_strategy
-
-        mode, s = choose_strategy(s, "auto" if strategy == "auto" else strategy, broadcast_bytes)
-    if mode == "shuffle":
-        out = _versions(c.join(s, on, "full_outer"), columns, check_cols, ts, cur_cols)
-    else:
-        # current rows probed against the broadcast source: kept, closed or re-opened
-        probed = _versions(c.join(F.broadcast(s), on, "left_outer"), columns, check_cols, ts, cur_cols)
-        # source keys with no current version: key-only scan of the current rows
-        known = cur.select("_key").join(F.broadcast(s.select(F.col("s___key").alias("_key"))), "_key", "left_semi")
-        fresh = s.join(known.select(F.col("_key").alias("s___key")), "s___key", "left_anti")
-        absent = [F.lit(None).cast(f.dataType).alias("c__" + f.name) for f in cur.schema.fields]
-        fresh = fresh.select("*", *absent, F.lit(None).cast("boolean").alias("_c"))
-        out = probed.unionByName(_versions(fresh, columns, check_cols, ts, cur_cols))
-    return closed.unionByName(out)
-
-
-def _versions(joined: DataFrame, columns, check_cols, ts: Column, cur_cols: dict) -> DataFrame:
+    on = reduce(lambda x, y: x & y, [F.col("c__" + k) == F.col("s__" + k) for k in key_cols])
+    # a key that is only current does not change, so without it the source side decides
+    out = _versions(c.join(s, on, "right_outer" if changes_only else "full_outer"), columns, key_cols, check_cols, ts, cur_cols, changes_only)
+    if changes_only:
+        return out
+    return history.where(F.col("valid_to").isNotNull()).select(*columns, *SCD_COLUMNS).unionByName(out)
+
+
+def _versions(joined: DataFrame, columns, key_cols, check_cols, ts: Column, cur_cols: dict, changes_only: bool) -> DataFrame:
     """Kept / closed current version and the newly opened one, from one joined row."""
     c_in = F.coalesce(F.col("_c"), F.lit(False))
     s_in = F.coalesce(F.col("_s"), F.lit(False))
@@ -105,7 +90,7 @@ def _versions(joined: DataFrame, columns, check_cols, ts: Column, cur_cols: dict
     changed = c_in & s_in & ~same
 
     old = F.when(
-        c_in,
+        changed if changes_only else c_in,
         F.struct(
             *[cur_cols[x].alias(x) for x in columns],
             cur_cols["scd_id"].alias("scd_id"),
@@ -118,7 +103,7 @@ def _versions(joined: DataFrame, columns, check_cols, ts: Column, cur_cols: dict
         s_in & (~c_in | changed),
         F.struct(
             *[F.col("s__" + x).alias(x) for x in columns],
-            scd_id(F.col("s___key"), ts).alias("scd_id"),
+            scd_id(business_key(*["s__" + k for k in key_cols]), ts).alias("scd_id"),
             ts.alias("updated_at"),
             ts.alias("valid_from"),
             F.lit(None).cast("timestamp").alias("valid_to"),

@@ -975,10 +975,15 @@ def run_rollup(spark, sf_dir):
 # ------------------------------------------------------------------ end to end
 
 
+#: The cities of the bronze view: the customers' market segments.
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
 @query("medallion_end_to_end", _gold_history_sql() + O.fact_select("hist"))
 def medallion_end_to_end(spark, sf_dir):
-    """O30 through files: two bronze drops (older, newer) written partitioned, each run read
-    back, cleaned and merged into versioned silver tables, then snapshotted into gold."""
+    """O30 through files: two bronze drops (older, newer) written partitioned; each run selects its
+    partitions, cleans them and merges them into the silver tables, and what changed there
+    is snapshotted into gold behind the data tests."""
     from strata.plans import layers
     from strata.session import workspace
     from strata.sources.tables import VersionedTable
@@ -991,17 +996,16 @@ def medallion_end_to_end(spark, sf_dir):
     history = layers.History(spark, f"{root}/gold/listing_history")
     dim = VersionedTable(spark, f"{root}/gold/dim_neighbourhoods", layers.DIM_REGISTRY, "dim_neighbourhoods", evolve=True)
     result = None
-    for i, (where, ts) in enumerate(((OLDER, T1), (NEWER, T2))):
-        drop = f"{root}/bronze/run{i}"
+    for where, ts in ((OLDER, T1), (NEWER, T2)):
         # partition folders are (source, city, dt = the run's scrape date)
-        rows = bronze.with_partition_columns(view.where(F.expr(where)), source=F.col("website"), day=ts[:10])
-        bronze.write_bronze(rows, drop)
+        rows = bronze.with_partition_columns(view.where(F.expr(where)), source="example", day=ts[:10])
+        bronze.write_bronze(rows, f"{root}/bronze")
         layers.bronze_to_silver(
-            spark, bronze_root=drop, listings=listings, neighbourhoods=hoods, source=None,
-            batch_ts=ts, schema=schema, tiebreak=["o_orderkey"], all_partitions=True,
+            spark, bronze_root=f"{root}/bronze", listings=listings, neighbourhoods=hoods, source="example", cities=SEGMENTS,
+            mode=R.MODE_SPECIFIC_DATE, specific_date=ts[:10], batch_ts=ts, schema=schema, tiebreak=["o_orderkey"],
         )
         result = layers.silver_to_gold(
             spark, listings=listings, neighbourhoods=hoods, history=history, dimension=dim,
-            batch_ts=ts, run_tests=False,
+            batch_ts=ts,
         )
     return result.fact

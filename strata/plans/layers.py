@@ -25,7 +25,7 @@ from strata.functions import as_timestamp
 from strata.operators import checks, gold, merge, metrics, scd2, silver
 from strata.session import materialize
 from strata.sources import bronze, pages
-from strata.sources.tables import Sources, VersionedTable
+from strata.sources.tables import Sources, VersionedTable, WriteConflict
 
 
 @dataclass
@@ -135,10 +135,9 @@ def bronze_to_silver(
     hoods = materialize(frames.neighbourhoods, "neighbourhoods-batch")
     for table in (listings, neighbourhoods):
         table.create() if auto_create else table.verify()
-    how, batch = merge.choose_strategy(batch, "auto", merge.DEFAULT_BROADCAST_BYTES, stored=True)
-    n_listings = listings.merge(batch, lambda old, new: merge.upsert_hash_guarded(old, new, batch_ts=batch_ts, strategy=how))
+    n_listings = listings.merge(batch, lambda old, new: merge.upsert_hash_guarded(old, new, batch_ts=batch_ts, mark=True))
     n_hoods = neighbourhoods.merge(
-        hoods, lambda old, new: merge.upsert_overwrite(old, new, batch_ts=batch_ts),
+        hoods, lambda old, new: merge.upsert_overwrite(old, new, batch_ts=batch_ts, mark=True),
         gate_rows=hoods.withColumn("loaded_at", F.lit(batch_ts).cast("timestamp")),
     )
     rollup = metrics.rollup(part_metrics)
@@ -170,14 +169,16 @@ class History:
     """SCD2 history in one table: current versions in hash buckets of the business key, and
     folders of closed versions.
 
-    A run rewrites only the buckets in which a version opened or closed and adds one folder
-    with the versions it closed; both become visible in the same commit. A run that fails
-    before it leaves nothing behind that a reader or a retry would see.
+    A run hands over the versions that it closed and opened, nothing else. Only the buckets
+    in which a version opened or closed are written, and one folder with the versions it
+    closed; both become visible in the same commit. A run that fails before it leaves
+    nothing behind that a reader or a retry would see.
     """
 
     def __init__(self, spark: SparkSession, root: str, name: str = "listing_history"):
         self.spark = spark
-        self.current = VersionedTable(spark, root, HISTORY_REGISTRY, name, bucket_by=tuple(R.key_columns(R.LISTINGS)))
+        self.keys = tuple(R.key_columns(R.LISTINGS))
+        self.current = VersionedTable(spark, root, HISTORY_REGISTRY, name, bucket_by=self.keys)
 
     def exists(self) -> bool:
         return self.current.exists()
@@ -186,31 +187,38 @@ class History:
         return self.current.read_closed().unionByName(self.current.read())
 
     def stage(self, versions: DataFrame) -> DataFrame:
-        """Store a snapshot result (computed from the *current* versions) outside the table."""
+        """Store the versions that a run closed and opened outside the table."""
         return materialize(versions, "history-run")
 
-    def candidate(self, staged: DataFrame) -> DataFrame:
-        """The whole history as it will be once ``staged`` is published."""
-        return self.current.read_closed().unionByName(staged.select(self.current.schema().names))
-
-    def publish(self, staged: DataFrame, batch_ts) -> None:
-        ts = as_timestamp(batch_ts)
-        changed = staged.where(F.col("valid_to").isNotNull() | (F.col("valid_from") == ts))
-        touched = self.current.touched(changed)
-        if not touched and self.exists():
+    def candidate(self, staged: DataFrame | None, since=None) -> DataFrame:
+        """The whole history as it will be once ``staged`` is published; with ``since``, of what is
+        stored only the versions that begin no earlier (others cannot meet the new ones)."""
+        if staged is None:
+            return self.read().where(F.lit(since is None))
+        stored = self.read()
+        if since is not None:
+            stored = stored.where(F.col("valid_from") >= as_timestamp(since))
+        closed = staged.where(F.col("valid_to").isNotNull()).select("scd_id")
+        return stored.join(closed, "scd_id", "left_anti").unionByName(staged.select(stored.columns))
+
+    def publish(self, staged: DataFrame | None, stream: tuple[str, int] | None = None) -> None:
+        touched = self.current.touched(staged) if staged is not None else []
+        if not touched:
+            if stream and self.current.progress(stream[0]) != stream[1]:
+                self.current.replace(None, [], stream=stream)  # one line, no data
             return
-        closed = staged.where(F.col("valid_to").isNotNull())
-        folders = []
+        closed, folders = staged.where(F.col("valid_to").isNotNull()), []
         if closed.limit(1).count():
             folders = [f"{self.current.root}/data/{uuid.uuid4().hex}"]
             closed.select(self.current.schema().names).write.parquet(folders[0])
-        now = staged.where(F.col("valid_to").isNull())
-        if self.exists():
-            now = now.where(self.current.bucket().cast("string").isin(touched))
-        self.current.replace(now, touched if self.exists() else None, closed=folders)
+        opened = staged.where(F.col("valid_to").isNull())
+        stored = self.current.read(touched)
+        held = any(b in self.current.data_folders() for b in touched)
+        now = merge.replace_by_key(stored, opened.select(stored.columns), self.keys) if held else opened
+        self.current.replace(now, touched if self.exists() else None, closed=folders, stream=stream, laid=held)
 
-    def apply(self, versions: DataFrame, batch_ts) -> None:
-        self.publish(self.stage(versions), batch_ts)
+    def apply(self, versions: DataFrame) -> None:
+        self.publish(self.stage(versions))
 
 
 @dataclass
@@ -220,6 +228,9 @@ class GoldResult:
     tests: DataFrame
 
 
+SILVER_LISTINGS, SILVER_HOODS = ("silver", "rental_listings"), ("silver", "neighbourhoods")
+
+
 def silver_to_gold(
     spark: SparkSession,
     *,
@@ -231,32 +242,62 @@ def silver_to_gold(
     batch_ts,
     since=None,
     run_tests: bool = True,
+    full_tests: bool = False,
+    attempts: int = 3,
 ) -> GoldResult:
     """Snapshot silver listings into the history (O24), grow the dimension (O26), expose
     the fact view (O29) and gate on the gold data tests (O28).
 
     Inputs are the named sources (O7) ``silver.rental_listings`` and
-    ``silver.neighbourhoods``. The tests run on the candidate tables; only a candidate
-    that passes is published, the dimension first (the facts refer to it).
+    ``silver.neighbourhoods``. Of a stored source only what changed since the version that
+    gold holds is read; a run without changes stores nothing. The tests run on what the run
+    adds, against the stored keys it could meet (``full_tests``: on the whole candidate
+    tables); only a candidate that passes is published, the dimension first (the facts
+    refer to it). If another writer publishes meanwhile the run starts again from what is
+    there then: neither step adds anything twice.
     """
-    sources = sources or Sources({("silver", "rental_listings"): listings, ("silver", "neighbourhoods"): neighbourhoods})
-    current = history.current.read() if history.exists() else None
-    staged = history.stage(scd2.scd2_snapshot(
-        current, sources.source("silver", "rental_listings"), key_cols=R.key_columns(R.LISTINGS), batch_ts=batch_ts,
-        columns=gold.HISTORY_COLUMNS, since=since, recency_col=R.RECENCY_COLUMN if since else None,
-    ))
+    sources = sources or Sources({SILVER_LISTINGS: listings, SILVER_HOODS: neighbourhoods})
+    for attempt in range(attempts):
+        try:
+            return _gold_run(sources, history, dimension, batch_ts, since, run_tests, full_tests)
+        except WriteConflict:
+            if attempt == attempts - 1:
+                raise
+            history.current.refresh()
+            dimension.refresh()
+
+
+def _gold_run(sources: Sources, history: History, dimension: VersionedTable, batch_ts, since, run_tests: bool, full_tests: bool) -> GoldResult:
+    seen_listings, seen_hoods = ".".join(SILVER_LISTINGS), ".".join(SILVER_HOODS)
+    changed, version = sources.changes_since(*SILVER_LISTINGS, history.current.progress(seen_listings))
+    staged = None
+    if changed is not None:
+        current = None
+        if history.exists():
+            current = history.current.read(history.current.touched(changed))
+        staged = history.stage(scd2.scd2_snapshot(
+            current, changed, key_cols=history.keys, batch_ts=batch_ts, columns=gold.HISTORY_COLUMNS,
+            since=since, recency_col=R.RECENCY_COLUMN if since else None, changes_only=True,
+        ))
     dim = dimension.read() if dimension.exists() else None
-    new_dim = materialize(gold.dim_insert_only(dim, sources.source("silver", "neighbourhoods")), "dimension-run")
-    tests = checks.gold_tests(gold.fact_view(history.candidate(staged)), new_dim)
+    hoods, hoods_version = sources.changes_since(*SILVER_HOODS, dimension.progress(seen_hoods))
+    fresh = materialize(gold.dim_new_rows(dim, hoods), "dimension-run") if hoods is not None else None
+    new_dim = fresh if dim is None else dim if fresh is None else dim.unionByName(fresh, allowMissingColumns=True)
+    part = history.candidate(staged, None if full_tests else batch_ts)
+    tests = checks.gold_tests(gold.fact_view(part), new_dim)
     if run_tests:
         tests = materialize(tests, "gold-tests")
         checks.gate(tests)
-    if dim is None or set(new_dim.columns) - set(dim.columns):
-        dimension.replace(new_dim)
-    else:
-        fresh = new_dim.join(dim.select(gold.HOOD_SK), gold.HOOD_SK, "left_anti")
-        touched = dimension.touched(fresh)
-        if touched:
-            dimension.replace(new_dim.where(dimension.bucket().cast("string").isin(touched)), touched)
-    history.publish(staged, batch_ts)
+    if fresh is not None:
+        stream = (seen_hoods, hoods_version) if hoods_version is not None else None
+        if dim is None or set(fresh.columns) - set(dim.columns):
+            dimension.replace(new_dim, stream=stream)
+        else:
+            touched = dimension.touched(fresh)
+            if touched:
+                dimension.replace(dimension.read(touched).unionByName(fresh, allowMissingColumns=True), touched, stream=stream)
+            elif stream and dimension.progress(seen_hoods) != hoods_version:
+                dimension.replace(None, [], stream=stream)
+    if staged is not None:
+        history.publish(staged, (seen_listings, version) if version is not None else None)
     return GoldResult(gold.fact_view(history.read()), dimension.read(), tests)

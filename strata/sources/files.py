@@ -28,6 +28,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, where = _at(spark, path)
+    return int(fs.getContentSummary(where).getLength())
+
+
 def create(spark: SparkSession, path: str, text: str) -> None:
     """Write a new file; AlreadyThere if it exists (atomic where the store's create is)."""
     fs, where = _at(spark, path)

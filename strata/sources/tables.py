@@ -1,17 +1,20 @@
-"""Versioned Parquet tables: the keyed silver/gold sink (O5) and named sources.
-
-A table is a folder of data folders that are never rewritten and of commits. Commit n is
-one small JSON file that names the folder of each hash bucket of the key, so a merge joins
-and rewrites only the buckets that its batch touches and links the others. A commit is
-claimed by creating its file exclusively: of two writers that started from the same
-version, the second one fails (``write``) or merges again on top of the first
-(``merge``). All that belongs to a run (closed history, stream progress) is part of the
-same commit, so readers see either all of it or nothing.
+"""Bucketed Spark tables with a version pointer: the keyed silver/gold sink (O5) and named sources.
+
+Rows are written by Spark's own ``bucketBy`` and read as a catalog table that is bucketed by
+its key and partitioned by bucket, each partition with a location of its own. So a join on
+the key reads the stored side without an exchange, and a version can name a new folder for
+the buckets that a merge touched and the old ones for the rest.
+
+The pointer to a version is one line of JSON (bucket -> folder), claimed by creating its file
+exclusively: of two writers that started from the same version, the second one fails
+(``replace``) or merges again on top of the first (``merge``). All that belongs to a run
+(closed history, progress of its sources) is part of the same line.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import uuid
 from collections.abc import Callable
@@ -27,6 +30,10 @@ from strata.sources import files
 
 COMMITS = "_commits"
 BUCKET = "__bucket"
+#: True for rows that the merge which wrote them inserted or changed.
+CHANGED = "__changed"
+#: About how large a bucket should be (:meth:`VersionedTable.rebucket`).
+BUCKET_BYTES = 256 << 20
 
 
 class WriteConflict(RuntimeError):
@@ -41,13 +48,15 @@ class Commit:
     schema: str
     paths: dict[str, str] = field(default_factory=dict)  # bucket -> data folder
     closed: list[str] = field(default_factory=list)  # folders of closed history versions
-    streams: dict[str, int] = field(default_factory=dict)  # stream identity -> last batch applied
+    streams: dict[str, int] = field(default_factory=dict)  # source identity -> last batch or version applied
+    buckets: int = 16
 
 
 @dataclass
 class VersionedTable:
-    """``buckets``: hash buckets of ``bucket_by`` (default: the key); fixed when the table is created.
-    ``evolve``: columns beyond the registry are stored too, appended when a state brings them."""
+    """``buckets``: hash buckets of ``bucket_by`` (default: the key), one task and file each; ``rebucket``
+    sizes them anew. ``evolve``: columns beyond the registry are stored too, appended when a
+    state brings them."""
 
     spark: SparkSession
     root: str
@@ -76,6 +85,7 @@ class VersionedTable:
                 text = files.read(self.spark, f"{self.root}/{COMMITS}/{name}")
                 if text.endswith("\n"):
                     self._seen = Commit(**json.loads(text))
+                    self.buckets = self._seen.buckets
                     break
         return None if self._seen is None else self._seen.version
 
@@ -119,7 +129,7 @@ class VersionedTable:
         writer creates meanwhile is used."""
         if not self.exists():
             try:
-                self._commit(None, Commit(0, R.spark_schema(self.registry).json()))
+                self._commit(None, Commit(0, R.spark_schema(self.registry).json(), buckets=self.buckets))
             except WriteConflict:
                 self.refresh()
 
@@ -129,19 +139,73 @@ class VersionedTable:
         base = self._base()
         return R.spark_schema(self.registry) if base is None else T.StructType.fromJson(json.loads(base.schema))
 
-    def _frame(self, paths: list[str], schema: T.StructType) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    def read(self) -> DataFrame:
-        """Current rows (empty frame with the registry schema before the first write)."""
+    def _bucketed(self, commit: Commit) -> DataFrame:
+        """A version as a catalog table: bucketed by key, a partition a bucket. Versions never
+        change, so the name of one is registered once and dropped when it expires."""
+        name = self._table_name(commit.version)
+        if not self.spark.catalog.tableExists(name):
+            schema = T.StructType.fromJson(json.loads(commit.schema))
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            keys = ", ".join(f"`{k}`" for k in self.keys())
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {CHANGED} BOOLEAN, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {commit.buckets} BUCKETS LOCATION '{_quoted(self.root)}/data'"
+            )
+            parts = [f"PARTITION ({BUCKET}={b}) LOCATION '{_quoted(p)}'" for b, p in sorted(commit.paths.items())]
+            for i in range(0, len(parts), 500):
+                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(parts[i : i + 500])}")
+        return self.spark.table(name)
+
+    def _table_name(self, version: int) -> str:
+        return f"strata_{hashlib.md5(self.root.encode()).hexdigest()[:16]}_{version}"
+
+    def read(self, buckets: list[str] | None = None, *, changed: bool = False) -> DataFrame:
+        """Current rows, or those of some buckets, or of those only the ones that their merge
+        inserted or changed (an empty frame with the registry schema before the first write)."""
         base = self._base()
-        return self._frame(sorted(base.paths.values()) if base else [], self.schema())
+        wanted = [] if base is None else sorted(base.paths) if buckets is None else [b for b in buckets if b in base.paths]
+        if not wanted:
+            return self.spark.createDataFrame([], self.schema())
+        rows = self._bucketed(base)
+        if buckets is not None:
+            rows = rows.where(F.col(BUCKET).isin([int(b) for b in wanted]))
+        return (rows.where(CHANGED) if changed else rows).select(*self.schema().names)
 
     def read_closed(self) -> DataFrame:
         base = self._base()
-        return self._frame(base.closed if base else [], self.schema())
+        if not base or not base.closed:
+            return self.spark.createDataFrame([], self.schema())
+        return self.spark.read.schema(self.schema()).parquet(*base.closed)
+
+    def changes_since(self, version: int | None) -> DataFrame | None:
+        """Current rows that may differ from those of an older version; None if there are none.
+
+        Only rewritten buckets are read: of one that a single merge rewrote, the rows this merge
+        marked; of others (or if the older version has expired) all rows.
+        """
+        base = self._base()
+        if base is None or base.version == version:
+            return None
+        told = {}
+        for v in range((version if version is not None else -1), base.version + 1) if version is not None else ():
+            text = files.read(self.spark, self._marker(v)) if files.exists(self.spark, self._marker(v)) else ""
+            if text.endswith("\n"):
+                told[v] = Commit(**json.loads(text))
+        if version not in told or told[version].buckets != base.buckets:
+            return self.read()
+        old = told[version].paths
+        rewritten = [b for b, p in base.paths.items() if old.get(b) != p]
+        if not rewritten:
+            return None
+        once = [b for b in rewritten if len({c.paths.get(b) for c in told.values()} - {old.get(b)}) == 1]
+        often = [b for b in rewritten if b not in set(once)]
+        marked = self.read(once, changed=True)
+        return marked.unionByName(self.read(often)) if often else marked
+
+    def progress(self, source: str) -> int | None:
+        """The last batch or version of a source that this table holds."""
+        base = self._base()
+        return base.streams.get(source) if base else None
 
     def data_folders(self) -> dict[str, str]:
         base = self._base()
@@ -149,9 +213,12 @@ class VersionedTable:
 
     # ------------------------------------------------------------- writing
 
+    def keys(self) -> list[str]:
+        return list(self.bucket_by or R.key_columns(self.registry))
+
     def bucket(self):
-        keys = list(self.bucket_by or R.key_columns(self.registry))
-        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int") if keys else F.lit(0)
+        """The bucket of a row, as ``bucketBy`` deals them."""
+        return F.pmod(F.hash(*self.keys()), F.lit(self.buckets)).cast("int")
 
     def touched(self, rows: DataFrame) -> list[str]:
         """The buckets that the keys of some rows fall in (at most ``buckets``)."""
@@ -161,28 +228,36 @@ class VersionedTable:
         """Registry columns, then (with ``evolve``) stored and new columns beyond it."""
         cols = R.names(self.registry, managed=True)
         if self.evolve:
-            cols = list(dict.fromkeys([*cols, *self.schema().names, *state.columns]))
+            cols = list(dict.fromkeys([*cols, *self.schema().names, *[c for c in state.columns if c != CHANGED]]))
         return cols
 
-    def _store(self, state: DataFrame) -> tuple[dict[str, str], str]:
+    def _store(self, state: DataFrame, laid: bool) -> tuple[dict[str, str], str]:
+        """Write bucketed files. A state that comes out of a join with bucketed rows is ``laid``
+        by bucket already; any other is dealt out, one task a bucket."""
         cols = self._columns(state)
-        folder = f"{self.root}/data/{uuid.uuid4().hex}"
-        rows = state.select(*[c for c in cols if c in state.columns]).withColumn(BUCKET, self.bucket())
-        rows.repartition(BUCKET).write.partitionBy(BUCKET).parquet(folder)
+        name = f"strata_{uuid.uuid4().hex}"
+        folder = f"{self.root}/data/{name}"
+        rows = state if laid else state.repartition(self.buckets, *self.keys())
+        mark = F.coalesce(CHANGED, F.lit(False)) if CHANGED in state.columns else F.lit(True)
+        rows = rows.select(*[c for c in cols if c in state.columns], mark.alias(CHANGED), self.bucket().alias(BUCKET))
+        rows.write.partitionBy(BUCKET).bucketBy(self.buckets, *self.keys()).sortBy(*self.keys()).option("path", folder).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the files stay; versions have tables of their own
         made = {n.split("=", 1)[1]: f"{folder}/{n}" for n in files.names(self.spark, folder) if n.startswith(f"{BUCKET}=")}
         fields = {f.name: f for f in [*state.schema.fields, *self.schema().fields, *R.spark_schema(self.registry).fields]}
         return made, T.StructType([fields[c] for c in cols]).json()
 
-    def replace(self, state: DataFrame, touched: list[str] | None = None, *, closed: list[str] = (), stream: tuple[str, int] | None = None) -> int:
+    def replace(
+        self, state: DataFrame | None, touched: list[str] | None = None, *, closed: list[str] = (), stream: tuple[str, int] | None = None, laid: bool = False,
+    ) -> int:
         """Commit ``state`` as the rows of the touched buckets (None: of the whole table) on
-        top of the version this object last saw. Raises :class:`WriteConflict` if another
+        top of the version this object last saw; without a state, only the progress. Raises :class:`WriteConflict` if another
         writer was faster; nothing of this run is visible then."""
         base = self._base()
-        made, schema = self._store(state)
+        made, schema = self._store(state, laid) if state is not None else ({}, self.schema().json())
         kept = {} if touched is None or base is None else {b: p for b, p in base.paths.items() if b not in touched}
         self._commit(base, Commit(
             0, schema, kept | made, [*(base.closed if base else []), *closed],
-            (base.streams if base else {}) | ({stream[0]: stream[1]} if stream else {}),
+            (base.streams if base else {}) | ({stream[0]: stream[1]} if stream else {}), self.buckets,
         ))
         return self._seen.version
 
@@ -216,10 +291,10 @@ class VersionedTable:
                 return 0
             if not n and not stream:
                 return 0
-            stored = self._frame([base.paths[b] for b in touched if b in base.paths] if base else [], self.schema())
-            state = how(stored, batch) if n else self._frame([], self.schema())
+            held = [b for b in touched if base and b in base.paths]
+            state = how(self.read(held), batch) if n else self.spark.createDataFrame([], self.schema())
             try:
-                self.replace(state, touched, stream=stream)
+                self.replace(state, touched, stream=stream, laid=bool(held))
                 return n
             except WriteConflict:
                 if attempt == attempts - 1:
@@ -241,6 +316,18 @@ class VersionedTable:
         self.replace(new_state)
         return n
 
+    def rebucket(self, buckets: int | None = None) -> int:
+        """Write the table anew in ``buckets`` buckets (default: by its size, ``BUCKET_BYTES`` each) and
+        return their number. A merge task holds one bucket, so run this when a table has grown."""
+        if buckets is None:
+            base = self._base()
+            folders = {p.rsplit("/", 1)[0] for p in base.paths.values()} if base else set()
+            buckets = max(16, -(-sum(files.size(self.spark, p) for p in folders) // BUCKET_BYTES))
+        rows = self.read()
+        self.buckets = buckets
+        self.replace(rows)
+        return buckets
+
     def expire(self, keep: int = 2) -> int:
         """Delete commits before the last ``keep`` and the data folders that only they name.
         Run it when no reader is on an older version; returns the number of folders deleted."""
@@ -252,6 +339,8 @@ class VersionedTable:
         past = [Commit(**json.loads(texts[n])) for n in complete[:-keep]]
         # Only what an old commit names goes: a folder without commit may be a write under way.
         gone = {p.rsplit("/data/", 1)[1].split("/")[0] for c in past for p in [*c.paths.values(), *c.closed]} - live
+        for c in past:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(c.version)}")
         for n in complete[:-keep]:
             files.delete(self.spark, f"{folder}/{n}")
         for name in gone:
@@ -259,6 +348,10 @@ class VersionedTable:
         return len(gone)
 
 
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
 class Sources:
     """Named tables (``source('silver', 'rental_listings')``) as lazy DataFrames."""
 
@@ -274,6 +367,14 @@ class Sources:
         t = self._tables[(schema, name)]
         return t.read() if isinstance(t, VersionedTable) else t
 
+    def changes_since(self, schema: str, name: str, version: int | None) -> tuple[DataFrame | None, int | None]:
+        """What may have changed since a version of a stored source (None: nothing), and its version now.
+        A frame has no versions: all of it may have changed."""
+        table = self._tables.get((schema, name))
+        if not isinstance(table, VersionedTable):
+            return self.source(schema, name), None
+        return table.changes_since(version), table.current_version()
+
     def as_views(self, spark: SparkSession) -> None:
         for (schema, name), _ in self._tables.items():
             self.source(schema, name).createOrReplaceTempView(f"{schema}_{name}")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import registry as R
-from strata.operators import checks, gold, silver
+from strata.operators import checks, gold, merge, scd2, silver
 from strata.plans import layers
 from strata.sources import bronze
 from strata.sources.tables import Sources, VersionedTable
@@ -109,17 +110,17 @@ def _versions(spark, *rows):
 
 def test_closed_versions_appear_with_their_run_only(spark, scratch_dir, monkeypatch):
     history = layers.History(spark, f"{scratch_dir}/history")
-    history.apply(_versions(spark, ("1", 10.0, 1, None), ("2", 20.0, 1, None)), "2026-03-01 00:00:00")
+    history.apply(_versions(spark, ("1", 10.0, 1, None), ("2", 20.0, 1, None)))
     seen = lambda: sorted((r.listing_id, r.valid_from.day, r.valid_to and r.valid_to.day) for r in layers.History(spark, f"{scratch_dir}/history").read().collect())
     assert seen() == [("1", 1, None), ("2", 1, None)]
     run = lambda d: _versions(spark, ("1", 10.0, 1, d), ("1", 11.0, d, None), ("2", 20.0, 1, None))
     commit = VersionedTable._commit
     monkeypatch.setattr(VersionedTable, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
     with pytest.raises(OSError):  # dies after the closed rows are written, before the commit
-        history.apply(run(2), "2026-03-02 00:00:00")
+        history.apply(run(2))
     monkeypatch.setattr(VersionedTable, "_commit", commit)
     assert seen() == [("1", 1, None), ("2", 1, None)]
-    layers.History(spark, f"{scratch_dir}/history").apply(run(3), "2026-03-03 00:00:00")  # a retry with a later time
+    layers.History(spark, f"{scratch_dir}/history").apply(run(3))  # a retry with a later time
     assert seen() == [("1", 1, 3), ("1", 3, None), ("2", 1, None)]
 
 
@@ -136,3 +137,92 @@ def test_gold_gate_runs_before_anything_is_published(spark, scratch_dir):
     assert not history.exists() and not dim.exists()
     done = layers.silver_to_gold(spark, sources=make(frames.listings), history=history, dimension=dim, batch_ts="2026-03-01 14:00:00")
     assert done.fact.count() == 1 and done.dim.first().region == "east"  # a new column of the source reaches the table
+
+
+def _gold(spark, scratch_dir):
+    listings = VersionedTable(spark, f"{scratch_dir}/silver/listings", R.LISTINGS, "rental_listings")
+    hoods = VersionedTable(spark, f"{scratch_dir}/silver/hoods", R.NEIGHBOURHOODS, "neighbourhoods")
+    history = layers.History(spark, f"{scratch_dir}/gold/history")
+    dim = VersionedTable(spark, f"{scratch_dir}/gold/dim", layers.DIM_REGISTRY, "dim", evolve=True)
+    return listings, hoods, history, dim
+
+
+def _load(spark, listings, hoods, rows, ts):
+    frames = silver.transform_to_silver(_rows(spark, rows))
+    for table in (listings, hoods):
+        table.create()
+    listings.merge(frames.listings, lambda s, b: merge.upsert_hash_guarded(s, b, batch_ts=ts, mark=True))
+    hoods.merge(
+        frames.neighbourhoods, lambda s, b: merge.upsert_overwrite(s, b, batch_ts=ts, mark=True),
+        gate_rows=frames.neighbourhoods.withColumn("loaded_at", F.lit(ts).cast("timestamp")),
+    )
+
+
+def _files(folder):
+    return {os.path.join(d, f) for d, _, names in os.walk(folder) for f in names}
+
+
+def test_a_run_without_changes_stores_nothing(spark, scratch_dir):
+    listings, hoods, history, dim = _gold(spark, scratch_dir)
+    _load(spark, listings, hoods, [(str(i), "toronto", "A", 100.0 + i, 1) for i in range(60)], "2026-03-01 13:00:00")
+    run = lambda ts: layers.silver_to_gold(spark, listings=listings, neighbourhoods=hoods, history=history, dimension=dim, batch_ts=ts)
+    run("2026-03-01 14:00:00")
+    before, scratch = _files(f"{scratch_dir}/gold"), set(os.listdir(os.path.dirname(scratch_dir)))
+    second = run("2026-03-02 14:00:00")
+    assert second.fact.count() == 60 and _files(f"{scratch_dir}/gold") == before
+    made = set(os.listdir(os.path.dirname(scratch_dir))) - scratch
+    assert not [m for m in made if m.startswith(("history-run", "dimension-run"))]
+
+    folders = history.current.data_folders()
+    _load(spark, listings, hoods, [("7", "toronto", "A", 999.0, 2)], "2026-03-03 13:00:00")
+    third = run("2026-03-03 14:00:00")
+    assert third.fact.count() == 61 and third.fact.where("is_current").count() == 60
+    moved = [b for b, p in history.current.data_folders().items() if folders[b] != p]
+    assert len(moved) == 1  # the bucket of the one listing
+    staged = [m for m in os.listdir(os.path.dirname(scratch_dir)) if m.startswith("history-run")]
+    rows = [spark.read.parquet(os.path.join(os.path.dirname(scratch_dir), m)).count() for m in staged]
+    assert 2 in rows  # the closed and the opened version, not the table
+
+
+def test_snapshot_join_of_bucketed_tables_has_no_exchange(spark, scratch_dir):
+    listings, hoods, history, dim = _gold(spark, scratch_dir)
+    _load(spark, listings, hoods, [(str(i), "toronto", "A", 100.0 + i, 1) for i in range(60)], "2026-03-01 13:00:00")
+    layers.silver_to_gold(spark, listings=listings, neighbourhoods=hoods, history=history, dimension=dim, batch_ts="2026-03-01 14:00:00")
+    joined = scd2.scd2_snapshot(history.current.read(), listings.read(), key_cols=history.keys, batch_ts="2026-03-02", columns=gold.HISTORY_COLUMNS, changes_only=True)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Bucketed: true") == 2 and "Exchange" not in plan
+
+
+def test_gold_starts_again_after_a_conflict(spark, scratch_dir, monkeypatch):
+    listings, hoods, history, dim = _gold(spark, scratch_dir)
+    _load(spark, listings, hoods, [("1", "toronto", "A", 100.0, 1)], "2026-03-01 13:00:00")
+    publish, calls = layers.History.publish, []
+
+    def once(self, *a):
+        calls.append(1)
+        if len(calls) == 1:  # somebody else publishes first: this run's base is stale
+            other = layers.History(spark, f"{scratch_dir}/gold/history")
+            layers.silver_to_gold(spark, listings=listings, neighbourhoods=hoods, history=other, dimension=VersionedTable(spark, f"{scratch_dir}/gold/dim", layers.DIM_REGISTRY, "dim", evolve=True), batch_ts="2026-03-01 13:30:00")
+        return publish(self, *a)
+
+    monkeypatch.setattr(layers.History, "publish", once)
+    done = layers.silver_to_gold(spark, listings=listings, neighbourhoods=hoods, history=history, dimension=dim, batch_ts="2026-03-01 14:00:00")
+    assert done.fact.count() == 1 and done.dim.count() == 1 and len(calls) >= 2
+
+
+@pytest.mark.parametrize("full", [False, True])
+def test_gold_tests_of_a_run_find_what_the_full_tests_find(spark, scratch_dir, full):
+    listings, hoods, history, dim = _gold(spark, scratch_dir)
+    _load(spark, listings, hoods, [("1", "toronto", "A", 100.0, 1), ("2", "toronto", "A", 200.0, 1)], "2026-03-01 13:00:00")
+    gold_run = lambda frame, ts: layers.silver_to_gold(
+        spark, sources=Sources({layers.SILVER_LISTINGS: frame, layers.SILVER_HOODS: hoods.read()}), history=history, dimension=dim, batch_ts=ts, full_tests=full)
+    gold_run(listings.read(), "2026-03-01 14:00:00")
+    twice = listings.read().where("listing_id = '1'").withColumn("row_hash", F.lit("x"))
+    with pytest.raises(checks.GateError) as err:
+        gold_run(twice.unionByName(twice.withColumn("row_hash", F.lit("y"))), "2026-03-02 14:00:00")
+    assert {v["test"] for v in err.value.violations} == {"unique", "unique_combination"}
+    orphan = listings.read().withColumn("row_hash", F.lit("z")).withColumn("neighbourhood", F.lit("nowhere"))
+    with pytest.raises(checks.GateError) as err:
+        gold_run(orphan, "2026-03-02 14:00:00")
+    assert [(v["test"], v["failures"]) for v in err.value.violations] == [("relationships", 2)]
+    assert history.read().count() == 2

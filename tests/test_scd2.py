@@ -39,13 +39,15 @@ def test_unchanged_and_absent_keys(spark):
     assert again.count() == 2
 
 
-def test_snapshot_strategies_agree(spark):
+def test_changes_only_are_what_a_run_closes_and_opens(spark):
     h = snap(spark, None, [(str(i), "w", float(i), f"h{i % 3}") for i in range(30)], T1)
     src = spark.createDataFrame([(str(i), "w", float(i) * 2, f"h{i % 4}") for i in range(20, 45)], SRC)
-    a = scd2.scd2_snapshot(h, src, key_cols=KEYS, batch_ts=T2, strategy="shuffle")
-    b = scd2.scd2_snapshot(h, src, key_cols=KEYS, batch_ts=T2, strategy="broadcast")
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    assert a.count() > 30
+    whole = scd2.scd2_snapshot(h, src, key_cols=KEYS, batch_ts=T2)
+    changes = scd2.scd2_snapshot(h, src, key_cols=KEYS, batch_ts=T2, changes_only=True)
+    rows = sorted(map(str, changes.collect()))
+    before = set(map(str, h.collect()))
+    assert rows == sorted(str(r) for r in whole.collect() if str(r) not in before) and len(rows) > 20
+    assert scd2.scd2_snapshot(whole, src, key_cols=KEYS, batch_ts=T3, changes_only=True).count() == 0
 
 
 def _invariants(rows):

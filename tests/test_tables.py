@@ -92,6 +92,38 @@ def test_merge_leaves_untouched_buckets_alone(spark, scratch_dir):
     assert not any(files.exists(spark, p) for p in kept)
 
 
+def test_changes_since_a_version(spark, scratch_dir):
+    from strata.operators import merge
+
+    t = VersionedTable(spark, scratch_dir, REG, "t", buckets=8)
+    t.create()
+    load = lambda *pairs: t.merge(rows_of(spark, *pairs), lambda s, b: merge.upsert_overwrite(s, b, REG, batch_ts=None, mark=True))
+    load(*[(str(i), "old") for i in range(200)])
+    first = t.current_version()
+    assert t.changes_since(first) is None and t.changes_since(None).count() == 200
+    load(("17", "new"), ("new", "new"))
+    assert sorted(r.a for r in t.changes_since(first).collect()) == ["17", "new"]  # not their whole buckets
+    second = t.current_version()
+    load(("17", "newer"))
+    again = t.changes_since(first).collect()  # a bucket that was rewritten twice is told whole
+    assert {"17", "new"} <= {r.a for r in again} and len(again) < 200
+    assert [r.a for r in t.changes_since(second).collect()] == ["17"]
+    t.expire(keep=1)
+    assert t.changes_since(first).count() == 201  # the older version is not known any more
+
+
+def test_rebucket(spark, scratch_dir):
+    t = VersionedTable(spark, scratch_dir, REG, "t", buckets=4)
+    t.create()
+    t.merge(rows_of(spark, *[(str(i), "old") for i in range(100)]), overwrite)
+    assert len(t.data_folders()) == 4 and t.rebucket(32) == 32
+    other = VersionedTable(spark, scratch_dir, REG, "t")  # the number of buckets is the table's, not the reader's
+    assert other.read().count() == 100 and other.buckets == 32
+    other.merge(rows_of(spark, ("5", "new")), overwrite)
+    assert other.read().where("b = 'new'").count() == 1 and other.read().count() == 100
+    assert other.rebucket() == 16
+
+
 def test_claim_of_a_dead_writer_is_passed_over(spark, scratch_dir):
     t = VersionedTable(spark, scratch_dir, REG, "t")
     t.create()
@@ -141,6 +173,16 @@ def test_gold_tests_count_violations(spark):
     }
 
 
+def test_uniqueness_in_one_grouping(spark):
+    rows = [("1", "2:3", None), ("1", "2:3", None), ("12", ":3", None), ("1", None, "x"), ("1", None, "x"), (None, "-", "y"), (None, "-", "z"), ("-", None, "w")]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    tests = [("unique", ["a"]), ("unique", ["c"]), ("unique_combination", ["a", "b"]), ("unique_combination", ["a", "b", "c"])]
+    found = checks.uniqueness(df, "m", tests)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    single = [checks.unique(df, "m", c[0]) if n == "unique" else checks.unique_combination(df, "m", c) for n, c in tests]
+    assert sorted(map(tuple, found.collect())) == sorted(tuple(s.first()) for s in single)
+
+
 def test_bronze_partitions_roundtrip(spark, scratch_dir):
     rows = spark.createDataFrame(
         [("1", "toronto", "a"), ("2", "toronto", "b"), ("3", "london", "c")], "listing_id string, city string, v string"
