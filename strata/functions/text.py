@@ -36,12 +36,8 @@ def strip_lower(c) -> Column:
 
 def to_boolean(c) -> Column:
     """yes/included -> true, no/not included -> false, anything else -> null."""
-    word = F.lower(strip(c))
-    return (
-        F.when(word.isin(*TRUE_WORDS), F.lit(True))
-        .when(word.isin(*FALSE_WORDS), F.lit(False))
-        .otherwise(F.lit(None).cast("boolean"))
-    )
+    words = [x for w, v in [*((w, True) for w in TRUE_WORDS), *((w, False) for w in FALSE_WORDS)] for x in (F.lit(w), F.lit(v))]
+    return F.try_element_at(F.create_map(*words), F.lower(strip(c)))  # the word is made once
 
 
 def parse_float(c) -> Column:

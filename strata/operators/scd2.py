@@ -203,3 +203,33 @@ def scd2_from_log(
         F.col(ts_col).cast("timestamp").alias("valid_from"),
         F.col("_stop").cast("timestamp").alias("valid_to"),
     )
+
+
+def scd2_append(history: DataFrame, log: DataFrame, part: DataFrame, *, key_cols, ts_col: str, check_cols, columns, tiebreak=(), hot_rows: int = HOT_ROWS) -> DataFrame:
+    """O25 onto a history that exists: the versions after ``part``, late rows included, joins ``log``.
+
+    ``history`` is what :func:`scd2_from_log` made of ``log``. A key that ``part`` does not
+    hold keeps its versions as they are. Of the others, what lies before the last version
+    that begins before their first new row cannot change either; from the start of that
+    version on the key's rows of log and part are decided again. The result equals
+    ``scd2_from_log`` over both. Reads of the log are limited by key and time.
+    """
+    key_cols = list(key_cols)
+    first = part.where(F.col(ts_col).isNotNull()).groupBy(*key_cols).agg(F.min(ts_col).alias("_first"))
+    first = first.select(*[F.col(k).alias(f"p__{k}") for k in key_cols], F.col("_first").cast("timestamp").alias("_first"))
+
+    def on(df: DataFrame, other: DataFrame) -> Column:
+        return reduce(lambda x, y: x & y, [df[k].eqNullSafe(other[f"p__{k}"]) for k in key_cols])
+
+    starts = history.join(first, on(history, first), "inner").where(F.col("valid_from") < F.col("_first"))
+    starts = starts.groupBy(*[F.col(f"p__{k}") for k in key_cols]).agg(F.max("valid_from").alias("_from"))
+    starts = starts.select(*[F.col(f"p__{k}").alias(f"q__{k}") for k in key_cols], "_from")
+    cut = first.join(starts, reduce(lambda x, y: x & y, [F.col(f"p__{k}").eqNullSafe(F.col(f"q__{k}")) for k in key_cols]), "left")
+    cut = materialize(cut.select(*[f"p__{k}" for k in key_cols], "_from"), "append-cuts")
+
+    both = log.unionByName(part)
+    rows = both.join(cut, on(both, cut), "inner").where(F.col("_from").isNull() | (F.col(ts_col) >= F.col("_from"))).select(both["*"])
+    anew = scd2_from_log(rows, key_cols=key_cols, ts_col=ts_col, check_cols=check_cols, columns=columns, tiebreak=tiebreak, hot_rows=hot_rows)
+    marked = cut.withColumn("_seen", F.lit(True))
+    kept = history.join(marked, on(history, marked), "left").where(F.col("_seen").isNull() | (F.col("valid_from") < F.col("_from"))).select(history["*"])
+    return kept.select(*anew.columns).unionByName(anew)

@@ -1,87 +1,11 @@
-"""Previous / next row per key in time order, safe for hot keys.
-
-``lag``/``lead`` over ``Window.partitionBy(key)`` puts every row of a key into one task. A
-key holding a third of all rows would then be one giant task. :func:`neighbours` instead
-cuts each key's timeline into chunks (e.g. one per day), runs the window per
-``(key, chunk)`` and stitches the chunk edges with a small per-chunk table:
-
-1. per (key, chunk), one ordered window: ``lag``/``lead`` inside the chunk, the row's
-   position and the chunk's row count;
-2. the chunk's first and last rows (at most two per chunk) reduce to one edge row per
-   chunk, without a new shuffle (the data is already partitioned by (key, chunk));
-3. per key over its chunks: the previous chunk's last row and the next chunk's first row
-   (one row per chunk, so even a hot key is small here);
-4. the first row of a chunk takes "previous" from step 3, the last row takes "next".
-
-Only step 3 moves data again, and only the edge rows. If the input is already
-partitioned by (key, chunk) (a column name given as ``chunk``), nothing big is shuffled.
-"""
+"""Rows of a key in time order, cut into chunks of time so that a hot key spreads over tasks."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _struct(cols) -> Column:
-    return F.struct(*[F.col(c).alias(c) for c in cols])
-
-
-def neighbours(
-    df: DataFrame,
-    keys,
-    order,
-    chunk: Column | str,
-    prev_cols=(),
-    next_cols=(),
-    prefix_prev: str = "prev_",
-    prefix_next: str = "next_",
-) -> DataFrame:
-    """Add ``prev_<c>`` for ``prev_cols`` and ``next_<c>`` for ``next_cols``.
-
-    ``order`` must be a total order within a key (ascending column names); ``chunk`` must
-    be monotone in it (a truncated timestamp, for instance) and may name an existing
-    column, which is then kept. Rows with no previous / next row in their key get nulls.
-    """
-    keys, order = list(keys), list(order)
-    keep_chunk = isinstance(chunk, str)
-    ck = chunk if keep_chunk else "_chunk"
-    base = df if keep_chunk else df.withColumn(ck, chunk)
-    w_in = Window.partitionBy(*keys, ck).orderBy(*[F.col(c).asc() for c in order])
-    w_all = Window.partitionBy(*keys, ck)
-    cols = [F.row_number().over(w_in).alias("_pos"), F.count(F.lit(1)).over(w_all).alias("_n")]
-    cols += [F.lag(c).over(w_in).alias("_lag_" + c) for c in prev_cols]
-    cols += [F.lead(c).over(w_in).alias("_lead_" + c) for c in next_cols]
-    inner = base.select("*", *cols)
-
-    edge_rows = inner.where((F.col("_pos") == 1) | (F.col("_pos") == F.col("_n")))
-    edges = edge_rows.groupBy(*keys, ck).agg(
-        F.max_by(_struct(prev_cols or order), F.col("_pos")).alias("_last"),
-        F.min_by(_struct(next_cols or order), F.col("_pos")).alias("_first"),
-    )
-    w_chunks = Window.partitionBy(*keys).orderBy(ck)
-    edges = edges.select(
-        *keys,
-        ck,
-        F.lag("_last").over(w_chunks).alias("_before"),
-        F.lead("_first").over(w_chunks).alias("_after"),
-    )
-    out = inner.join(edges, [*keys, ck], "left")
-    for c in prev_cols:
-        out = out.withColumn(
-            prefix_prev + c,
-            F.when(F.col("_pos") == 1, F.col("_before." + c)).otherwise(F.col("_lag_" + c)),
-        )
-    for c in next_cols:
-        out = out.withColumn(
-            prefix_next + c,
-            F.when(F.col("_pos") == F.col("_n"), F.col("_after." + c)).otherwise(F.col("_lead_" + c)),
-        )
-    drop = ["_pos", "_n", "_before", "_after"] + ([] if keep_chunk else [ck])
-    drop += ["_lag_" + c for c in prev_cols] + ["_lead_" + c for c in next_cols]
-    return out.drop(*drop)
-
-
 def last_per_tie(df: DataFrame, keys, chunk: str, ts: str, tiebreak) -> DataFrame:
     """One row per (key, ts): the last by ``tiebreak``; uses the (key, chunk) partitioning
     (a row is kept when the next row in (ts, tiebreak) order has another ts)."""

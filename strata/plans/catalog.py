@@ -350,6 +350,20 @@ def scd2_from_log(spark, sf_dir):
     return hist.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@query("scd2_append", _scd2_log_sql())
+def scd2_append(spark, sf_dir):
+    """O25 in two parts: the history of the events before a cut (less late ones), stored, then the
+    rest of the log, in which a tenth arrives late, spliced into it."""
+    from strata.session import materialize
+
+    events = _event_state(fixtures.table(spark, sf_dir, "events"))
+    late = (F.col("ts") >= F.lit(CUTOFFS[1]).cast("timestamp_ntz")) | (F.col("event_id") % 10 == 0)
+    how = {"key_cols": EVENT_KEYS, "ts_col": "ts", "check_cols": ["state"], "columns": EVENT_COLS, "tiebreak": ["event_id"]}
+    log, part = events.where(~late), events.where(late)
+    hist = materialize(scd2.scd2_from_log(log, **how), "history")
+    return scd2.scd2_append(hist, log, part, **how).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 # ------------------------------------------------------------------ gold
 
 
@@ -555,6 +569,24 @@ def bronze_manifest(spark, sf_dir):
     return man
 
 
+@query(
+    "bronze_wanted_scan",
+    f"WITH d AS (SELECT {_EV_COLS} FROM events), busiest AS (SELECT event_type, max(dt) AS dt FROM d GROUP BY event_type) "
+    "SELECT d.* FROM d JOIN busiest b ON b.event_type = d.event_type AND b.dt = d.dt",
+)
+def bronze_wanted_scan(spark, sf_dir):
+    """O1 + O4 with a computed selector: of each event type the last day that its manifest names
+    is read back; the join prunes the scan while it runs."""
+    from strata.session import workspace
+
+    ev, keys = _events_partitioned(spark, sf_dir), ("event_type", "dt")
+    root = workspace(spark, "bronze-wanted")
+    bronze.write_bronze(ev, root, partition_cols=keys)
+    bronze.write_manifest(bronze.manifest(ev, mode=R.MODE_LAST_DAYS, days=30, max_pages=10, saved_at=T1, partition_cols=keys), root, partition_cols=keys)
+    last = bronze.read_manifest(spark, root, keys).groupBy("event_type").agg(F.max("dt").alias("dt"))
+    return bronze.read_wanted(spark, root, last, _events_schema(ev), keys)
+
+
 SELECTOR_TODAY = "2024-02-02"
 SELECTOR_TYPES = ("click", "view", "purchase", "signup", "error", "refund")
 
@@ -581,6 +613,21 @@ def partition_selector(spark, sf_dir):
     return metrics.coverage(_events_partitioned(spark, sf_dir).where(inside), wanted, ["event_type", "dt"])
 
 
+@query("manifest_coverage", ORACLE["partition_selector"])
+def manifest_coverage(spark, sf_dir):
+    """O3 + O4 + O33: the coverage of wanted partitions from the stored manifest of a bronze layer;
+    none of its data is read."""
+    from strata.session import workspace
+
+    ev, keys = _events_partitioned(spark, sf_dir), ("event_type", "dt")
+    root = workspace(spark, "manifest-coverage")
+    bronze.write_manifest(bronze.manifest(ev, mode=R.MODE_LAST_DAYS, days=30, max_pages=10, saved_at=T1, partition_cols=keys), root, partition_cols=keys)
+    wanted = bronze.wanted_partitions(
+        spark, source="events", cities=SELECTOR_TYPES, mode=R.MODE_LAST_DAYS, days=7, today=SELECTOR_TODAY
+    ).withColumnRenamed("city", "event_type")
+    return metrics.coverage_of(bronze.read_manifest(spark, root, keys), wanted, list(keys))
+
+
 # ------------------------------------------------------------------ pages
 
 _PAGE_ITEMS_SQL = (
@@ -972,6 +1019,18 @@ def run_rollup(spark, sf_dir):
     return metrics.rollup(_run_metrics(spark, sf_dir))
 
 
+@query("run_state_rollup")
+def run_state_rollup(spark, sf_dir):
+    """O32 from mergeable states: each day's partitions are measured once and stored; totals by city over
+    all days come from the stored states (distinct counts are estimates, so there is no SQL)."""
+    from strata.functions import strip, strip_lower
+    from strata.session import materialize
+
+    b = _bronze(spark, sf_dir).withColumns({"source": F.col("website"), "dt": F.date_format("scraped_at", "yyyy-MM")})
+    states = metrics.partition_states(b, entity_clean={"neighbourhood": strip("neighbourhood"), "city": strip_lower("city")})
+    return metrics.merge_states(materialize(states, "partition-states"), by=["city"])
+
+
 # ------------------------------------------------------------------ end to end
 
 

@@ -114,10 +114,10 @@ def bronze_to_silver(
         if mode == R.MODE_SPECIFIC_DATE and not specific_date:
             return SilverResult(None, None, 0, 0, R.STATUS_ERROR, "specific_date is required when mode is SPECIFIC_DATE")
         dates = bronze.wanted_dates(mode=mode, days=days, specific_date=specific_date, today=today)
-        raw = bronze.read_bronze(spark, bronze_root, source=source, cities=cities, dates=dates, schema=schema)
         wanted = bronze.wanted_partitions(
             spark, source=source, cities=cities, mode=mode, days=days, specific_date=specific_date, today=dates[0]
         )
+        raw = bronze.read_wanted(spark, bronze_root, wanted, schema or bronze.bronze_schema())
     required = [c.name for c in R.LISTINGS if not c.nullable and c.name in R.BRONZE_COLUMNS]
     part_metrics = materialize(metrics.partition_metrics(
         raw, wanted,

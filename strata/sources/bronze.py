@@ -97,6 +97,29 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType, **wan
     return df
 
 
+def read_wanted(spark: SparkSession, root: str, wanted: DataFrame, schema: T.StructType, partition_cols=PARTITION_COLUMNS) -> DataFrame:
+    """O1 + O4 with the wanted partitions as a frame (from a selector, a table, a query).
+
+    The frame is a few thousand rows at most (dates times cities); broadcast to the join, it
+    prunes the scan's folders while the query runs (``dynamicpruning``), so which partitions
+    are read need not be known when the plan is made. A wanted partition counts once.
+    """
+    df = read_partitioned(spark, root, schema)
+    # a side with a filter is what the planner prunes by
+    keys = wanted.select(*partition_cols).where(F.col(partition_cols[-1]) > "").distinct()
+    return df.join(F.broadcast(keys), list(partition_cols), "left_semi").select(*df.columns)
+
+
+def read_manifest(spark: SparkSession, root: str, partition_cols=PARTITION_COLUMNS) -> DataFrame:
+    """O3: the stored manifest of a layer, a row a partition (the partition values as text)."""
+    fields = [T.StructField("record_count", T.LongType()), T.StructField("saved_at", T.TimestampType()), T.StructField("mode", T.StringType())]
+    return read_partitioned_json(spark, f"{root.rstrip('/')}/{MANIFEST_DIR}", T.StructType(fields + [T.StructField(c, T.StringType()) for c in partition_cols]))
+
+
+def read_partitioned_json(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).json(root) if files.exists(spark, root) else spark.createDataFrame([], schema)
+
+
 def union_frames(frames) -> DataFrame:
     """Union of same-schema frames by column name; differing schemas are an error."""
     frames = list(frames)

@@ -1,15 +1,13 @@
-"""SCD2 snapshot (O24) and log form (O25), plus the hot-key-safe neighbour lookup."""
+"""SCD2 snapshot (O24) and log form (O25), appended parts included."""
 
 from __future__ import annotations
 
 import datetime as dt
 import random
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators import scd2
-from strata.operators.sequence import neighbours
 
 SRC = "listing_id string, website string, rent double, row_hash string"
 T1, T2, T3 = dt.datetime(2026, 1, 15), dt.datetime(2026, 2, 20), dt.datetime(2026, 3, 1)
@@ -88,12 +86,16 @@ def test_snapshot_repeated_equals_log(spark):
     _invariants(log_hist.collect())
 
 
-def test_neighbours_equals_plain_window(spark):
-    rng = random.Random(3)
-    rows = [(rng.choice([1, 1, 1, 2, 3]), i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=rng.randrange(500)), rng.randrange(5))
-            for i in range(600)]
-    df = spark.createDataFrame(rows, "k int, id int, ts timestamp, v int")
-    got = neighbours(df, ["k"], ["ts", "id"], F.date_trunc("day", "ts"), prev_cols=["v"], next_cols=["id"])
-    w = Window.partitionBy("k").orderBy("ts", "id")
-    want = df.select("*", F.lag("v").over(w).alias("prev_v"), F.lead("id").over(w).alias("next_id"))
-    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+def test_append_equals_the_whole_log(spark):
+    how = {"key_cols": ("user_id", "event_type"), "ts_col": "ts", "check_cols": ["state"], "columns": ("user_id", "event_type", "state", "ts"), "tiebreak": ["event_id"]}
+    for seed in (1, 2):
+        rng = random.Random(seed)
+        base = dt.datetime(2024, 1, 1)
+        rows = [(i, base + dt.timedelta(hours=rng.randrange(400)), rng.choice([None, 1, 1, 2, 3]), rng.choice("ab"), rng.randrange(3)) for i in range(400)]
+        ev = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, state int").withColumn("late", F.rand(seed) < 0.1).checkpoint()
+        log, part = ev.where("not late").drop("late"), ev.where("late").drop("late")
+        hist = scd2.scd2_from_log(log, **how).checkpoint()
+        got = scd2.scd2_append(hist, log, part, **how)
+        want = scd2.scd2_from_log(ev.drop("late"), **how)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+        assert scd2.scd2_append(hist, log, part.limit(0), **how).count() == hist.count()

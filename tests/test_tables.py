@@ -234,6 +234,41 @@ def test_wanted_partitions_and_coverage(spark):
     assert cov[("london", "2026-03-02")] == "completed_no_data"
 
 
+def test_wanted_frame_prunes_the_scan(spark, scratch_dir):
+    rows = spark.createDataFrame([(str(i), "toronto" if i % 2 else "london", "v") for i in range(20)], "listing_id string, city string, v string")
+    for day in range(1, 6):
+        bronze.write_bronze(bronze.with_partition_columns(rows, source="example", day=f"2026-03-0{day}"), scratch_dir)
+    wanted = bronze.wanted_partitions(spark, source="example", cities=["london"], days=2, today="2026-03-04")
+    got = bronze.read_wanted(spark, scratch_dir, wanted.unionByName(wanted), bronze.bronze_schema(data_schema=rows.schema))
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.city, r.dt) for r in got.collect()) == sorted([("london", d) for d in ("2026-03-03", "2026-03-04")] * 10)
+
+
+def test_states_merge_over_runs(spark):
+    rows = [("example", f"c{i % 3}", f"2026-03-0{1 + i % 4}", str(i % 700) if i % 11 else " ", "w", f"n{i % 40}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "source string, city string, dt string, listing_id string, website string, neighbourhood string")
+    states = metrics.partition_states(df)
+    one, two = states.where("dt < '2026-03-03'"), states.where("dt >= '2026-03-03'")
+    got = {r.city: r for r in metrics.merge_states(one.unionByName(two), by=["city"]).collect()}
+    for city in ("c0", "c1", "c2"):
+        own = [r for r in rows if r[1] == city]
+        valid = [r for r in own if r[3].strip()]
+        assert (got[city].rows_read, got[city].dropped_invalid_key, got[city].partitions) == (len(own), len(own) - len(valid), 4)
+        assert abs(got[city].listings / len({r[3] for r in valid}) - 1) < 0.05 and got[city].neighbourhoods == len({r[5] for r in valid})
+
+
+def test_default_tie_break_keeps_what_the_cleaning_keeps(spark):
+    from strata.operators import silver
+
+    day = dt.datetime(2026, 3, 1)
+    rows = [("example", "toronto", "d", "1", "w", n, day) for n in ("b", None, "a")] + [("example", "toronto", "d", "2", "w", "x", None), ("example", "toronto", "d", "2", "w", None, day)]
+    df = spark.createDataFrame(rows, "source string, city string, dt string, listing_id string, website string, neighbourhood string, scraped_at timestamp")
+    found = metrics.partition_metrics(df, required=["neighbourhood"]).first()
+    kept = silver.keep_latest(df, ["listing_id", "website"], order_by=["scraped_at"], tiebreak=["neighbourhood"]).collect()
+    assert {r.listing_id: r.neighbourhood for r in kept} == {"1": "a", "2": None}
+    assert (found.status, found.rows_read, found.dropped_duplicate) == ("error", 5, 3)
+
+
 def test_rollup_status(spark):
     m = spark.createDataFrame([(5, 4, 1, "success"), (0, 0, 0, "completed_no_data")],
                               "rows_read long, rows_loaded long, neighbourhoods_loaded long, status string")
