@@ -363,7 +363,9 @@ def _scored(documents: DataFrame, labels: DataFrame, mark: Column) -> DataFrame:
     known = known.groupBy(F.col("doc_id").cast(kind).alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.where(F.col("toxic").isin(0, 1))
     chosen = known.orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id").limit(FIT_ROWS)
-    sample = stored(docs.drop("mark").join(F.broadcast(chosen), "doc_id"), "toxicity-sample")  # broadcasts FIT_ROWS ids at most
+    # FIT_ROWS ids at most are broadcast, and an id that stands at many rows gives one of its texts
+    sample = docs.drop("mark").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    sample = stored(sample, "toxicity-sample")
 
     found = induced_terms(sample)
     if found:
@@ -385,7 +387,8 @@ def _scored(documents: DataFrame, labels: DataFrame, mark: Column) -> DataFrame:
 
     # Classifier: posterior labels of the sample. The voters' bits are features too.
     size = len(terms.value) + N_VOTERS
-    fit = looked.join(F.broadcast(chosen.select("doc_id")), "doc_id").orderBy("doc_id").collect()  # the sample's rows
+    fit = looked.join(F.broadcast(chosen.select("doc_id")), "doc_id").groupBy("doc_id").agg(F.min(F.struct("votes", "features")).alias("one"))
+    fit = fit.select("doc_id", "one.*").orderBy("doc_id").collect()  # FIT_ROWS rows at most
     if not fit:
         fit = looked.where(~held_out()).orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id").limit(FIT_ROWS).collect()
     bits = unpack(np.array([r["votes"] for r in fit], dtype=np.int64))
