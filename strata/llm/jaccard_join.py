@@ -98,7 +98,7 @@ def _buckets(grams: np.ndarray) -> np.ndarray:
 
 
 def _survey(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """A row of (doc_id, mark, size, fa, fb) a document, then this task's share of the sketch in slices."""
+    """A row of (doc_id, key, mark, size, fa, fb) a document, then this task's share of the sketch in slices."""
     shingle, counts = Shingler(n), np.zeros(1 << SKETCH_BITS, dtype=np.int32)
     for batch in batches:
         sizes, marks = [], []
@@ -108,17 +108,17 @@ def _survey(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
             sizes.append(len(grams))
             marks.append(fingerprint(grams))
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id").cast(pa.int64()), batch.column("mark"), pa.array(sizes, pa.int64()),
+            batch.column("doc_id").cast(pa.int64()), batch.column("key"), batch.column("mark"), pa.array(sizes, pa.int64()),
             pa.array([a for a, _ in marks], pa.int64()), pa.array([b for _, b in marks], pa.int64()),
             pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary()),
-        ], names=["doc_id", "mark", "size", "fa", "fb", "slice", "counts"])
+        ], names=["doc_id", "key", "mark", "size", "fa", "fb", "slice", "counts"])
     if counts.any():
         none = pa.nulls(SLICES, pa.int64())
         shares = [zlib.compress(x.tobytes(), 1) for x in np.split(counts, SLICES)]
-        yield pa.RecordBatch.from_arrays([none, pa.nulls(SLICES, pa.binary()), none, none, none, pa.array(range(SLICES), pa.int32()), pa.array(shares, pa.binary())], names=["doc_id", "mark", "size", "fa", "fb", "slice", "counts"])
+        yield pa.RecordBatch.from_arrays([none, none, pa.nulls(SLICES, pa.binary()), none, none, none, pa.array(range(SLICES), pa.int32()), pa.array(shares, pa.binary())], names=["doc_id", "key", "mark", "size", "fa", "fb", "slice", "counts"])
 
 
-SURVEY = "doc_id long, mark binary, size long, fa long, fb long, slice int, counts binary"
+SURVEY = "doc_id long, key long, mark binary, size long, fa long, fb long, slice int, counts binary"
 
 
 def _add_up(key, table: pa.Table) -> pa.Table:
@@ -331,15 +331,13 @@ def bit_set(ids: DataFrame) -> bytes:
 
 
 def _wanted(batches: Iterator[pa.RecordBatch], words: bytes) -> Iterator[pa.RecordBatch]:
-    """Rows whose id may be in the set, and rows without id: only their texts are shuffled."""
+    """Rows whose key may be in the set: only their texts are shuffled."""
     field = np.frombuffer(words, dtype=np.int64).view(np.uint64)
     bits = len(field).bit_length() + 5
     for batch in batches:
-        ids = batch.column("doc_id")
-        at = _spots(ids.fill_null(0).to_numpy(zero_copy_only=False), bits)
+        at = _spots(batch.column("key").to_numpy(zero_copy_only=False), bits)
         held = (field[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
-        keep = held.reshape(4, -1).all(axis=0) | ids.is_null().to_numpy(zero_copy_only=False)
-        yield batch.filter(pa.array(keep, pa.bool_()))
+        yield batch.filter(pa.array(held.reshape(4, -1).all(axis=0), pa.bool_()))
 
 
 SETS = "root struct<fa:long,fb:long>, fa long, fb long, copies long, size long, grams binary"
@@ -475,20 +473,23 @@ def _classes(documents: DataFrame, n: int, percent: int, mark: Column) -> DataFr
     if not 50 < percent < 100:
         raise ValueError("percent must lie between 50 and 100: sets of one n-gram are taken to link with equal sets only")
     small_batches(documents.sparkSession)
-    read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), mark.alias("mark"))
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    # The key tells rows apart whose ids are equal or missing; where it falls together all the same, fingerprints do.
+    read = documents.select(F.xxhash64(doc_id, text).alias("key"), text.alias("text"))
+    marked = documents.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, text).alias("key"), text.alias("text"), mark.alias("mark"))
     survey = stored(marked.mapInArrow(functools.partial(_survey, n=n), SURVEY), "jaccard-survey")
-    docs = survey.where("slice is null").select("doc_id", "mark", "size", "fa", "fb")
+    docs = survey.where("slice is null").select("doc_id", "key", "mark", "size", "fa", "fb")
     families = connected(candidate_pairs(read, n, percent, sketch_of(survey)), "jaccard-families")
 
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fa", "fb", "mark")
     classes = docs.where("size > 0").groupBy("fa", "fb").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"), F.min(order).alias("first")
+        F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"), F.min(order).alias("first")
     )
-    families = stored(families.select("root", "node.*").join(classes.drop("first"), ["fa", "fb"]), "jaccard-families")
-    # One text of each set is read again; where an id stands at several rows, the fingerprint picks.
-    near = read.mapInArrow(functools.partial(_wanted, words=bit_set(families.select("doc_id"))), "doc_id long, text string")
-    texts = near.join(families, near["doc_id"].eqNullSafe(families["doc_id"])).select("root", "fa", "fb", "copies", "size", "text")
+    families = stored(families.select("root", "node.*").join(classes.drop("first", "doc_id"), ["fa", "fb"]), "jaccard-families")
+    # One text of each set is read again; copies of a row go before they are shuffled.
+    near = read.mapInArrow(functools.partial(_wanted, words=bit_set(families.select("key"))), "key long, text string")
+    near = near.withColumn("mark", F.md5(F.col("text").cast("binary"))).dropDuplicates(["key", "mark"])
+    texts = near.join(families, "key").select("root", "fa", "fb", "copies", "size", "text")
     sets = texts.mapInArrow(functools.partial(_sets, n=n), SETS).dropDuplicates(["fa", "fb"])
     linked = stored(
         cells(sets, families, percent).groupBy("root", "band", "x", "y").applyInArrow(lambda key, sets: _cell(key, sets, percent), LINKS), "jaccard-links"
@@ -508,23 +509,21 @@ def one_of_each_class(documents: DataFrame, n: int = 5, percent: int = 80) -> Da
     """Of each class of documents that link over any number of steps one row: the least doc_id, rows without one last.
 
     What a row links with is decided by its own text, so rows with a repeated or no doc_id
-    are not drawn along by others. Of the rows left, those that share a doc_id are one
-    document: the one whose text sorts first stays. Texts without words link with nothing
-    and stay.
+    are not drawn along by others, and different texts under one doc_id are documents of
+    their own. Texts without words link with nothing and stay, repeated rows among them.
     """
     rows = _classes(documents, n, percent, text_mark()).withColumn(
         "stays", F.col("first").isNull() | (F.col("first")["doc_id"].eqNullSafe(F.col("doc_id")) & (F.col("first")["mark"] == F.col("mark")))
     )
     gone = stored(rows.where(~F.col("stays")).select("doc_id", "mark").distinct(), "jaccard-gone")
     kept = with_key(documents, gone, text_mark(), "anti")
-    # Rows that share an id, and copies of one text without an id.
-    key = lambda mark: F.when(F.col("doc_id").isNull(), mark)
-    repeated = rows.where(F.col("stays") & (F.col("doc_id").isNotNull() | (F.col("size") > 0))).groupBy("doc_id", key(F.col("mark")).alias("mark")).count()
+    # The row that stays may itself be repeated.
+    repeated = rows.where(F.col("stays") & (F.col("size") > 0)).groupBy("doc_id", "mark").count()
     repeated = stored(repeated.where("count > 1").select("doc_id", "mark"), "jaccard-repeated")
-    if not repeated.limit(1).count():  # the usual case: an id stands at one row
+    if not repeated.limit(1).count():  # the usual case: no row stands twice
         return kept
-    mark = key(text_mark())
+    mark = text_mark()
     others = F.to_json(F.struct(*[F.col(c) for c in documents.columns if c != "text"]))
-    first = F.row_number().over(Window.partitionBy("doc_id", "__key").orderBy("text", others))
+    first = F.row_number().over(Window.partitionBy("doc_id", "__key").orderBy(others))
     one = with_key(kept, repeated, mark, "semi").withColumn("__key", mark).withColumn("__first", first).where("__first = 1").drop("__first", "__key")
     return with_key(kept, repeated, mark, "anti").unionByName(one)

@@ -63,6 +63,17 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.remove_toxic(docs, labels).columns == docs.columns
 
 
+def test_toxicity_sample_is_bounded_by_ids(spark, monkeypatch):
+    """One labelled id on a third of the rows gives one row of the sample, not a third of the table."""
+    data = [(1 if k % 3 == 0 else k, f"some words {k} here") for k in range(3000)]
+    labels = spark.createDataFrame([(k, 0, k % 2, "x", 1) for k in range(1, 200)], LABELS)
+    seen = []
+    fit = toxicity.fit_linear
+    monkeypatch.setattr(toxicity, "fit_linear", lambda rows, *a: seen.append(len(rows)) or fit(rows, *a))
+    out = toxicity.toxicity(documents(spark, data), labels)
+    assert out.count() == 3000 and seen and seen[0] <= 200
+
+
 def test_private_data(docs, nothing):
     rows = pii.private_data(docs).collect()
     assert ids(rows) == EVERY
@@ -132,12 +143,24 @@ def test_top_k(spark):
     rows = [(0, [1.0, 0.5]), (20, [0.0, 0.0]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, None), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [2.0]), (8, []), (1, [1.0, 0.5]), (None, [1.0, 1.0]), (40, None)]
     frame = spark.createDataFrame([(i, v, 0, 0, 0) for i, v in rows], VECTORS)
     got = topk.top_k(frame, F.col("vec_id") % 20 == 0, k=3).orderBy("query_id", "rank").collect()
-    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got] == [(0, 1, 7, 8192), (0, 2, 1, 5120), (0, 3, 2, 5120), (20, 1, 0, 0), (20, 2, 1, 0), (20, 3, 2, 0)]
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got] == [(0, 1, 7, 8192), (0, 2, 1, 5120), (0, 3, 1, 5120), (20, 1, 0, 0), (20, 2, 1, 0), (20, 3, 1, 0)]  # both rows with id 1
     assert topk.top_k(frame.limit(0), F.col("vec_id") % 20 == 0).collect() == []
     huge = spark.createDataFrame([(0, [3e30, 1.0], 0, 0, 0), (1, [1e30, 1.0], 0, 0, 0), (2, [-1e30, 1.0], 0, 0, 0)], VECTORS)
     assert [(r["vec_id"], r["score"]) for r in topk.top_k(huge, F.col("vec_id") == 0).orderBy("rank").collect()] == [(1, 2**63 - 1), (2, -(2**63))]
 
 
+def test_top_k_repeated_ids_as_the_sql_says(spark):
+    import duckdb
+
+    rows = [(i, [float(i), 1.0]) for i in (0, 1, 1, 1, 0, 2)]
+    frame = spark.createDataFrame([(i, v, 0, 0, 0) for i, v in rows], VECTORS)
+    got = sorted(map(tuple, topk.top_k(frame, F.col("vec_id") % 20 == 0).collect()))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    assert got == sorted(con.execute(topk.OP7_SQL).fetchall()) and len(got) == 10
+
+
 def test_jaccard(docs, nothing):
     rows = jaccard_join.jaccard_classes(docs).collect()
     assert ids(rows) == EVERY
@@ -147,7 +170,23 @@ def test_jaccard(docs, nothing):
     assert jaccard_join.jaccard_classes(nothing).collect() == []
     left = jaccard_join.one_of_each_class(docs)
     assert left.columns == docs.columns
-    assert ids(left.collect()) == Counter({1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1, 7: 1, None: 2, 8: 1, 10: 1, 12: 1, 13: 1})
+    assert ids(left.collect()) == Counter({1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1, 7: 1, None: 2, 8: 1, 10: 1, 12: 1, 13: 2})
+
+
+def test_jaccard_many_rows_on_one_and_on_no_id(spark):
+    """A third of the rows on one id, a third on none: nothing meets by its id, every text counts."""
+    texts = [" ".join(f"w{(k // 2 * 7 + i) % 977}x{k // 2}" for i in range(40)) + (" end" if k % 2 else "") for k in range(300)]
+    rows = [(None if k % 3 == 0 else 5 if k % 3 == 1 else 1000 + k, texts[k]) for k in range(300)] + [(None, texts[0])] * 50 + [(5, texts[1])] * 50
+    frame = documents(spark, rows)
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_classes(frame, n=3, percent=90).collect())
+    assert got == Counter((d, n, c) for d, n, c, _ in brute.classes(rows, 3, 90))
+    left = jaccard_join.one_of_each_class(frame, n=3, percent=90).collect()
+    component = {}
+    for (_, t), (_, _, c, _) in zip(rows, brute.classes(rows, 3, 90), strict=True):
+        component.setdefault(t, c)
+    assert len({r["text"] for r in left}) == len(left)  # no copy is left
+    by_pair = Counter(texts.index(r["text"]) // 2 for r in left)
+    assert by_pair == Counter(range(150))  # each pair of near copies keeps one
 
 
 def test_html(spark):

@@ -295,13 +295,13 @@ def test_elimination_is_exact_and_eliminates():
         bounds = (norms + norms[q] - least**2) / 2 + 1
         scores = vectors @ vectors[q]
         assert (bounds >= scores).all()
-        found, got = topk.best(vectors[q], q, vectors, ids, bounds, 20, True)
+        found, got = topk.best(vectors[q], ids == q, vectors, ids, bounds, 20, True)
         order = np.lexsort((ids, -scores))
         order = order[order != q][:20]
         assert found.tolist() == order.tolist() and got.tolist() == scores[order].tolist()
         assert (bounds >= got[-1]).mean() < 0.6
     asked = np.arange(0, 3_000, 20)
-    whole = topk.block_best(vectors[asked].astype(np.float32), asked, vectors.astype(np.float32), ids, near, near[asked], 20)
+    whole = topk.block_best(vectors[asked].astype(np.float32), asked, vectors.astype(np.float32), ids, ids, near, near[asked], 20)
     for q, (found, got) in zip(asked, whole, strict=True):
         scores = vectors @ vectors[q]
         order = np.lexsort((ids, -scores))
