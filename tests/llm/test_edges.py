@@ -198,11 +198,24 @@ def test_html(spark):
     frame = spark.createDataFrame([(*p, 1, 2) for p in pages], "page_id long, url string, html string, row int, kinds int")
     got = {r["page_id"]: r for r in html_extract.main_text(frame).collect()}
     assert html_extract.main_text(frame).count() == len(pages)
-    assert [got[k]["text"] for k in (1, 2, 3, 4, 5)] == ["", "", "plain <text> only", "Kept & whole\n\nCut &am", "in"]
+    assert [got[k]["text"] for k in (1, 2, 3, 4, 5)] == ["", "", "plain <text> only", "Kept & whole\n\nCut &am", "open\n\nin"]
     assert got[6]["n_chars"] == len(got[6]["text"]) == 3 + 5 * 50_000
     assert html_extract.main_text(frame.limit(0)).collect() == []
 
 
+def test_html_copies_of_a_page_are_one_page(spark):
+    own = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    note = "we use small files on your device to remember what you read"
+    pages = [(k, f"http://a.example/{k}", f"<div>{own(1)}</div>") for k in range(40)]  # one page, crawled again and again
+    pages += [(100 + k, f"http://b.example/{k}", f"<div>{own(k)}</div><div>{note}</div><div>Home</div><div>{k} part</div>") for k in range(4)]
+    pages += [(200 + k, f"http://c.example/{k}", f"<div>Top</div><article>{own(k)}</article><div>{k} stray</div>") for k in range(4)]
+    frame = spark.createDataFrame([(*p, 1, 2) for p in pages], "page_id long, url string, html string, row int, content int")
+    got = {r["page_id"]: r["text"] for r in html_extract.main_text(frame.repartition(5)).collect()}
+    assert all(got[k] == own(1) for k in range(40))
+    assert all(got[100 + k] == f"{own(k)}\n\n{k} part" for k in range(4))  # what the pages share goes, long or short
+    assert all(got[200 + k] == f"{own(k)}\n\n{k} stray" for k in range(4))
+
+
 def test_secrets(docs, nothing):
     rows = secrets.secrets(docs).collect()
     assert ids(rows) == EVERY
