@@ -2,8 +2,9 @@
 
 Strong patterns (the base kinds) are reported wherever they stand. Weak parts (short
 assignments, key-like words, account names, endpoints) are common in clean text, so one is
-reported only when a complementary part stands near it in the same scope: the parts of a
-text are joined as intervals, dealt out by (text, cell of positions).
+reported only when a complementary part stands in the same scope, and one of the two is a
+secret. Scopes are the intervals between blank lines, rules (---, ===) and closing braces;
+parts and scopes are joined as intervals, dealt out by (text, cell of positions).
 """
 
 from __future__ import annotations
@@ -24,84 +25,98 @@ KINDS = ["assign", "access", "hex"]
 # Weak parts, by what they can complete. None of them counts alone. Values are read to their end.
 WEAK_SECRET = r"(?i:\b(?:pwd|pass|passphrase|credential|auth|private_?key|client_?secret|access_?key)\b)[\"']?\x20*[:=]\x20*[\"']?[^\s\"',;]{6,}+"
 WEAK_ID = r"(?i:\b(?:user(?:_?name|_?id)?|login|account(?:_?id)?|client_?id|key_?id|tenant)\b)[\"']?\x20*[:=]\x20*[\"']?[^\s\"',;]{3,}+"
-ENDPOINT = r"(?i:\b(?:https?|jdbc:[a-z0-9]{2,20}|postgres(?:ql)?|mysql|redis|mongodb|amqp|ftp)://)[^\s\"',;]{4,}+"
+ENDPOINT = r"(?i:\b(?:https?|jdbc:[a-z0-9]++|postgres(?:ql)?|mysql|redis|mongodb|amqp|ftp)://)[^\s\"',;]{4,}+"
 
-#: Code points between two parts up to which they belong together.
-REACH = 200
+# What ends a scope: blank lines, rules of three or more marks on a line of their own, closing braces.
+BOUNDARY = r"\n[\x20\t\r]*+\n|\n[\x20\t]*+(?:-{3}|={3}|_{3}|\*{3}|#{3}|~{3})[^\n]*+|\}"
+#: Code points of a cell in which scopes and parts meet (results do not depend on it).
+CELL = 1024
+#: Matches whose positions are added up in one go.
+RUN = 64
 
 
-def regex_spans(text: Column, pattern: str) -> Column:
-    """All leftmost, non-overlapping matches: array of (start, stop, value), in code points, stop exclusive.
+def _pairs(text: Column, pattern: str) -> Column:
+    """(gap, match) pairs of all leftmost, non-overlapping matches.
 
-    The text is cut into (gap, match) pairs in one go; ``\\G`` ties each pair to the end of
-    the one before, so the rest after the last match is scanned once. Lengths of gaps and
-    matches add up to the positions.
+    ``\\G`` ties each pair to the end of the one before, so the rest after the last match is
+    scanned once.
     """
     pairs = rf"(?s)\G(.*?)({pattern})"
     gaps = F.regexp_extract_all(text, F.lit(pairs), F.lit(1))
     found = F.regexp_extract_all(text, F.lit(pairs), F.lit(2))
-    none = F.array().cast("array<struct<start:int,stop:int,value:string>>")
-    zero = F.struct(F.lit(0).alias("upto"), none.alias("spans"))
+    return F.transform(F.arrays_zip(gaps.alias("gap"), found.alias("value")), lambda p: F.struct(F.length(p["gap"]).alias("gap"), F.length(p["value"]).alias("size"), p["value"].alias("value")))
+
+
+def _local(pairs: Column) -> Column:
+    """Spans of a short run of pairs, counted from its start."""
+    zero = F.struct(F.lit(0).alias("upto"), F.array().cast("array<struct<start:int,stop:int,value:string>>").alias("spans"))
 
     def add(acc: Column, pair: Column) -> Column:
-        start = acc["upto"] + F.length(pair["gap"])
-        stop = start + F.length(pair["value"])
-        span = F.struct(start.alias("start"), stop.alias("stop"), pair["value"].alias("value"))
-        return F.struct(stop.alias("upto"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+        start = acc["upto"] + pair["gap"]
+        span = F.struct(start.alias("start"), (start + pair["size"]).alias("stop"), pair["value"].alias("value"))
+        return F.struct((start + pair["size"]).alias("upto"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    return F.aggregate(F.arrays_zip(gaps.alias("gap"), found.alias("value")), zero, add, lambda acc: acc["spans"])
+    return F.aggregate(pairs, zero, add)
 
 
-def _when(guard: Column, spans: Column) -> Column:
-    return F.when(guard, spans).otherwise(F.array().cast("array<struct<start:int,stop:int,value:string>>"))
+def regex_spans(df: DataFrame, patterns: dict[str, Column]) -> DataFrame:
+    """Add a column of spans (start, stop, value; code points, stop exclusive) for each column of pairs.
+
+    Positions are sums over all matches before: added up in runs of ``RUN`` matches, then
+    over the runs, so that a text with very many matches costs little more for each. Every
+    step is a column of its own (one that a lambda refers to could be made again for each
+    element).
+    """
+    df = df.withColumns({f"__{k}_pairs": c for k, c in patterns.items()})
+    runs = lambda k: F.transform(F.sequence(F.lit(0), F.floor(F.size(f"__{k}_pairs") / RUN).cast("int")), lambda i: F.slice(f"__{k}_pairs", i * RUN + 1, F.lit(RUN)))
+    df = df.withColumns({f"__{k}_runs": F.when(F.size(f"__{k}_pairs") > 0, F.transform(runs(k), _local)) for k in patterns})
+    total = lambda k: F.aggregate(F.col(f"__{k}_runs"), F.array(F.lit(0)), lambda acc, r: F.concat(acc, F.array(F.element_at(acc, -1) + r["upto"])))
+    df = df.withColumns({f"__{k}_from": total(k) for k in patterns})
+    none = F.array().cast("array<struct<start:int,stop:int,value:string>>")
+    moved = lambda r, at: F.transform(r["spans"], lambda s: F.struct((s["start"] + at).alias("start"), (s["stop"] + at).alias("stop"), s["value"].alias("value")))
+    spans = lambda k: F.flatten(F.zip_with(f"__{k}_runs", F.slice(f"__{k}_from", F.lit(1), F.size(f"__{k}_runs")), moved))
+    df = df.withColumns({k: F.coalesce(F.when(F.col(f"__{k}_runs").isNotNull(), spans(k)), none) for k in patterns})
+    return df.drop(*[f"__{k}_{x}" for k in patterns for x in ("pairs", "runs", "from")])
 
 
 def base_spans(documents: DataFrame) -> DataFrame:
-    """row, doc_id and arrays of matches by kind; stored once, without the texts."""
+    """row, doc_id, arrays of matches by kind, and what ends a scope where there are weak parts; stored once, without the texts."""
     text, low = F.col("__text"), F.col("__low")
     any_of = lambda *words: F.expr(" or ".join(f"contains(__low, '{w}')" for w in words))
     docs = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", whole_text().alias("__text"))
     docs = docs.withColumn("__low", F.lower(text))
-    assigns = _when(any_of("password", "passwd", "secret", "token", "apikey", "api_key"), regex_spans(text, ASSIGN.replace("([A-Z", "(?:[A-Z")))
-    return docs.select(
-        "row", "doc_id",
-        assigns.alias("assigned"),
-        F.filter(_when(F.contains(text, F.lit("AKIA")), regex_spans(text, ACCESS)), lambda s: s["stop"] - s["start"] >= LEAST_ACCESS).alias("access"),
-        F.filter(_when(F.regexp_like(text, F.lit(f"[0-9a-f]{{{LEAST_HEX}}}")), regex_spans(text, f"[0-9a-f]{{{LEAST_HEX},}}")), lambda s: F.lit(True)).alias("hex"),
-        _when(any_of("pwd", "pass", "credential", "auth", "private", "client", "access") & F.regexp_like(low, F.lit(WEAK_SECRET)), regex_spans(text, WEAK_SECRET)).alias("weak_secret"),
-        _when(any_of("user", "login", "account", "client", "key", "tenant") & F.regexp_like(low, F.lit(WEAK_ID)), regex_spans(text, WEAK_ID)).alias("weak_id"),
-        _when(any_of("://"), regex_spans(text, ENDPOINT)).alias("endpoint"),
-    )
+    found = regex_spans(docs, {
+        "assigned": F.when(any_of("password", "passwd", "secret", "token", "apikey", "api_key"), _pairs(text, ASSIGN.replace("([A-Z", "(?:[A-Z"))),
+        "access": F.when(F.contains(text, F.lit("AKIA")), _pairs(text, ACCESS)),
+        "hex": F.when(F.regexp_like(text, F.lit(f"[0-9a-f]{{{LEAST_HEX}}}")), _pairs(text, f"[0-9a-f]{{{LEAST_HEX},}}")),
+        "weak_secret": F.when(any_of("pwd", "pass", "credential", "auth", "private", "client", "access") & F.regexp_like(low, F.lit(WEAK_SECRET)), _pairs(text, WEAK_SECRET)),
+        "weak_id": F.when(any_of("user", "login", "account", "client", "key", "tenant") & F.regexp_like(low, F.lit(WEAK_ID)), _pairs(text, WEAK_ID)),
+        "endpoint": F.when(any_of("://"), _pairs(text, ENDPOINT)),
+    })
+    found = found.withColumn("access", F.filter("access", lambda s: s["stop"] - s["start"] >= LEAST_ACCESS)).withColumn("length", F.length(text))
+    weak = (F.size("weak_secret") + F.size("weak_id") + F.size("endpoint") > 0) | F.exists("assigned", lambda s: F.length(s["value"]) < 2 * LEAST_VALUE + 20)
+    return regex_spans(found, {"ends": F.when(weak, _pairs(text, BOUNDARY))}).drop("__text", "__low")
 
 
 def _kind(spans: Column, kind: str, rank: int) -> Column:
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), s["stop"].alias("stop")))
 
 
-def linked_parts(parts: DataFrame, reach: int = REACH) -> DataFrame:
-    """Interval join of (row, part, start, stop, weak) within reach: the weak parts that a complementary part stands by.
+def linked_parts(parts: DataFrame, scopes: DataFrame) -> DataFrame:
+    """The weak ones of (row, part, start, stop, weak) whose scope (row, start, stop) completes them.
 
-    Access identifiers complete secrets, secrets complete identifiers and endpoints, and so
-    on: any two parts of different classes. A part is dealt to the cells of ``reach`` code
-    points that its interval widened by ``reach`` touches on the right side and to the
-    cells of the interval itself on the left side, so that each near pair meets, and no
-    task holds more of a text than one cell.
+    A secret is completed by an identifier or an endpoint, these by a secret; so one part of
+    every link is a secret. A scope is dealt to all cells that it touches and a part to the
+    cell of its start, so that each part meets its scope in one cell, and no task holds more
+    of a text than one cell.
     """
-    width = F.lit(max(reach, 1))
-    cells = lambda low, high: F.sequence(F.floor(low / width), F.floor(high / width))
-    weak = parts.where("weak").select("row", "part", "start", "stop", F.explode(cells(F.col("start") - reach, F.col("stop") + reach)).alias("cell"))
-    # Only where parts of each class begin and end counts: one row per class and cell.
-    near = (
-        parts.select("row", F.col("part").alias("other"), F.col("start").alias("low"), F.col("stop").alias("high"), F.explode(cells(F.col("start"), F.col("stop"))).alias("cell"))
-        .groupBy("row", "cell", "other").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("intervals"))
-    )
-    touches = F.exists("intervals", lambda i: (i["low"] <= F.col("stop") + reach) & (i["high"] >= F.col("start") - reach))
-    return (
-        weak.join(near, ["row", "cell"])
-        .where((F.col("part") != F.col("other")) & touches)
-        .groupBy("row", "part", "start", "stop")
-        .agg(F.array_join(F.array_sort(F.collect_set("other")), "+").alias("by"))
-    )
+    cell = lambda c: F.floor(c / F.lit(CELL))
+    inside = scopes.select("row", F.col("start").alias("low"), F.col("stop").alias("high"), F.explode(F.sequence(cell(F.col("start")), cell(F.col("stop")))).alias("cell"))
+    held = parts.withColumn("cell", cell(F.col("start"))).join(inside, ["row", "cell"]).where("low <= start and start < high")
+    # of each scope, which classes it holds; few rows, whatever the number of parts
+    classes = held.groupBy("row", "low").agg(F.max(F.col("part") == "secret").alias("has_secret"), F.max(F.col("part") != "secret").alias("has_other"))
+    both = classes.where("has_secret and has_other").select("row", "low")
+    return held.where("weak").join(both, ["row", "low"]).select("row", "part", "start", "stop")
 
 
 def secrets(documents: DataFrame) -> DataFrame:
@@ -124,7 +139,11 @@ def secrets(documents: DataFrame) -> DataFrame:
         part("assign", "secret", False), part("hex", "secret", False), part("access", "id", False),
         part("short", "secret", True), part("weak_secret", "secret", True), part("weak_id", "id", True), part("endpoint", "endpoint", True),
     )
-    linked = linked_parts(found.where(F.size(parts) > 1).select("row", F.explode(parts).alias("p")).select("row", "p.*"))
+    several = found.where(F.size(parts) > 1)
+    starts = F.concat(F.array(F.lit(0)), F.transform("ends", lambda e: e["stop"]))
+    stops = F.concat(F.transform("ends", lambda e: e["start"]), F.array(F.col("length")))
+    scopes = several.select("row", F.inline(F.arrays_zip(starts.alias("start"), stops.alias("stop"))))
+    linked = linked_parts(several.select("row", F.inline(parts)), scopes)
     rank = F.when(F.col("part") == "secret", 3).when(F.col("part") == "id", 4).otherwise(5)
     added = linked.groupBy("row").agg(
         F.collect_set(F.struct("start", rank.alias("rank"), F.col("part").alias("kind"), "stop")).alias("added")
