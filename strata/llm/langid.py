@@ -6,7 +6,10 @@ a text needs against a language, the closer it is to it. Phrases are normalised
 symbol, phrases * log2(size of the training text) / symbols, and the least wins.
 
 Training reads a bounded, seeded sample of labelled rows; every text is parsed whole, in
-numpy, thousands of segments side by side.
+numpy, thousands of runs side by side. A run is parsed as if a phrase began with it; then the
+phrase that really crosses its edge is followed until both parses begin a phrase at the
+same symbol, from where on they are one. So the phrases are those of one parse from the
+text's beginning, wherever it is cut.
 """
 
 from __future__ import annotations
@@ -24,10 +27,10 @@ from strata.llm.common import held_out, small_batches
 
 #: Bound of the training sample: rows of a language, and symbols of a language's training text.
 SAMPLE_ROWS, SAMPLE_SYMBOLS = 200, 24_000
-#: A text is parsed in runs of this many symbols, side by side; a run begins a new phrase.
+#: A text is parsed in runs of this many symbols, side by side (results do not depend on it).
 RUN = 256
-#: Symbols told apart: the break between words, the most frequent letters, and all others as one.
-ALPHABET = 64
+#: Transitions of a language up to which they are held as a table; beyond it (large alphabets) as sorted keys.
+TABLE = 8_000_000
 
 
 def symbols_of(text: str) -> np.ndarray:
@@ -62,8 +65,8 @@ class _Lazy:
 LETTERS = _Lazy()
 
 
-def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
-    """Transitions [state, symbol] of the minimal automaton of all substrings; 0 is none, 1 the start."""
+def suffix_automaton(codes: list[int], width: int) -> Moves:
+    """Transitions of the minimal automaton of all substrings; state 0 is none, 1 the start."""
     following: list[dict[int, int]] = [{}, {}]
     link, length, last = [0, 0], [0, 0], 1
     for c in codes:
@@ -89,11 +92,31 @@ def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    table = np.zeros((len(following), width), dtype=np.int32)
-    for state, moves in enumerate(following):
-        for c, to in moves.items():
-            table[state, c] = to
-    return table
+    return Moves.of(following, width)
+
+
+class Moves:
+    """Transitions by (state, symbol): a table, or sorted keys where that would be large."""
+
+    def __init__(self, width: int, table: np.ndarray | None, keys: np.ndarray | None = None, to: np.ndarray | None = None):
+        self.width, self.table, self.keys, self.to = width, table, keys, to
+
+    @classmethod
+    def of(cls, following: list[dict[int, int]], width: int) -> Moves:
+        keys = np.array([s * width + c for s, moves in enumerate(following) for c in sorted(moves)], dtype=np.int64)
+        to = np.array([moves[c] for moves in following for c in sorted(moves)], dtype=np.int32)
+        if len(following) * width > TABLE:
+            return cls(width, None, keys, to)
+        table = np.zeros(len(following) * width, dtype=np.int32)
+        table[keys] = to
+        return cls(width, table)
+
+    def __call__(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        at = state * self.width + code
+        if self.table is not None:
+            return self.table[at]
+        place = np.minimum(np.searchsorted(self.keys, at), len(self.keys) - 1)
+        return np.where(self.keys[place] == at, self.to[place], 0) if len(self.keys) else np.zeros(len(at), dtype=np.int32)
 
 
 class Model:
@@ -101,12 +124,11 @@ class Model:
 
     def __init__(self, texts: dict[str, np.ndarray]):
         self.langs = sorted(texts)
-        points, counts = np.unique(np.concatenate([np.zeros(1, np.uint32), *texts.values()]), return_counts=True)
-        kept = points[np.argsort(-counts, kind="stable")]
-        kept = np.sort(kept[kept != 0][: ALPHABET - 2])
-        self.alphabet = kept  # break is 0, others ALPHABET - 1
+        points = np.unique(np.concatenate([np.zeros(1, np.uint32), *texts.values()]))
+        self.alphabet = points[points != 0]  # every letter of the sample; break is 0, letters unseen in it the last code
+        self.width = len(self.alphabet) + 2
         self.size = [max(2, len(texts[x])) for x in self.langs]
-        self.tables = [suffix_automaton(self.encode(texts[x]).tolist(), ALPHABET) for x in self.langs]
+        self.moves = [suffix_automaton(self.encode(texts[x]).tolist(), self.width) for x in self.langs]
 
     @classmethod
     def of(cls, state: dict) -> Model:
@@ -116,59 +138,99 @@ class Model:
 
     def encode(self, points: np.ndarray) -> np.ndarray:
         if not len(self.alphabet):
-            return np.where(points == 0, 0, ALPHABET - 1).astype(np.int32)
+            return np.where(points == 0, 0, self.width - 1).astype(np.int64)
         at = np.searchsorted(self.alphabet, points)
         at = np.minimum(at, len(self.alphabet) - 1)
-        code = np.where(self.alphabet[at] == points, at + 1, ALPHABET - 1)
-        return np.where(points == 0, 0, code).astype(np.int32)
+        code = np.where(self.alphabet[at] == points, at + 1, self.width - 1)
+        return np.where(points == 0, 0, code).astype(np.int64)
 
 
-def phrases(runs: np.ndarray, lengths: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Phrases of each run (a row of codes, ``lengths`` of them valid, rows by falling length).
+def phrases(runs: np.ndarray, lengths: np.ndarray, before: np.ndarray, moves: Moves) -> np.ndarray:
+    """Phrases that begin in each run (a row of codes, ``lengths`` of them valid, rows by falling length).
 
-    One step feeds the next symbol of every run to the automaton; where it cannot go on, a
-    phrase ends and the symbol begins the next one.
+    ``before`` names the run that a run goes on from, -1 if it begins its text. One step
+    feeds the next symbol of every run to the automaton; where it cannot go on, a phrase
+    begins (a symbol that the language does not have is one of its own).
     """
-    flat, width = table.ravel(), table.shape[1]
-    state = np.ones(len(runs), dtype=np.int32)
-    ended = np.zeros(len(runs), dtype=np.int32)
-    active = np.searchsorted(-lengths, -np.arange(runs.shape[1]), side="left")  # rows longer than the step
     columns = np.ascontiguousarray(runs.T)
+    state = np.zeros(len(runs), dtype=np.int64)  # no phrase is open: the first symbol begins one
+    begins = np.zeros(runs.shape[::-1], dtype=bool)
+    active = np.searchsorted(-lengths, -np.arange(runs.shape[1]), side="left")  # rows longer than the step
+    ones = np.ones(len(runs), dtype=np.int64)
     for step in range(runs.shape[1]):
         n = active[step]
         if not n:
             break
         code = columns[step, :n]
-        to = flat[state[:n] * width + code]
+        to = moves(state[:n], code)
         stuck = np.flatnonzero(to == 0)
         if len(stuck):
-            ended[stuck] += 1
-            to[stuck] = np.maximum(flat[width + code[stuck]], 1)
+            begins[step, stuck] = True
+            to[stuck] = moves(ones[: len(stuck)], code[stuck])
         state[:n] = to
-    return ended + (lengths > 0)
+    count = begins.sum(axis=0)
+    # Follow the phrase that comes in from the run before until both parses begin one at the same symbol.
+    left = state.copy()  # the state in which a run is really left
+    rest, todo = count.copy(), np.flatnonzero(before >= 0)
+    while len(todo):
+        came, row, found = left[before[todo]], todo, np.zeros(len(todo), dtype=np.int64)
+        at, ended = np.arange(len(todo)), state[todo].copy()
+        total, later = np.zeros(len(todo), dtype=np.int64), count[todo].copy()
+        for step in range(runs.shape[1]):
+            go = lengths[row] > step
+            if not go.all():  # a run that ends before the parses meet
+                out = at[~go]
+                total[out], ended[out] = found[~go], came[~go]
+                at, row, came, found = at[go], row[go], came[go], found[go]
+            if not len(at):
+                break
+            code = columns[step, row]
+            to = moves(came, code)
+            stuck = to == 0
+            to[stuck] = moves(ones[: int(stuck.sum())], code[stuck])
+            found = found + stuck
+            both = begins[step, row]
+            later[at] -= both  # phrases of the run's own parse that begin after this symbol
+            meet = stuck & both
+            total[at[meet]] = found[meet] + later[at[meet]]
+            at, row, came, found = at[~meet], row[~meet], to[~meet], found[~meet]
+        else:
+            total[at], ended[at] = found, came
+        rest[todo] = total
+        changed = todo[left[todo] != ended]
+        left[todo] = ended
+        follows = np.zeros(len(runs), dtype=bool)
+        follows[changed] = True
+        todo = np.flatnonzero((before >= 0) & follows[np.maximum(before, 0)])
+    return rest
 
 
 def classify(texts: list[str | None], model: Model) -> tuple[list[str], list[float]]:
     """The language with the fewest normalised phrases, and how clearly it wins (0 to 1)."""
-    parts, owner, letters = [], [], np.zeros(len(texts), dtype=np.int64)
+    parts, owner, goes_on, letters = [], [], [], np.zeros(len(texts), dtype=np.int64)
     for i, text in enumerate(texts):
         points = symbols_of(text or "")
         letters[i] = np.count_nonzero(points)
         if letters[i]:
             code = model.encode(points)
             parts += [code[k : k + RUN] for k in range(0, len(code), RUN)]
+            goes_on += [k - 1 if k > len(owner) else -1 for k in range(len(owner), len(parts))]
             owner += [i] * (len(parts) - len(owner))
     langs, scores = ["und"] * len(texts), [0.0] * len(texts)
     if not parts or not model.langs:
         return langs, scores
     lengths = np.array([len(p) for p in parts])
     order, owner = np.argsort(-lengths, kind="stable"), np.array(owner)
-    runs = np.zeros((len(parts), lengths.max()), dtype=np.int32)
+    runs = np.zeros((len(parts), lengths.max()), dtype=np.int64)
     for row, k in enumerate(order):
         runs[row, : lengths[k]] = parts[k]
+    placed = np.empty(len(parts), dtype=np.int64)
+    placed[order] = np.arange(len(parts))
+    goes_on = np.array(goes_on)[order]
+    before = np.where(goes_on >= 0, placed[goes_on], -1)
     lengths, owner = lengths[order], owner[order]
     total = np.bincount(owner, lengths, minlength=len(texts))
-    cost = np.stack([np.bincount(owner, phrases(runs, lengths, t), minlength=len(texts)) * math.log2(n) for t, n in zip(model.tables, model.size, strict=True)])
+    cost = np.stack([np.bincount(owner, phrases(runs, lengths, before, t), minlength=len(texts)) * math.log2(n) for t, n in zip(model.moves, model.size, strict=True)])
     cost = cost / np.maximum(total, 1)
     won = np.argmin(cost, axis=0)
     rest = np.exp2(-(cost - cost.min(axis=0)) * np.minimum(total, 64))
@@ -181,20 +243,20 @@ def classify(texts: list[str | None], model: Model) -> tuple[list[str], list[flo
 def train(documents: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_SYMBOLS) -> Model:
     """Automata from at most ``rows`` rows a language that are not held out, in hashed order, up to ``size`` symbols.
 
-    A first pass counts the labelled rows of each language; a second takes those whose
-    hashed id falls in a share of the range that holds about twice as many as asked for.
+    A first pass counts the labelled ids of each language, about; a second takes those whose
+    hash falls in a share of the range that holds about twice as many as asked for. An id
+    that stands at many rows gives one text, of a long text at most 2 ``size`` characters
+    are learned from, so what is collected is bounded.
     """
     labelled = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    labelled = labelled.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.xxhash64(F.lit(7), "doc_id").alias("seeded"))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # a row a language
+    labelled = labelled.select(F.col("lang").cast("string").alias("lang"), F.substring(F.col("text").cast("string"), 1, 2 * size).alias("text"), F.xxhash64(F.lit(7), "doc_id").alias("seeded"))
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.approx_count_distinct("seeded").alias("n")).collect()}  # a row a language
     if not counts:
         return Model({})
-    part = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2 * rows / n))])
+    part = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2 * rows / max(n, 1)))])
     unit = F.shiftrightunsigned("seeded", 11) / F.lit(float(1 << 53))
-    # Two shortest-first cuts keep the sample small: by hash, then at most `rows` a language.
-    near = labelled.where(unit < part[F.col("lang")]).groupBy("lang").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct("seeded", "text"))), 1, rows).alias("rows")
-    )
+    one = labelled.where(unit < part[F.col("lang")]).groupBy("lang", "seeded").agg(F.min("text").alias("text"))
+    near = one.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("seeded", "text"))), 1, rows).alias("rows"))
     texts = {}
     for r in near.collect():  # at most `rows` rows a language
         points, n = [], 0
@@ -211,7 +273,7 @@ def train(documents: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_SYMB
 
 
 #: Symbols parsed side by side at most; bounds the memory of a batch.
-BATCH_SYMBOLS = 4_000_000
+BATCH_SYMBOLS = 2_000_000
 
 
 def _predict(batches: Iterator[pa.RecordBatch], state: Broadcast) -> Iterator[pa.RecordBatch]:
@@ -241,7 +303,7 @@ def languages(documents: DataFrame) -> DataFrame:
     only; reads doc_id, text and lang.
     """
     small_batches(documents.sparkSession)
-    # Tables of at most 2 * SAMPLE_SYMBOLS states a language, as plain arrays.
+    # Transitions of at most 2 * SAMPLE_SYMBOLS states a language.
     model = documents.sparkSession.sparkContext.broadcast(vars(train(documents)))
     rows = documents.select(F.col("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     kind = dict(rows.dtypes)["doc_id"]

@@ -250,32 +250,50 @@ def test_languages_held_out(spark):
     assert len(held) > 100 and sum(r["lang_pred"] == known[r["doc_id"]] for r in held) / len(held) > 0.97
 
 
-def test_phrases_are_longest_matches():
+def test_phrases_are_longest_matches(monkeypatch):
     rng = random.Random(2)
     source = [rng.randrange(3) for _ in range(60)]
-    table = langid.suffix_automaton(source, 4)
-    texts = [[rng.randrange(4) for _ in range(n)] for n in (30, 17, 9, 1)]
     known = {tuple(source[i:j]) for i in range(60) for j in range(i + 1, 61)}
 
     def plain(text):
         i = count = 0
         while i < len(text):
             j = i + 1
-            while j < len(text) and tuple(text[i : j + 1]) in known and tuple(text[i:j]) in known:
+            while j < len(text) and tuple(text[i : j + 1]) in known:
                 j += 1
             # A symbol that stands nowhere is a phrase by itself.
             i, count = j, count + 1
         return count
 
-    runs = np.zeros((4, 30), dtype=np.int32)
-    for row, t in zip(runs, texts, strict=True):
-        row[: len(t)] = t
-    got = langid.phrases(runs, np.array([30, 17, 9, 1]), table)
-    assert all(abs(int(g) - plain(t)) <= 1 + t.count(3) for g, t in zip(got, texts, strict=True))
-    no_odd = [[s % 3 for s in t] for t in texts]
-    for row, t in zip(runs, no_odd, strict=True):
-        row[: len(t)] = t
-    assert langid.phrases(runs, np.array([30, 17, 9, 1]), table).tolist() == [plain(t) for t in no_odd]
+    texts = [[rng.randrange(4) for _ in range(n)] for n in (200, 90, 30, 17, 9, 1)] + [(source * 9)[3:300]]
+    for size in (langid.TABLE, 0):  # as a table and as sorted keys
+        monkeypatch.setattr(langid, "TABLE", size)
+        moves = langid.suffix_automaton(source, 4)
+        assert (moves.table is None) == (size == 0)
+        for run in (1, 2, 3, 7, 25, 500):  # wherever the texts are cut
+            parts = [(i, t[k : k + run], k) for i, t in enumerate(texts) for k in range(0, len(t), run)]
+            order = sorted(range(len(parts)), key=lambda p: -len(parts[p][1]))
+            place = {p: row for row, p in enumerate(order)}
+            runs = np.zeros((len(parts), run), dtype=np.int64)
+            for row, p in enumerate(order):
+                runs[row, : len(parts[p][1])] = parts[p][1]
+            before = np.array([place[p - 1] if parts[p][2] else -1 for p in order])
+            got = langid.phrases(runs, np.array([len(parts[p][1]) for p in order]), before, moves)
+            total = [0] * len(texts)
+            for row, p in enumerate(order):
+                total[parts[p][0]] += int(got[row])
+            assert total == [plain(t) for t in texts], run
+
+
+def test_languages_of_large_alphabets(spark):
+    """Two scripts of 500 letters each and a Latin language: none is folded into one symbol."""
+    rng = random.Random(8)
+    scripts = {"han": [chr(0x4E00 + k) for k in range(500)], "han2": [chr(0x4E00 + 500 + k) for k in range(500)], "lat": list("abcdefghijklmnop")}
+    words = {lang: ["".join(rng.choice(own) for _ in range(rng.randint(2, 5))) for _ in range(400)] for lang, own in scripts.items()}
+    rows = [(k, " ".join(rng.choice(words[lang]) for _ in range(40)), lang) for k in range(750) for lang in [list(scripts)[k % 3]]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = [r for r in langid.languages(frame).collect() if r["held_out"]]
+    assert len(held) > 100 and sum(r["lang_pred"] == rows[r["doc_id"]][2] for r in held) / len(held) > 0.95
 
 
 # ------------------------------------------------------------------ 6 mixing
