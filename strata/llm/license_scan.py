@@ -4,7 +4,10 @@ Every rolling word k-gram of a text is hashed and joined (broadcast, the templat
 fixed) with the k-gram positions of the license templates. A match votes for the diagonal
 ``text position - template position``. Votes are counted per diagonal; neighbouring
 diagonals (an inserted or lost word moves the rest of a notice to the next one) are merged
-into one span; a span is verified by the share of the template's k-grams it covers.
+into one span; a span is verified by the share of the template's distinct k-grams that stand
+in it, word by word. Of overlapping spans the best covered stays, of equally covered ones
+the longest wording, so that a notice with a version beats the one without and the other way
+round; what is still equal goes to the label that sorts first.
 The base phrases are templates too: a phrase stands where its diagonal is complete.
 """
 
@@ -44,6 +47,9 @@ NOTICES = [
     ("gpl-2", "licensed under the gnu general public license version 2"),
     ("gpl-3", "licensed under the gnu general public license version 3"),
     ("gpl-3", "you should have received a copy of the gnu general public license along with this program if not see"),
+    ("gpl", "licensed under the gnu general public license"),
+    ("lgpl", "licensed under the gnu lesser general public license"),
+    ("agpl", "licensed under the gnu affero general public license"),
     ("lgpl-3", "licensed under the gnu lesser general public license version 3"),
     ("agpl-3", "licensed under the gnu affero general public license version 3"),
     ("bsd-3-clause", "redistribution and use in source and binary forms with or without modification are permitted provided "
@@ -53,6 +59,12 @@ NOTICES = [
     ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-nc", "licensed under a creative commons attribution noncommercial 4 0 international license"),
+    ("cc-by-nc-sa", "licensed under a creative commons attribution noncommercial sharealike 4 0 international license"),
+    ("cc-by-nc-nd", "licensed under a creative commons attribution noncommercial noderivatives 4 0 international license"),
+    ("cc-by-nd", "licensed under a creative commons attribution noderivatives 4 0 international license"),
+    ("cc-by-nc-sa", "licensed under cc by nc sa 4 0"),
+    ("cc-by-nc-nd", "licensed under cc by nc nd 4 0"),
+    ("cc-by-nd", "licensed under cc by nd 4 0"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc-by", "licensed under cc by 4 0"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
@@ -67,6 +79,8 @@ def template_grams(spark: SparkSession, phrases=None, notices=None, k: int = K)
     rows += [(i + len(rows), label, False, text.split()) for i, (label, text) in enumerate(NOTICES if notices is None else notices)]
     if any(len(words) < k for *_, words in rows):
         raise ValueError(f"every template needs at least {k} words")
+    if any(len(words) - k + 1 > 64 for *_, words in rows):
+        raise ValueError("a template holds 64 k-grams at most (their places are the bits of a long)")
     templates = spark.createDataFrame(rows, "template int, label string, exact boolean, words array<string>")
     hashed = with_window_hashes(templates, "words", k, "grams")
     return (
@@ -95,14 +109,14 @@ def votes(documents: DataFrame, k: int = K) -> DataFrame:
 
 
 def diagonals(matches: DataFrame) -> DataFrame:
-    """One row per document row, template and diagonal with votes: its votes and first and last text position."""
+    """One row per document row, template and diagonal with votes: its votes, the template places seen, and first and last text position."""
     by = ["row", "template", "label", "exact", "total"]
     return (
         matches.where(F.col("places").isNotNull())
         .select("row", "at", F.explode("places").alias("place"))
         .select("row", "at", "place.*")
         .groupBy(*by, (F.col("at") - F.col("position")).alias("diagonal"))
-        .agg(F.count(F.lit(1)).alias("votes"), F.min("at").alias("low"), F.max("at").alias("high"))
+        .agg(F.count(F.lit(1)).alias("votes"), F.bit_or(F.expr("shiftleft(1L, position)")).alias("seen"), F.min("at").alias("low"), F.max("at").alias("high"))
     )
 
 
@@ -118,18 +132,19 @@ def spans(diagonal: DataFrame, k: int = K) -> DataFrame:
     begins = F.when((gap <= NEAR_DIAGONALS) & (far <= NEAR_WORDS + k), 0).otherwise(1)
     numbered = diagonal.where(~F.col("exact")).withColumn("begins", begins).withColumn("span", F.sum("begins").over(order))
     merged = numbered.groupBy("row", "template", "label", "total", "span").agg(
-        F.min("low").alias("first"), F.max("high").alias("last"), F.sum("votes").alias("votes")
+        F.min("low").alias("first"), F.max("high").alias("last"), F.bit_count(F.bit_or("seen")).alias("seen")
     )
-    cover = F.least(F.col("votes") / F.col("total"), F.lit(1.0))
-    return merged.select("row", "template", "label", "first", (F.col("last") + k - 1).alias("last"), cover.alias("cover")).where(cover >= COVER)
+    cover = F.col("seen") / F.col("total")
+    return merged.select("row", "template", "label", "first", (F.col("last") + k - 1).alias("last"), cover.alias("cover"), "seen").where(cover >= COVER)
 
 
 def strongest(found: DataFrame) -> DataFrame:
-    """Spans without those that overlap a better covered span of their text (a notice close to another's wording)."""
+    """Spans without those that overlap a better one of another label: better covered, or as well and longer, or else first by label."""
     cells = F.explode(F.sequence(F.floor(F.col("first") / CELL), F.floor(F.col("last") / CELL))).alias("cell")
     a = found.select("*", cells).alias("a")
-    b = found.select(F.col("row"), cells, F.col("first").alias("low"), F.col("last").alias("high"), F.col("cover").alias("other")).alias("b")
-    beaten = a.join(b, ["row", "cell"]).where("low <= last and high >= first and other > cover").select("row", "template", "first").distinct()
+    b = found.select(F.col("row"), cells, F.col("first").alias("low"), F.col("last").alias("high"), F.struct("cover", "seen").alias("strength"), F.col("label").alias("other")).alias("b")
+    stronger = "strength > struct(cover, seen) or (strength = struct(cover, seen) and other < label)"
+    beaten = a.join(b, ["row", "cell"]).where(f"low <= last and high >= first and other <> label and ({stronger})").select("row", "template", "first").distinct()
     return found.join(beaten, ["row", "template", "first"], "left_anti")
 
 

@@ -168,6 +168,39 @@ def test_license_notice_with_changed_words(spark):
     assert got[1][:2] == (0, "mit") and 0.6 < got[1][2] < 1 and got[2] == (0, "", 0.0) and got[3] == (0, "mit", 1.0)
 
 
+def test_license_notices_that_share_wording(spark):
+    cases = {
+        "licensed under the licensed under the": "", "Licensed under the GNU General Public License.": "gpl", "licensed under the GNU General Public License, version 2": "gpl-2",
+        "Licensed under the GNU General Public License version 3 or later": "gpl-3", "licensed under the GNU Lesser General Public License": "lgpl",
+        "licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License": "cc-by-nc-sa", "licensed under CC BY-NC-SA 4.0": "cc-by-nc,cc-by-nc-sa",
+        "licensed under a Creative Commons Attribution 4.0 International License": "cc-by", "under the under the under the MIT": "",
+        "licensed under the GNU General Public License version 2 . " + "word " * 40 + "licensed under the GNU General Public License version 3": "gpl-2,gpl-3",
+    }
+    frame = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in license_scan.licenses(frame).collect()}
+    assert {t: got[i] for i, t in enumerate(cases)} == cases  # the phrase "cc by nc" is a base label of its own
+
+    def seen(words, template):  # template places of which the run stands in a text
+        runs = {tuple(words[i : i + 3]) for i in range(len(words) - 2)}
+        t = template.split()
+        return {i for i in range(len(t) - 2) if tuple(t[i : i + 3]) in runs}
+
+    rng = random.Random(6)
+    texts = []
+    for label, notice in license_scan.NOTICES:  # one notice in filler, words of it repeated or left out
+        words = notice.split()
+        cut = rng.randrange(len(words))
+        texts.append((label, ["filler"] * 20 + words[:cut] * rng.choice([1, 2]) + words[cut + rng.choice([0, 1]) :] + ["filler"] * 20))
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, (_, w) in enumerate(texts)], "doc_id long, text string")
+    for r in license_scan.licenses(frame).collect():
+        words = texts[r["doc_id"]][1]
+        most = {}
+        for label, t in license_scan.NOTICES:
+            most[label] = max(most.get(label, 0), len(seen(words, t)) / (len(t.split()) - 2))
+        own = set(r["labels"].split(",")) - set(r["base_labels"].split(",")) - {""}
+        assert all(most[label] >= license_scan.COVER for label in own)  # no label without the distinct words for it
+
+
 def test_secrets(spark, texts):
     for r in run(spark, "op10_secrets"):
         base = brute.secret_spans(texts[r["doc_id"]])
