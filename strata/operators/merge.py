@@ -86,6 +86,25 @@ def upsert_hash_guarded(
     return _join(stored, batch, keys).select(*_guarded_select(registry, keys, batch_ts, hash_col, recency_col, mark))
 
 
+def guarded_effect(
+    stored: DataFrame, batch: DataFrame, registry=R.LISTINGS, *, hash_col: str = R.HASH_COLUMN, recency_col: str = R.RECENCY_COLUMN,
+) -> DataFrame:
+    """The batch rows by which :func:`upsert_hash_guarded` changes anything: rows of new keys, and
+    rows that are not older than the stored one and differ from it in the hash or an
+    always-update column. Reads the keys, the hash and those columns of the stored side only."""
+    keys = R.key_columns(registry)
+    told = list(dict.fromkeys([hash_col, recency_col, *[c.name for c in registry if c.merge == R.MERGE_ALWAYS]]))
+    old = stored.select(*[F.col(c).alias(_S + c) for c in [*keys, *told]], F.lit(True).alias("_s"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(k) == F.col(_S + k))
+    differs = F.lit(False)
+    for c in told:
+        differs = differs | ~F.col(c).eqNullSafe(F.col(_S + c))
+    accept = F.coalesce(F.col(recency_col) >= F.col(_S + recency_col), F.lit(False))
+    return batch.join(old, same, "left").where(~_present("_s") | (accept & differs)).select(*batch.columns)
+
+
 def replace_by_key(stored: DataFrame, rows: DataFrame, keys) -> DataFrame:
     """``stored`` with the rows of the same key replaced by ``rows`` (same columns), and rows of new keys added."""
     given = _present("_i")

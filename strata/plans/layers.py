@@ -135,7 +135,7 @@ def bronze_to_silver(
     hoods = materialize(frames.neighbourhoods, "neighbourhoods-batch")
     for table in (listings, neighbourhoods):
         table.create() if auto_create else table.verify()
-    n_listings = listings.merge(batch, lambda old, new: merge.upsert_hash_guarded(old, new, batch_ts=batch_ts, mark=True))
+    n_listings = listings.merge(batch, lambda old, new: merge.upsert_hash_guarded(old, new, batch_ts=batch_ts, mark=True), effect=merge.guarded_effect)
     n_hoods = neighbourhoods.merge(
         hoods, lambda old, new: merge.upsert_overwrite(old, new, batch_ts=batch_ts, mark=True),
         gate_rows=hoods.withColumn("loaded_at", F.lit(batch_ts).cast("timestamp")),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +18,7 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",  # of a repeated JSON key the last value counts
+    "spark.sql.parquet.pushdown.inFilterThreshold": "200",  # values of small key look-ups reach the Bloom filters
 }
 
 
@@ -56,7 +59,32 @@ def workspace(spark: SparkSession, name: str | None = None) -> str:
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     sub = f"{name or 'work'}-{uuid.uuid4().hex[:12]}"
-    return os.path.join(root.rstrip("/"), sub) if "://" not in root else f"{root.rstrip('/')}/{sub}"
+    path = os.path.join(root.rstrip("/"), sub) if "://" not in root else f"{root.rstrip('/')}/{sub}"
+    for made in _OPEN:
+        made.append(path)
+    return path
+
+
+#: Folders made inside each open :func:`scratch`.
+_OPEN: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the working folders that are made inside the block when it ends, also by an error.
+
+    Write or collect results inside: frames that read these folders cannot be used after it.
+    """
+    from strata.sources import files
+
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN[:] = [m for m in _OPEN if m is not made]
+        for path in made:
+            files.delete(spark, path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from strata import registry as R
 from strata.operators import checks
+from strata.session import materialize
 from strata.sources import files
 
 COMMITS = "_commits"
@@ -34,6 +35,9 @@ BUCKET = "__bucket"
 CHANGED = "__changed"
 #: About how large a bucket should be (:meth:`VersionedTable.rebucket`).
 BUCKET_BYTES = 256 << 20
+#: Batches of at most so many rows look their keys up by value: row groups whose Bloom filter
+#: holds none of them are not read (``session.SQL_SETTINGS`` pushes as many values down).
+LOOKUP_KEYS = 200
 
 
 class WriteConflict(RuntimeError):
@@ -211,6 +215,13 @@ class VersionedTable:
         base = self._base()
         return dict(base.paths) if base else {}
 
+    def lookup(self, buckets: list[str], batch: DataFrame, n: int) -> DataFrame:
+        """Stored rows of some buckets that a batch of ``n`` rows may meet: those of its keys if it is small, else all."""
+        rows, keys = self.read(buckets), R.key_columns(self.registry)
+        if n > LOOKUP_KEYS or len(keys) != 1:
+            return rows
+        return rows.where(F.col(keys[0]).isin([r[0] for r in batch.select(keys[0]).distinct().collect()]))
+
     # ------------------------------------------------------------- writing
 
     def keys(self) -> list[str]:
@@ -240,7 +251,8 @@ class VersionedTable:
         rows = state if laid else state.repartition(self.buckets, *self.keys())
         mark = F.coalesce(CHANGED, F.lit(False)) if CHANGED in state.columns else F.lit(True)
         rows = rows.select(*[c for c in cols if c in state.columns], mark.alias(CHANGED), self.bucket().alias(BUCKET))
-        rows.write.partitionBy(BUCKET).bucketBy(self.buckets, *self.keys()).sortBy(*self.keys()).option("path", folder).saveAsTable(name)
+        blooms = {f"parquet.bloom.filter.enabled#{k}": "true" for k in R.key_columns(self.registry)} | {"parquet.bloom.filter.adaptive.enabled": "true"}
+        rows.write.partitionBy(BUCKET).bucketBy(self.buckets, *self.keys()).sortBy(*self.keys()).options(**blooms).option("path", folder).saveAsTable(name)
         self.spark.sql(f"DROP TABLE {name}")  # the files stay; versions have tables of their own
         made = {n.split("=", 1)[1]: f"{folder}/{n}" for n in files.names(self.spark, folder) if n.startswith(f"{BUCKET}=")}
         fields = {f.name: f for f in [*state.schema.fields, *self.schema().fields, *R.spark_schema(self.registry).fields]}
@@ -271,6 +283,7 @@ class VersionedTable:
     def merge(
         self, batch: DataFrame, how: Callable[[DataFrame, DataFrame], DataFrame], *,
         gate_rows: DataFrame | None = None, gate: bool = True, stream: tuple[str, int] | None = None, attempts: int = 5,
+        effect: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
     ) -> int:
         """Merge a stored ``batch``: ``how(stored rows of the touched buckets, batch)`` is their
         new state; the other buckets keep their files. The batch (``gate_rows`` if it gets
@@ -278,6 +291,8 @@ class VersionedTable:
         they were written, and a merge of unique keys keeps keys unique. If another writer
         commits meanwhile, the batch is merged again on top of its version. A batch of a
         ``stream`` that the table already holds is skipped, in the same commit protocol.
+        ``effect(stored rows, batch)`` tells the batch rows that change anything; only their
+        buckets are read whole and written, and a batch without any writes no data.
         Returns the number of rows sent; an empty batch changes no rows."""
         sent = self._sent(gate_rows if gate_rows is not None else batch)
         n = sent.count()
@@ -291,10 +306,16 @@ class VersionedTable:
                 return 0
             if not n and not stream:
                 return 0
-            held = [b for b in touched if base and b in base.paths]
-            state = how(self.read(held), batch) if n else self.spark.createDataFrame([], self.schema())
+            held, rows, written = [b for b in touched if base and b in base.paths], batch, touched
+            if effect and held:
+                rows = materialize(effect(self.lookup(held, batch, n), batch), f"{self.name}-effect")
+                written = self.touched(rows)
+                held = [b for b in held if b in written]
+                if not written and not stream:
+                    return n
+            state = how(self.read(held), rows) if written else None
             try:
-                self.replace(state, touched, stream=stream, laid=bool(held))
+                self.replace(state, written, stream=stream, laid=bool(held))
                 return n
             except WriteConflict:
                 if attempt == attempts - 1:

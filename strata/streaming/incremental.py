@@ -45,7 +45,7 @@ def silver_micro_batch(
         neighbourhoods.create()
         done = (stream, int(batch_id))
         batch_ts = batch_time()
-        listings.merge(rows, lambda old, new: merge.upsert_hash_guarded(old, new, batch_ts=batch_ts, mark=True), stream=done)
+        listings.merge(rows, lambda old, new: merge.upsert_hash_guarded(old, new, batch_ts=batch_ts, mark=True), stream=done, effect=merge.guarded_effect)
         neighbourhoods.merge(
             hoods, lambda old, new: merge.upsert_overwrite(old, new, batch_ts=batch_ts, mark=True),
             gate_rows=hoods.withColumn("loaded_at", F.lit(batch_ts).cast("timestamp")), stream=done,

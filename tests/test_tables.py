@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata import registry as R
-from strata.operators import checks, metrics
+from strata import session
+from strata.operators import checks, merge, metrics
 from strata.sources import bronze
 from strata.sources import files
 from strata.sources.tables import Sources, VersionedTable, WriteConflict
@@ -92,8 +93,73 @@ def test_merge_leaves_untouched_buckets_alone(spark, scratch_dir):
     assert not any(files.exists(spark, p) for p in kept)
 
 
+VERSIONED = (
+    R.ColumnSpec("a", R.STRING, False, key=True, merge=R.MERGE_KEY),
+    R.ColumnSpec("b", R.STRING, False),
+    R.ColumnSpec("h", R.STRING, False, merge=R.MERGE_ALWAYS),
+    R.ColumnSpec("at", R.T.LongType(), False, merge=R.MERGE_ALWAYS),
+)
+
+
+def test_merges_write_only_buckets_that_change(spark, scratch_dir):
+    t = VersionedTable(spark, scratch_dir, VERSIONED, "t")
+    t.create()
+
+    def load(*rows, stream=None):
+        batch = spark.createDataFrame(list(rows), "a string, b string, h string, at long")
+        guard = {"hash_col": "h", "recency_col": "at"}
+        return t.merge(
+            batch, lambda s, b: merge.upsert_hash_guarded(s, b, VERSIONED, mark=True, **guard), stream=stream,
+            effect=lambda s, b: merge.guarded_effect(s, b, VERSIONED, **guard),
+        )
+
+    first = [(str(i), "old", "h0", 5) for i in range(0, 400, 2)]
+    assert load(*first) == 200
+    folders, version = t.data_folders(), t.current_version()
+    assert load(*first) == 200 and load(("2", "late", "h9", 4)) == 1  # the same batch again, an older row
+    assert t.current_version() == version and t.data_folders() == folders  # nothing is written
+    assert load(("2", "late", "h9", 4), stream=("s", 7)) == 1
+    assert t.data_folders() == folders and t.progress("s") == 7  # progress only
+    assert load(*first[2:50], ("2", "new", "h1", 6), ("7", "first", "h0", 1)) == 50
+    moved = {b for b, p in t.data_folders().items() if folders.get(b) != p}
+    assert moved == set(t.touched(spark.createDataFrame([("2",), ("7",)], "a string")))
+    got = {r["a"]: r["b"] for r in t.read().collect()}
+    assert len(got) == 201 and got["2"] == "new" and got["7"] == "first" and got["4"] == "old"
+
+
+def test_small_lookups_skip_row_groups_without_their_keys(spark, scratch_dir):
+    t = VersionedTable(spark, scratch_dir, REG, "t", buckets=2)
+    t.create()
+    t.write(rows_of(spark, *[(f"{i:05d}", "x") for i in range(0, 20_000, 2)]))
+
+    def read_rows(*keys):
+        found = t.lookup(["0", "1"], spark.createDataFrame([(k,) for k in keys], "a string"), len(keys))
+        run = found._jdf.queryExecution()
+        return run.toRdd().count(), sum(leaf.metrics().apply("numOutputRows").value() for leaf in _leaves(run.executedPlan()))
+
+    absent = [f"{i:05d}" for i in range(1001, 1031, 2)]  # inside the range of the stored keys
+    assert read_rows(*absent) == (0, 0)
+    count, scanned = read_rows("00500", *absent)
+    assert count == 1 and 0 < scanned < 10_000  # one bucket of two
+
+
+def _leaves(plan):
+    found = plan.collectLeaves()
+    return [found.apply(i) for i in range(found.size())]
+
+
+def test_scratch_folders_go(spark):
+    with session.scratch(spark):
+        path = session.workspace(spark, "gone")
+        spark.range(3).write.parquet(path)
+        assert files.exists(spark, path)
+    assert not files.exists(spark, path)
+    kept = session.workspace(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    assert files.exists(spark, kept)
+
+
 def test_changes_since_a_version(spark, scratch_dir):
-    from strata.operators import merge
 
     t = VersionedTable(spark, scratch_dir, REG, "t", buckets=8)
     t.create()
