@@ -3,7 +3,9 @@
 The benchmark's word windows are hashed and grouped (bounded, size-checked before the
 broadcast); every window of every training text is hashed the same way and probes the
 set inside the scan; a hit is verified word by word. Only hits (and one row a document)
-reach the single shuffle, which gathers a document's hits.
+reach the single shuffle, which gathers a document's hits. A set too large to broadcast
+meets the windows in a shuffle of hashes and positions; hits go back to their documents,
+where the words are.
 """
 
 from __future__ import annotations
@@ -14,8 +16,9 @@ from pyspark.sql import functions as F
 from strata.llm.common import ascii_words, lower_ascii, stored, text_mark, whole_text, with_window_hashes, without_texts
 
 WINDOW = 10
-#: Windows of the benchmark up to which the set is broadcast (about 250 bytes each); above it the join shuffles.
+#: Windows of the benchmark, and bytes of their words and item ids, up to which the set is broadcast; above it the join shuffles.
 BROADCAST_WINDOWS = 1_000_000
+BROADCAST_BYTES = 256 << 20
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -45,9 +48,10 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     are not read.
     """
     grams = stored(benchmark_windows(benchmark, window), "benchmark-windows")
-    counted = grams.groupBy("length").count().collect()  # at most `window` rows
+    held = [F.octet_length(F.array_join(c, " ")) + 16 * F.size(c) for c in ("words", "items")]
+    counted = grams.groupBy("length").agg(F.count(F.lit(1)).alias("count"), F.sum(held[0] + held[1]).alias("bytes")).collect()  # at most `window` rows
     lengths = sorted((r["length"] for r in counted), reverse=True)
-    sizes = sum(r["count"] for r in counted)
+    small = sum(r["count"] for r in counted) <= BROADCAST_WINDOWS and sum(r["bytes"] for r in counted) <= BROADCAST_BYTES
 
     docs = documents.select(
         F.monotonically_increasing_id().alias("row"), "doc_id",
@@ -55,30 +59,39 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     )
     hashed = grams
     for n in lengths:
-        docs = with_window_hashes(docs, "words", n, f"w{n}")
         hashed = with_window_hashes(hashed, "words", n, f"w{n}")
     own: Column = F.lit(None).cast("bigint")
     for n in lengths:
         own = F.when(F.col("length") == n, F.col(f"w{n}")[0]).otherwise(own)
     hashed = hashed.select(own.alias("gram"), "length", F.col("words").alias("run"), "items")
-    if sizes <= BROADCAST_WINDOWS:
-        hashed = F.broadcast(hashed)
+    return _probe(docs, hashed, lengths) if small else _meet(stored(docs, "benchmark-documents"), hashed, lengths)
 
-    # One generator for all lengths; its first element stands for the document itself.
-    probes = F.concat(F.array(F.lit(None).cast("bigint")), *[F.col(f"w{n}") for n in lengths])
-    first: Column = F.lit(1)  # where the windows of this length begin among the probes
+
+def _window_probes(docs: DataFrame, lengths: list[int]) -> tuple[DataFrame, Column, Column]:
+    """Documents with their window hashes, all hashes in one array, and the place in it where those of ``length`` begin."""
+    for n in lengths:
+        docs = with_window_hashes(docs, "words", n, f"w{n}")
+    first: Column = F.lit(0)
     begin: Column = F.lit(None).cast("int")
     for n in lengths:
         begin = F.when(F.col("length") == n, first).otherwise(begin)
-        first = first + F.greatest(F.size("words") - (n - 1), F.lit(0))
-    start = F.col("at") - begin
-    probed = docs.select("row", "doc_id", "words", F.posexplode(probes).alias("at", "gram"))
+        first = first + F.greatest(F.col("n_words") - (n - 1), F.lit(0))
+    return docs, F.concat(F.array().cast("array<bigint>"), *[F.col(f"w{n}") for n in lengths]), begin
+
+
+def _probe(docs: DataFrame, hashed: DataFrame, lengths: list[int]) -> DataFrame:
+    """Every window probes the broadcast set where it is made."""
+    docs, probes, begin = _window_probes(docs.withColumn("n_words", F.size("words")), lengths)
+    # One generator for all lengths; its first element stands for the document itself.
+    probes = F.concat(F.array(F.lit(None).cast("bigint")), probes)
+    start = F.col("at") - 1 - begin
+    probed = docs.select("row", "doc_id", "words", "n_words", F.posexplode(probes).alias("at", "gram"))
     match = (F.col("p.gram") == F.col("g.gram")) & (F.slice("words", start + 1, F.col("length")) == F.col("run"))
-    found = probed.alias("p").join(hashed.alias("g"), match, "left").where((F.col("at") == 0) | F.col("length").isNotNull())
+    found = probed.alias("p").join(F.broadcast(hashed).alias("g"), match, "left").where((F.col("at") == 0) | F.col("length").isNotNull())
     return (
         found.select(
             "row", "doc_id", "items",
-            F.when(F.col("at") == 0, F.size("words")).alias("n_words"),
+            F.when(F.col("at") == 0, F.col("n_words")).alias("n_words"),
             F.when(F.col("at") > 0, F.struct(start.cast("int").alias("start"), F.col("length").alias("length"))).alias("hit"),
         )
         .groupBy("row", "doc_id")
@@ -91,6 +104,31 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     )
 
 
+def _meet(docs: DataFrame, hashed: DataFrame, lengths: list[int]) -> DataFrame:
+    """The set and the windows of stored documents meet by hash: rows of (document, place, hash) are shuffled,
+    no words; a document's candidate hits are gathered once and verified beside its words."""
+    with_hashes, probes, begin = _window_probes(docs.withColumn("n_words", F.size("words")), lengths)
+    start = F.col("at") - begin
+    windows = with_hashes.select("row", "n_words", F.posexplode(probes).alias("at", "gram"))
+    hits = (
+        windows.join(hashed.select("gram", "length", "run"), "gram")
+        .withColumn("start", start.cast("int"))
+        .where((F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.col("n_words")))
+        .groupBy("row").agg(F.collect_set(F.struct("start", "length", "run")).alias("maybe"))
+    )
+    true = F.filter(F.col("maybe"), lambda h: F.slice("words", h["start"] + 1, h["length"]) == h["run"])
+    checked = stored(docs.join(hits, "row", "left").select(
+        "row", "doc_id", F.size("words").cast("long").alias("n_words"), F.coalesce(F.array_sort(true), F.array()).alias("hits"),
+    ), "benchmark-hits")
+    runs = checked.select("row", F.explode(F.array_distinct(F.transform("hits", lambda h: h["run"]))).alias("run"))
+    items = runs.join(hashed.select("run", "items"), "run").select("row", F.explode("items").alias("item"))
+    items = items.groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return checked.join(items, "row", "left").select(
+        "doc_id", "n_words", F.transform("hits", lambda h: F.struct(h["start"].alias("start"), h["length"].alias("length"))).alias("hits"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    )
+
+
 def covered_words(hits: Column) -> Column:
     """How many word positions an array of (start, length) sorted by start covers."""
     zero = F.struct(F.lit(0).cast("long").alias("words"), F.lit(0).cast("long").alias("upto"))

@@ -147,6 +147,23 @@ def test_decontaminate_by_shuffle_gives_the_same(spark, docs, monkeypatch):
     want = sorted(decontaminate.contamination(docs, items).collect())
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     assert sorted(decontaminate.contamination(docs, items).collect()) == want
+
+
+@pytest.mark.parametrize("limit", ["BROADCAST_WINDOWS", "BROADCAST_BYTES"])
+def test_shuffled_windows_of_several_lengths(spark, monkeypatch, limit):
+    items = [("long", " ".join(f"w{i}" for i in range(14))), ("two", "alpha beta"), ("pair", "alpha beta"), (None, "gamma"), ("none", None)]
+    items = spark.createDataFrame(items, "item_id string, text string")
+    rows = [(i % 3 or None, t) for i, t in enumerate([
+        None, "", "alpha", "x alpha beta alpha beta gamma y", " ".join(f"w{i}" for i in range(2, 13)), " ".join(f"w{i}" for i in range(9)),
+        *["gamma " + " ".join(f"w{i}" for i in range(14)) + " ALPHA, beta"] * 40, "clean words only " * 3000,
+    ])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda r: [str(x) for x in r]
+    want = sorted(decontaminate.contamination(docs, items).collect(), key=key)
+    assert len(want) == len(rows) and {r["n_items"] for r in want} == {0, 1, 2, 3} and max(r["n_hit"] for r in want) == 17
+    monkeypatch.setattr(decontaminate, limit, 0)
+    frame = decontaminate.contamination(docs, items)
+    assert sorted(frame.collect(), key=key) == want
     assert any(r["contaminated"] for r in want)
 
 
