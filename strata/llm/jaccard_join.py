@@ -527,3 +527,30 @@ def one_of_each_class(documents: DataFrame, n: int = 5, percent: int = 80) -> Da
     first = F.row_number().over(Window.partitionBy("doc_id", "__key").orderBy(others))
     one = with_key(kept, repeated, mark, "semi").withColumn("__key", mark).withColumn("__first", first).where("__first = 1").drop("__first", "__key")
     return with_key(kept, repeated, mark, "anti").unionByName(one)
+
+
+# ---------------------------------------------------------------- registered query
+
+#: Rows with equal sets are one class; classes that share an n-gram are compared, and links followed.
+OP8_SQL = """
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w
+  FROM documents),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_sort(list_distinct([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)])) END AS grams
+  FROM docs),
+marked AS (SELECT r, doc_id, len(grams) AS size, md5(array_to_string(grams, chr(10))) AS f, grams FROM sets),
+classes AS (SELECT f, any_value(grams) AS grams, any_value(size) AS size, count(*) AS copies, min(doc_id) AS least FROM marked WHERE size > 0 GROUP BY f),
+grams AS (SELECT f, size, unnest(grams) AS g FROM classes),
+edges AS (
+  SELECT a.f AS a, b.f AS b FROM grams a JOIN grams b ON a.g = b.g AND a.f <> b.f AND 100 * b.size >= 90 * a.size AND 100 * a.size >= 90 * b.size
+  GROUP BY a.f, b.f, a.size, b.size HAVING 100 * count(*) >= 90 * (a.size + b.size - count(*))),
+reach AS (SELECT f, f AS t FROM classes UNION SELECT reach.f, edges.b FROM reach JOIN edges ON edges.a = reach.t),
+component AS (SELECT reach.f, min(classes.least) AS component FROM reach JOIN classes ON classes.f = reach.t GROUP BY reach.f),
+links AS (SELECT edges.a AS f, sum(classes.copies) AS n FROM edges JOIN classes ON classes.f = edges.b GROUP BY edges.a)
+SELECT m.doc_id, CAST(m.size AS BIGINT) AS n_shingles, CASE WHEN m.size = 0 THEN m.doc_id ELSE component.component END AS component_id,
+       CASE WHEN m.size = 0 THEN CAST(0 AS BIGINT) ELSE CAST(classes.copies - 1 + coalesce(links.n, 0) AS BIGINT) END AS n_links
+FROM marked m LEFT JOIN classes USING (f) LEFT JOIN component USING (f) LEFT JOIN links USING (f)
+"""

@@ -80,4 +80,5 @@ QUERIES = {
 ORACLE = {
     "op3_decontaminate": decontaminate.OP3_SQL,
     "op7_topk": topk.OP7_SQL,
+    "op8_jaccard_join": jaccard_join.OP8_SQL,
 }
