@@ -57,6 +57,38 @@ def capped_targets(sizes: list[int], weights: list[float], share: float, most: f
 def min_cost_flow(capacity: list[int], members: list[list[int]], quotas: list[int], passes: int) -> list[dict[int, int]]:
     """Words from each pattern to each of its sources: quotas filled as far as possible, at least cost.
 
+    Sources that no chain of patterns links have flows of their own, so many sources with
+    documents of one source each take a step each.
+    """
+    root = list(range(len(quotas)))
+
+    def find(s: int) -> int:
+        while root[s] != s:
+            root[s] = root[root[s]]
+            s = root[s]
+        return s
+
+    for sources in members:
+        for s in sources[1:]:
+            root[find(s)] = find(sources[0])
+    parts: dict[int, tuple[list[int], list[int]]] = {}
+    for s in range(len(quotas)):
+        parts.setdefault(find(s), ([], []))[1].append(s)
+    for p, sources in enumerate(members):
+        if sources:
+            parts[find(sources[0])][0].append(p)
+    flows: list[dict[int, int]] = [{} for _ in capacity]
+    for patterns, sources in parts.values():
+        at = {s: i for i, s in enumerate(sources)}
+        found = _linked_flow([capacity[p] for p in patterns], [[at[s] for s in members[p]] for p in patterns], [quotas[s] for s in sources], passes)
+        for p, flow in zip(patterns, found, strict=True):
+            flows[p] = {sources[i]: words for i, words in flow.items()}
+    return flows
+
+
+def _linked_flow(capacity: list[int], members: list[list[int]], quotas: list[int], passes: int) -> list[dict[int, int]]:
+    """The flow of linked sources.
+
     Successive shortest paths over (start, patterns, sources, end); a pattern has an arc
     from the start for each pass, dearer from pass to pass.
     """
@@ -107,17 +139,33 @@ def min_cost_flow(capacity: list[int], members: list[list[int]], quotas: list[in
     return flows
 
 
-def fill(rows: pd.DataFrame) -> pd.DataFrame:
-    """Give one more copy to documents of the bucket in which a flow ends, in seeded order, so that they sum up near ``rest``."""
-    rows = rows.sort_values(["seeded", "row"], kind="stable")
-    rest, extra = float(rows["rest"].iloc[0]), []
-    for size in rows["size"]:
-        extra.append(int(0 < size <= rest))
-        rest -= size * extra[-1]
-    left = [(abs(rest - s), i) for i, s in enumerate(rows["size"]) if not extra[i] and s > 0]
+def fill(kinds: pd.DataFrame) -> pd.DataFrame:
+    """How many documents of each kind (same id and size, ``n`` of them) of the bucket in which a flow ends
+    get one more copy, in seeded order, so that they sum up near ``rest``."""
+    kinds = kinds.sort_values(["seeded", "size"], kind="stable")
+    rest, sizes, counts, take = int(kinds["rest"].iloc[0]), kinds["size"].tolist(), kinds["n"].tolist(), []
+    for size, n in zip(sizes, counts, strict=True):
+        take.append(min(n, max(0, rest) // size) if size > 0 else 0)
+        rest -= size * take[-1]
+    left = [(abs(rest - s), i) for i, s in enumerate(sizes) if take[i] < counts[i] and s > 0]
     if left and min(left)[0] < rest:  # one more that overshoots by less than what is missing
-        extra[min(left)[1]] = 1
-    return pd.DataFrame({"row": rows["row"].to_numpy(), "extra": extra})
+        take[min(left)[1]] += 1
+    return kinds[["key", "seeded", "size", "n"]].assign(take=take)
+
+
+def _extra_copies(ends: DataFrame) -> DataFrame:
+    """(row, extra) of the rows of ``ends``. Rows of one id and size count as one kind, so a hot id is a few
+    kinds; where only some of a kind are taken, they are numbered by input partition and within it."""
+    kind = ["key", "seeded", "size"]
+    kinds = ends.groupBy(*kind, "rest").agg(F.count(F.lit(1)).alias("n"))
+    filled = stored(kinds.groupBy("key").applyInPandas(fill, "key string, seeded long, size long, n long, take long"), "mix-filled")
+    whole = ends.join(filled.where("take = 0 or take = n"), kind).select("row", (F.col("take") > 0).cast("int").alias("extra"))
+    some = ends.join(filled.where("take > 0 and take < n"), kind).withColumn("part", F.shiftright("row", 33))
+    upto = Window.partitionBy(*kind).orderBy("part")
+    before = some.groupBy(*kind, "part").agg(F.count(F.lit(1)).alias("here")).withColumn("before", F.sum("here").over(upto) - F.col("here")).drop("here")
+    number = F.row_number().over(Window.partitionBy(*kind, "part").orderBy("row"))
+    some = some.withColumn("number", number).join(before, [*kind, "part"])
+    return whole.unionByName(some.select("row", (F.col("before") + F.col("number") <= F.col("take")).cast("int").alias("extra")))
 
 
 def mix(documents: DataFrame, quotas: Iterable[tuple[str | None, float]], passes: int = 2, seed: int = SEED) -> DataFrame:
@@ -154,7 +202,7 @@ def mix(documents: DataFrame, quotas: Iterable[tuple[str | None, float]], passes
     laid = laid.join(buckets, ["key", "bucket"])
     inside = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest"))
     ends = laid.where(inside).select("key", "row", "seeded", "size", (F.col("rest") - F.col("before")).alias("rest"))
-    filled = ends.groupBy("key").applyInPandas(fill, "row long, extra int")
+    filled = _extra_copies(stored(ends, "mix-ends"))
     whole = F.when(F.col("before") + F.col("words") <= F.col("rest"), 1).otherwise(0)
     copies = F.col("full") + F.coalesce("extra", whole)
     routed = F.transform("shares", lambda s: F.struct(s["source"].alias("source"), (s["share"] * copies * F.col("size")).alias("words")))
@@ -168,7 +216,7 @@ def mixed_documents(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2)
     all words; a target stops at ``passes`` times its source's words and the excess is
     dealt anew. A null or empty text has size 0 and is never taken. Repeated rows are rows
     of their own. The same rows give the same mix, however they are partitioned, but for
-    which of several rows with the same doc_id is taken. Reads doc_id, text and source.
+    which of several rows with the same doc_id and size is taken. Reads doc_id, text and source.
     """
     docs = stored(documents.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.col("source").cast("string").alias("source"), word_count(whole_text()).alias("size"),

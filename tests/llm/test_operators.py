@@ -373,6 +373,29 @@ def test_flow_repeats_as_little_as_quotas_allow():
     assert mixing.min_cost_flow([], [], [5], 2) == []
 
 
+def test_many_sources_have_flows_of_their_own():
+    n = 5_000
+    assert mixing.min_cost_flow([10] * n, [[i] for i in range(n)], [15] * n, 2) == [{i: 15} for i in range(n)]
+    # the first two sources are linked by a pattern, the third is not
+    assert mixing.min_cost_flow([10, 10, 10], [[0], [2], [0, 1]], [10, 10, 5], 2) == [{0: 10}, {2: 5}, {1: 10}]
+
+
+def test_a_hot_id_is_mixed_as_a_few_kinds(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(mixing, "stored", lambda df, name: seen.append((name, common.stored(df, name))) or seen[-1][1])
+    rows = [(7 if i % 3 else None, "a b c d"[: 1 + 2 * (i % 4)], "s" if i % 2 else "t") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    mixed = mixing.mixed_documents(docs).collect()
+    assert len(mixed) == len(rows) and all(r["taken"] in (0, r["size"], 2 * r["size"]) for r in mixed)
+    for name in ("s", "t"):
+        of = [r for r in mixed if r["source"] == name]
+        assert abs(sum(r["taken"] for r in of) - of[0]["target"]) <= 4
+    kinds = dict(seen)["mix-filled"].collect()
+    assert kinds and len(kinds) <= 16 < sum(k["n"] for k in kinds)  # two ids, four sizes, two sources
+    count = lambda found: Counter((r["doc_id"], r["size"], r["source"], r["taken"]) for r in found)
+    assert count(mixed) == count(mixing.mixed_documents(docs.repartition(3)).collect())
+
+
 def test_overlapping_sources(spark):
     rows = [(i, i, ["a", "b"] if i % 2 else ["a"], 10) for i in range(200)]
     frame = spark.createDataFrame(rows, "row long, doc_id long, sources array<string>, size long")
