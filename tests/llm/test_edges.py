@@ -216,6 +216,16 @@ def test_html_copies_of_a_page_are_one_page(spark):
     assert all(got[200 + k] == f"{own(k)}\n\n{k} stray" for k in range(4))
 
 
+def test_html_array_runs_on_pages_that_markup_decides(spark):
+    menu = "<nav><p>" + " ".join(f"menu{i}" for i in range(9)) + "</p><p>short menu</p></nav>"
+    page = lambda k: f"{menu}<div class='ad'>{k} only here</div><article><p>text of page {k}</p></article>"
+    frame = spark.createDataFrame([(k, "http://one.example/x", page(k)) for k in range(4)], "page_id long, url string, html string")
+    found = html_extract.decided_by_hosts(html_extract.cut_pages(frame)).collect()
+    assert [r["shared"] for r in found] == [11] * 4  # the menu; the advert is unique and goes by its markup
+    assert [r["kept"] for r in found] == [[]] * 4
+    assert {r["page_id"]: r["text"] for r in html_extract.main_text(frame).collect()} == {k: f"text of page {k}" for k in range(4)}
+
+
 def test_secrets(docs, nothing):
     rows = secrets.secrets(docs).collect()
     assert ids(rows) == EVERY
