@@ -12,6 +12,8 @@ and mixed-case text, tabs and no-break spaces, and every yes/no spelling.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from strata import registry as R
@@ -133,16 +135,16 @@ def bronze_view(spark: SparkSession, sf_dir: str, drop=()) -> DataFrame:
 
 
 def _bronze_view(spark: SparkSession, sf_dir: str, drop=()) -> DataFrame:
-    text = bronze_sql("{orders}", "{customer}", "{nation}", drop)
-    # the driver's orders table is one small file (one scan task); a rebalance spreads it by
-    # size, so the wide derivation below is not a single-task stage and large input not a few tasks
-    orders = table(spark, sf_dir, "orders").repartition("o_orderkey")
-    return spark.sql(
-        text,
-        orders=orders,
-        customer=table(spark, sf_dir, "customer"),
-        nation=table(spark, sf_dir, "nation"),
+    # The narrow joined rows are spread by size before they become wide: a task then sorts as many
+    # wide rows as one partition of the advisory size holds, however large the tables are and
+    # whatever the number of shuffle partitions is.
+    joined = spark.sql(
+        "SELECT o.*, c.c_custkey, c.c_name, c.c_mktsegment, c.c_acctbal, n.n_name FROM {orders} o "
+        "JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey",
+        **{name: table(spark, sf_dir, name) for name in ("orders", "customer", "nation")},
     )
+    text = re.sub(r"\b([ocn])\.(?=\1_)", "", bronze_select(drop))  # one table now holds the columns of all three
+    return spark.sql(f"SELECT {text} FROM {{rows}}", rows=joined.hint("rebalance", "o_orderkey"))
 
 
 def bronze_cte(drop=()) -> str:
@@ -311,7 +313,8 @@ def _detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # values whose JSON type differs: amounts and coordinates as text, words for numbers, a null list.
     # Words go first: a key with both faults keeps the word, which the quoting pattern leaves alone.
-    text = F.to_json(listing)
+    # Each step is a column of its own: it is read twice by the next one.
+    rows = rows.select("*", F.to_json(listing).alias("_text"))
     for every, pattern, other in (
         (131, r'"amount":[0-9.E]+', '"amount":"Please contact"'),
         (109, r'"amount":([0-9.E]+)', '"amount":"$1"'),
@@ -319,9 +322,9 @@ def _detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (127, r'"latitude":(-?[0-9.]+)', '"latitude":"$1"'),
         (149, r'"name":"Floor Plan","values":\["Open"\]', '"name":"Floor Plan","values":null'),
     ):
-        text = F.when(k % every == 0, F.regexp_replace(text, pattern, other)).otherwise(text)
+        rows = rows.withColumn("_text", F.when(k % every == 0, F.regexp_replace("_text", pattern, other)).otherwise(F.col("_text")))
     state = F.concat(
-        F.lit("{"), quoted(listing_key), F.lit(": "), text,
+        F.lit("{"), quoted(listing_key), F.lit(": "), F.col("_text"),
         F.lit(", "), quoted(F.concat(F.lit("Neighbourhood:"), F.col("n_nationkey").cast("string"))),
         F.lit(": "), F.to_json(hood), F.lit("}"),
     )

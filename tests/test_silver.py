@@ -113,3 +113,28 @@ def test_missing_columns_filled(spark):
     assert set(R.BRONZE_COLUMNS) <= set(filled.columns)
     row = filled.first()
     assert row.gym is None and row.move_in_date is None
+
+
+def test_bronze_view_spreads_narrow_rows(spark, scratch_dir):
+    """The joined rows are spread by size while they are narrow, whatever the shuffle partitions are."""
+    import re
+
+    from strata.plans import fixtures
+
+    spark.range(400).selectExpr(
+        "id % 390 AS o_orderkey", "id % 7 AS o_custkey", "'O' AS o_orderstatus", "CAST(id * 10 AS DOUBLE) AS o_totalprice",
+        "TIMESTAMP_NTZ '1995-01-01' + make_dt_interval(id % 90) AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+    ).write.parquet(f"{scratch_dir}/orders.parquet")
+    spark.range(6).selectExpr(
+        "id AS c_custkey", "concat('C', id) AS c_name", "'BUILDING' AS c_mktsegment", "CAST(id * 150 - 300 AS DOUBLE) AS c_acctbal", "id % 3 AS c_nationkey",
+    ).write.parquet(f"{scratch_dir}/customer.parquet")
+    spark.range(3).selectExpr("id AS n_nationkey", "concat('N', id) AS n_name").write.parquet(f"{scratch_dir}/nation.parquet")
+    new = fixtures.bronze_view(spark, scratch_dir)
+    plan = new._jdf.queryExecution().optimizedPlan().toString()
+    before, after = plan.split("RebalancePartitions", 1)
+    assert "AS walk_score" in before and "Join" not in before
+    assert "Join" in after and not re.search("AS (walk_score|street)", after)
+    text = fixtures.bronze_sql("{orders}", "{customer}", "{nation}")
+    old = spark.sql(text, **{t: fixtures.table(spark, scratch_dir, t) for t in ("orders", "customer", "nation")})
+    assert old.schema == new.schema
+    assert new.count() > 300 and old.exceptAll(new).count() == 0 and new.exceptAll(old).count() == 0
