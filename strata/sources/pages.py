@@ -82,7 +82,8 @@ _VALUE = r"""(?:"{0}"|'{0}'|{0}(?=[\s>]))"""
 # The body up to the first end tag, in runs without '<' (no step back at every character).
 _BODY = r"([^<]*+(?:<(?!/script>)[^<]*+)*+)</script>"
 _LD_SCRIPT = r"(?i)<script(?=\s)[^>]*?\stype\s*=\s*" + _VALUE.format(r"application/ld\+json") + r"[^>]*>" + _BODY
-_STATE_SCRIPT = r"(?i)<script(?=\s)[^>]*?\sid\s*=\s*" + _VALUE.format("__NEXT_DATA__") + r"[^>]*>" + _BODY
+_STATE_TAG = r"(?i)<script(?=\s)[^>]*?\sid\s*=\s*" + _VALUE.format("__NEXT_DATA__") + r"[^>]*>"
+_STATE_SCRIPT = _STATE_TAG + _BODY
 _FIRST_SCRIPT = r"(?i)<script\b[^>]*>" + _BODY
 
 SEARCH_SCHEMA = T.StructType(
@@ -108,14 +109,13 @@ SEARCH_SCHEMA = T.StructType(
 # given as text, lists that may be null) stay VARIANT.
 PROPS_TYPE = "struct<pageProps:struct<listingId:string,activationDate:string>>"
 STATE_PATH = "$.props.pageProps.__APOLLO_STATE__"
-LISTING_TYPE = (
-    "struct<title:string,description:string,activationDate:string,price:struct<amount:variant>,"
+# The entries of the state: the members of listings, then those of neighbourhoods.
+STATE_TYPE = (
+    "map<string,struct<title:string,description:string,activationDate:string,price:struct<amount:variant>,"
     "location:struct<address:string,coordinates:struct<latitude:variant,longitude:variant>,neighbourhoodInfo:struct<__ref:string>>,"
-    "imageUrls:array<string>,attributes:struct<all:array<struct<name:string,values:array<string>>>>>"
-)
-HOOD_TYPE = (
-    "struct<name:string,scores:struct<transportation:"
-    "struct<walk:struct<score:variant>,transit:struct<score:variant>,cycle:struct<score:variant>>>>"
+    "imageUrls:array<string>,attributes:struct<all:array<struct<name:string,values:array<string>>>>,"
+    "name:string,scores:struct<transportation:"
+    "struct<walk:struct<score:variant>,transit:struct<score:variant>,cycle:struct<score:variant>>>>>"
 )
 ATTRIBUTES_TYPE = "array<struct<name:string,values:array<string>>>"
 # The same with lists as they are, read only where a list is missing or null.
@@ -130,23 +130,42 @@ def _script(html: Column, pattern: str, *, comments: bool = True) -> Column:
     return F.when(F.length(body) > 0, body)
 
 
-def _is_text(value: Column) -> Column:
-    return F.schema_of_variant(value) == "STRING"
-
+def _number(value: Column, kind: Column) -> Column:
+    """A JSON number, or text that reads as one, as a double; null for any other value (or none).
 
-def _number(value: Column) -> Column:
-    """A JSON number, or text that reads as one, as a double; null for any other value (or none)."""
-    kind = F.schema_of_variant(value)
+    ``kind`` is the type of the value, as a column of its own: it is read several times."""
     return F.when(kind.isin("BIGINT", "DOUBLE") | F.startswith(kind, F.lit("DECIMAL")), F.try_variant_get(value, "$", "double")).when(
         kind == "STRING", parse_float(F.try_variant_get(value, "$", "string"))
     )
 
 
+def _with_state_script(pages: DataFrame, html: Column, keep: list[Column]) -> DataFrame:
+    """``keep`` and ``_script``: what ``_script(html, _STATE_SCRIPT)`` finds.
+
+    Only the start tag is looked for by pattern. The body is cut out at its end tag, but by
+    pattern too where another end tag could come first or is spelled otherwise.
+    """
+    text = F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, _COMMENT, "")).otherwise(html)
+    stage = pages.select(*keep, text.alias("_html"))
+    stage = stage.select("*", F.regexp_extract("_html", _STATE_TAG, 0).alias("_tag"))
+    stage = stage.select("*", F.substr("_html", F.instr("_html", F.col("_tag")) + F.length("_tag")).alias("_rest"))
+    stage = stage.select("*", F.substring_index("_rest", "</script>", 1).alias("_body"))
+    plain = F.contains("_rest", F.lit("</script>")) & ~F.contains("_body", F.lit("</s")) & ~F.contains("_body", F.lit("</S"))
+    body = F.when(F.length("_tag") > 0, F.when(plain, F.col("_body")).otherwise(F.regexp_extract("_html", _STATE_SCRIPT, 1)))
+    stage = stage.select(*keep, body.alias("_body"))
+    return stage.select(*keep, F.when(F.length("_body") > 0, F.col("_body")).alias("_script"))
+
+
 def _given(value: Column) -> Column:
     """Neither missing nor a JSON null."""
     return value.isNotNull() & ~F.is_variant_null(value)
 
 
+def _nameable(key: Column) -> Column:
+    """A key that a path could name, or null: it does not hold both quotation marks."""
+    return F.when(~(F.contains(key, F.lit('"')) & F.contains(key, F.lit("'"))), key)
+
+
 def _state_path(key: Column) -> Column:
     """Path of the state entry with that key; quoted with the mark that the key does not hold."""
     quote = F.when(~F.contains(key, F.lit('"')), F.lit('"')).when(~F.contains(key, F.lit("'")), F.lit("'"))
@@ -203,27 +222,14 @@ def page_summary(items: DataFrame, listings: DataFrame | None = None, *, page_co
 # ------------------------------------------------------------------ O8c - O8i
 
 
-def known_attributes(all_attrs: Column) -> Column:
-    """The attributes that become columns."""
-    wanted = F.array(*[F.lit(n) for n in ATTRIBUTE_FIELDS])
-    return F.filter(all_attrs, lambda a: F.array_contains(wanted, a.getField("name")))
-
-
-def attribute_map(known: Column, names: Column) -> Column:
-    """name -> first value of known attributes, the *last* one winning for a repeated name.
+def _attribute(name: str) -> Column:
+    """First value of the *last* attribute called ``name``; null when there is none.
 
-    ``names`` are their names, as a column of its own. Pages rarely repeat a name; only then
-    attributes that a later one replaces are looked for, so no map is built twice.
+    Reads the columns ``_from_end`` (names, last first) and ``_values`` (lists, in page order):
+    plain array look-ups, no function that is evaluated per element outside generated code.
     """
-    from_end = F.reverse(names)
-    last = F.filter(known, lambda a, i: F.array_position(from_end, a.getField("name")) == F.size(names) - i)
-    kept = F.when(F.size(F.array_distinct(names)) == F.size(names), known).otherwise(last)
-    return F.map_from_entries(F.transform(kept, lambda a: F.struct(a.getField("name"), F.get(a.getField("values"), 0))))
-
-
-def _attribute(attr_map: Column, name: str) -> Column:
-    """Value of the last attribute called ``name`` (first value of its list)."""
-    return F.try_element_at(attr_map, F.lit(name))
+    at = F.array_position("_from_end", F.lit(name))  # 0, which is beyond the end below, if none
+    return F.get(F.get("_values", (F.size("_values") - at).cast("int")), F.lit(0))
 
 
 def _nonempty(c: Column) -> Column:
@@ -248,17 +254,20 @@ def extract_listings(
     search page that listed the URL.
     """
     # Staged projections: every expensive step (regex over the page, the one JSON parse, each
-    # typed view) is computed once into a column and later steps read the column. Higher-order
-    # functions are evaluated outside generated code, so their input must be a plain column.
-    stage = details.select("*", _script(F.col(html_col), _STATE_SCRIPT).alias("_script"))
-    stage = stage.select("*", F.try_parse_json("_script").alias("_doc"))
+    # typed view) is computed once into a column and later steps read the column. Whole texts
+    # and documents are left behind as soon as nothing reads them.
+    own = [F.col(c) for c in dict.fromkeys([url_col, *([city_col] if city_col else []), *[c for c in keep_cols if c in details.columns]])]
+    stage = _with_state_script(details, F.col(html_col), own)
+    stage = stage.select(*own, F.col("_script").isNotNull().alias("_found"), F.try_parse_json("_script").alias("_doc"))
     stage = stage.select("*", F.try_variant_get("_doc", "$.props", PROPS_TYPE).alias("_props"))
     page = F.col("_props.pageProps")
     stage = stage.select("*", page.getField("listingId").alias("_id"), page.getField("activationDate").alias("_page_activation"))
     key = F.when(_nonempty(F.col("_id")), F.concat(F.lit(LISTING_STATE_PREFIX), F.col("_id")))
     stage = stage.select("*", _state_path(key).alias("_path"))
-    # straight from the document into the typed view: a VARIANT in between would be built anew
-    stage = stage.select("*", F.try_variant_get("_doc", F.col("_path"), LISTING_TYPE).alias("_l"))
+    # One typed view of all entries, by a fixed path: a path of its own for each row is parsed anew
+    # for each row, and a VARIANT in between would be built anew.
+    stage = stage.select("*", F.when(key.isNotNull(), F.try_variant_get("_doc", STATE_PATH, STATE_TYPE)).alias("_state"))
+    stage = stage.select("*", F.try_element_at("_state", _nameable(key)).alias("_l"))
     L = F.col("_l")
     loc = L.getField("location")
     ref = loc.getField("neighbourhoodInfo").getField("__ref")
@@ -267,59 +276,62 @@ def extract_listings(
         # an object without any member; a title tells most apart without a look at the whole type
         (L.isNotNull() & F.when(L.getField("title").isNotNull(), F.lit(True)).otherwise(F.schema_of_variant(F.try_variant_get("_doc", F.col("_path"), "variant")) != "OBJECT<>")).alias("_has_listing"),
         F.coalesce(L.getField("attributes").getField("all"), F.array().cast(ATTRIBUTES_TYPE)).alias("_attrs"),
-        F.try_variant_get("_doc", _state_path(F.when(_nonempty(ref), ref)), HOOD_TYPE).alias("_hood"),
+        F.try_element_at("_state", _nameable(F.when(_nonempty(ref), ref))).alias("_hood"),
     )
+    names, values = F.col("_attrs").getField("name"), F.col("_attrs").getField("values")
+    stage = stage.select("*", F.reverse(names).alias("_from_end"), values.alias("_values"))
+    some_null = lambda c: F.size(F.array_compact(c)) < F.size(c)
     stage = stage.select(
-        "*", known_attributes(F.col("_attrs")).alias("_known"),
-        F.exists("_attrs", lambda a: a.getField("values").isNull()).alias("_no_list"),
-        F.exists("_attrs", lambda a: a.isNull() | a.getField("name").isNull() | F.coalesce(F.size(a.getField("values")) == 0, F.lit(False))).alias("_bad"),
+        "*", some_null("_values").alias("_no_list"),
+        # an attribute without a name (or none at all), or with an empty list
+        (some_null("_from_end") | F.coalesce(F.array_contains("_values", F.array().cast("array<string>")), F.lit(False))).alias("_bad"),
     )
     lists = F.try_variant_get("_doc", F.col("_path"), LISTS_TYPE).getField("attributes").getField("all")
-    stage = stage.select(
-        "*", F.transform("_known", lambda a: a.getField("name")).alias("_names"),
-        F.when(F.col("_no_list"), lists).alias("_lists"),
-    )
-    stage = stage.select("*", attribute_map(F.col("_known"), F.col("_names")).alias("_amap"))
+    stage = stage.select("*", F.when(F.col("_no_list"), lists).alias("_lists"))
     null_list = F.exists("_lists", lambda a: F.coalesce(F.is_variant_null(a.getField("values")), F.lit(False)))
     bad_attrs = F.col("_bad") | (F.col("_no_list") & null_list)
     hood = F.col("_hood")
     transport = hood.getField("scores").getField("transportation")
 
-    # A JSON number follows the cents rule; an amount given as text is taken as it reads.
-    price = L.getField("price").getField("amount")
-    amount = _number(price)
-    amount_given = _given(price)
-    rent = F.when(price.isNull(), F.lit(0.0)).when(_is_text(price), amount).otherwise(cents_to_amount(amount))
-
     activation = F.coalesce(
         F.when(_nonempty(L.getField("activationDate")), L.getField("activationDate")),
         F.when(_nonempty(F.col("_page_activation")), F.col("_page_activation")),
     )
 
-    measured = {
+    numbers = {
+        "amount": L.getField("price").getField("amount"),
         "latitude": loc.getField("coordinates").getField("latitude"),
         "longitude": loc.getField("coordinates").getField("longitude"),
         "walk_score": transport.getField("walk").getField("score"),
         "transit_score": transport.getField("transit").getField("score"),
         "bike_score": transport.getField("cycle").getField("score"),
     }
+    stage = stage.select(
+        "*", activation.alias("_activation"), *[value.alias("_v_" + c) for c, value in numbers.items()],
+        *[F.schema_of_variant(value).alias("_k_" + c) for c, value in numbers.items()],
+    )
+    stage = stage.select("*", *[_number(F.col("_v_" + c), F.col("_k_" + c)).alias("_n_" + c) for c in numbers])
+    measured = {c: F.col("_v_" + c) for c in numbers if c != "amount"}
+    # A JSON number follows the cents rule; an amount given as text is taken as it reads.
+    price, amount = F.col("_v_amount"), F.col("_n_amount")
+    rent = F.when(price.isNull(), F.lit(0.0)).when(F.col("_k_amount") == "STRING", amount).otherwise(cents_to_amount(amount))
     record = {
         "listing_id": F.col("_id"),
         "url": F.col(url_col),
         "website": F.lit(website),
-        "published_at": parse_iso(activation),
+        "published_at": parse_iso("_activation"),
         "title": L.getField("title"),
         "description": L.getField("description"),
         "street": loc.getField("address"),
         "city": F.col(city_col) if city_col else F.lit(None).cast("string"),
         "neighbourhood": hood.getField("name"),
         "rent": rent,
-        **{name: _number(value) for name, value in measured.items()},
+        **{c: F.col("_n_" + c) for c in measured},
         "images": F.coalesce(L.getField("imageUrls"), F.array().cast("array<string>")),
         "scraped_at": as_timestamp(scraped_at),
     }
     for name, field in ATTRIBUTE_FIELDS.items():
-        value = _attribute(F.col("_amap"), name)
+        value = _attribute(name)
         if field in ("bedrooms", "bathrooms"):
             record[field] = parse_int(value)
         elif field == "size_sqft":
@@ -331,13 +343,13 @@ def extract_listings(
     stage = stage.select(
         "*", *[record[c].cast(R.BRONZE_SCHEMA[c].dataType).alias("_r_" + c) for c in R.BRONZE_COLUMNS],
         *[_given(value).alias("_g_" + c) for c, value in measured.items()],
-        (amount_given & amount.isNull()).alias("_bad_amount"), has_offset(activation).alias("_aware"), bad_attrs.alias("_bad_attrs"),
+        (_given(price) & amount.isNull()).alias("_bad_amount"), has_offset("_activation").alias("_aware"), bad_attrs.alias("_bad_attrs"),
     )
     record = {c: F.col("_r_" + c) for c in R.BRONZE_COLUMNS}
     given = {c: F.col("_g_" + c) for c in measured}
 
     rules = [
-        ("no_state_script", F.col("_script").isNull()),
+        ("no_state_script", ~F.col("_found")),
         ("invalid_document", F.col("_props").isNull()),
         ("no_listing_id", ~_nonempty(F.col("_id"))),
         ("no_listing_data", ~F.col("_has_listing")),

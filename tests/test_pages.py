@@ -220,6 +220,22 @@ def test_attribute_edge_cases(spark):
     assert r.rent == 95.0  # small amounts are not cents
 
 
+def test_state_script_as_the_pattern_says(spark):
+    tag = '<script id="__NEXT_DATA__" type="application/json">'
+    texts = [
+        None, "", "<p>gone</p>", f"{tag}{{}}</script>", f"{tag}</script>", f"{tag}{{}}", f"{tag}{{}}</SCRIPT>", f"{tag}a</Script>b</script>", f"{tag}a</s>b</script>c</script>",
+        f"<!-- {tag}x</script> -->{tag}y</script>", f"{tag}a<!-- </script> -->b</script>", f"<SCRIPT ID='__NEXT_DATA__'>up</script>{tag}z</script>",
+        '<script data-id="__NEXT_DATA__">{}</script><script id="__NEXT_DATA__OLD">{}</script>' + f"{tag}é\n1</script>", f"</script>{tag}late</script>",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, html string")
+    want = frame.select("n", pages._script(F.col("html"), pages._STATE_SCRIPT).alias("_script"))
+    got = pages._with_state_script(frame, F.col("html"), [F.col("n")])
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert sum(r["_script"] is not None for r in got.collect()) == 8
+    # the JVM never compiles longer methods, so Spark splits wide projections
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
+
+
 def test_scrape_composition(spark):
     search = spark.createDataFrame(
         [(1, "vancouver", search_html([item(i) for i in range(1, 10)])), (2, "atlantis", search_html([item(i) for i in range(1, 9)]))],
