@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from strata.sources import pages
 
 NOW = "2030-01-01 00:00:00"
@@ -231,7 +233,7 @@ def test_state_script_as_the_pattern_says(spark):
     want = frame.select("n", pages._script(F.col("html"), pages._STATE_SCRIPT).alias("_script"))
     got = pages._with_state_script(frame, F.col("html"), [F.col("n")])
     assert sorted(got.collect()) == sorted(want.collect())
-    assert sum(r["_script"] is not None for r in got.collect()) == 8
+    assert sum(r["_script"] is not None for r in got.collect()) == 9
     # the JVM never compiles longer methods, so Spark splits wide projections
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
 
