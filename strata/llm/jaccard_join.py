@@ -2,10 +2,13 @@
 
 1. Every text becomes its set of word n-gram hashes; equal sets share a 128-bit fingerprint
    and are one node from then on. A fixed-size sketch counts n-grams over all texts.
-2. A node orders its n-grams by sketched frequency, rare ones first. Two sets that overlap
-   in at least t n-grams share at least l of their first (size - t + l): a node lengthens
-   its prefix (l = 1, 2, ...) as long as that lowers the estimated cost, which is the
-   postings read plus the candidates that Sum(postings) / l still lets through.
+2. A node orders its n-grams by sketched frequency, rare ones first. The sketch is of fixed
+   size, so the more texts there are the less it tells rare n-grams from common ones: the
+   n-grams that nodes would begin with are counted one by one, and those of long lists go last.
+   Two sets that overlap in at least t n-grams share at least l of their first
+   (size - t + l): a node lengthens its prefix (l = 1, 2, ...) as long as that lowers the
+   estimated cost, which is the postings read plus the candidates that Sum(postings) / l
+   still lets through.
 3. Postings are sorted by n-gram and streamed. A short list yields pairs; a pair is a
    candidate once it shares min(l of both) prefix n-grams of those levels. A long list (a
    family of copies) yields one edge a member instead of all pairs.
@@ -14,8 +17,8 @@
    link counts and a spanning forest, never all links.
 5. The forest's components are the classes.
 
-No step collects rows, links or components to the driver; only the sketch goes through it,
-whose size is fixed.
+No step collects rows, links or components to the driver; only the sketch and two bit sets go
+through it, whose size is bounded.
 """
 
 from __future__ import annotations
@@ -40,6 +43,10 @@ MAX_LEVEL = 4
 VERIFY_COST = 8.0
 #: Postings up to this length yield pairs; longer ones edges to their first member.
 SHORT_LIST = 24
+#: Beyond a prefix, one n-gram in so many is counted too: they take the places of those that go last.
+SPARE = 4
+#: A slice of the n-grams that are counted one by one is a share of about so many n-grams of the corpus.
+COUNTED_GRAMS = 2_000_000
 #: A cell holds about so many n-grams and nodes.
 CELL_GRAMS, CELL_NODES = 400_000, 1_500
 
@@ -143,13 +150,26 @@ def sketch_of(survey: DataFrame) -> bytes:
 # ------------------------------------------------------------------ prefixes
 
 
-def prefix(grams: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams of the chosen prefix and the level at which each enters it."""
-    freq = counts[_buckets(grams)]
+def ordered(grams: np.ndarray, counts: np.ndarray, most: int, common: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and frequencies of the first ``most`` n-grams: rare ones first, those of the bit set ``common`` last."""
+    freq = counts[_buckets(grams)].astype(np.int64)
     order = np.lexsort((grams, freq))
+    if common is not None:
+        late = _held(grams[order[: most + most // SPARE]], common)
+        if len(late) - late.sum() < most and len(late) < len(order):
+            late = _held(grams[order], common)
+        order, late = order[: len(late)], late.astype(np.int64)
+        freq[order] += late << 32
+        order = order[np.argsort(late, kind="stable")]
+    return order[:most], freq[order[:most]]
+
+
+def prefix(grams: np.ndarray, counts: np.ndarray, percent: int, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of the chosen prefix and the level at which each enters it."""
     size, t = len(grams), int(least_overlap(len(grams), percent))
     base = size - t + 1
-    read = np.cumsum(freq[order[: base + MAX_LEVEL - 1]].astype(np.float64))
+    order, freq = ordered(grams, counts, base + MAX_LEVEL - 1, common)
+    read = np.cumsum(freq.astype(np.float64))
     best, level = None, 1
     for k in range(1, min(MAX_LEVEL, t) + 1):
         cost = read[base + k - 2] * (1.0 + VERIFY_COST / k)
@@ -159,8 +179,66 @@ def prefix(grams: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndar
     return grams[take], np.maximum(1, np.arange(len(take)) - base + 2)
 
 
-def _postings(batches: Iterator[pa.RecordBatch], n: int, percent: int, sketch: bytes) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch], n: int, percent: int, sketch: bytes, slices: int, short: int) -> Iterator[pa.RecordBatch]:
+    """The n-grams that may enter prefixes, and how often in this task, by slice; not those that the sketch knows to be rare."""
     shingle, counts = Shingler(n), np.frombuffer(sketch, dtype=np.int32)
+    last, found, held = set(), [], 0
+
+    def send() -> pa.RecordBatch:
+        grams, times = np.unique(np.concatenate(found), return_counts=True)
+        part = (grams & np.uint64(0xFFFFFFFF)) % np.uint64(slices)
+        order = np.argsort(part, kind="stable")
+        here, first = np.unique(part[order], return_index=True)
+        cut = lambda x: pa.array([p.tobytes() for p in np.split(x[order], first[1:])], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(here.astype(np.int32), pa.int32()), cut(grams), cut(times.astype(np.int32))], names=["slice", "grams", "times"])
+
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            grams = shingle(text)
+            if len(grams) < 2 or (mark := fingerprint(grams)) in last:
+                continue
+            last.add(mark)
+            most = len(grams) - int(least_overlap(len(grams), percent)) + MAX_LEVEL
+            order, freq = ordered(grams, counts, most + most // SPARE, None)
+            found.append(grams[order[freq > short]])
+            held += len(found[-1])
+        if len(last) > 50_000:
+            last.clear()
+        if held > 2_000_000:
+            yield send()
+            found, held = [], 0
+    if held:
+        yield send()
+
+
+def _long_lists(shares: pa.Table, short: int) -> pa.Table:
+    """The n-grams that more than ``short`` texts may begin with."""
+    joined = lambda c, kind: np.frombuffer(b"".join(shares.column(c).to_pylist()), dtype=kind)
+    grams, index = np.unique(joined("grams", np.uint64), return_inverse=True)
+    times = np.bincount(index, weights=joined("times", np.int32))
+    return pa.table({"gram": pa.array(grams[times > short].view(np.int64), pa.int64())})
+
+
+def common_grams(read: DataFrame, n: int, percent: int, sketch: bytes) -> bytes | None:
+    """A bit set of n-grams whose lists would be long, None if there are none.
+
+    Any order of n-grams that all texts share finds all links; what is in the set (others may
+    seem to be) decides about cost only.
+    """
+    counts, short = np.frombuffer(sketch, dtype=np.int32), SHORT_LIST
+    if counts.max() <= short:
+        return None
+    slices = 1 + int(counts.sum(dtype=np.int64)) // COUNTED_GRAMS
+    shares = read.select("text").mapInArrow(
+        functools.partial(_counted, n=n, percent=percent, sketch=sketch, slices=slices, short=short), "slice int, grams binary, times binary"
+    )
+    found = stored(shares.groupBy("slice").applyInArrow(lambda shares: _long_lists(shares, short), "gram long"), "jaccard-common")
+    return bit_set(found) if found.limit(1).count() else None
+
+
+def _postings(batches: Iterator[pa.RecordBatch], n: int, percent: int, sketch: bytes, common: bytes | None) -> Iterator[pa.RecordBatch]:
+    shingle, counts = Shingler(n), np.frombuffer(sketch, dtype=np.int32)
+    late = None if common is None else np.frombuffer(common, dtype=np.uint64)
     last: set = set()
     for batch in batches:
         for k in range(0, batch.num_rows, 256):
@@ -173,7 +251,7 @@ def _postings(batches: Iterator[pa.RecordBatch], n: int, percent: int, sketch: b
                 if mark in last:  # copies met in this task are said once
                     continue
                 last.add(mark)
-                tokens, levels = prefix(grams, counts, percent)
+                tokens, levels = prefix(grams, counts, percent, late)
                 out.append((tokens, levels, len(grams), int(levels[-1]), mark))
             if len(last) > 50_000:
                 last.clear()
@@ -330,14 +408,18 @@ def bit_set(ids: DataFrame) -> bytes:
     return out.tobytes()
 
 
+def _held(ids: np.ndarray, field: np.ndarray) -> np.ndarray:
+    """Whether each id may be in the set of these words."""
+    at = _spots(ids, len(field).bit_length() + 5)
+    held = (field[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+    return held.reshape(4, -1).all(axis=0)
+
+
 def _wanted(batches: Iterator[pa.RecordBatch], words: bytes) -> Iterator[pa.RecordBatch]:
     """Rows whose key may be in the set: only their texts are shuffled."""
-    field = np.frombuffer(words, dtype=np.int64).view(np.uint64)
-    bits = len(field).bit_length() + 5
+    field = np.frombuffer(words, dtype=np.uint64)
     for batch in batches:
-        at = _spots(batch.column("key").to_numpy(zero_copy_only=False), bits)
-        held = (field[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
-        yield batch.filter(pa.array(held.reshape(4, -1).all(axis=0), pa.bool_()))
+        yield batch.filter(pa.array(_held(batch.column("key").to_numpy(zero_copy_only=False), field), pa.bool_()))
 
 
 SETS = "root struct<fa:long,fb:long>, fa long, fb long, copies long, size long, grams binary"
@@ -415,7 +497,8 @@ def node(a: str = "fa", b: str = "fb") -> Column:
 
 def candidate_pairs(read: DataFrame, n: int, percent: int, sketch: bytes) -> DataFrame:
     """(a, b) nodes: pairs that share enough prefix n-grams, and the edges of long lists."""
-    postings = read.select("text").mapInArrow(functools.partial(_postings, n=n, percent=percent, sketch=sketch), POSTINGS)
+    common = common_grams(read, n, percent, sketch)
+    postings = read.select("text").mapInArrow(functools.partial(_postings, n=n, percent=percent, sketch=sketch, common=common), POSTINGS)
     met = (
         postings.repartition("gram").sortWithinPartitions("gram", "size", "fa", "fb")
         .mapInArrow(functools.partial(_meet, percent=percent), MEET)
