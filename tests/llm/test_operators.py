@@ -472,11 +472,12 @@ def test_near_copies(spark, monkeypatch, n, percent, words):
     assert got() == want
 
 
-def test_common_phrases_link_no_unrelated_texts(spark, monkeypatch):
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_common_phrases_link_no_unrelated_texts(spark, monkeypatch, n, percent):
     """A sketch too small to tell common phrases from rare ones: texts that share phrases only make no large family."""
     monkeypatch.setattr(jaccard_join, "SKETCH_BITS", 5)
     rng = random.Random(5)
-    phrases = [" ".join(f"p{k}x{j}" for j in range(3)) for k in range(90)]
+    phrases = [" ".join(f"p{k}x{j}" for j in range(n)) for k in range(90)]
     texts = []
     for i in range(600):
         parts = [f"o{i}x{j}" for j in range(40)] + rng.sample(phrases, 12)
@@ -485,13 +486,13 @@ def test_common_phrases_link_no_unrelated_texts(spark, monkeypatch):
     texts += [t + " end" for t in texts[:20]] + texts[20:30]
     rows = list(enumerate(texts))
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    sketch = jaccard_join.sketch_of(frame.select("doc_id", F.lit(0).cast("long").alias("key"), F.lit(None).cast("binary").alias("mark"), "text").mapInArrow(functools.partial(jaccard_join._survey, n=3), jaccard_join.SURVEY))
-    pairs = {frozenset([tuple(r["a"]), tuple(r["b"])]) for r in jaccard_join.candidate_pairs(frame, 3, 90, sketch).collect()}
-    marks = [jaccard_join.fingerprint(jaccard_join.Shingler(3)(t)) for t in texts]
+    sketch = jaccard_join.sketch_of(frame.select("doc_id", F.lit(0).cast("long").alias("key"), F.lit(None).cast("binary").alias("mark"), "text").mapInArrow(functools.partial(jaccard_join._survey, n=n), jaccard_join.SURVEY))
+    pairs = {frozenset([tuple(r["a"]), tuple(r["b"])]) for r in jaccard_join.candidate_pairs(frame, n, percent, sketch).collect()}
+    marks = [jaccard_join.fingerprint(jaccard_join.Shingler(n)(t)) for t in texts]
     assert pairs >= {frozenset([marks[i], marks[600 + i]]) for i in range(20)}
     assert len(pairs) < 100
-    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in jaccard_join.jaccard_classes(frame).collect())
-    assert got == sorted(brute.classes(rows, 3, 90))
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in jaccard_join.jaccard_classes(frame, n, percent).collect())
+    assert got == sorted(brute.classes(rows, n, percent))
 
 
 def test_prefixes_share_enough():
